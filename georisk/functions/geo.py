@@ -116,9 +116,9 @@ def vincenty_stages(lat1: str, lon1: str, lat2: str, lon2: str, out: str = "geod
     st += trig(k)
     ep2 = (a * a - b * b) / (b * b)
     st += [
-        ("_vu2", f"_vca{k} * {d(ep2)}"),
-        ("_vA", "1e0 + _vu2 / 16384e0 * (4096e0 + _vu2 * (-768e0 + _vu2 * (320e0 - 175e0 * _vu2)))"),
-        ("_vB", "_vu2 / 1024e0 * (256e0 + _vu2 * (-128e0 + _vu2 * (74e0 - 47e0 * _vu2)))"),
+        ("_vusq", f"_vca{k} * {d(ep2)}"),
+        ("_vA", "1e0 + _vusq / 16384e0 * (4096e0 + _vusq * (-768e0 + _vusq * (320e0 - 175e0 * _vusq)))"),
+        ("_vB", "_vusq / 1024e0 * (256e0 + _vusq * (-128e0 + _vusq * (74e0 - 47e0 * _vusq)))"),
         ("_vds", f"_vB * _vss{k} * (_vc2m{k} + _vB / 4e0 * (_vcs{k} * (-1e0 + 2e0 * _vc2m{k} * _vc2m{k}) - "
                  f"_vB / 6e0 * _vc2m{k} * (-3e0 + 4e0 * _vss{k} * _vss{k}) * (-3e0 + 4e0 * _vc2m{k} * _vc2m{k})))"),
         (out, f"CASE WHEN _vss{k} = 0 THEN 0e0 ELSE {d(b)} * _vA * (_vsig{k} - _vds) / 1000e0 END"),
