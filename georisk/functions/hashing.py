@@ -41,5 +41,5 @@ def index_draw(seed: int, stream: str, n, *keys) -> Column:
 
 def sql_hash_draw(seed: int, stream: str, *key_sql: str) -> str:
     """The same draw in DuckDB SQL (for oracles)."""
-    inner = " || '|' || ".join([f"'{seed}|{stream}'"] + [f"CAST({k} AS VARCHAR)" for k in key_sql])
-    return f"CAST(('0x' || substr(md5({inner}), 1, 8)) AS BIGINT)"
+    inner = ", ".join([f"'{seed}|{stream}'"] + [f"CAST({k} AS VARCHAR)" for k in key_sql])
+    return f"CAST(('0x' || substr(md5(concat_ws('|', {inner})), 1, 8)) AS BIGINT)"
