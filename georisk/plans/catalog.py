@@ -30,8 +30,7 @@ def all_oracles():
 
 
 # ============================================================ features / flagship
-FEATURE_SQL = """SELECT *,
-  latitude * hour / 24 AS lat_hour, longitude * hour / 24 AS lon_hour,
+FEATURE_CORE_SQL = """latitude * hour / 24 AS lat_hour, longitude * hour / 24 AS lon_hour,
   latitude * dayofweek / 7 AS lat_dayofweek, longitude * dayofweek / 7 AS lon_dayofweek,
   CAST(dayofweek >= 5 AS INT) AS is_weekend,
   CAST(hour BETWEEN 6 AND 8 AS INT) AS is_rush_morning,
@@ -40,9 +39,9 @@ FEATURE_SQL = """SELECT *,
   sin(2*pi()*hour/24) AS hour_sin, cos(2*pi()*hour/24) AS hour_cos,
   sin(2*pi()*dayofweek/7) AS dayofweek_sin, cos(2*pi()*dayofweek/7) AS dayofweek_cos,
   CAST(month*100 + day IN (101, 501, 508, 714, 924, 1101, 1111, 1225) AS INT) AS is_holiday,
-  CAST(month IN (1, 7, 8, 12) AS INT) AS school_holidays,
-  2 AS road_type, 50 AS speed_limit, 0 AS accident_density_5km, 100 AS dist_to_noumea_km
-FROM acc_parts"""
+  CAST(month IN (1, 7, 8, 12) AS INT) AS school_holidays"""
+DEFAULTS_SQL = "2 AS road_type, 50 AS speed_limit, 0 AS accident_density_5km, 100 AS dist_to_noumea_km"
+FEATURE_SQL = f"SELECT *, {FEATURE_CORE_SQL},\n  {DEFAULTS_SQL}\nFROM acc_parts"
 
 ACC_PARTS_SQL = """SELECT num_acc, datetime, latitude, longitude, atm,
   CAST(hour(datetime) AS INT) AS hour, CAST(isodow(datetime) - 1 AS INT) AS dayofweek,

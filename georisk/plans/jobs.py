@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..operators import spatial
 from ..params import CITY_CENTRE, DEFAULT_PARAMS, GRID_BOUNDS, GRID_STEP, PipelineParams, true_radius_rad
+from ..session import cut_lineage
 from ..sources.grid import make_grid
 
 
@@ -46,10 +47,61 @@ def attach_distance_to_centre(points: DataFrame, centre=CITY_CENTRE, out: str =
 def precompute(spark: SparkSession, segments: DataFrame, events: DataFrame,
                params: PipelineParams = DEFAULT_PARAMS, compat_radius: bool = False) -> DataFrame:
     """Road grid with road attributes, accident density and distance to the centre."""
-    grid = road_grid(spark, segments, params.grid_bounds, params.grid_step, params.buffer_meters, dedupe=True)
+    grid = cut_lineage(road_grid(spark, segments, params.grid_bounds, params.grid_step, params.buffer_meters,
+                                 dedupe=True))
     grid = attach_road_attributes(grid.select("latitude", "longitude"), segments)
     radius = params.density_radius_km / 111.0 if compat_radius else true_radius_rad(params.density_radius_km)
     grid = spatial.radius_count(grid, events.select("latitude", "longitude"), radius)
     grid = attach_distance_to_centre(grid)
-    return grid.select("latitude", "longitude", "road_type", "speed_limit", "accident_density_5km",
-                       "dist_to_noumea_km")
+    return cut_lineage(grid.select("latitude", "longitude", "road_type", "speed_limit", "accident_density_5km",
+                                   "dist_to_noumea_km"))
+
+
+# ------------------------------------------------------------------ silver
+def positives(events: DataFrame, bounds=GRID_BOUNDS, dow_base: str = "mon0") -> DataFrame:
+    """Events inside the box with time parts and target 1 (src_id = event id)."""
+    from ..operators import features as feat
+    from ..operators import ingest
+    e = ingest.filter_bbox(events.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()), bounds)
+    e = feat.add_time_parts(e, "datetime", dow_base)
+    return e.select(F.col("num_acc").alias("src_id"), "datetime", "latitude", "longitude", "atm",
+                    "hour", "dayofweek", "month", "day", F.lit(1).alias("target"))
+
+
+def silver(spark: SparkSession, events: DataFrame, segments: DataFrame, params: PipelineParams = DEFAULT_PARAMS,
+           grid: DataFrame | None = None) -> DataFrame:
+    """Positives + synthetic negatives, 24 features, enrichment from the nearest road-grid point."""
+    from ..operators import features as feat
+    from ..operators import ingest, sampling
+    pos = positives(events, params.grid_bounds, params.dow_base)
+    ev = pos.select(F.col("src_id").alias("num_acc"), "datetime", "latitude", "longitude", "atm")
+    g = grid if grid is not None else precompute(spark, segments, ev, params)
+    road = g.select("latitude", "longitude")        # the stored grid is the (deduplicated) road grid
+    safe = cut_lineage(spatial.exclude_near_points(road, ev, params.accident_exclusion_buffer_km * 1000.0))
+    neg = sampling.generate_negatives(spark, ev, safe, road, seed=params.seed, ratio=params.n_negative_samples_ratio,
+                                      cap_per_point=params.negative_cap_per_point,
+                                      risk_ratio=params.temporal_risk_ratio, dow_base=params.dow_base)
+    neg = neg.select(F.col("sample_id").alias("src_id"), "datetime", "latitude", "longitude", "atm", "hour",
+                     "dayofweek", "month", F.dayofmonth("datetime").cast("int").alias("day"), "target")
+    both = ingest.union_all(pos, cut_lineage(neg))
+    g = g.select("latitude", "longitude", F.struct("latitude", "longitude").alias("_gkey"),
+                 "road_type", "speed_limit", "accident_density_5km", "dist_to_noumea_km")
+    enriched = spatial.nearest_join(both, g, ["road_type", "speed_limit", "accident_density_5km",
+                                              "dist_to_noumea_km"], tie="_gkey")
+    return cut_lineage(feat.build_features(enriched, params.profile).drop("nearest_dist", "nearest__gkey"))
+
+
+def gold(silver_df: DataFrame, params: PipelineParams = DEFAULT_PARAMS) -> DataFrame:
+    """Encode atm (text order), drop incomplete rows, exact stratified split -> column ``split``."""
+    from ..operators import ingest, model, sampling
+    from ..params import FEATURE_COLUMNS
+    enc = model.encode_label(silver_df, "atm")
+    clean = ingest.drop_incomplete(enc, FEATURE_COLUMNS)
+    return cut_lineage(sampling.stratified_split(clean, "target", params.test_size, params.seed,
+                                                 hash_cols=["target", "src_id"]))
+
+
+# ------------------------------------------------------------------ scoring
+def score_daily(grid: DataFrame, day: DataFrame, atm_code: int = 1, profile: str = "pipeline", scorer=None):
+    from ..operators.scoring import score_day
+    return score_day(grid, day, atm_code, profile, scorer)

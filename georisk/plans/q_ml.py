@@ -1,3 +1,234 @@
-"""Registered queries (q_ml)."""
+"""Registered feature-store, scoring, streaming and training queries."""
 
 from __future__ import annotations
+
+import os
+import re
+
+from pyspark.sql import functions as F
+
+from ..operators import evaluate as ev
+from ..operators import features as feat
+from ..operators import model, profile, scoring
+from ..params import FEATURE_COLUMNS
+from ..session import cut_lineage, scratch_path
+from ..sources import bindings as B
+from ..streaming import requests as stream
+from . import jobs
+from .catalog import FEATURE_CORE_SQL
+from .q_sampling import NEG_SQL
+from .q_spatial import CENTROIDS, DENSITY_SQL, ROAD_ATTR_SQL, ROAD_GRID_CTES, SAFE_SQL, _vincenty_sql
+from .registry import r6, register
+from ..params import true_radius_rad
+
+PROB_SQL = feat.logistic_score_sql()
+
+
+def _on(sql: str, src: str) -> str:
+    """Point a SQL fragment written against ``acc`` at another event table."""
+    return re.sub(r"\bacc\b", src, sql)
+
+
+def pre_ctes(events: str = "acc") -> dict:
+    return {**ROAD_GRID_CTES, "cent": CENTROIDS, "road_attr": ROAD_ATTR_SQL,
+            "density": _on(DENSITY_SQL.format(r=repr(true_radius_rad(5.0)) + "e0"), events),
+            "vin": _vincenty_sql("road_grid"),
+            "pre": """SELECT r.latitude, r.longitude, r.road_type, r.speed_limit, d.accident_density_5km,
+                             v.d AS dist_to_noumea_km
+                      FROM road_attr r JOIN density d USING (latitude, longitude) JOIN vin v USING (latitude, longitude)"""}
+
+
+def _pre_grid(spark, sf_dir):
+    return jobs.precompute(spark, B.roads(spark, sf_dir), B.acc(spark, sf_dir))
+
+
+def _next_day(spark, sf_dir):
+    return B.acc(spark, sf_dir).agg(F.date_add(F.max(F.to_date("datetime")), 1).alias("date"))
+
+
+DAY_CTES = {
+    "day": "SELECT CAST(max(datetime) AS DATE) + 1 AS date FROM acc",
+    "drows": """SELECT p.*, h.hour, d.date, CAST(isodow(d.date) - 1 AS INT) AS dayofweek,
+                       CAST(month(d.date) AS INT) AS month, CAST(day(d.date) AS INT) AS day, 1 AS atm
+                FROM pre p, (SELECT CAST(range AS INT) AS hour FROM range(24)) h, day d""",
+    "dfeat": f"SELECT *, {FEATURE_CORE_SQL}, {PROB_SQL} AS probability FROM drows",
+}
+
+
+@register("score_day", B.with_views(
+    """SELECT date, hour, latitude, longitude, round(probability, 6) AS probability, atm AS atm_code,
+              dayofweek, month FROM dfeat""", "grid", "roads", "acc", extra={**pre_ctes(), **DAY_CTES}))
+def q_score_day(spark, sf_dir):
+    """Road grid x 24 hours of the day after the last event -> features -> probability (9 columns)."""
+    s = scoring.score_day(_pre_grid(spark, sf_dir), _next_day(spark, sf_dir), atm_code=1)
+    return s.select("date", "hour", "latitude", "longitude", r6(F.col("probability")).alias("probability"),
+                    "atm_code", "dayofweek", "month")
+
+
+@register("score_day_stats", B.with_views(
+    """SELECT date, count(*) AS total_points, round(avg(probability), 6) AS avg_probability,
+              round(max(probability), 6) AS max_probability,
+              count(*) FILTER (WHERE probability >= 0.5e0) AS high_risk_points FROM dfeat GROUP BY date""",
+    "grid", "roads", "acc", extra={**pre_ctes(), **DAY_CTES}))
+def q_score_day_stats(spark, sf_dir):
+    """Day statistics of the scored grid (count, mean, max, points >= 0.5)."""
+    s = scoring.score_day(_pre_grid(spark, sf_dir), _next_day(spark, sf_dir), atm_code=1)
+    st = profile.prediction_day_stats(s)
+    return st.select("date", "total_points", r6(F.col("avg_probability")).alias("avg_probability"),
+                     r6(F.col("max_probability")).alias("max_probability"), "high_risk_points")
+
+
+BANDS_SQL = """CASE WHEN probability >= 0.8e0 THEN 'red' WHEN probability >= 0.6e0 THEN 'orange' ELSE 'yellow' END AS colour,
+  CASE WHEN probability >= 0.8e0 THEN 'ÉLEVÉ' WHEN probability >= 0.6e0 THEN 'MOYEN' ELSE 'FAIBLE' END AS level,
+  printf('%02dh00', hour) AS hour_label, printf('%.1f%%', round_even(probability * 100, 1)) AS probability_label,
+  printf('%s - %s', printf('%02dh', hour), printf('%.1f%%', round_even(probability * 100, 1))) AS tooltip"""
+
+
+@register("daily_risk_top5", B.with_views(
+    f"""SELECT hour, latitude, longitude, round(probability, 6) AS probability, rank, {BANDS_SQL} FROM (
+          SELECT *, row_number() OVER (PARTITION BY hour ORDER BY probability DESC, latitude, longitude) AS rank
+          FROM dfeat) WHERE rank <= 5""", "grid", "roads", "acc", extra={**pre_ctes(), **DAY_CTES}))
+def q_daily_top5(spark, sf_dir):
+    """Top-5 risk points per hour of the scored day with marker bands and labels."""
+    s = scoring.score_day(_pre_grid(spark, sf_dir), _next_day(spark, sf_dir), atm_code=1)
+    top = profile.top_n_per_group(s, "hour", "probability", 5, ties=["latitude", "longitude"])
+    top = scoring.with_marker_bands(top)
+    return top.select("hour", "latitude", "longitude", r6(F.col("probability")).alias("probability"),
+                      F.col("rank").cast("long").alias("rank"), "colour", "level", "hour_label",
+                      "probability_label", "tooltip")
+
+
+# ---------------------------------------------------------------- requests
+def _requests(spark, sf_dir):
+    a = B.acc(spark, sf_dir)
+    return a.select(F.col("num_acc").alias("request_id"), "latitude", "longitude",
+                    F.date_format("datetime", "yyyy-MM-dd'T'HH:mm:ss").alias("datetime"), "atm")
+
+
+REQ_SQL = f"""WITH r AS (SELECT num_acc AS request_id, latitude, longitude,
+                   strftime(datetime, '%Y-%m-%dT%H:%M:%S') AS datetime, atm FROM acc),
+t AS (SELECT *, CAST(datetime AS TIMESTAMP) AS ts FROM r),
+p AS (SELECT request_id, latitude, longitude, datetime, atm, CAST(hour(ts) AS INT) AS hour,
+             CAST(isodow(ts) - 1 AS INT) AS dayofweek, CAST(month(ts) AS INT) AS month, CAST(day(ts) AS INT) AS day
+      FROM t WHERE latitude BETWEEN -23e0 AND -19.5e0 AND longitude BETWEEN 163.5e0 AND 168e0 AND atm BETWEEN 1 AND 9),
+f AS (SELECT * REPLACE (0 AS is_holiday) FROM (SELECT *, {FEATURE_CORE_SQL}, 2 AS road_type, 50 AS speed_limit,
+             0 AS accident_density_5km, 100 AS dist_to_noumea_km FROM p)),
+s AS (SELECT *, {PROB_SQL} AS risk_score FROM f)
+SELECT request_id, round(risk_score, 6) AS risk_score,
+       CASE WHEN risk_score < 0.2e0 THEN 'LOW' WHEN risk_score < 0.5e0 THEN 'MEDIUM' WHEN risk_score < 0.8e0 THEN 'HIGH'
+            ELSE 'CRITICAL' END AS risk_level,
+       round(greatest(risk_score, 1e0 - risk_score), 6) AS confidence, 'formula-1' AS model_version,
+       hour, is_weekend = 1 AS is_weekend FROM s"""
+
+
+def _flat(s):
+    return s.select("request_id", r6(F.col("risk_score")).alias("risk_score"), "risk_level",
+                    r6(F.col("confidence")).alias("confidence"), "model_version", "hour", "is_weekend")
+
+
+@register("score_requests", B.with_views("SELECT * FROM (" + REQ_SQL + ")", "acc"))
+def q_score_requests(spark, sf_dir):
+    """Request rows -> range validation -> features -> score, level, confidence, features used."""
+    return _flat(stream.scored_stream(_requests(spark, sf_dir)))
+
+
+@register("score_requests_stream", B.with_views("SELECT * FROM (" + REQ_SQL + ")", "acc"))
+def q_score_requests_stream(spark, sf_dir):
+    """Same scoring as a Structured Streaming job: request files -> availableNow micro-batches -> Parquet sink."""
+    src = scratch_path(spark, "requests_in")
+    _requests(spark, sf_dir).repartition(4).write.parquet(src)
+    sink, ckpt = scratch_path(spark, "requests_out"), scratch_path(spark, "requests_ckpt")
+    stream.run_to_sink(spark, src, sink, ckpt)
+    return _flat(spark.read.parquet(sink).select(
+        "request_id", "risk_score", "risk_level", "confidence", "model_version", "hour", "is_weekend"))
+
+
+# ------------------------------------------------------------------ silver / gold
+SILVER_ROUND = ["lat_hour", "lon_hour", "lat_dayofweek", "lon_dayofweek", "hour_sin", "hour_cos",
+                "dayofweek_sin", "dayofweek_cos", "dist_to_noumea_km"]
+SILVER_EXACT = ["src_id", "target", "datetime", "latitude", "longitude", "hour", "dayofweek", "month", "atm",
+                "road_type", "speed_limit", "accident_density_5km", "is_weekend", "is_rush_morning",
+                "is_rush_evening", "is_night", "is_holiday", "school_holidays"]
+SILVER_CTES = {
+    "pos": """SELECT num_acc AS src_id, datetime, latitude, longitude, atm, CAST(hour(datetime) AS INT) AS hour,
+                     CAST(isodow(datetime) - 1 AS INT) AS dayofweek, CAST(month(datetime) AS INT) AS month,
+                     CAST(day(datetime) AS INT) AS day, 1 AS target FROM acc
+              WHERE latitude BETWEEN -23e0 AND -19.5e0 AND longitude BETWEEN 163.5e0 AND 168e0""",
+    "ev": "SELECT src_id AS num_acc, datetime, latitude, longitude, atm FROM pos",
+    **pre_ctes("ev"),
+    "neg_out": "SELECT * FROM (" + _on(NEG_SQL, "ev") + ")",
+    "neg2": """SELECT sample_id AS src_id, datetime, latitude, longitude, atm, hour, dayofweek, month,
+                      CAST(day(datetime) AS INT) AS day, target FROM neg_out""",
+    "both_rows": "SELECT * FROM pos UNION ALL SELECT * FROM neg2",
+    "nearest": """SELECT latitude, longitude, road_type, speed_limit, accident_density_5km, dist_to_noumea_km FROM (
+        SELECT b.latitude, b.longitude, p.road_type, p.speed_limit, p.accident_density_5km, p.dist_to_noumea_km,
+               row_number() OVER (PARTITION BY b.latitude, b.longitude ORDER BY
+                   sqrt(power(b.latitude - p.latitude, 2) + power(b.longitude - p.longitude, 2)),
+                   p.latitude, p.longitude) AS rn
+        FROM (SELECT DISTINCT latitude, longitude FROM both_rows) b, pre p) WHERE rn = 1""",
+    "silver": f"""SELECT *, {FEATURE_CORE_SQL} FROM (SELECT b.*, n.road_type, n.speed_limit, n.accident_density_5km,
+                         n.dist_to_noumea_km FROM both_rows b JOIN nearest n USING (latitude, longitude))""",
+}
+
+
+def _silver(spark, sf_dir):
+    return jobs.silver(spark, B.acc(spark, sf_dir), B.roads(spark, sf_dir))
+
+
+@register("silver_dataset", B.with_views(
+    "SELECT " + ", ".join(SILVER_EXACT) + ", " + ", ".join(f"round({c}, 6) AS {c}" for c in SILVER_ROUND) +
+    " FROM silver", "grid", "roads", "acc", extra=SILVER_CTES))
+def q_silver(spark, sf_dir):
+    """Feature store: positives + negatives, 24 features with nearest road-grid enrichment."""
+    s = _silver(spark, sf_dir)
+    return s.select(*SILVER_EXACT, *[r6(F.col(c)).alias(c) for c in SILVER_ROUND])
+
+
+@register("gold_split_sizes", B.with_views(
+    """SELECT _cls AS target, 'test' AS split, CAST(k AS BIGINT) AS n FROM quota
+       UNION ALL SELECT _cls, 'train', CAST(n - k AS BIGINT) FROM quota JOIN cls USING (_cls)""",
+    "grid", "roads", "acc", extra={**SILVER_CTES,
+                                    "cls": "SELECT target AS _cls, count(*) AS n FROM silver GROUP BY 1",
+                                    "q": """SELECT _cls, n, floor(0.2e0 * n) AS base,
+                                                   0.2e0 * n - floor(0.2e0 * n) AS frac FROM cls""",
+                                    "ex": "SELECT ceil(0.2e0 * sum(n)) - sum(base) AS extra FROM q",
+                                    "quota": """SELECT _cls, base + CASE WHEN row_number() OVER (ORDER BY frac DESC, _cls)
+                                                <= (SELECT extra FROM ex) THEN 1 ELSE 0 END AS k FROM q"""}))
+def q_gold_sizes(spark, sf_dir):
+    """Gold: encoded, complete rows split 80/20 stratified by target -> sizes per class and split."""
+    g = jobs.gold(_silver(spark, sf_dir))
+    return g.groupBy("target", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ------------------------------------------------------------------ training
+def train_models(spark, sf_dir, fast: bool = True):
+    """gold train/test -> logistic, random forest, GBT (class weights) -> test metrics."""
+    g = jobs.gold(_silver(spark, sf_dir))
+    train = cut_lineage(model.with_class_weights(g.filter(F.col("split") == "train"), "target", "balanced"))
+    test = g.filter(F.col("split") == "test")
+    sw = train.agg(F.sum("weight")).first()[0]
+    pipes = {
+        "LogisticRegression": model.logistic_pipeline(C=0.5, max_iter=100 if fast else 2000, sum_weights=sw),
+        "RandomForest": model.tree_pipeline("rf", numTrees=20 if fast else 200, maxDepth=8),
+        "GBT": model.tree_pipeline("gbt", maxIter=10 if fast else 200, maxDepth=5),
+    }
+    results, fitted = [], {}
+    for name, pipe in pipes.items():
+        m = pipe.fit(train)
+        fitted[name] = m
+        scored = model.score(test, m, out="score").withColumnRenamed("target", "label")
+        met = ev.binary_metrics(scored, "label", "score").withColumn("model", F.lit(name))
+        results.append(met)
+    res = results[0]
+    for r in results[1:]:
+        res = res.unionByName(r)
+    return res, fitted, g
+
+
+@register("train_leaderboard")
+def q_train(spark, sf_dir):
+    """Train three spark.ml classifiers on gold train, evaluate on test, rank by recall (rows-only check)."""
+    res, _, g = train_models(spark, sf_dir)
+    out = ev.leaderboard(res)
+    rows = out.collect()
+    return spark.createDataFrame(rows, out.schema)
