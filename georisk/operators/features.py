@@ -85,12 +85,14 @@ def feature_metadata(spark, cols=FEATURE_COLUMNS) -> DataFrame:
 
 # Fixed demonstration coefficients of the formula scorer used by the
 # registered queries (a stand-in for a fitted model; any fitted coefficient
-# set can be passed instead).
+# set can be passed instead).  The weights are dyadic fractions: with integer
+# features every partial sum is exact, so equal scores stay exactly equal
+# whatever order an engine adds the terms in, and ties resolve by the key.
 FORMULA_INTERCEPT = -2.5
 FORMULA_WEIGHTS = {
-    "is_night": 0.8, "is_rush_morning": 0.4, "is_rush_evening": 0.6, "is_weekend": 0.3,
-    "speed_limit": 0.02, "road_type": 0.15, "accident_density_5km": 0.05,
-    "dist_to_noumea_km": -0.01, "atm": 0.1, "hour_sin": -0.2, "is_holiday": 0.25,
+    "is_night": 0.75, "is_rush_morning": 0.375, "is_rush_evening": 0.625, "is_weekend": 0.25,
+    "speed_limit": 0.015625, "road_type": 0.125, "accident_density_5km": 0.046875,
+    "dist_to_noumea_km": -0.0078125, "atm": 0.09375, "hour_sin": -0.25, "is_holiday": 0.25,
 }
 
 

@@ -147,6 +147,7 @@ def nearest_join(left: DataFrame, right: DataFrame, right_cols, tie: str, metric
     with 2c.  Every round is an equi-join on the cell key; pending
     coordinates are checkpointed between rounds.
     """
+    want_tie = tie in right_cols
     right_cols = [c for c in right_cols if c not in (lat, lon, tie)]
     R = right.select(F.col(lat).alias("_rlat"), F.col(lon).alias("_rlon"), F.col(tie).alias("_tie"), *right_cols)
     L = left.select(F.col(lat).alias("_llat"), F.col(lon).alias("_llon")).distinct()
@@ -212,7 +213,8 @@ def nearest_join(left: DataFrame, right: DataFrame, right_cols, tie: str, metric
         resolved = resolved.unionByName(d)
     resolved = resolved.select(F.col("_llat").alias(lat), F.col("_llon").alias(lon),
                                *[F.col(f"_b.{x}").alias(x) for x in right_cols],
-                               F.col("_b._d").alias(dist_col), F.col("_b._tie").alias(f"nearest_{tie}"))
+                               F.col("_b._d").alias(dist_col), F.col("_b._tie").alias(f"nearest_{tie}"),
+                               *([F.col("_b._tie").alias(tie)] if want_tie else []))
     return left.join(resolved, [lat, lon], "left")
 
 
