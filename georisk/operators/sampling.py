@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_draw, index_draw, uniform_draw
 from ..functions.parse import day_of_week
+from ..session import cut_lineage
 from .ordering import dense_index, expand_copies
 
 BROADCAST_ROWS = 2_000_000   # an indexed source up to this many rows is broadcast to the draws
@@ -114,12 +115,14 @@ def generate_negatives(spark, events: DataFrame, safe_points: DataFrame, road_po
 
 
 # ------------------------------------------------------------------ splits
-def class_quotas(df: DataFrame, target: str, test_size: float) -> DataFrame:
+def class_quotas(df: DataFrame, target: str, test_size: float, weight: str | None = None) -> DataFrame:
     """Per class: n, k_test.  Total test rows = ceil(test_size * N); classes get
     floor(test_size * n_c) plus one for the largest fractional remainders
-    (ties: smaller class label).  One row per class.
+    (ties: smaller class label).  One row per class.  ``weight`` counts a row
+    that many times (collapsed copies).
     """
-    cls = df.groupBy(target).agg(F.count(F.lit(1)).alias("n"))
+    cnt = F.sum(weight) if weight else F.count(F.lit(1))
+    cls = df.groupBy(target).agg(cnt.cast("long").alias("n"))
     w_all = Window.partitionBy()           # over the class table (one row per class)
     q = F.lit(float(test_size)) * F.col("n")
     cls = cls.withColumns({"_base": F.floor(q), "_frac": q - F.floor(q)})
@@ -134,41 +137,47 @@ def stratified_split(df: DataFrame, target: str, test_size: float = 0.2, seed: i
     """Exact stratified split: adds ``split`` ('test' / 'train').
 
     Within each class rows are ordered by a hash of ``hash_cols`` (then by
-    every column); the first k_test are test.  Scale path:
-      * identical rows are collapsed to (row, copies) first -- a value repeated
-        for a third of the table is one row;
-      * the 32-bit hash is bucketed (2^20 buckets); a per-class histogram and
-        its running sum (bounded by the bucket count) locate the single
-        boundary bucket of every class;
-      * only rows of boundary buckets are ranked exactly;
-      * copies are expanded again in chunks.
+    every column); the first k_test are test.  Scale path, without shuffling
+    the table itself:
+      * the 32-bit hash is bucketed (2^20 buckets); one aggregation gives the
+        per-class histogram (bounded by the bucket count) and, from it, the
+        class quotas and the single boundary bucket of every class;
+      * every row outside its class's boundary bucket is assigned by comparing
+        bucket numbers -- a projection over the scan;
+      * only boundary-bucket rows are ranked: identical rows are collapsed
+        to (row, copies) first (so a row repeated for a third of the table is
+        one row), ranked by a window over one bucket per class, and their
+        test / train copies expanded again in chunks.
     """
     cols = df.columns
     hash_cols = list(hash_cols or cols)
     shift = 32 - buckets_log2
-    d = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
-    d = d.withColumn("_h", hash_draw(seed, "split", *hash_cols))
-    d = d.withColumn("_b", F.shiftright("_h", shift))
-    quotas = class_quotas(df, target, test_size)
-    hist = d.groupBy(target, "_b").agg(F.sum("_m").alias("_cnt"))
+    h = hash_draw(seed, "split", *hash_cols)
+    hashed = df.withColumn("_h", h).withColumn("_b", F.shiftright("_h", shift))
+    hist = hashed.groupBy(target, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
+    hist = cut_lineage(hist, "split_hist")            # small: classes x buckets
+    quotas = class_quotas(hist, target, test_size, weight="_cnt")
     wc = Window.partitionBy(target).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     hist = hist.withColumn("_start", F.coalesce(F.sum("_cnt").over(wc), F.lit(0)))
     bnd = hist.join(F.broadcast(quotas), target) \
         .filter((F.col("_start") < F.col("k_test")) & (F.col("_start") + F.col("_cnt") >= F.col("k_test"))) \
         .select(target, F.col("_b").alias("_bb"), F.col("_start").alias("_bstart"))
-    cls = quotas.join(bnd, target, "left")      # one row per class; no boundary when k_test = 0
-    d = d.join(F.broadcast(cls), target)
-    inner = d.filter(F.col("_b") == F.col("_bb"))
+    cls = quotas.join(bnd, target, "left").select(target, "k_test", "_bb", "_bstart")  # one row per class
+    rows = hashed.join(F.broadcast(cls), target)
+    outer = rows.filter(F.col("_bb").isNull() | (F.col("_b") != F.col("_bb"))).select(
+        *cols, F.when(F.col("_bb").isNotNull() & (F.col("_b") < F.col("_bb")), "test").otherwise("train")
+        .alias("split"))
+    inner = rows.filter(F.col("_b") == F.col("_bb")) \
+        .groupBy(*cols, "_h", "k_test", "_bstart").agg(F.count(F.lit(1)).alias("_m"))
     order = [F.col("_h")] + [F.col(c).asc_nulls_first() for c in cols]
     wr = Window.partitionBy(target).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     inner = inner.withColumn("_t", F.least(F.col("_m"), F.greatest(
         F.lit(0), F.col("k_test") - F.col("_bstart") - (F.sum("_m").over(wr) - F.col("_m")))))
-    outer = d.filter(F.col("_bb").isNull() | (F.col("_b") != F.col("_bb"))) \
-        .withColumn("_t", F.when(F.col("_bb").isNotNull() & (F.col("_b") < F.col("_bb")), F.col("_m")).otherwise(0))
-    parts = inner.unionByName(outer)
-    test = parts.select(*cols, F.col("_t").alias("_k"), F.lit("test").alias("split"))
-    train = parts.select(*cols, (F.col("_m") - F.col("_t")).alias("_k"), F.lit("train").alias("split"))
-    return expand_copies(test.unionByName(train), "_k")
+    parts = inner.select(*cols, F.explode(F.array(
+        F.struct(F.lit("test").alias("split"), F.col("_t").alias("_k")),
+        F.struct(F.lit("train").alias("split"), (F.col("_m") - F.col("_t")).alias("_k")))).alias("_p"))
+    parts = parts.select(*cols, F.col("_p.split").alias("split"), F.col("_p._k").alias("_k"))
+    return outer.unionByName(expand_copies(parts, "_k"))
 
 
 def random_split(df: DataFrame, test_size: float = 0.2, seed: int = 42, hash_cols=None) -> DataFrame:

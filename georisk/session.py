@@ -63,7 +63,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (shared storage): survives executor loss."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder and read it back.
+
+    Cuts the lineage like a reliable checkpoint (the data lives on shared
+    storage, so losing an executor never forces a recomputation of the
+    upstream plan), but computes the plan once (``Dataset.checkpoint``
+    evaluates it twice unless cached) and stores columnar, compressed files.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
