@@ -29,6 +29,7 @@ from ..params import EARTH_RADIUS_KM
 from ..session import cut_lineage
 
 KM_PER_DEG = EARTH_RADIUS_KM * math.pi / 180.0
+INITIAL_DENSITY = 4.0    # nearest_join: expected right points per starting cell
 
 
 def _with_mercator(df: DataFrame, lat: str = "latitude", lon: str = "longitude", x: str = "_x", y: str = "_y"):
@@ -114,9 +115,9 @@ def radius_count(points: DataFrame, events: DataFrame, radius_rad: float, keys=(
     |latitude| present.  ``radius_rad`` is an angle: 5 km is 5/6371.0088.
     """
     keys = list(keys)
-    ev = events.groupBy("latitude", "longitude").agg(F.count(F.lit(1)).alias("_w")) \
-        .withColumnsRenamed({"latitude": "_elat", "longitude": "_elon"})
-    pts = points.select(*dict.fromkeys(keys + ["latitude", "longitude"]))
+    ev = cut_lineage(events.groupBy("latitude", "longitude").agg(F.count(F.lit(1)).alias("_w"))
+                     .withColumnsRenamed({"latitude": "_elat", "longitude": "_elon"}), "radius_events")
+    pts = cut_lineage(points.select(*dict.fromkeys(keys + ["latitude", "longitude"])), "radius_points")
     ext = pts.select(F.abs("latitude").alias("a")).union(ev.select(F.abs("_elat"))).agg(F.max("a")).first()[0]
     lat_abs = float(ext or 0.0)
     dlat = max(math.degrees(radius_rad), 1e-9)
@@ -149,8 +150,10 @@ def nearest_join(left: DataFrame, right: DataFrame, right_cols, tie: str, metric
     """
     want_tie = tie in right_cols
     right_cols = [c for c in right_cols if c not in (lat, lon, tie)]
-    R = right.select(F.col(lat).alias("_rlat"), F.col(lon).alias("_rlon"), F.col(tie).alias("_tie"), *right_cols)
-    L = left.select(F.col(lat).alias("_llat"), F.col(lon).alias("_llon")).distinct()
+    # both inputs are read by several jobs (extent statistics, every round): write them once
+    R = cut_lineage(right.select(F.col(lat).alias("_rlat"), F.col(lon).alias("_rlon"), F.col(tie).alias("_tie"),
+                                 *right_cols), "nearest_right")
+    L = cut_lineage(left.select(F.col(lat).alias("_llat"), F.col(lon).alias("_llon")).distinct(), "nearest_left")
     stats = R.agg(F.count(F.lit(1)), F.min("_rlat"), F.max("_rlat"), F.min("_rlon"), F.max("_rlon"),
                   F.max(F.abs("_rlat"))).first()
     n_right = stats[0]
@@ -161,8 +164,8 @@ def nearest_join(left: DataFrame, right: DataFrame, right_cols, tie: str, metric
     lon_lo, lon_hi = min(stats[3], lstats[2]), max(stats[4], lstats[3])
     lat_abs = max(stats[5], lstats[4])
     span = max(lat_hi - lat_lo, lon_hi - lon_lo, 1e-9)   # degrees
-    # start with cells holding ~4 right points on average
-    c = initial_cell or max(span * math.sqrt(4.0 / n_right), span / 4096.0)
+    # start with cells holding ~INITIAL_DENSITY right points on average (uniform spread)
+    c = initial_cell or max(span * math.sqrt(INITIAL_DENSITY / n_right), span / 4096.0)
 
     if metric == "euclid_deg":
         def dist():
@@ -200,10 +203,11 @@ def nearest_join(left: DataFrame, right: DataFrame, right_cols, tie: str, metric
         if covers_all:
             done.append(best)
             break
+        best = cut_lineage(best, "nearest_round")        # one write per round
         ok = best.filter(F.col("_b._d") <= F.lit(float(accept)))
-        ok = cut_lineage(ok)
         done.append(ok)
-        pending = cut_lineage(pending.join(ok.select("_llat", "_llon"), ["_llat", "_llon"], "left_anti"))
+        pending = cut_lineage(pending.join(ok.select("_llat", "_llon"), ["_llat", "_llon"], "left_anti"),
+                              "nearest_pending")
         if pending.isEmpty():
             break
         c *= 2.0

@@ -204,7 +204,9 @@ def q_gold_sizes(spark, sf_dir):
 def train_models(spark, sf_dir, fast: bool = True):
     """gold train/test -> logistic, random forest, GBT (class weights) -> test metrics."""
     g = jobs.gold(_silver(spark, sf_dir))
+    # iterative fits read the training rows once per iteration: keep them in executor memory
     train = cut_lineage(model.with_class_weights(g.filter(F.col("split") == "train"), "target", "balanced"))
+    train = train.coalesce(max(1, spark.sparkContext.defaultParallelism // 2)).persist()
     test = g.filter(F.col("split") == "test")
     sw = train.agg(F.sum("weight")).first()[0]
     pipes = {
@@ -222,6 +224,8 @@ def train_models(spark, sf_dir, fast: bool = True):
     res = results[0]
     for r in results[1:]:
         res = res.unionByName(r)
+    res = cut_lineage(res, "leaderboard")
+    train.unpersist()
     return res, fitted, g
 
 
