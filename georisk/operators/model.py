@@ -170,3 +170,24 @@ def tune(pipeline, estimator, space: dict, train: DataFrame, n_trials: int = 10,
     tvs = TrainValidationSplit(estimator=pipeline, estimatorParamMaps=maps, evaluator=ev, trainRatio=train_ratio,
                                parallelism=parallelism, seed=seed)
     return tvs.fit(train)
+
+
+def rank_features(spark, fitted, cols=FEATURE_COLUMNS, k: int = 15) -> DataFrame:
+    """Top-k feature importances of a fitted tree pipeline, with the share of the total in percent
+    (one decimal).  The importance vector has one entry per feature (bounded), so it is read on the driver."""
+    est = fitted.stages[-1]
+    imp = est.featureImportances.toArray()
+    rows = [(c, float(v)) for c, v in zip(cols, imp)]
+    df = spark.createDataFrame(rows, "feature string, importance double")
+    w = Window.partitionBy()          # over the feature table (one row per feature)
+    return df.withColumn("share_pct", F.round(F.col("importance") * 100 / F.sum("importance").over(w), 1)) \
+        .orderBy(F.desc("importance"), F.asc("feature")).limit(k)
+
+
+def standardize(df: DataFrame, cols, suffix: str = "_z") -> DataFrame:
+    """z-score with the population standard deviation (ddof 0), statistics from ``df`` (one aggregation)."""
+    stats = df.agg(*[F.avg(c).alias(f"_m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols])
+    out = df.crossJoin(F.broadcast(stats))   # one row
+    out = out.withColumns({f"{c}{suffix}": F.when(F.col(f"_s_{c}") > 0, (F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}"))
+                           .otherwise(F.lit(0.0)) for c in cols})
+    return out.drop(*[f"_m_{c}" for c in cols], *[f"_s_{c}" for c in cols])

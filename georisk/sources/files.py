@@ -42,10 +42,24 @@ def scan_csv_union(spark: SparkSession, paths, sep: str = ",", schema: T.StructT
 
 
 def scan_csv_lenient(spark: SparkSession, paths, schema: T.StructType, sep: str = ",") -> DataFrame:
-    """Malformed rows dropped; the source file of every row kept as ``filename``."""
-    df = (spark.read.option("header", True).option("sep", sep).option("mode", "DROPMALFORMED")
-          .schema(schema).csv(list(paths)))
-    return df.withColumn("filename", F.col("_metadata.file_path"))
+    """Rows that do not fit ``schema`` are dropped; the source file of every row is kept as ``filename``.
+
+    Every field is read as text (with a corrupt-record column for rows with
+    a wrong field count) and converted with ``try_cast``; a row is dropped
+    when any non-empty field fails to convert.  Doing the check explicitly
+    keeps the result independent of which columns a query later selects
+    (the CSV reader's own DROPMALFORMED only checks the parsed columns).
+    """
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields] +
+                        [T.StructField("_corrupt", T.StringType())])
+    raw = (spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", "_corrupt").schema(text).csv(list(paths)))
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    ok = F.col("_corrupt").isNull()
+    for f in schema.fields:
+        ok = ok & (F.col(f.name).isNull() | typed[f.name].isNotNull())
+    return raw.filter(ok).select(*[typed[f.name].alias(f.name) for f in schema.fields],
+                                 F.col("_metadata.file_path").alias("filename"))
 
 
 ROAD_FEATURE_SCHEMA = T.StructType([
@@ -71,7 +85,8 @@ def read_road_edges(spark: SparkSession, path: str, multiline: bool = False) ->
     JSON list; both are normalised to the first element.
     """
     if multiline:
-        raw = spark.read.option("multiLine", True).json(path)
+        coll = T.StructType([T.StructField("features", T.ArrayType(ROAD_FEATURE_SCHEMA))])
+        raw = spark.read.option("multiLine", True).schema(coll).json(path)
         feats = raw.select(F.explode("features").alias("f")).select("f.*")
     else:
         feats = spark.read.schema(ROAD_FEATURE_SCHEMA).json(path)
