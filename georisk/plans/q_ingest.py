@@ -203,3 +203,15 @@ def q_pred_constraints(spark, sf_dir):
     v = ingest.check_table_constraints(B.preds(spark, sf_dir), not_null=["probability", "date"],
                                        unique=["date", "hour", "latitude", "longitude"])
     return v.withColumnRenamed("constraint", "rule")
+
+
+@register("prediction_lookup", B.with_views(
+    """SELECT event_id, date, hour, probability FROM preds WHERE hour = 8 AND probability >= 0.9e0""", "preds"))
+def q_lookup(spark, sf_dir):
+    """Predictions laid out for lookups (date partitions, hour ranges, probability-sorted files), then a
+    (hour, probability) lookup that prunes by partition and Parquet min/max statistics."""
+    out = scratch_path(spark, "pred_layout")
+    tables.layout_for_lookup(B.preds(spark, sf_dir), out)
+    back = spark.read.parquet(out)
+    return back.filter((F.col("hour") == 8) & (F.col("probability") >= 0.9)) \
+        .select("event_id", "date", "hour", "probability")

@@ -236,3 +236,47 @@ def q_train(spark, sf_dir):
     out = ev.leaderboard(res)
     rows = out.collect()
     return spark.createDataFrame(rows, out.schema)
+
+
+# ------------------------------------------------------------------ risk report
+TOP5_CTE = {"top5": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY hour ORDER BY probability DESC,
+                         latitude, longitude) AS rank FROM dfeat) WHERE rank <= 5"""}
+
+
+def _top5(spark, sf_dir):
+    s = scoring.score_day(_pre_grid(spark, sf_dir), _next_day(spark, sf_dir), atm_code=1)
+    return profile.top_n_per_group(s, "hour", "probability", 5, ties=["latitude", "longitude"])
+
+
+@register("risk_report_summary", B.with_views(
+    """SELECT t.total_points, round(t.mean_p, 6) AS mean_p, round(t.max_p, 6) AS max_p, h.peak_hour FROM
+       (SELECT count(*) AS total_points, avg(probability) AS mean_p, max(probability) AS max_p FROM top5) t,
+       (SELECT hour AS peak_hour FROM (SELECT hour, count(*) AS n FROM top5 GROUP BY hour)
+        ORDER BY n DESC, hour LIMIT 1) h""", "grid", "roads", "acc",
+    extra={**pre_ctes(), **DAY_CTES, **TOP5_CTE}))
+def q_risk_summary(spark, sf_dir):
+    """Risk report (top-N mode): top 5 points per hour of the scored day -> total, mean, max, peak hour."""
+    g = profile.global_summary(_top5(spark, sf_dir))
+    return g.select("total_points", r6(F.col("mean_p")).alias("mean_p"), r6(F.col("max_p")).alias("max_p"),
+                    "peak_hour")
+
+
+@register("risk_report_hourly", B.with_views(
+    """SELECT hour, count(*) AS n_points, round(avg(probability), 6) AS mean_p, round(max(probability), 6) AS max_p,
+              round(min(probability), 6) AS min_p FROM top5 GROUP BY hour""", "grid", "roads", "acc",
+    extra={**pre_ctes(), **DAY_CTES, **TOP5_CTE}))
+def q_risk_hourly(spark, sf_dir):
+    """Risk report: per-hour statistics of the selected top-5 points."""
+    return profile.hourly_stats(_top5(spark, sf_dir), decimals=6, half_even=False)
+
+
+@register("risk_report_histogram", B.with_views(
+    """SELECT bin, count(*) AS n FROM (
+         SELECT CAST(CASE WHEN hi = lo THEN 1 ELSE greatest(1, least(10, ceil((probability - lo) / w))) END AS INT) AS bin
+         FROM dfeat, (SELECT min(probability) AS lo, max(probability) AS hi,
+                             (max(probability) - min(probability)) / 10 AS w FROM dfeat) m) GROUP BY bin""",
+    "grid", "roads", "acc", extra={**pre_ctes(), **DAY_CTES}))
+def q_risk_histogram(spark, sf_dir):
+    """Risk report: 10-bin histogram of all probabilities of the scored day."""
+    s = scoring.score_day(_pre_grid(spark, sf_dir), _next_day(spark, sf_dir), atm_code=1)
+    return profile.histogram(s, "probability", 10).select("bin", "n")
