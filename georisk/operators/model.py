@@ -20,9 +20,12 @@ def label_dictionary(df: DataFrame, col: str, numeric: bool = False) -> DataFram
     numeric=False sorts the *text* of the value (lexicographic: '10' < '2'),
     numeric=True sorts values.  The window runs over the distinct labels only.
     """
+    from .ordering import dense_index
     lab = df.select(F.col(col).alias("_v")).distinct()
-    key = F.col("_v") if numeric else F.col("_v").cast("string")
-    return lab.withColumn("_code", (F.dense_rank().over(Window.orderBy(key.asc_nulls_last())) - 1).cast("int"))
+    lab = lab.withColumn("_key", F.col("_v") if numeric else F.col("_v").cast("string"))
+    # distinct labels can be many: a range-partitioned dense index instead of one global window
+    idx = dense_index(lab, [F.col("_key").asc_nulls_last()], out="_code")
+    return idx.select("_v", F.col("_code").cast("int").alias("_code"))
 
 
 def _join_dictionary(df: DataFrame, col: str, dic: DataFrame) -> DataFrame:

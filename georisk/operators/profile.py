@@ -115,12 +115,36 @@ def histogram(df: DataFrame, col: str = "probability", bins: int = 10) -> DataFr
                                      F.count(F.lit(1)).alias("n"))
 
 
+def exact_percentiles(df: DataFrame, col: str, probs) -> DataFrame:
+    """Exact percentiles with linear interpolation (NumPy's default), one row ``p<k>`` per prob.
+
+    Instead of buffering every value in one task, values are reduced to
+    (distinct value, count), running counts come from range-partitioned
+    prefix sums, and the two order statistics around ``p * (N - 1)`` are
+    picked by a filter: only a handful of rows reach the final aggregate.
+    """
+    from .ordering import prefix_sums
+    vc = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    cum = prefix_sums(vc, ["_v"], ["_c"])                       # _c_cum: rows with value <= _v
+    n = vc.agg(F.sum("_c").alias("_n"))
+    cum = cum.crossJoin(F.broadcast(n)).withColumn("_first", F.col("_c_cum") - F.col("_c"))  # rank of first copy
+    aggs, finals = [], []
+    for i, p in enumerate(probs):
+        pos = F.lit(float(p)) * (F.col("_n") - 1)
+        lo, hi = F.floor(pos), F.ceil(pos)
+        # value at rank r: the distinct value whose copies cover r  (_first <= r < _c_cum)
+        aggs += [F.max(F.when((F.col("_first") <= lo) & (lo < F.col("_c_cum")), F.col("_v"))).alias(f"_lo{i}"),
+                 F.max(F.when((F.col("_first") <= hi) & (hi < F.col("_c_cum")), F.col("_v"))).alias(f"_hi{i}"),
+                 F.max(pos - lo).alias(f"_f{i}")]
+        finals.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(f"p{i}"))
+    return cum.agg(*aggs).select(*finals)
+
+
 def distribution_stats(df: DataFrame, col: str) -> DataFrame:
     """min, max, mean, exact median and p90 (linear interpolation), count >= p90."""
-    s = df.agg(
-        F.min(col).alias("min_v"), F.max(col).alias("max_v"), F.avg(col).alias("mean_v"),
-        F.percentile(col, 0.5).alias("median_v"), F.percentile(col, 0.9).alias("p90_v"),
-    )
+    s = df.agg(F.min(col).alias("min_v"), F.max(col).alias("max_v"), F.avg(col).alias("mean_v"))
+    q = exact_percentiles(df, col, [0.5, 0.9]).select(F.col("p0").alias("median_v"), F.col("p1").alias("p90_v"))
+    s = s.crossJoin(q)
     n90 = df.select(col).crossJoin(F.broadcast(s.select("p90_v"))) \
         .agg(F.count_if(F.col(col) >= F.col("p90_v")).alias("n_ge_p90"))
     return s.crossJoin(n90)

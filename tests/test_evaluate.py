@@ -56,3 +56,14 @@ def test_leaderboard_order(spark):
                                 "model string, recall double, precision double, f1 double, auc_roc double")
     rows = ev.leaderboard(res).collect()
     assert [r.model for r in rows] == ["b", "a"] and rows[0].Recall == "0.870"
+
+
+def test_exact_percentiles_match_numpy(spark):
+    import numpy as np
+    from georisk.operators import profile
+    rnd = random.Random(11)
+    vals = [round(rnd.gauss(0, 1), 2) for _ in range(777)] + [5.0] * 300      # ties and a heavy value
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(5)
+    r = profile.exact_percentiles(df, "x", [0.0, 0.1, 0.5, 0.9, 1.0]).first()
+    for i, p in enumerate([0.0, 0.1, 0.5, 0.9, 1.0]):
+        assert abs(r[f"p{i}"] - float(np.percentile(vals, p * 100))) < 1e-12
