@@ -75,3 +75,18 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer splits than there are cores.
+
+    Small inputs (one row group, or a small stage table) scan in a single
+    task, and every narrow step after the scan (hashing, geometry, candidate
+    pairs) would run on one core.  Large inputs have far more splits than
+    cores and pass through untouched.  The round-robin repartition is
+    deterministic on retry (spark.sql.execution.sortBeforeRepartition).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

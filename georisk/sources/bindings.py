@@ -16,20 +16,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer splits than there are cores.
-
-    Small inputs stored as one row group scan in a single task, and every
-    narrow step after the scan (hashing, geometry) would run on one core.
-    Large inputs have far more splits than cores and pass through untouched.
-    The round-robin repartition is deterministic on retry
-    (spark.sql.execution.sortBeforeRepartition).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+from ..session import ensure_parallelism
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
