@@ -71,3 +71,24 @@ def score_requests(requests: DataFrame, scorer=None, model_version: str = "formu
         bands.confidence("risk_score").alias("confidence"), F.lit(model_version).alias("model_version"),
         F.struct("latitude", "longitude", "datetime", "hour", (F.col("is_weekend") == 1).alias("is_weekend"))
         .alias("features_used"))
+
+
+ALLOWED_ATM_CODES = (1, 2, 3, 5)
+
+
+def parse_query_date(spark, text: str | None = None, atm_code: int = 1) -> DataFrame:
+    """One-row frame (date, atm_code) for a scoring run: ``text`` as YYYY-MM-DD, default tomorrow.
+
+    Weather codes outside the allowed set are rejected before any work starts."""
+    if atm_code not in ALLOWED_ATM_CODES:
+        raise ValueError(f"atm code {atm_code} not in {ALLOWED_ATM_CODES}")
+    d = F.to_date(F.lit(text), "yyyy-MM-dd") if text else F.date_add(F.current_date(), 1)
+    out = spark.range(1).select(d.alias("date"), F.lit(atm_code).alias("atm_code"))
+    return out
+
+
+def weather_code(label) -> Column:
+    """Weather label -> atm code (unknown -> 1)."""
+    from ..functions.parse import map_lookup
+    from ..params import WEATHER_CODES
+    return map_lookup(label, WEATHER_CODES, 1).cast("int")

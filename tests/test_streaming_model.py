@@ -76,3 +76,15 @@ def test_logistic_fit_and_folded_coefficients(spark):
     direct = df.withColumn("p2", feat.logistic_score(w, b))
     both = scored.join(direct, ["a", "b", "target", "weight"]).select("probability", "p2").collect()
     assert max(abs(r.probability - r.p2) for r in both) < 1e-9
+
+
+def test_parse_query_date_and_weather(spark):
+    import pytest
+    r = scoring.parse_query_date(spark, "2026-01-23", 2).first()
+    assert r.date == dt.date(2026, 1, 23) and r.atm_code == 2
+    tomorrow = scoring.parse_query_date(spark).first().date
+    assert tomorrow == dt.date.today() + dt.timedelta(days=1) or tomorrow > dt.date.today()
+    with pytest.raises(ValueError):
+        scoring.parse_query_date(spark, "2026-01-23", 4)
+    df = spark.createDataFrame([("Normal",), ("Pluie forte",), ("Brouillard",), ("?",)], "w string")
+    assert [x[0] for x in df.select(scoring.weather_code("w")).collect()] == [1, 3, 5, 1]
