@@ -104,9 +104,9 @@ def left_join_fanout(parent: DataFrame, child: DataFrame, key: str, chunk: int =
     least once).  Instead of shuffling the child rows, the child side is
     reduced to one count per key (map-side partial aggregation, so a key with
     a third of all rows costs one row per task), joined 1:1, then expanded.
-    Expansion goes in two steps -- chunk starts, a round-robin repartition,
-    then rows inside the chunk -- so a key with millions of children is
-    generated by many tasks instead of one.
+    Expansion goes in two steps -- chunk starts, a repartition of the chunk
+    rows by (key, chunk), then rows inside the chunk -- so a key with millions
+    of children is generated by many tasks instead of one.
     """
     counts = child.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     joined = parent.join(counts, key, "left").withColumn("_n", F.greatest(F.coalesce("_n", F.lit(0)), F.lit(1)))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import re
 
 from pyspark.sql import functions as F
@@ -10,16 +9,15 @@ from pyspark.sql import functions as F
 from ..operators import evaluate as ev
 from ..operators import features as feat
 from ..operators import model, profile, scoring
-from ..params import FEATURE_COLUMNS
 from ..session import cut_lineage, scratch_path
 from ..sources import bindings as B
 from ..streaming import requests as stream
 from . import jobs
 from .catalog import FEATURE_CORE_SQL
 from .q_sampling import NEG_SQL
-from .q_spatial import CENTROIDS, DENSITY_SQL, ROAD_ATTR_SQL, ROAD_GRID_CTES, SAFE_SQL, _vincenty_sql
-from .registry import r6, register
+from .q_spatial import CENTROIDS, DENSITY_SQL, ROAD_ATTR_SQL, ROAD_GRID_CTES, _vincenty_sql
 from ..params import true_radius_rad
+from .registry import r6, register
 
 PROB_SQL = feat.logistic_score_sql()
 

@@ -1,7 +1,5 @@
 """Driver contract: entry runs, registry is consistent, fast queries equal their SQL oracle."""
 
-import math
-
 import duckdb
 import pytest
 

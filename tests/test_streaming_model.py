@@ -88,3 +88,13 @@ def test_parse_query_date_and_weather(spark):
         scoring.parse_query_date(spark, "2026-01-23", 4)
     df = spark.createDataFrame([("Normal",), ("Pluie forte",), ("Brouillard",), ("?",)], "w string")
     assert [x[0] for x in df.select(scoring.weather_code("w")).collect()] == [1, 3, 5, 1]
+
+
+def test_tune_random_search(spark):
+    rows = [(float(i % 7), float(i % 5), int((i % 7) > 3)) for i in range(400)]
+    df = spark.createDataFrame(rows, "a double, b double, target int").withColumn("weight", F.lit(1.0))
+    pipe = model.tree_pipeline("rf", cols=["a", "b"], numTrees=3)
+    est = pipe.getStages()[-1]
+    tvs = model.tune(pipe, est, {"maxDepth": [2, 3, 4], "numTrees": [3, 5]}, df, n_trials=2, parallelism=2)
+    assert len(tvs.validationMetrics) == 2
+    assert max(tvs.validationMetrics) > 0.9          # recall of class 1 on the validation split
