@@ -36,6 +36,31 @@ def _with_mercator(df: DataFrame, lat: str = "latitude", lon: str = "longitude",
     return df.withColumns({x: geo.mercator_x(lon), y: geo.mercator_y(lat)})
 
 
+# ---------------------------------------------------------------- hot cells
+HOT_CELL_ROWS = 1_000_000   # a cell with more rows than this on the probe side is salted
+
+
+def cell_join(probe: DataFrame, build: DataFrame, keys=("_cx", "_cy"), hot_rows: int = HOT_CELL_ROWS) -> DataFrame:
+    """Inner equi-join on cell keys with explicit salting of hot cells.
+
+    Cells holding more than ``hot_rows`` probe rows are split into
+    ceil(n / hot_rows) salt buckets: probe rows pick a bucket from a hash of
+    the row, build rows of that cell are replicated once per bucket.  The
+    hot-cell table has at most (probe rows / hot_rows) entries, so it is
+    broadcast with a proven bound; cold cells join exactly as before (salt 0).
+    """
+    keys = list(keys)
+    hot = probe.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hn")).filter(F.col("_hn") > hot_rows) \
+        .select(*keys, F.ceil(F.col("_hn") / F.lit(hot_rows)).cast("int").alias("_hs"))
+    p = probe.join(F.broadcast(hot), keys, "left").withColumn(
+        "_salt", F.when(F.col("_hs").isNull(), F.lit(0))
+        .otherwise(F.pmod(F.xxhash64(*[F.col(c) for c in probe.columns]), F.col("_hs"))).cast("int")).drop("_hs")
+    b = build.join(F.broadcast(hot), keys, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hs").isNull(), F.array(F.lit(0)))
+                           .otherwise(F.sequence(F.lit(0), F.col("_hs") - 1)))).drop("_hs")
+    return p.join(b, keys + ["_salt"]).drop("_salt")
+
+
 # ------------------------------------------------------------ point near line
 def segments_mercator(segments: DataFrame) -> DataFrame:
     return segments.withColumns({
@@ -64,7 +89,7 @@ def points_near_lines(points: DataFrame, segments: DataFrame, meters: float, poi
         geo.cell_index(F.least("_ay", "_by") - r, c).alias("_cy0"),
         geo.cell_index(F.greatest("_ay", "_by") + r, c).alias("_cy1"),
     ).select("*", F.explode(F.sequence("_cy0", "_cy1")).alias("_cy")).drop("_cy0", "_cy1")
-    pairs = pts.join(seg, ["_cx", "_cy"]).filter(
+    pairs = cell_join(pts, seg).filter(
         geo.point_segment_distance("_x", "_y", "_ax", "_ay", "_bx", "_by") <= F.lit(r))
     pairs = pairs.select(*keys, edge_key).distinct()
     if not dedupe:
@@ -87,7 +112,7 @@ def near_point_keys(points: DataFrame, events: DataFrame, meters: float, keys=("
         (geo.cell_index("_x", c) + F.col("_o.dx")).alias("_cx"),
         (geo.cell_index("_y", c) + F.col("_o.dy")).alias("_cy"))
     cond = ["_cx", "_cy"]
-    near = pts9.join(ev, cond).filter(geo.euclid("_x", "_y", "_ex", "_ey") <= F.lit(r))
+    near = cell_join(ev, pts9, cond).filter(geo.euclid("_x", "_y", "_ex", "_ey") <= F.lit(r))
     return near.select(*keys).distinct()
 
 
@@ -127,7 +152,7 @@ def radius_count(points: DataFrame, events: DataFrame, radius_rad: float, keys=(
         *keys, F.col("latitude").alias("_plat"), F.col("longitude").alias("_plon"),
         (geo.cell_index("longitude", dlon) + F.col("_o.dx")).alias("_cx"),
         (geo.cell_index("latitude", dlat) + F.col("_o.dy")).alias("_cy"))
-    hits = pts9.join(ev, ["_cx", "_cy"]).filter(
+    hits = cell_join(ev, pts9).filter(
         geo.haversine_rad("_plat", "_plon", "_elat", "_elon") <= F.lit(float(radius_rad)))
     counts = hits.groupBy(*keys).agg(F.sum("_w").alias(out))
     return points.join(counts, keys, "left").withColumn(out, F.coalesce(F.col(out), F.lit(0)).cast("long"))
@@ -197,7 +222,7 @@ def nearest_join(left: DataFrame, right: DataFrame, right_cols, tie: str, metric
             "_llat", "_llon",
             (geo.cell_index("_llat", dlat) + F.col("_o.dy")).alias("_cy"),
             (geo.cell_index("_llon", dlon) + F.col("_o.dx")).alias("_cx"))
-        cand = P9.join(Rc, ["_cy", "_cx"]).withColumn("_d", dist())
+        cand = cell_join(P9, Rc, ("_cy", "_cx")).withColumn("_d", dist())
         best = cand.groupBy("_llat", "_llon").agg(
             F.min(F.struct(*[F.col(x) for x in best_cols])).alias("_b"))
         if covers_all:

@@ -112,3 +112,12 @@ def test_line_centroid_weighted(spark):
 def test_mercator_constant(spark):
     y = spark.range(1).select(geo.mercator_y(F.lit(-22.0))).first()[0]
     assert abs(y - merc(-22.0, 0)[1]) < 1e-6
+
+
+def test_cell_join_salting_preserves_result(spark):
+    # a hot cell (far above the bound) joins to the same pairs as a plain join
+    probe = spark.range(500).select((F.col("id") % 3).alias("_cx"), F.lit(0).alias("_cy"), F.col("id").alias("v"))
+    build = spark.createDataFrame([(0, 0, "a"), (0, 0, "b"), (1, 0, "c")], "_cx long, _cy int, w string")
+    want = sorted(tuple(r) for r in probe.join(build, ["_cx", "_cy"]).collect())
+    got = sorted(tuple(r) for r in spatial.cell_join(probe, build, hot_rows=20).select(*probe.join(build, ["_cx", "_cy"]).columns).collect())
+    assert got == want and len(want) == 167 * 2 + 167
