@@ -172,3 +172,23 @@ def q_precompute(spark, sf_dir):
     """Pre-compute job: road grid + road attributes + 5 km density + distance to centre."""
     p = jobs.precompute(spark, _roads(spark, sf_dir), B.acc(spark, sf_dir))
     return p.withColumn("dist_to_noumea_km", r6(F.col("dist_to_noumea_km")))
+
+
+HAV_ATTR_SQL = """SELECT latitude, longitude, edge_id AS nearest_edge_id, road_type, speed_limit,
+       round(d, 6) AS nearest_km FROM (
+  SELECT *, row_number() OVER (PARTITION BY latitude, longitude ORDER BY d, edge_id) AS rn FROM (
+    SELECT g.latitude, g.longitude, c.edge_id, c.road_type, c.speed_limit,
+           2e0 * asin(sqrt(least(1e0, power(sin((radians(c.clat) - radians(g.latitude)) / 2), 2) +
+               cos(radians(g.latitude)) * cos(radians(c.clat)) *
+               power(sin((radians(c.clon) - radians(g.longitude)) / 2), 2)))) * 6371.0088e0 AS d
+    FROM road_grid g, cent c)) WHERE rn = 1"""
+
+
+@register("road_grid_attributes_haversine", B.with_views(
+    HAV_ATTR_SQL, "grid", "roads", extra={**ROAD_GRID_CTES, "cent": CENTROIDS}))
+def q_road_grid_attributes_hav(spark, sf_dir):
+    """Nearest edge centroid on the sphere (haversine km, tie: smallest edge_id) for every road-grid point."""
+    g = _road_grid(spark, sf_dir).select("latitude", "longitude")
+    out = jobs.attach_road_attributes(g, _roads(spark, sf_dir), metric="haversine")
+    return out.select("latitude", "longitude", "nearest_edge_id", "road_type", "speed_limit",
+                      F.round("nearest_dist", 6).alias("nearest_km"))
