@@ -52,6 +52,6 @@ def school_holidays(month) -> Column:
 
 
 def cyclic(v, period: int) -> tuple[Column, Column]:
-    """(sin, cos) of 2*pi*v/period, multiplied in the same order as the reference maths."""
+    """(sin, cos) of 2*pi*v/period; 2*pi*v is formed first, then divided (same rounding as the SQL form)."""
     ang = F.lit(2 * math.pi) * _c(v) / F.lit(period)
     return F.sin(ang), F.cos(ang)
