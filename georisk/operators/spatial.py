@@ -185,6 +185,8 @@ def nearest_join(left: DataFrame, right: DataFrame, right_cols, tie: str, metric
     if not n_right:
         return left.withColumns({c: F.lit(None) for c in right_cols + [dist_col]})
     lstats = L.agg(F.min("_llat"), F.max("_llat"), F.min("_llon"), F.max("_llon"), F.max(F.abs("_llat"))).first()
+    if lstats[0] is None:                       # no left coordinates: nothing to match
+        return left.withColumns({c: F.lit(None) for c in right_cols + [dist_col]})
     lat_lo, lat_hi = min(stats[1], lstats[0]), max(stats[2], lstats[1])
     lon_lo, lon_hi = min(stats[3], lstats[2]), max(stats[4], lstats[3])
     lat_abs = max(stats[5], lstats[4])

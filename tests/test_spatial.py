@@ -121,3 +121,12 @@ def test_cell_join_salting_preserves_result(spark):
     want = sorted(tuple(r) for r in probe.join(build, ["_cx", "_cy"]).collect())
     got = sorted(tuple(r) for r in spatial.cell_join(probe, build, hot_rows=20).select(*probe.join(build, ["_cx", "_cy"]).columns).collect())
     assert got == want and len(want) == 167 * 2 + 167
+
+
+def test_empty_inputs(spark):
+    empty = spark.createDataFrame([], "p_id long, latitude double, longitude double")
+    some = pts(spark, 10, 12)
+    assert spatial.nearest_join(empty, some, ["p_id"], tie="p_id").count() == 0
+    assert spatial.nearest_join(some, empty, ["p_id"], tie="p_id").filter("nearest_dist IS NULL").count() == 10
+    assert spatial.exclude_near_points(some, empty, 100.0).count() == 10
+    assert {r.accident_density_5km for r in spatial.radius_count(some, empty, 0.001).collect()} == {0}
