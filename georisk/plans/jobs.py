@@ -105,3 +105,78 @@ def gold(silver_df: DataFrame, params: PipelineParams = DEFAULT_PARAMS) -> DataF
 def score_daily(grid: DataFrame, day: DataFrame, atm_code: int = 1, profile: str = "pipeline", scorer=None):
     from ..operators.scoring import score_day
     return score_day(grid, day, atm_code, profile, scorer)
+
+
+# ------------------------------------------------------------------ bronze
+def bronze(spark: SparkSession, carac_pattern: str, usagers_pattern: str | None = None, mode: str = "correct",
+           carac_fallback=(), usagers_fallback=()):
+    """Yearly CSV files -> cleaned events; returns (frame, stage counts)."""
+    from ..operators import ingest
+    from ..sources import files
+    carac = files.scan_csv_union(spark, files.discover_sources(spark, carac_pattern, carac_fallback))
+    users = None
+    if usagers_pattern:
+        users = files.scan_csv_union(spark, files.discover_sources(spark, usagers_pattern, usagers_fallback))
+    out = cut_lineage(ingest.parse_accidents(carac, users, mode=mode), "bronze")
+    counts = {"caracteristiques": carac.count(), "accidents_nc": out.count()}
+    if users is not None:
+        counts["usagers"] = users.count()
+    return out, counts
+
+
+# ------------------------------------------------------------------ training
+def train(spark: SparkSession, gold_df: DataFrame, out_dir: str | None = None, fast: bool = False):
+    """Fit the candidate models on the train split, evaluate on the test split, rank by recall.
+
+    Returns (leaderboard, fitted models by name).  With ``out_dir`` the
+    leaderboard is written as JSON and the best model as a PipelineModel.
+    """
+    from ..operators import evaluate as ev
+    from ..operators import model
+    train_df = cut_lineage(model.with_class_weights(gold_df.filter(F.col("split") == "train"), "target"),
+                           "train_rows")
+    train_df = train_df.persist()
+    test_df = gold_df.filter(F.col("split") == "test")
+    sw = train_df.agg(F.sum("weight")).first()[0]
+    pipes = {
+        "LogisticRegression": model.logistic_pipeline(C=0.5, max_iter=100 if fast else 2000, sum_weights=sw),
+        "RandomForest": model.tree_pipeline("rf", numTrees=20 if fast else 200, maxDepth=8),
+        "GBT": model.tree_pipeline("gbt", maxIter=10 if fast else 200, maxDepth=5),
+    }
+    fitted, parts = {}, []
+    for name, pipe in pipes.items():
+        fitted[name] = pipe.fit(train_df)
+        scored = model.score(test_df, fitted[name], out="score").withColumnRenamed("target", "label")
+        parts.append(ev.binary_metrics(scored, "label", "score").withColumn("model", F.lit(name)))
+    res = parts[0]
+    for p in parts[1:]:
+        res = res.unionByName(p)
+    board = cut_lineage(ev.leaderboard(res), "leaderboard")
+    train_df.unpersist()
+    if out_dir:
+        board.coalesce(1).write.mode("overwrite").json(f"{out_dir}/leaderboard")
+        best = board.orderBy(F.desc("recall_raw"), F.asc("model")).first()["model"]
+        fitted[best].write().overwrite().save(f"{out_dir}/best_model")
+    return board, fitted
+
+
+# ------------------------------------------------------------------ reports
+def risk_report(scored_day: DataFrame, mode: str = "top_n", n: int = 5, threshold: float = 0.7,
+                min_display: float = 0.0) -> dict:
+    """Selection (top-N per hour or threshold) -> minimum display filter -> report frames."""
+    from ..operators import profile, scoring
+    if mode == "top_n":
+        sel = profile.top_n_per_group(scored_day, "hour", "probability", n, ties=["latitude", "longitude"])
+    elif mode == "threshold":
+        sel = profile.filter_threshold(scored_day, threshold)
+    else:
+        raise ValueError(mode)
+    sel = sel.filter(F.col("probability") >= min_display)
+    return {
+        "selection": scoring.with_marker_bands(sel),
+        "summary": profile.global_summary(sel),
+        "hourly": profile.hourly_stats(sel),
+        "histogram": profile.histogram(sel, "probability", 10),
+        "top10": profile.top_k(sel, "probability", 10, ties=["hour", "latitude", "longitude"],
+                               cols=["hour", "latitude", "longitude", "probability"]),
+    }

@@ -6,10 +6,9 @@ import re
 
 from pyspark.sql import functions as F
 
-from ..operators import evaluate as ev
 from ..operators import features as feat
-from ..operators import model, profile, scoring
-from ..session import cut_lineage, scratch_path
+from ..operators import profile, scoring
+from ..session import scratch_path
 from ..sources import bindings as B
 from ..streaming import requests as stream
 from . import jobs
@@ -199,41 +198,11 @@ def q_gold_sizes(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ training
-def train_models(spark, sf_dir, fast: bool = True):
-    """gold train/test -> logistic, random forest, GBT (class weights) -> test metrics."""
-    g = jobs.gold(_silver(spark, sf_dir))
-    # iterative fits read the training rows once per iteration: keep them in executor memory
-    train = cut_lineage(model.with_class_weights(g.filter(F.col("split") == "train"), "target", "balanced"))
-    train = train.coalesce(max(1, spark.sparkContext.defaultParallelism // 2)).persist()
-    test = g.filter(F.col("split") == "test")
-    sw = train.agg(F.sum("weight")).first()[0]
-    pipes = {
-        "LogisticRegression": model.logistic_pipeline(C=0.5, max_iter=100 if fast else 2000, sum_weights=sw),
-        "RandomForest": model.tree_pipeline("rf", numTrees=20 if fast else 200, maxDepth=8),
-        "GBT": model.tree_pipeline("gbt", maxIter=10 if fast else 200, maxDepth=5),
-    }
-    results, fitted = [], {}
-    for name, pipe in pipes.items():
-        m = pipe.fit(train)
-        fitted[name] = m
-        scored = model.score(test, m, out="score").withColumnRenamed("target", "label")
-        met = ev.binary_metrics(scored, "label", "score").withColumn("model", F.lit(name))
-        results.append(met)
-    res = results[0]
-    for r in results[1:]:
-        res = res.unionByName(r)
-    res = cut_lineage(res, "leaderboard")
-    train.unpersist()
-    return res, fitted, g
-
-
 @register("train_leaderboard")
 def q_train(spark, sf_dir):
     """Train three spark.ml classifiers on gold train, evaluate on test, rank by recall (rows-only check)."""
-    res, _, g = train_models(spark, sf_dir)
-    out = ev.leaderboard(res)
-    rows = out.collect()
-    return spark.createDataFrame(rows, out.schema)
+    board, _ = jobs.train(spark, jobs.gold(_silver(spark, sf_dir)), fast=True)
+    return board
 
 
 # ------------------------------------------------------------------ risk report

@@ -98,3 +98,27 @@ def test_tune_random_search(spark):
     tvs = model.tune(pipe, est, {"maxDepth": [2, 3, 4], "numTrees": [3, 5]}, df, n_trials=2, parallelism=2)
     assert len(tvs.validationMetrics) == 2
     assert max(tvs.validationMetrics) > 0.9          # recall of class 1 on the validation split
+
+
+def test_jobs_train_and_report(spark):
+    from georisk.plans import jobs
+    from georisk.params import FEATURE_COLUMNS
+    rows = []
+    for i in range(300):
+        vals = [float((i * (j + 3)) % 11) for j in range(len(FEATURE_COLUMNS))]
+        rows.append(tuple(vals) + (int(vals[2] > 5), "test" if i % 5 == 0 else "train"))
+    schema = ", ".join(f"{c} double" for c in FEATURE_COLUMNS) + ", target int, split string"
+    gold = spark.createDataFrame(rows, schema)
+    out = scratch_path(spark, "t_train")
+    board, fitted = jobs.train(spark, gold, out_dir=out, fast=True)
+    assert board.count() == 3 and set(fitted) == {"LogisticRegression", "RandomForest", "GBT"}
+    from pyspark.ml import PipelineModel
+    assert PipelineModel.load(f"{out}/best_model") is not None
+    day = spark.createDataFrame([(dt.date(2026, 1, 23), h, -22.0 - i * 0.01, 166.0, (h * 7 + i) % 10 / 10)
+                                 for h in range(24) for i in range(8)],
+                                "date date, hour int, latitude double, longitude double, probability double")
+    rep = jobs.risk_report(day, "top_n", n=3)
+    assert rep["selection"].count() == 72 and rep["top10"].count() == 10
+    assert rep["summary"].first().total_points == 72
+    assert jobs.risk_report(day, "threshold", threshold=0.8)["selection"].count() == \
+        day.filter("probability >= 0.8").count()
