@@ -59,3 +59,17 @@ def test_filter_bbox_closed(spark):
     df = spark.createDataFrame([(-23.0, 163.5), (-19.5, 168.0), (-25.0, 166.0), (None, 166.0)],
                                "latitude double, longitude double")
     assert ingest.filter_bbox(df).count() == 2
+
+
+def test_bronze_job_from_csv_equals_direct(spark):
+    from conftest import SF_SMALL
+    from georisk.plans import jobs
+    from georisk.sources import bindings as B
+    base = scratch_path(spark, "t_bronze")
+    carac = B.carac_raw(spark, SF_SMALL)
+    carac.withColumn("y", F.col("an")).write.partitionBy("y").option("header", True).csv(base + "/carac")
+    B.usagers_raw(spark, SF_SMALL).write.option("header", True).csv(base + "/usagers")
+    out, counts = jobs.bronze(spark, base + "/carac/y=*/*.csv", base + "/usagers/*.csv")
+    direct = ingest.parse_accidents(carac, B.usagers_raw(spark, SF_SMALL))
+    assert sorted(tuple(r) for r in out.collect()) == sorted(tuple(r) for r in direct.collect())
+    assert counts["caracteristiques"] == carac.count() and counts["accidents_nc"] == direct.count()
