@@ -180,3 +180,24 @@ def risk_report(scored_day: DataFrame, mode: str = "top_n", n: int = 5, threshol
         "top10": profile.top_k(sel, "probability", 10, ties=["hour", "latitude", "longitude"],
                                cols=["hour", "latitude", "longitude", "probability"]),
     }
+
+
+# ------------------------------------------------------------------ lenient load
+def load_events_lenient(spark: SparkSession, paths, schema, dep: str = "988", bounds=None) -> DataFrame:
+    """Events for the pre-compute stage: malformed rows dropped, department and wide-box filters,
+    raw 'HH:MM:SS' time (unparseable -> dropped), missing weather code -> 1, ordered by time."""
+    from ..functions.parse import parse_decimal_comma, try_assemble_datetime
+    from ..params import WIDE_BOUNDS
+    from ..sources import files
+    lat_min, lat_max, lon_min, lon_max = bounds or WIDE_BOUNDS
+    raw = files.scan_csv_lenient(spark, paths, schema)
+    lat, lon = parse_decimal_comma("lat"), parse_decimal_comma("long")
+    df = raw.filter((F.col("dep").cast("string") == dep) & F.col("lat").isNotNull() & F.col("long").isNotNull()
+                    & F.col("hrmn").isNotNull() & lat.between(lat_min, lat_max) & lon.between(lon_min, lon_max))
+    ts = try_assemble_datetime("jour", "mois", "an", "hrmn")
+    df = df.select(lat.alias("latitude"), lon.alias("longitude"), ts.alias("datetime"),
+                   F.coalesce(F.col("atm").cast("int"), F.lit(1)).alias("atm"), "filename") \
+        .filter(F.col("datetime").isNotNull())
+    return df.select("latitude", "longitude", F.hour("datetime").alias("hour"),
+                     (F.dayofweek("datetime") - 1).alias("dayofweek"), F.month("datetime").alias("month"),
+                     F.year("datetime").alias("year"), "atm", "datetime").orderBy("datetime")

@@ -102,3 +102,32 @@ def test_geojson_collection_with_list_attributes(spark):
     from georisk.operators import spatial
     attrs = {r.edge_id: (r.road_type, r.speed_limit) for r in spatial.road_attributes(seg).collect()}
     assert attrs == {1: (3, 80), 2: (5, 50)}
+
+
+def test_lenient_event_loader(spark):
+    from georisk.plans import jobs
+    base = scratch_path(spark, "t_len")
+    local = base[len("file:"):] if base.startswith("file:") else base
+    os.makedirs(local, exist_ok=True)
+    with open(os.path.join(local, "c-2021.csv"), "w") as f:
+        f.write("Num_Acc,jour,mois,an,hrmn,lat,long,atm,dep\n"
+                "1,5,1,2021,14:30:00,\"-22,1\",\"166,4\",,988\n"      # kept, atm -> 1
+                "2,5,1,2021,14:30,\"-22,1\",\"166,4\",2,988\n"        # HH:MM without seconds -> dropped
+                "3,6,1,2021,08:00:00,\"-22,1\",\"166,4\",2,75\n"      # other department
+                "4,7,1,2021,09:00:00,\"-30,0\",\"166,4\",2,988\n"     # outside the box
+                "5,oops,1,2021,09:00:00,\"-22,2\",\"166,5\",3,988\n"  # malformed -> dropped
+                "6,4,1,2021,07:15:00,\"-22,2\",\"166,5\",3,988\n")    # kept, earlier
+    schema = T.StructType([T.StructField(n, t) for n, t in [
+        ("Num_Acc", T.LongType()), ("jour", T.IntegerType()), ("mois", T.IntegerType()), ("an", T.IntegerType()),
+        ("hrmn", T.StringType()), ("lat", T.StringType()), ("long", T.StringType()), ("atm", T.IntegerType()),
+        ("dep", T.StringType())]])
+    rows = jobs.load_events_lenient(spark, [os.path.join(base, "c-2021.csv")], schema).collect()
+    assert [(r.hour, r.atm, r.dayofweek, r.year) for r in rows] == [(7, 3, 1, 2021), (14, 1, 2, 2021)]
+
+
+def test_apply_encoder_unknown_keeps_raw(spark):
+    fit = spark.createDataFrame([(1,), (2,), (3,)], "atm int")
+    dic = model.label_dictionary(fit, "atm")
+    df = spark.createDataFrame([(1,), (3,), (7,)], "atm int")
+    got = {r.atm: r.atm_code for r in model.apply_encoder(df, "atm", dic, "atm_code").collect()}
+    assert got == {1: 0, 3: 2, 7: 7}
