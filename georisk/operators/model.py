@@ -194,3 +194,39 @@ def standardize(df: DataFrame, cols, suffix: str = "_z") -> DataFrame:
     out = out.withColumns({f"{c}{suffix}": F.when(F.col(f"_s_{c}") > 0, (F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}"))
                            .otherwise(F.lit(0.0)) for c in cols})
     return out.drop(*[f"_m_{c}" for c in cols], *[f"_s_{c}" for c in cols])
+
+
+def oversample(df: DataFrame, target: str = "target", factor: int | None = None) -> DataFrame:
+    """Repeat positive rows ``factor`` times (default: n_neg // n_pos) for estimators without weights."""
+    if factor is None:
+        c = {r[target]: r["count"] for r in df.groupBy(target).count().collect()}   # one row per class
+        factor = max(1, int(c.get(0, 0) // max(c.get(1, 1), 1)))
+    reps = F.when(F.col(target) == 1, F.lit(factor)).otherwise(F.lit(1))
+    return df.withColumn("_rep", F.explode(F.sequence(F.lit(1), reps))).drop("_rep")
+
+
+def mlp_preparation(cols=FEATURE_COLUMNS, categorical=("atm", "road_type")):
+    """Categorical columns one-hot encoded (unknown kept), the rest standardised, assembled to ``features``."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, StandardScaler, VectorAssembler
+    cats = [c for c in categorical if c in cols]
+    cont = [c for c in cols if c not in cats]
+    ohe = OneHotEncoder(inputCols=cats, outputCols=[f"{c}_ohe" for c in cats], handleInvalid="keep")
+    cont_vec = VectorAssembler(inputCols=cont, outputCol="_cont", handleInvalid="keep")
+    scaler = StandardScaler(inputCol="_cont", outputCol="_cont_z", withMean=True, withStd=True)
+    feats = VectorAssembler(inputCols=["_cont_z"] + [f"{c}_ohe" for c in cats], outputCol="features")
+    return Pipeline(stages=[ohe, cont_vec, scaler, feats])
+
+
+def fit_mlp(train: DataFrame, cols=FEATURE_COLUMNS, categorical=("atm", "road_type"), hidden=(64, 32),
+            max_iter: int = 100, seed: int = 42):
+    """Fit preparation + multilayer perceptron; the perceptron takes no weight column, so train it on
+    ``oversample(train)``.  The input layer size is read from the assembled features."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    prep_model = mlp_preparation(cols, categorical).fit(train)
+    prepared = prep_model.transform(train)
+    n_in = prepared.select("features").first()[0].size
+    mlp = MultilayerPerceptronClassifier(featuresCol="features", labelCol="target", layers=[n_in, *hidden, 2],
+                                         maxIter=max_iter, seed=seed)
+    return PipelineModel(stages=[*prep_model.stages, mlp.fit(prepared)])

@@ -122,3 +122,14 @@ def test_jobs_train_and_report(spark):
     assert rep["summary"].first().total_points == 72
     assert jobs.risk_report(day, "threshold", threshold=0.8)["selection"].count() == \
         day.filter("probability >= 0.8").count()
+
+
+def test_mlp_with_oversampling(spark):
+    rows = [(float(i % 7), float(i % 3 + 1), int(i % 7 > 4)) for i in range(280)]
+    df = spark.createDataFrame(rows, "a double, atm double, target int")
+    over = model.oversample(df, "target")
+    c = {r.target: r["count"] for r in over.groupBy("target").count().collect()}
+    assert c[1] == 80 * 2 and c[0] == 200                 # 200 // 80 = 2 copies of each positive
+    fitted = model.fit_mlp(over, cols=["a", "atm"], categorical=("atm",), hidden=(8,), max_iter=50)
+    scored = model.score(df, fitted)
+    assert scored.filter("probability < 0 OR probability > 1").count() == 0
