@@ -34,9 +34,10 @@ def scored_stream(requests: DataFrame, scorer=None, model_version: str = "formul
 
 
 def run_to_sink(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str, fmt: str = "parquet",
-                available_now: bool = True, scorer=None, model_version: str = "formula-1"):
+                available_now: bool = True, scorer=None, model_version: str = "formula-1",
+                max_files_per_trigger: int | None = None):
     """Start the stream into a Parquet sink; with availableNow it returns when drained."""
-    q = (scored_stream(request_stream(spark, source_dir, fmt), scorer, model_version)
+    q = (scored_stream(request_stream(spark, source_dir, fmt, max_files_per_trigger), scorer, model_version)
          .writeStream.format("parquet").option("path", sink_dir).option("checkpointLocation", checkpoint_dir)
          .outputMode("append"))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="10 seconds")

@@ -22,7 +22,7 @@ def test_stream_equals_batch(spark):
     src = scratch_path(spark, "t_req")
     req.repartition(3).write.parquet(src)
     sink, ckpt = scratch_path(spark, "t_sink"), scratch_path(spark, "t_ckpt")
-    stream.run_to_sink(spark, src, sink, ckpt)
+    stream.run_to_sink(spark, src, sink, ckpt, max_files_per_trigger=1)
     got = sorted(tuple(r) for r in spark.read.parquet(sink).collect())
     want = sorted(tuple(r) for r in stream.scored_stream(req).collect())
     assert got == want and len(got) == 60
@@ -110,7 +110,7 @@ def test_jobs_train_and_report(spark):
     schema = ", ".join(f"{c} double" for c in FEATURE_COLUMNS) + ", target int, split string"
     gold = spark.createDataFrame(rows, schema)
     out = scratch_path(spark, "t_train")
-    board, fitted = jobs.train(spark, gold, out_dir=out, fast=True)
+    board, fitted = jobs.train(spark, gold, out_dir=out, fast=True, tune_trials=2)
     assert board.count() == 3 and set(fitted) == {"LogisticRegression", "RandomForest", "GBT"}
     from pyspark.ml import PipelineModel
     assert PipelineModel.load(f"{out}/best_model") is not None
