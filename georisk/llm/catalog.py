@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import quality_fm, simhash
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,7 +18,15 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    machine = quality_fm.train(docs, read_table(spark, sf_dir, "labels"))
+    scored = quality_fm.score(docs, machine)
+    return scored.select("doc_id", quality_fm.held_out().alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Query] = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 ORACLES: dict[str, str] = {}
