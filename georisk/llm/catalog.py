@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_fm, simhash
+from . import quality_fm, simhash, suffix_dedup
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.find_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, radius=3, seed=42)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -26,6 +30,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_quality_classifier": op9_quality_classifier,
 }
