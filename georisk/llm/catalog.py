@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_fm, simhash, suffix_dedup
+from . import decontaminate, quality_fm, simhash, suffix_dedup
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    ids = F.array_join(F.sort_array(F.transform("items", lambda x: x.cast("string"))), ",")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(ids, 256).alias("items_sha256"), "contaminated")
+
+
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.find_repeats(read_table(spark, sf_dir, "documents"))
 
@@ -30,6 +36,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_quality_classifier": op9_quality_classifier,
