@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, quality_fm, simhash, suffix_dedup
+from . import decontaminate, mixing, quality_fm, quality_rules, simhash, suffix_dedup
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,12 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "source", "mix_block", "mix_slot", "mix_position", "mix_shard")
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.round("covered", 6).alias("covered"), "longest_repeat")
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, radius=3, seed=42)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -44,6 +50,7 @@ QUERIES: dict[str, Query] = {
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_source_mixing": op6_source_mixing,
+    "op7_quality_rules": op7_quality_rules,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_quality_classifier": op9_quality_classifier,
 }
