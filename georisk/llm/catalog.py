@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, quality_fm, quality_rules, simhash, suffix_dedup
+from . import decontaminate, lm_score, mixing, quality_fm, quality_rules, simhash, suffix_dedup
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,11 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality_fm.held_out().alias("held_out"), "score", "predicted")
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return lm_score.score(docs, *lm_score.train(docs))
+
+
 QUERIES: dict[str, Query] = {
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
@@ -53,5 +58,6 @@ QUERIES: dict[str, Query] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 ORACLES: dict[str, str] = {}
