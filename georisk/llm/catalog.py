@@ -7,12 +7,63 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lm_score, mixing, quality_fm, quality_rules, simhash, suffix_dedup
+from . import decontaminate, lm_score, mixing, quality_fm, quality_rules, simhash, suffix_dedup, url_filter
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+RULES = [
+    url_filter.Rule("org", "/", "allow"),
+    url_filter.Rule("example.org", "/es/", "block"),
+    url_filter.Rule("example.org", "/en/1", "block"),
+    url_filter.Rule("com", "/fr/", "allow"),
+    url_filter.Rule("com", "/de/", "block"),
+]
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed are the URLs of pages whose document is labelled toxic or of quality 0."""
+    pages = read_table(spark, sf_dir, "pages")
+    listed = url_filter.urls_of_labelled(pages, read_table(spark, sf_dir, "labels"))
+    return url_filter.judge(pages, listed, RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP3_SQL = r"""
+WITH cut AS (
+  SELECT page_id, url, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest
+  FROM pages
+), parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^?#]*\?([^#]*)', 1) AS query
+  FROM cut
+), canon AS (
+  SELECT *, list_sort(list_filter(string_split(query, '&'),
+              lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))) AS kept,
+         regexp_extract(path, '/([0-9]{1,18})[^/]*/?$', 1) AS doc
+  FROM parts
+), named AS (
+  SELECT *, CASE WHEN host <> '' THEN concat(regexp_replace(host, '^www\.', ''), regexp_replace(path, '/+$', ''),
+                   CASE WHEN len(kept) > 0 THEN concat('?', array_to_string(kept, '&')) ELSE '' END) END AS canonical
+  FROM canon
+), listed AS (
+  SELECT DISTINCT canonical FROM named
+  WHERE doc <> '' AND canonical IS NOT NULL
+    AND CAST(doc AS BIGINT) IN (SELECT doc_id FROM labels WHERE toxic = 1 OR quality = 0)
+), rules(rhost, rpath, rverdict) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+         ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), ruled AS (
+  SELECT n.*, (SELECT max_by(struct_pack(r := rhost || rpath, v := rverdict), length(rhost || rpath)) FROM rules
+               WHERE (n.host = rhost OR suffix(n.host, '.' || rhost)) AND starts_with(n.path, rpath)) AS best
+  FROM named n
+)
+SELECT page_id, host, path, best.r AS rule,
+       coalesce(best.v, CASE WHEN canonical IN (SELECT canonical FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled
+"""
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     ids = F.array_join(F.sort_array(F.transform("items", lambda x: x.cast("string"))), ",")
@@ -52,6 +103,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_url_filter": op3_url_filter,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_source_mixing": op6_source_mixing,
@@ -60,4 +112,4 @@ QUERIES: dict[str, Query] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_lm_scoring": op10_lm_scoring,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_url_filter": OP3_SQL}
