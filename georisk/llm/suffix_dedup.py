@@ -42,11 +42,15 @@ BASES = (0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93 | 1)
 
 @dataclass(frozen=True)
 class Params:
-    """Passage length in words, selection window, and words hashed to select; order <= min_words - window + 1."""
+    """Passage length in words, selection window, and words hashed to select; order <= min_words - window + 1.
+
+    A key with more than ``split`` suffixes is compared in shares of about that size.
+    """
 
     min_words: int = 50
     window: int = 32
     order: int = 4
+    split: int = 4096
 
     @property
     def prefix(self) -> int:
@@ -117,28 +121,99 @@ def _identified(docs: DataFrame) -> DataFrame:
                        F.xxhash64(text).alias("th"), F.xxhash64(F.lit(1), text).alias("th2"))
 
 
-def _runs(texts: DataFrame, p: Params) -> DataFrame:
-    """Extend: the runs that selected a suffix with neighbours, keyed by suffix and by run."""
-    names = ["key", "run", "th", "th2", "doc", "pos"]
+def _suffixes(texts: DataFrame, p: Params) -> DataFrame:
+    """The suffixes that have neighbours, each with the hashes of the runs that selected it.
+
+    Those runs start at consecutive words, the first at ``pos``.  Suffixes of a
+    frequent key are dealt to ``share``s by text.
+    """
+    names = ["key", "share", "split", "doc", "th", "th2", "pos", "runs"]
 
     def run(batches):
         for b in batches:
-            for d, h, h2, t, shared in zip(*(c.to_pylist() for c in b.columns)):
+            for d, h, h2, t, shared, often in zip(*(c.to_pylist() for c in b.columns)):
                 s = Suffixes(space_words(t), p)
-                lone = ~np.isin(s.keys, np.array(shared, np.int64))
-                index = np.searchsorted(s.at, s.selected)
-                pos = np.nonzero(~lone[index])[0]
-                n = len(pos)
+                used = np.isin(s.keys, np.array(shared, np.int64))
+                starts = np.searchsorted(s.selected, s.at)  # selected is sorted: runs of a suffix are neighbours
+                ends = np.append(starts[1:], len(s.selected))
+                shares = {x["key"]: x["k"] for x in often}
+                key = s.keys[used]
+                k = np.array([shares.get(x, 1) for x in key.tolist()], np.int64)
+                n = len(key)
+                hashes = s.run_hash(np.arange(len(s.selected)), p.min_words, 1).view(np.int64)
+                own = np.repeat(used, ends - starts)
+                bounds = np.concatenate([[0], np.cumsum((ends - starts)[used])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(s.keys[index[pos]]), pa.array(s.run_hash(pos, p.min_words, 1).view(np.int64)),
-                     pa.array(np.full(n, h)), pa.array(np.full(n, h2)), pa.array(np.full(n, d)), pa.array(pos.astype(np.int32))],
-                    names=names)
+                    [pa.array(key), pa.array((h % k).astype(np.int32)), pa.array(k > 1), pa.array(np.full(n, d)),
+                     pa.array(np.full(n, h)), pa.array(np.full(n, h2)), pa.array(starts[used].astype(np.int32)),
+                     pa.ListArray.from_arrays(pa.array(bounds), pa.array(hashes[own]))], names=names)
+
+    return texts.mapInArrow(run, "key long, share int, split boolean, doc long, th long, th2 long, pos int, runs array<long>")
 
-    return texts.mapInArrow(run, "key long, run long, th long, th2 long, doc long, pos int")
+
+def settle(group: np.ndarray, place: list[np.ndarray], pos: np.ndarray, sizes: np.ndarray, runs: np.ndarray,
+           min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Compare runs inside groups of suffixes; rows are sorted by (group, place, pos).
+
+    Returns, per run, its row, its position, its first occurrence (an index of
+    runs), and whether it repeats that without overlapping it.
+    """
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    at = pos[row] + np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    order = np.lexsort((np.arange(len(row)), runs, group[row]))
+    a, b = order[1:], order[:-1]  # neighbours: equal runs follow each other, the earliest first
+    new = np.concatenate([[True], (runs[a] != runs[b]) | (group[row[a]] != group[row[b]])])[:len(row)]
+    first = np.empty(len(row), np.int64)
+    first[order] = order[np.maximum.accumulate(np.where(new, np.arange(len(row)), 0))]
+    same_text = np.ones(len(row), bool)
+    for x in place:
+        same_text &= x[row] == x[row[first]]
+    return row, at, first, ~(same_text & (at < at[first] + min_words))
+
+
+def _settled(suffixes: DataFrame, p: Params) -> DataFrame:
+    """Sort, compare and extend: stretches of ``n`` repeated runs, and (n = 0) runs of split keys not yet decided."""
+    names = ["key", "run", "th", "th2", "doc", "pos", "n", "kept"]
+
+    def run(batches):
+        left = None
+        for b in batches:
+            now = pa.Table.from_batches([b])
+            left = now if left is None else pa.concat_tables([left, now])
+            key, share = (left.column(c).to_numpy() for c in ("key", "share"))
+            edge = np.nonzero((key[1:] != key[:-1]) | (share[1:] != share[:-1]))[0]
+            if len(edge):  # the last group may go on in the next batch
+                yield from work(left.slice(0, edge[-1] + 1))
+                left = left.slice(edge[-1] + 1)
+        if left is not None and left.num_rows:
+            yield from work(left)
+
+    def work(table):
+        key, share, split, doc, th, th2, pos = (table.column(i).to_numpy() for i in range(7))
+        lists = table.column("runs").combine_chunks()
+        sizes, runs = lists.value_lengths().to_numpy(), lists.flatten().to_numpy()
+        group = np.concatenate([[0], np.cumsum((key[1:] != key[:-1]) | (share[1:] != share[:-1]))])
+        row, at, first, repeated = settle(group, [doc, th, th2], pos, sizes, runs, p.min_words)
+        if not len(row):
+            return
+        # stretches: repeated runs of one suffix at consecutive words
+        goes_on = np.concatenate([[False], repeated[1:] & repeated[:-1] & (row[1:] == row[:-1])])
+        heads = np.nonzero(repeated & ~goes_on)[0]
+        number = np.cumsum(repeated & ~goes_on)[repeated] - 1
+        open_ = np.nonzero(~repeated & split[row])[0]
+        pick = np.concatenate([heads, open_])
+        r = row[pick]
+        n = np.concatenate([np.bincount(number, minlength=len(heads)), np.zeros(len(open_), np.int64)])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
+            key[r], runs[pick], th[r], th2[r], doc[r], at[pick].astype(np.int32), n.astype(np.int32), doc[row[first[pick]]])],
+            names=names)
+
+    return (suffixes.repartition("key", "share").sortWithinPartitions("key", "share", "doc", "th", "th2", "pos")
+            .mapInArrow(run, "key long, run long, th long, th2 long, doc long, pos int, n int, kept long"))
 
 
 def _passages(runs: DataFrame, p: Params) -> DataFrame:
-    """Join overlapping repeated runs of a text: ``(th, th2, doc, starts, lengths, kept)``, arrays by position."""
+    """Join overlapping stretches of repeated runs of a text: ``(th, th2, doc, starts, lengths, kept)``, arrays by position."""
     def run(batches):
         for b in batches:
             out = []
@@ -146,18 +221,19 @@ def _passages(runs: DataFrame, p: Params) -> DataFrame:
                 found.sort(key=lambda r: (r["pos"], r["kept"]))
                 starts, ends, kept = [], [], []
                 for r in found:
+                    end = r["pos"] + r["n"] - 1 + p.min_words
                     if starts and r["pos"] <= ends[-1]:
-                        ends[-1] = r["pos"] + p.min_words
+                        ends[-1] = max(ends[-1], end)
                     else:
                         starts.append(r["pos"])
-                        ends.append(r["pos"] + p.min_words)
+                        ends.append(end)
                         kept.append(r["kept"])
                 out.append((starts, [e - s for s, e in zip(starts, ends)], kept))
             yield pa.RecordBatch.from_arrays(
                 b.columns[:3] + [pa.array([o[i] for o in out], pa.list_(pa.int64())) for i in range(3)],
                 names=["th", "th2", "doc", "starts", "lengths", "kept"])
 
-    return (runs.groupBy("th", "th2", "doc").agg(F.collect_list(F.struct("pos", "kept")).alias("found"))
+    return (runs.groupBy("th", "th2", "doc").agg(F.collect_list(F.struct("pos", "n", "kept")).alias("found"))
             .mapInArrow(run, "th long, th2 long, doc long, starts array<long>, lengths array<long>, kept array<long>"))
 
 
@@ -172,21 +248,25 @@ def repeated_passages(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame,
     texts = entries.filter("key is null").select("doc", "th", "th2", "n_words")
     first = texts.groupBy("th", "th2").agg(F.min("doc").alias("first"))
     suffixes = entries.filter("key is not null").select("key", "th")
-    shared = suffixes.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    # copies of a text repeat its keys; collect_set is bounded by the words of one text
-    by_text = (suffixes.join(shared, "key").groupBy("th").agg(F.collect_set("key").alias("shared")))
-    wanted = first.join(by_text, "th").select("th", "th2", F.col("first").alias("doc"), "shared")
+    shared = (suffixes.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+              .select("key", F.ceil(F.col("n") / p.split).cast("int").alias("k")))
+    # copies of a text repeat its keys; what is collected is bounded by the words of one text
+    often = F.collect_set(F.when(F.col("k") > 1, F.struct("key", "k"))).alias("often")
+    by_text = suffixes.join(shared, "key").groupBy("th").agg(F.collect_set("key").alias("shared"), often)
+    wanted = first.join(by_text, "th").select("th", "th2", F.col("first").alias("doc"), "shared", "often")
     held = (_identified(docs).select("doc", "th", "th2", "text").join(wanted, ["th", "th2", "doc"])
-            .select("doc", "th", "th2", "text", "shared"))
-    runs = cut_lineage(_runs(held, p), "runs")
+            .select("doc", "th", "th2", "text", "shared", "often"))
+    settled = cut_lineage(_settled(_suffixes(held, p), p), "settled")
+    # shares of a frequent key have found their own first occurrences; the first of those decides the rest
     place = F.struct("doc", "th", "th2", "pos")
-    firsts = (runs.groupBy("key", "run").agg(F.min(place).alias("least"), F.max(place).alias("most"))
-              .filter("least <> most").select("key", "run", "least"))
+    open_ = settled.filter("n = 0").select("key", "run", "doc", "th", "th2", "pos")
+    least = open_.groupBy("key", "run").agg(F.min(place).alias("least"))
     own = (F.struct("doc", "th", "th2") == F.struct("least.doc", "least.th", "least.th2")) & (
-        F.col("pos") < F.col("least.pos") + p.min_words)  # the first occurrence, or a run that overlaps it
-    later = (runs.join(firsts, ["key", "run"]).filter(~own)
-             .select("th", "th2", "doc", "pos", F.col("least.doc").alias("kept")))
-    return texts.join(first, ["th", "th2"]), cut_lineage(_passages(later, p), "passages")
+        F.col("pos") < F.col("least.pos") + p.min_words)
+    later = (open_.join(least, ["key", "run"]).filter(~own)
+             .select("th", "th2", "doc", "pos", F.lit(1).alias("n"), F.col("least.doc").alias("kept")))
+    passages = settled.filter("n > 0").select("th", "th2", "doc", "pos", "n", "kept").unionByName(later)
+    return texts.join(first, ["th", "th2"]), cut_lineage(_passages(passages, p), "passages")
 
 
 def _id(c: str):

@@ -49,7 +49,8 @@ def corpus(seed, min_words):
     return list(enumerate(texts, start=1))
 
 
-@pytest.mark.parametrize("seed,p", [(1, sd.Params(12, 6, 3)), (2, sd.Params(50, 32, 4)), (3, sd.Params(9, 9, 1))])
+@pytest.mark.parametrize("seed,p", [(1, sd.Params(12, 6, 3)), (2, sd.Params(50, 32, 4)), (3, sd.Params(9, 9, 1)),
+                                    (4, sd.Params(12, 6, 3, split=2)), (5, sd.Params(10, 7, 2, split=3))])
 def test_matches_brute_force(spark, seed, p):
     rows = corpus(seed, p.min_words)
     docs = spark.createDataFrame([(i, t, 0, "x", 1) for i, t in rows], SCHEMA)
