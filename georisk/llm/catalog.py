@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lm_score, mixing, quality_fm, quality_rules, simhash, suffix_dedup, url_filter, warc
+from . import decontaminate, html_extract, lm_score, mixing, quality_fm, quality_rules, simhash, suffix_dedup, url_filter, warc
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.round_trip(spark, read_table(spark, sf_dir, "pages"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -108,6 +112,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_warc_archive": op2_warc_archive,
     "op3_url_filter": op3_url_filter,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
