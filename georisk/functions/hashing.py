@@ -1,7 +1,7 @@
 """Portable deterministic draws.
 
-A draw is the first 32 bits of md5('seed|stream|key') read as an unsigned
-integer.  It is a pure function of its inputs, so results do not depend on
+A draw is the first 60 bits of md5('seed|stream|key') read as an integer, wide
+enough to reach every row of a source of 2^40 rows with a bias below 2^-20.  It is a pure function of its inputs, so results do not depend on
 partitioning, retries or executor loss, and any SQL engine with md5 can
 reproduce it (used by the oracle queries).
 """
@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TWO_32 = 4294967296.0
+DRAW_BITS = 60
+DRAW_RANGE = 1152921504606846976.0   # 2^60
 
 
 def _c(c) -> Column:
@@ -23,15 +24,15 @@ def _c(c) -> Column:
 
 
 def hash_draw(seed: int, stream: str, *keys) -> Column:
-    """Unsigned 32-bit integer (as BIGINT) from md5 of 'seed|stream|k1|k2...'."""
+    """60-bit integer (BIGINT, not negative) from md5 of 'seed|stream|k1|k2...'."""
     parts = [F.lit(f"{seed}|{stream}")] + [_c(k).cast("string") for k in keys]
     text = F.concat_ws("|", *parts)
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
 def uniform_draw(seed: int, stream: str, *keys) -> Column:
     """Uniform double in [0, 1)."""
-    return hash_draw(seed, stream, *keys) / F.lit(TWO_32)
+    return hash_draw(seed, stream, *keys) / F.lit(DRAW_RANGE)
 
 
 def index_draw(seed: int, stream: str, n, *keys) -> Column:
@@ -42,4 +43,4 @@ def index_draw(seed: int, stream: str, n, *keys) -> Column:
 def sql_hash_draw(seed: int, stream: str, *key_sql: str) -> str:
     """The same draw in DuckDB SQL (for oracles)."""
     inner = ", ".join([f"'{seed}|{stream}'"] + [f"CAST({k} AS VARCHAR)" for k in key_sql])
-    return f"CAST(('0x' || substr(md5(concat_ws('|', {inner})), 1, 8)) AS BIGINT)"
+    return f"CAST(('0x' || substr(md5(concat_ws('|', {inner})), 1, 15)) AS BIGINT)"

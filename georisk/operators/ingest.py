@@ -60,6 +60,7 @@ def request_rules(bounds=GRID_BOUNDS) -> dict:
     return {
         "latitude": F.col("latitude").between(lat_min, lat_max),
         "longitude": F.col("longitude").between(lon_min, lon_max),
+        "datetime": F.try_to_timestamp(F.col("datetime").cast("string")).isNotNull(),
         "atm": F.col("atm").between(1, 9),
     }
 
@@ -69,6 +70,7 @@ def test_rules() -> dict:
         "hour": F.col("hour").between(0, 23),
         "dayofweek": F.col("dayofweek").between(0, 6),
         "atm": F.col("atm").isin(1, 2, 3, 5),
+        "probability": F.col("probability").between(0.0, 1.0),
     }
 
 
@@ -88,7 +90,7 @@ def check_table_constraints(df: DataFrame, not_null=(), unique=()) -> DataFrame:
             len(not_null), ", ".join(f"'{c}', `{c}`" for c in not_null))
         parts.append(nn.selectExpr(stack).filter("n > 0").select(F.lit("not_null").alias("constraint"), "key", "n"))
     if unique:
-        key = F.concat_ws("|", *[F.col(c).cast("string") for c in unique])
+        key = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in unique])
         dup = df.groupBy(*unique).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         parts.append(dup.select(F.lit("unique").alias("constraint"), key.alias("key"), "n"))
     if not parts:
@@ -166,7 +168,7 @@ def parse_accidents(carac: DataFrame, users: DataFrame | None = None, mode: str
         ts.alias("datetime"),
         parse_decimal_comma("lat").alias("latitude"),
         parse_decimal_comma("long").alias("longitude"),
-        F.col("atm").cast("int").alias("atm"),
+        F.col("atm").try_cast("int").alias("atm"),
     )
     out = out.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull() & F.col("datetime").isNotNull())
     return out.withColumns({

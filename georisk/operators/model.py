@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from ..params import FEATURE_COLUMNS
 
-MAX_BROADCAST_LABELS = 1_000_000   # label dictionaries above this are joined without broadcast
-
 
 # --------------------------------------------------------------- encoders
 def label_dictionary(df: DataFrame, col: str, numeric: bool = False) -> DataFrame:
@@ -29,8 +27,6 @@ def label_dictionary(df: DataFrame, col: str, numeric: bool = False) -> DataFram
 
 
 def _join_dictionary(df: DataFrame, col: str, dic: DataFrame) -> DataFrame:
-    n = dic.count()
-    dic = F.broadcast(dic) if n <= MAX_BROADCAST_LABELS else dic
     return df.join(dic, df[col].eqNullSafe(dic["_v"]), "left").drop("_v")
 
 
@@ -43,11 +39,16 @@ def encode_label(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
 
 
 def apply_encoder(df: DataFrame, col: str, dictionary: DataFrame, out: str | None = None) -> DataFrame:
-    """Transform with a stored dictionary (_v, _code); unknown values keep their raw value."""
+    """Transform with a stored dictionary (_v, _code); a label it doesn't hold gets the next free code.
+
+    Unknown labels, whether numbers or text, share that one code: the number of labels in the dictionary.
+    """
     out = out or col
-    res = _join_dictionary(df, col, dictionary)
-    return res.withColumn(out, F.coalesce(F.col("_code"), F.col(col).cast("int"))).drop("_code") \
-        if out != col else res.withColumn(col, F.coalesce(F.col("_code"), F.col(col).cast("int"))).drop("_code")
+    unknown = dictionary.agg(F.coalesce(F.max("_code") + 1, F.lit(0)).alias("_unknown"))   # one row
+    dic = dictionary.withColumn("_v", F.col("_v").cast("string"))
+    key = df.withColumn("_label", F.col(col).cast("string"))
+    res = key.join(dic, F.col("_label").eqNullSafe(F.col("_v")), "left").crossJoin(F.broadcast(unknown))
+    return res.withColumn(out, F.coalesce("_code", "_unknown").cast("int")).drop("_v", "_code", "_label", "_unknown")
 
 
 def index_with_unknown(df: DataFrame, col: str, fitted_on: DataFrame, out: str | None = None,
@@ -77,7 +78,7 @@ def class_weight_table(df: DataFrame, target: str = "target", mode: str = "balan
 
 
 def with_class_weights(df: DataFrame, target: str = "target", mode: str = "balanced") -> DataFrame:
-    return df.join(F.broadcast(class_weight_table(df, target, mode)), target)
+    return df.join(class_weight_table(df, target, mode), target)
 
 
 # --------------------------------------------------------------- spark.ml

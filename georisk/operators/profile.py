@@ -98,6 +98,8 @@ def global_summary(df: DataFrame, p: str = "probability") -> DataFrame:
 def histogram(df: DataFrame, col: str = "probability", bins: int = 10) -> DataFrame:
     """Equal-width bins over [min, max], right-closed; the minimum falls in bin 1.
 
+    All ``bins`` rows are returned, empty ones with n = 0 (none for an empty input).
+
     Only min/max travel to every row (a one-row cross join); the counts are a
     normal partial aggregation, so the histogram scales with the data.
     """
@@ -106,13 +108,13 @@ def histogram(df: DataFrame, col: str = "probability", bins: int = 10) -> DataFr
     width = (F.col("_hi") - F.col("_lo")) / bins
     raw = F.ceil((x - F.col("_lo")) / width)
     b = F.when(F.col("_hi") == F.col("_lo"), F.lit(1)).otherwise(F.greatest(F.lit(1), F.least(F.lit(bins), raw)))
-    binned = df.select(col).crossJoin(F.broadcast(mm)).select(
-        b.cast("int").alias("bin"),
-        (F.col("_lo") + (b - 1) * width).alias("bin_lo"),
-        (F.col("_lo") + b * width).alias("bin_hi"),
-    )
-    return binned.groupBy("bin").agg(F.first("bin_lo").alias("bin_lo"), F.first("bin_hi").alias("bin_hi"),
-                                     F.count(F.lit(1)).alias("n"))
+    counts = (df.select(col).filter(x.isNotNull()).crossJoin(F.broadcast(mm)).select(b.cast("int").alias("bin"))
+              .groupBy("bin").agg(F.count(F.lit(1)).alias("_n")))
+    edges = mm.filter(F.col("_lo").isNotNull()).select(   # one row per bin
+        F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"), "_lo", width.alias("_w"))
+    return edges.join(counts, "bin", "left").select(
+        "bin", (F.col("_lo") + (F.col("bin") - 1) * F.col("_w")).alias("bin_lo"),
+        (F.col("_lo") + F.col("bin") * F.col("_w")).alias("bin_hi"), F.coalesce("_n", F.lit(0).cast("long")).alias("n"))
 
 
 def exact_percentiles(df: DataFrame, col: str, probs) -> DataFrame:

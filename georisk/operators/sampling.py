@@ -11,17 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash_draw, index_draw, uniform_draw
+from ..functions.hashing import DRAW_BITS, hash_draw, index_draw, uniform_draw
 from ..functions.parse import day_of_week
 from ..session import cut_lineage
 from .ordering import dense_index, expand_copies
 
-BROADCAST_ROWS = 2_000_000   # an indexed source up to this many rows is broadcast to the draws
-
-
-def _maybe_broadcast(df: DataFrame, n_rows: int) -> DataFrame:
-    return F.broadcast(df) if n_rows <= BROADCAST_ROWS else df
-
 
 def negative_size(n_events: int, n_safe: int, ratio: int = 22000, cap_per_point: int = 10) -> int:
     """min(n_events * ratio, n_safe * cap) -- the cap is what applies in practice."""
@@ -42,7 +36,7 @@ def draw_ids(spark, n: int, num_partitions: int | None = None) -> DataFrame:
 def gather(draws: DataFrame, src_indexed: DataFrame, n_src: int, idx_col: str, cols, prefix: str = "") -> DataFrame:
     """Positional gather: join draws on the dense index of the source."""
     src = src_indexed.select(F.col("_idx").alias(idx_col), *[F.col(c).alias(prefix + c) for c in cols])
-    return draws.join(_maybe_broadcast(src, n_src), idx_col).drop(idx_col)
+    return draws.join(src, idx_col).drop(idx_col)
 
 
 def sample_with_replacement(spark, df: DataFrame, n: int, seed: int, stream: str, order, cols=None) -> DataFrame:
@@ -67,7 +61,7 @@ def sample_times(spark, draws: DataFrame, events_idx: DataFrame, n_events: int,
                        ["_h", "sample_id"], out="_pos").select("sample_id", "_pos")
     d = draws.join(perm, "sample_id").withColumn("_ti", index_draw(seed, "time", n_events, "sample_id"))
     obs = events_idx.select(F.col("_idx").alias("_ti"), F.col(ts).alias("_obs_ts"))
-    d = d.join(_maybe_broadcast(obs, n_events), "_ti", "left").crossJoin(F.broadcast(t_bounds))
+    d = d.join(obs, "_ti", "left").crossJoin(F.broadcast(t_bounds))
     total_s = F.timestamp_diff("MICROSECOND", F.col("_tmin"), F.col("_tmax")) / F.lit(1e6)
     offset = F.floor(uniform_draw(seed, "uniform", "sample_id") * total_s).cast("long")
     uni = F.timestamp_add("SECOND", offset, F.col("_tmin"))
@@ -139,7 +133,7 @@ def stratified_split(df: DataFrame, target: str, test_size: float = 0.2, seed: i
     Within each class rows are ordered by a hash of ``hash_cols`` (then by
     every column); the first k_test are test.  Scale path, without shuffling
     the table itself:
-      * the 32-bit hash is bucketed (2^20 buckets); one aggregation gives the
+      * the 60-bit hash is bucketed (2^20 buckets); one aggregation gives the
         per-class histogram (bounded by the bucket count) and, from it, the
         class quotas and the single boundary bucket of every class;
       * every row outside its class's boundary bucket is assigned by comparing
@@ -151,7 +145,7 @@ def stratified_split(df: DataFrame, target: str, test_size: float = 0.2, seed: i
     """
     cols = df.columns
     hash_cols = list(hash_cols or cols)
-    shift = 32 - buckets_log2
+    shift = DRAW_BITS - buckets_log2
     h = hash_draw(seed, "split", *hash_cols)
     hashed = df.withColumn("_h", h).withColumn("_b", F.shiftright("_h", shift))
     hist = hashed.groupBy(target, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
@@ -159,11 +153,11 @@ def stratified_split(df: DataFrame, target: str, test_size: float = 0.2, seed: i
     quotas = class_quotas(hist, target, test_size, weight="_cnt")
     wc = Window.partitionBy(target).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     hist = hist.withColumn("_start", F.coalesce(F.sum("_cnt").over(wc), F.lit(0)))
-    bnd = hist.join(F.broadcast(quotas), target) \
+    bnd = hist.join(quotas, target) \
         .filter((F.col("_start") < F.col("k_test")) & (F.col("_start") + F.col("_cnt") >= F.col("k_test"))) \
         .select(target, F.col("_b").alias("_bb"), F.col("_start").alias("_bstart"))
     cls = quotas.join(bnd, target, "left").select(target, "k_test", "_bb", "_bstart")  # one row per class
-    rows = hashed.join(F.broadcast(cls), target)
+    rows = hashed.join(cls, target)
     outer = rows.filter(F.col("_bb").isNull() | (F.col("_b") != F.col("_bb"))).select(
         *cols, F.when(F.col("_bb").isNotNull() & (F.col("_b") < F.col("_bb")), "test").otherwise("train")
         .alias("split"))

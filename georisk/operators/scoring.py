@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from ..functions import bands
 from ..functions.parse import day_of_week
 from ..params import ENRICHMENT_DEFAULTS
 from . import features as feat
+from . import ingest
+from .model import apply_encoder
 
 
 def expand_day(grid: DataFrame, day: DataFrame, atm_code: int | Column = 1, dow_base: str = "mon0") -> DataFrame:
@@ -26,12 +30,21 @@ def expand_day(grid: DataFrame, day: DataFrame, atm_code: int | Column = 1, dow_
     return grid.crossJoin(F.broadcast(hours)).crossJoin(F.broadcast(cal)).withColumn("atm", atm)
 
 
+def encoded(rows: DataFrame, encoder: DataFrame | None) -> DataFrame:
+    """``atm`` as the model was fitted on it; the raw code stays in ``atm_raw``."""
+    rows = rows.withColumn("atm_raw", F.col("atm"))
+    return apply_encoder(rows, "atm", encoder) if encoder is not None else rows
+
+
 def score_day(grid: DataFrame, day: DataFrame, atm_code: int = 1, profile: str = "pipeline", scorer=None,
-              created_at: Column | None = None) -> DataFrame:
-    """Every road-grid point for every hour of ``day``: features, probability, 9 output columns."""
-    rows = feat.build_features(expand_day(grid, day, atm_code), profile)
+              created_at: Column | None = None, encoder: DataFrame | None = None) -> DataFrame:
+    """Every road-grid point for every hour of ``day``: features, probability, 9 output columns.
+
+    A fitted model needs the ``encoder`` that gold stored with its training rows.
+    """
+    rows = encoded(feat.build_features(expand_day(grid, day.limit(1), atm_code), profile), encoder)
     p = scorer(rows) if callable(scorer) else rows.withColumn("probability", feat.logistic_score())
-    return p.select("date", "hour", "latitude", "longitude", "probability", F.col("atm").alias("atm_code"),
+    return p.select("date", "hour", "latitude", "longitude", "probability", F.col("atm_raw").alias("atm_code"),
                     "dayofweek", "month", (created_at if created_at is not None else F.current_timestamp())
                     .alias("created_at"))
 
@@ -52,7 +65,7 @@ REQUEST_SCHEMA = "request_id long, latitude double, longitude double, datetime s
 def request_features(requests: DataFrame, profile: str = "pipeline") -> DataFrame:
     """Request rows (ISO datetime text) -> the 24 features; enrichment absent -> defaults,
     holiday fixed to 0 as the request path does."""
-    ts = F.to_timestamp("datetime").cast("timestamp_ntz")
+    ts = F.try_to_timestamp("datetime").cast("timestamp_ntz")
     r = requests.withColumns({
         "_ts": ts, "hour": F.hour(ts).cast("int"), "dayofweek": day_of_week(ts, "mon0"),
         "month": F.month(ts).cast("int"), "day": F.dayofmonth(ts).cast("int")})
@@ -60,9 +73,13 @@ def request_features(requests: DataFrame, profile: str = "pipeline") -> DataFram
     return r.withColumn("is_holiday", F.lit(0)).drop("_ts")
 
 
-def score_requests(requests: DataFrame, scorer=None, model_version: str = "formula-1") -> DataFrame:
-    """Per request: risk score, level, confidence, model version and the features used."""
-    f = request_features(requests)
+def score_requests(requests: DataFrame, scorer=None, model_version: str = "formula-1",
+                   encoder: DataFrame | None = None) -> DataFrame:
+    """Per request: risk score, level, confidence, model version and the features used.
+
+    A request whose datetime can't be read has a null score; ``split_requests`` takes such rows out first.
+    """
+    f = encoded(request_features(requests), encoder)
     p = scorer(f) if callable(scorer) else f.withColumn("risk_score", feat.logistic_score())
     if "risk_score" not in p.columns:
         p = p.withColumnRenamed("probability", "risk_score")
@@ -73,13 +90,22 @@ def score_requests(requests: DataFrame, scorer=None, model_version: str = "formu
         .alias("features_used"))
 
 
+def split_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Valid requests, and the rejected ones with ``reasons`` (names of the rules that failed)."""
+    valid, rejected = ingest.split_valid(requests, ingest.request_rules())
+    return valid, rejected.drop("valid")
+
+
 ALLOWED_ATM_CODES = (1, 2, 3, 5)
 
 
-def parse_query_date(spark, text: str | None = None, atm_code: int = 1) -> DataFrame:
+def parse_query_date(spark, text: str | None = None, atm_code: int = 1, max_days: int | None = None) -> DataFrame:
     """One-row frame (date, atm_code) for a scoring run: ``text`` as YYYY-MM-DD, default tomorrow.
 
-    Weather codes outside the allowed set are rejected before any work starts."""
+    Weather codes outside the allowed set, and dates more than ``max_days`` after today, are rejected before any
+    work starts."""
+    if text and max_days is not None and date.fromisoformat(text) > date.today() + timedelta(days=max_days):
+        raise ValueError(f"{text} is more than {max_days} days ahead")
     if atm_code not in ALLOWED_ATM_CODES:
         raise ValueError(f"atm code {atm_code} not in {ALLOWED_ATM_CODES}")
     d = F.to_date(F.lit(text), "yyyy-MM-dd") if text else F.date_add(F.current_date(), 1)

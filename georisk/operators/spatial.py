@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from ..functions import geo
 from ..functions.parse import first_of_list, parse_speed, road_type_code
-from ..params import EARTH_RADIUS_KM
+from ..params import EARTH_RADIUS_KM, ENRICHMENT_DEFAULTS, ROAD_TYPE_WITHOUT_COLUMN
 from ..session import cut_lineage
 
 KM_PER_DEG = EARTH_RADIUS_KM * math.pi / 180.0
@@ -182,8 +182,9 @@ def nearest_join(left: DataFrame, right: DataFrame, right_cols, tie: str, metric
     stats = R.agg(F.count(F.lit(1)), F.min("_rlat"), F.max("_rlat"), F.min("_rlon"), F.max("_rlon"),
                   F.max(F.abs("_rlat"))).first()
     n_right = stats[0]
-    if not n_right:
-        return left.withColumns({c: F.lit(None) for c in right_cols + [dist_col]})
+    if not n_right:                             # enrichment from nothing: its documented defaults
+        return left.withColumns({c: F.lit(ENRICHMENT_DEFAULTS.get(c)).cast(right.schema[c].dataType) for c in right_cols}
+                                | {dist_col: F.lit(None).cast("double")})
     lstats = L.agg(F.min("_llat"), F.max("_llat"), F.min("_llon"), F.max("_llon"), F.max(F.abs("_llat"))).first()
     if lstats[0] is None:                       # no left coordinates: nothing to match
         return left.withColumns({c: F.lit(None) for c in right_cols + [dist_col]})
@@ -270,8 +271,16 @@ def line_centroids(segments: DataFrame, edge_key: str = "edge_id") -> DataFrame:
 
 
 def road_attributes(edges: DataFrame, edge_key: str = "edge_id") -> DataFrame:
-    """edge -> road_type (class code) and speed_limit (parsed), one row per edge."""
-    hw = F.col("highway")
-    hw_text = first_of_list(hw) if isinstance(edges.schema["highway"].dataType, T.ArrayType) else hw
-    return edges.select(edge_key, road_type_code(hw_text).alias("road_type"),
-                        parse_speed("maxspeed").alias("speed_limit")).dropDuplicates([edge_key])
+    """edge -> road_type (class code) and speed_limit (parsed), one row per edge.
+
+    Without a ``highway`` column at all every edge has class 2, without ``maxspeed`` the default speed.
+    """
+    if "highway" in edges.columns:
+        hw = F.col("highway")
+        kind = road_type_code(first_of_list(hw) if isinstance(edges.schema["highway"].dataType, T.ArrayType) else hw)
+    else:
+        kind = F.lit(ROAD_TYPE_WITHOUT_COLUMN)
+    speed = parse_speed("maxspeed" if "maxspeed" in edges.columns else F.lit(None))
+    # an edge's segments carry the same attributes; min makes the choice independent of their order
+    return edges.groupBy(edge_key).agg(F.min(F.struct(kind.alias("road_type"), speed.alias("speed_limit"))).alias("a")) \
+        .select(edge_key, "a.road_type", "a.speed_limit")

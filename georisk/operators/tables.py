@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,28 +26,51 @@ def replace_table(df: DataFrame, name: str | None = None, path: str | None = Non
         w.parquet(path)
 
 
-def replace_partition(df: DataFrame, path: str, partition_col: str = "date") -> None:
-    """Replace exactly the partitions present in ``df``; others stay untouched.
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
 
-    Dynamic partition overwrite: the write of one date deletes and rewrites
-    that date's folder only, atomically per partition at job commit.
+def replace_partition(df: DataFrame, path: str, partition_col: str = "date", values=()) -> None:
+    """Replace the partitions present in ``df`` and those named in ``values``; others stay untouched.
+
+    Dynamic partition overwrite rewrites a date's folder at job commit.  A date
+    named in ``values`` for which ``df`` has no row ends up empty: a run that
+    finds nothing must not leave the rows of the run before.
     """
     spark = df.sparkSession
-    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy(partition_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for v in values:
+        if df.filter(F.col(partition_col) == F.lit(v)).isEmpty():
+            folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{partition_col}={v}")
+            folder.getFileSystem(conf).delete(folder, True)
 
 
 def layout_for_lookup(df: DataFrame, path: str, partition_col: str = "date", range_col: str = "hour",
                       sort_desc: str = "probability") -> None:
-    """Partition by date, cluster by hour, sort by probability descending inside files,
-    so lookups by (date, hour) and by probability skip row groups via min/max statistics."""
-    (df.repartitionByRange(partition_col, range_col)
+    """Partition by date, cluster by hour and descending probability, so lookups by (date, hour) and by probability
+    skip row groups via min/max statistics.  The probability is part of the range key: a full hour is several files.
+    Replaces all that is stored under ``path``."""
+    (df.repartitionByRange(partition_col, range_col, F.desc(sort_desc))
        .sortWithinPartitions(partition_col, range_col, F.desc(sort_desc))
-       .write.mode("overwrite").partitionBy(partition_col).parquet(path))
+       .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(partition_col).parquet(path))
+
+
+@contextmanager
+def with_view(df: DataFrame, name: str):
+    """``df`` as a temporary view inside the block."""
+    df.createOrReplaceTempView(name)
+    try:
+        yield df.sparkSession
+    finally:
+        df.sparkSession.catalog.dropTempView(name)
+
+
+def preview(df: DataFrame, n: int, order) -> DataFrame:
+    """The first ``n`` rows in ``order`` (a top-k, not a sort of the table)."""
+    return df.orderBy(*([order] if isinstance(order, str) else order)).limit(n)
 
 
 def assign_row_ids(df: DataFrame, partition_col: str = "date", order=("hour", "latitude", "longitude"),
@@ -62,8 +87,3 @@ def assign_row_ids(df: DataFrame, partition_col: str = "date", order=("hour", "l
     # one row per date: the planner broadcasts it when its measured size allows
     return idx.join(first, partition_col) \
         .withColumn(out, F.col("_gidx") - F.col("_first") + 1).drop("_gidx", "_first")
-
-
-def stage_counts(**frames: DataFrame) -> dict:
-    """Row counts returned by a stage (driver receives scalars only)."""
-    return {k: v.count() for k, v in frames.items()}

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import features as feat
 from ..operators import ingest, profile
+from ..params import HOLIDAYS
 from ..sources import bindings as B
 from .registry import ORACLES, QUERIES, r6, register
 
@@ -30,7 +31,8 @@ def all_oracles():
 
 
 # ============================================================ features / flagship
-FEATURE_CORE_SQL = """latitude * hour / 24 AS lat_hour, longitude * hour / 24 AS lon_hour,
+HOLIDAY_NUMBERS = ", ".join(str(100 * m + d) for m, d in HOLIDAYS)
+FEATURE_CORE_SQL = f"""latitude * hour / 24 AS lat_hour, longitude * hour / 24 AS lon_hour,
   latitude * dayofweek / 7 AS lat_dayofweek, longitude * dayofweek / 7 AS lon_dayofweek,
   CAST(dayofweek >= 5 AS INT) AS is_weekend,
   CAST(hour BETWEEN 6 AND 8 AS INT) AS is_rush_morning,
@@ -38,7 +40,7 @@ FEATURE_CORE_SQL = """latitude * hour / 24 AS lat_hour, longitude * hour / 24 AS
   CAST(hour >= 19 OR hour <= 5 AS INT) AS is_night,
   sin(2*pi()*hour/24) AS hour_sin, cos(2*pi()*hour/24) AS hour_cos,
   sin(2*pi()*dayofweek/7) AS dayofweek_sin, cos(2*pi()*dayofweek/7) AS dayofweek_cos,
-  CAST(month*100 + day IN (101, 501, 508, 714, 924, 1101, 1111, 1225) AS INT) AS is_holiday,
+  CAST(month*100 + day IN ({HOLIDAY_NUMBERS}) AS INT) AS is_holiday,
   CAST(month IN (1, 7, 8, 12) AS INT) AS school_holidays"""
 DEFAULTS_SQL = "2 AS road_type, 50 AS speed_limit, 0 AS accident_density_5km, 100 AS dist_to_noumea_km"
 FEATURE_SQL = f"SELECT *, {FEATURE_CORE_SQL},\n  {DEFAULTS_SQL}\nFROM acc_parts"
@@ -111,14 +113,15 @@ def q_global_summary(spark, sf_dir):
     return profile.global_summary(B.preds(spark, sf_dir)).withColumn("mean_p", r6(F.col("mean_p")))
 
 
-HIST_SQL = """SELECT bin, round(min(lo + (bin - 1) * w), 6) AS bin_lo, round(min(lo + bin * w), 6) AS bin_hi,
-       count(*) AS n FROM (
-  SELECT lo, w, CAST(CASE WHEN hi = lo THEN 1 ELSE greatest(1, least(10, ceil((probability - lo) / w))) END AS INT) AS bin
-  FROM preds, (SELECT min(probability) AS lo, max(probability) AS hi,
-                      (max(probability) - min(probability)) / 10 AS w FROM preds) m) GROUP BY bin"""
+HIST_SQL = """WITH m AS (SELECT min(probability) AS lo, max(probability) AS hi,
+                              (max(probability) - min(probability)) / 10 AS w FROM preds),
+c AS (SELECT CAST(CASE WHEN hi = lo THEN 1 ELSE greatest(1, least(10, ceil((probability - lo) / w))) END AS INT) AS bin
+      FROM preds, m)
+SELECT CAST(b.bin AS INT) AS bin, round(lo + (b.bin - 1) * w, 6) AS bin_lo, round(lo + b.bin * w, 6) AS bin_hi,
+       (SELECT count(*) FROM c WHERE c.bin = b.bin) AS n FROM range(1, 11) b(bin), m"""
 
 
-@register("histogram", B.with_views(HIST_SQL, "preds"))
+@register("histogram", B.with_views(f"SELECT * FROM ({HIST_SQL})", "preds"))
 def q_histogram(spark, sf_dir):
     h = profile.histogram(B.preds(spark, sf_dir), "probability", 10)
     return h.select("bin", r6(F.col("bin_lo")).alias("bin_lo"), r6(F.col("bin_hi")).alias("bin_hi"), "n")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import geo
 from ..operators import spatial
-from ..params import CITY_CENTRE, DEFAULT_PARAMS, GRID_BOUNDS, GRID_STEP, PipelineParams, true_radius_rad
+from ..params import CITY_CENTRE, DEFAULT_PARAMS, GRID_BOUNDS, GRID_STEP, JobParams, true_radius_rad
 from ..session import cut_lineage
 from ..sources.grid import make_grid
 
@@ -45,9 +48,9 @@ def attach_distance_to_centre(points: DataFrame, centre=CITY_CENTRE, out: str =
 
 
 def precompute(spark: SparkSession, segments: DataFrame, events: DataFrame,
-               params: PipelineParams = DEFAULT_PARAMS, compat_radius: bool = False) -> DataFrame:
+               params: JobParams = DEFAULT_PARAMS, compat_radius: bool = False) -> DataFrame:
     """Road grid with road attributes, accident density and distance to the centre."""
-    grid = cut_lineage(road_grid(spark, segments, params.grid_bounds, params.grid_step, params.buffer_meters,
+    grid = cut_lineage(road_grid(spark, segments, params.bounds, params.step, params.road_buffer_m,
                                  dedupe=True))
     grid = attach_road_attributes(grid.select("latitude", "longitude"), segments)
     radius = params.density_radius_km / 111.0 if compat_radius else true_radius_rad(params.density_radius_km)
@@ -68,19 +71,19 @@ def positives(events: DataFrame, bounds=GRID_BOUNDS, dow_base: str = "mon0") ->
                     "hour", "dayofweek", "month", "day", F.lit(1).alias("target"))
 
 
-def silver(spark: SparkSession, events: DataFrame, segments: DataFrame, params: PipelineParams = DEFAULT_PARAMS,
+def silver(spark: SparkSession, events: DataFrame, segments: DataFrame, params: JobParams = DEFAULT_PARAMS,
            grid: DataFrame | None = None) -> DataFrame:
     """Positives + synthetic negatives, 24 features, enrichment from the nearest road-grid point."""
     from ..operators import features as feat
     from ..operators import ingest, sampling
-    pos = positives(events, params.grid_bounds, params.dow_base)
+    pos = positives(events, params.bounds, params.dow_base)
     ev = pos.select(F.col("src_id").alias("num_acc"), "datetime", "latitude", "longitude", "atm")
     g = grid if grid is not None else precompute(spark, segments, ev, params)
     road = g.select("latitude", "longitude")        # the stored grid is the (deduplicated) road grid
-    safe = cut_lineage(spatial.exclude_near_points(road, ev, params.accident_exclusion_buffer_km * 1000.0))
-    neg = sampling.generate_negatives(spark, ev, safe, road, seed=params.seed, ratio=params.n_negative_samples_ratio,
-                                      cap_per_point=params.negative_cap_per_point,
-                                      risk_ratio=params.temporal_risk_ratio, dow_base=params.dow_base)
+    safe = cut_lineage(spatial.exclude_near_points(road, ev, params.sampling.exclusion_m))
+    neg = sampling.generate_negatives(spark, ev, safe, road, seed=params.sampling.seed,
+                                      ratio=params.sampling.ratio, cap_per_point=params.sampling.cap_per_point,
+                                      risk_ratio=params.sampling.observed_times, dow_base=params.dow_base)
     neg = neg.select(F.col("sample_id").alias("src_id"), "datetime", "latitude", "longitude", "atm", "hour",
                      "dayofweek", "month", F.dayofmonth("datetime").cast("int").alias("day"), "target")
     both = ingest.union_all(pos, cut_lineage(neg))
@@ -88,52 +91,105 @@ def silver(spark: SparkSession, events: DataFrame, segments: DataFrame, params:
                  "road_type", "speed_limit", "accident_density_5km", "dist_to_noumea_km")
     enriched = spatial.nearest_join(both, g, ["road_type", "speed_limit", "accident_density_5km",
                                               "dist_to_noumea_km"], tie="_gkey")
-    return cut_lineage(feat.build_features(enriched, params.profile).drop("nearest_dist", "nearest__gkey"))
+    return cut_lineage(feat.build_features(enriched, params.calendar).drop("nearest_dist", "nearest__gkey"))
+
 
+def gold(silver_df: DataFrame, params: JobParams = DEFAULT_PARAMS, out_dir: str | None = None) -> DataFrame:
+    """Encode atm (text order), drop incomplete rows, exact stratified split -> column ``split``.
 
-def gold(silver_df: DataFrame, params: PipelineParams = DEFAULT_PARAMS) -> DataFrame:
-    """Encode atm (text order), drop incomplete rows, exact stratified split -> column ``split``."""
-    from ..operators import ingest, model, sampling
+    With ``out_dir`` the tables train, test, feature_metadata and encoder are replaced there; ``load_encoder`` reads
+    the last one for scoring.
+    """
+    from ..operators import features, ingest, model, sampling, tables
     from ..params import FEATURE_COLUMNS
-    enc = model.encode_label(silver_df, "atm")
-    clean = ingest.drop_incomplete(enc, FEATURE_COLUMNS)
-    return cut_lineage(sampling.stratified_split(clean, "target", params.test_size, params.seed,
-                                                 hash_cols=["target", "src_id"]))
+    encoder = cut_lineage(model.label_dictionary(silver_df, "atm"), "encoder")
+    features.require_columns(silver_df)
+    clean = ingest.drop_incomplete(model.apply_encoder(silver_df, "atm", encoder), FEATURE_COLUMNS)
+    out = cut_lineage(sampling.stratified_split(clean, "target", params.test_share, params.sampling.seed,
+                                                hash_cols=["target", "src_id"]), "gold")
+    if out_dir:
+        for part in ("train", "test"):
+            tables.replace_table(out.filter(F.col("split") == part).select(*FEATURE_COLUMNS, "target"),
+                                 path=f"{out_dir}/{part}")
+        tables.replace_table(features.feature_metadata(silver_df.sparkSession), path=f"{out_dir}/feature_metadata")
+        tables.replace_table(encoder, path=f"{out_dir}/encoder")
+    return out
+
+
+def load_encoder(spark: SparkSession, gold_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{gold_dir}/encoder")
 
 
 # ------------------------------------------------------------------ scoring
-def score_daily(grid: DataFrame, day: DataFrame, atm_code: int = 1, profile: str = "pipeline", scorer=None):
-    from ..operators.scoring import score_day
-    return score_day(grid, day, atm_code, profile, scorer)
+def score_daily(grid: DataFrame, day: DataFrame, path: str, atm_code: int = 1, profile: str = "pipeline", scorer=None,
+                encoder: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Score every grid point for every hour of ``day`` and replace that date's rows under ``path``.
+
+    Rows get ids from 1 per date.  A broken constraint (null date or
+    probability, a repeated date, hour and place) raises before anything is
+    replaced.  A grid without points leaves the date empty.  Returns the
+    stored table and the day's statistics.
+    """
+    from ..operators import ingest, profile as prof, scoring, tables
+    scored = scoring.score_day(grid, day, atm_code, profile, scorer, encoder=encoder)
+    rows = cut_lineage(tables.assign_row_ids(scored, "date", ["hour", "latitude", "longitude"]), "predictions")
+    broken = ingest.check_table_constraints(rows, ["date", "probability"], ["date", "hour", "latitude", "longitude"])
+    if first := broken.first():
+        raise ValueError(f"predictions break {first['constraint']} at {first['key']} ({first['n']} rows)")
+    when = day.select("date").limit(1).first()[0]
+    tables.replace_partition(rows, path, "date", [when])
+    stored = grid.sparkSession.read.schema(rows.schema).parquet(path)
+    return stored, prof.prediction_day_stats(stored.filter(F.col("date") == F.lit(when)))
 
 
 # ------------------------------------------------------------------ bronze
+ACCIDENT_SCHEMA = T.StructType([T.StructField("Num_Acc", T.LongType())] + [
+    T.StructField(c, T.StringType()) for c in ("jour", "mois", "an", "hrmn", "lat", "long", "atm", "dep")])
+USER_SCHEMA = T.StructType([T.StructField("Num_Acc", T.LongType())])
+
+
 def bronze(spark: SparkSession, carac_pattern: str, usagers_pattern: str | None = None, mode: str = "correct",
-           carac_fallback=(), usagers_fallback=()):
-    """Yearly CSV files -> cleaned events; returns (frame, stage counts)."""
-    from ..operators import ingest
+           carac_fallback=(), usagers_fallback=(), sep: str | None = None, out_dir: str | None = None):
+    """Yearly CSV files -> cleaned events; returns (frame, stage counts).
+
+    ``sep=None`` finds each file's separator.  With ``out_dir`` the tables
+    caracteristiques, usagers and accidents_nc are replaced there.
+    """
+    from ..operators import ingest, tables
     from ..sources import files
-    carac = files.scan_csv_union(spark, files.discover_sources(spark, carac_pattern, carac_fallback))
+    carac = files.scan_csv_union(spark, files.discover_sources(spark, carac_pattern, carac_fallback), sep)
     users = None
     if usagers_pattern:
-        users = files.scan_csv_union(spark, files.discover_sources(spark, usagers_pattern, usagers_fallback))
-    out = cut_lineage(ingest.parse_accidents(carac, users, mode=mode), "bronze")
+        users = files.scan_csv_union(spark, files.discover_sources(spark, usagers_pattern, usagers_fallback), sep)
+    typed = carac.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in ACCIDENT_SCHEMA.fields])
+    keys = users.select(F.col("Num_Acc").try_cast("long").alias("Num_Acc")) if users is not None else None
+    out = cut_lineage(ingest.parse_accidents(typed, keys, mode=mode), "bronze")
     counts = {"caracteristiques": carac.count(), "accidents_nc": out.count()}
     if users is not None:
         counts["usagers"] = users.count()
+    if out_dir:
+        for name, table in (("caracteristiques", carac), ("usagers", users), ("accidents_nc", out)):
+            if table is not None:
+                tables.replace_table(table, path=f"{out_dir}/{name}")
     return out, counts
 
 
 # ------------------------------------------------------------------ training
 GBT_SPACE = {"maxDepth": [3, 4, 5, 6], "maxIter": [10, 20, 40], "stepSize": [0.05, 0.1, 0.2]}
+FOREST_SPACE = {"maxDepth": [4, 6, 8, 10], "numTrees": [50, 100, 200], "minInstancesPerNode": [1, 5]}
+LOGISTIC_SPACE = {"regParam": [0.0, 1e-5, 1e-4, 1e-3, 1e-2], "elasticNetParam": [0.0, 0.5]}
 
 
-def train(spark: SparkSession, gold_df: DataFrame, out_dir: str | None = None, fast: bool = False,
-          tune_trials: int = 0):
+def train(spark: SparkSession, gold_df: DataFrame, out_dir: str | None = None, logistic_iterations: int = 2000,
+          trees: int = 200, rounds: int = 200, perceptron_iterations: int = 100, tune_trials: int = 0):
     """Fit the candidate models on the train split, evaluate on the test split, rank by recall.
 
-    ``tune_trials`` > 0 picks the GBT parameters by random search, scored by recall of class 1 on a
-    validation split carved out of the training rows (the test split stays unseen).
+    ``logistic_iterations`` is a bound (the optimiser stops when it has
+    converged); ``trees`` of the forest, ``rounds`` of boosting and
+    ``perceptron_iterations`` are the work asked for.  ``tune_trials`` > 0
+    picks parameters of the first three by random search, scored by recall of
+    class 1 on a validation split carved out of the training rows (the test
+    split stays unseen).
 
     Returns (leaderboard, fitted models by name).  With ``out_dir`` the
     leaderboard is written as JSON and the best model as a PipelineModel.
@@ -142,28 +198,25 @@ def train(spark: SparkSession, gold_df: DataFrame, out_dir: str | None = None, f
     from ..operators import model
     train_df = cut_lineage(model.with_class_weights(gold_df.filter(F.col("split") == "train"), "target"),
                            "train_rows")
-    train_df = train_df.persist()
     test_df = gold_df.filter(F.col("split") == "test")
     sw = train_df.agg(F.sum("weight")).first()[0]
     pipes = {
-        "LogisticRegression": model.logistic_pipeline(C=0.5, max_iter=100 if fast else 2000, sum_weights=sw),
-        "RandomForest": model.tree_pipeline("rf", numTrees=20 if fast else 200, maxDepth=8),
-        "GBT": model.tree_pipeline("gbt", maxIter=10 if fast else 200, maxDepth=5),
+        "LogisticRegression": (model.logistic_pipeline(C=0.5, max_iter=logistic_iterations, sum_weights=sw), LOGISTIC_SPACE),
+        "RandomForest": (model.tree_pipeline("rf", numTrees=trees, maxDepth=8), FOREST_SPACE),
+        "GBT": (model.tree_pipeline("gbt", maxIter=rounds, maxDepth=5), GBT_SPACE),
     }
     fitted, parts = {}, []
-    for name, pipe in pipes.items():
-        if name == "GBT" and tune_trials:
-            est = pipe.getStages()[-1]
-            fitted[name] = model.tune(pipe, est, GBT_SPACE, train_df, n_trials=tune_trials).bestModel
+    for name, (pipe, space) in pipes.items():
+        if tune_trials:
+            fitted[name] = model.tune(pipe, pipe.getStages()[-1], space, train_df, n_trials=tune_trials).bestModel
         else:
             fitted[name] = pipe.fit(train_df)
-        scored = model.score(test_df, fitted[name], out="score").withColumnRenamed("target", "label")
+    fitted["MLP"] = model.fit_mlp(cut_lineage(model.oversample(train_df), "oversampled"), max_iter=perceptron_iterations)
+    for name, m in fitted.items():
+        # stored once: each metric reads the scored rows, not the model
+        scored = cut_lineage(model.score(test_df, m, out="score").select(F.col("target").alias("label"), "score"), "scored")
         parts.append(ev.binary_metrics(scored, "label", "score").withColumn("model", F.lit(name)))
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
-    board = cut_lineage(ev.leaderboard(res), "leaderboard")
-    train_df.unpersist()
+    board = cut_lineage(ev.leaderboard(reduce(DataFrame.unionByName, parts)), "leaderboard")
     if out_dir:
         board.coalesce(1).write.mode("overwrite").json(f"{out_dir}/leaderboard")
         best = board.orderBy(F.desc("recall_raw"), F.asc("model")).first()["model"]

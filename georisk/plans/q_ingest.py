@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
 
 from ..functions import parse
@@ -11,6 +9,7 @@ from ..operators import ingest, profile, spatial, tables
 from ..session import scratch_path
 from ..sources import bindings as B
 from ..sources import files
+from . import jobs
 from .q_spatial import CENTROIDS
 from .registry import r6, register
 
@@ -144,15 +143,15 @@ def q_union_distinct(spark, sf_dir):
                                           extra={"b1": BRONZE_SQL.replace(
                                               " LEFT JOIN usagers_raw u ON c.Num_Acc = u.Num_Acc", "")}))
 def q_bronze_csv(spark, sf_dir):
-    """Raw records written as one CSV file per year, discovered by glob, read and unioned by
-    column name with inferred types, then cleaned (no fan-out)."""
+    """Raw records written as CSV files per year and form of ``hrmn``, half of the years with ``;`` and another
+    column order, discovered by glob, read as text and unioned by name, then cleaned (no fan-out)."""
     out = scratch_path(spark, "carac_csv")
-    raw = B.carac_raw(spark, sf_dir)
-    raw.withColumn("year_part", F.col("an")).repartition("year_part").write.partitionBy("year_part") \
-        .option("header", True).csv(out)
-    paths = files.discover_sources(spark, os.path.join(out, "year_part=*", "*.csv"))
-    carac = files.scan_csv_union(spark, paths)
-    return ingest.parse_accidents(carac, None, mode="correct")
+    raw = B.carac_raw(spark, sf_dir).withColumns({"year_part": F.col("an"), "form": F.col("Num_Acc") % 3})
+    for k, (sep, columns) in enumerate(((",", raw.columns), (";", raw.columns[::-1]))):
+        raw.filter(F.col("an") % 2 == k).select(*columns).repartition("year_part", "form") \
+            .write.partitionBy("year_part", "form").option("header", True).option("sep", sep).csv(f"{out}/{k}")
+    paths = files.discover_sources(spark, f"{out}/*/year_part=*/form=*/*.csv")
+    return ingest.parse_accidents(files.scan_csv_union(spark, paths, schema=jobs.ACCIDENT_SCHEMA), None, mode="correct")
 
 
 @register("road_edges_geojson", B.with_views(
@@ -195,23 +194,24 @@ def q_row_ids(spark, sf_dir):
 
 
 @register("prediction_constraints", B.with_views(
-    """SELECT 'unique' AS rule, concat_ws('|', CAST(date AS VARCHAR), CAST(hour AS VARCHAR),
-              CAST(latitude AS VARCHAR), CAST(longitude AS VARCHAR)) AS key, count(*) AS n
-       FROM preds GROUP BY date, hour, latitude, longitude HAVING count(*) > 1""", "preds"))
+    """SELECT 'unique' AS rule, concat_ws('|', CAST(date AS VARCHAR), CAST(hour AS VARCHAR)) AS key, count(*) AS n
+       FROM preds GROUP BY date, hour HAVING count(*) > 1""", "preds"))
 def q_pred_constraints(spark, sf_dir):
-    """UNIQUE(date, hour, latitude, longitude) and NOT NULL checks on the prediction table."""
+    """UNIQUE(date, hour), which events break, and NOT NULL checks on the prediction table."""
     v = ingest.check_table_constraints(B.preds(spark, sf_dir), not_null=["probability", "date"],
-                                       unique=["date", "hour", "latitude", "longitude"])
+                                       unique=["date", "hour"])
     return v.withColumnRenamed("constraint", "rule")
 
 
 @register("prediction_lookup", B.with_views(
-    """SELECT event_id, date, hour, probability FROM preds WHERE hour = 8 AND probability >= 0.9e0""", "preds"))
+    """SELECT event_id, date, hour, probability FROM preds
+       WHERE date >= (SELECT max(date) - 100 FROM preds) AND hour = 8 AND probability >= 0.9e0""", "preds"))
 def q_lookup(spark, sf_dir):
     """Predictions laid out for lookups (date partitions, hour ranges, probability-sorted files), then a
     (hour, probability) lookup that prunes by partition and Parquet min/max statistics."""
     out = scratch_path(spark, "pred_layout")
     tables.layout_for_lookup(B.preds(spark, sf_dir), out)
     back = spark.read.parquet(out)
-    return back.filter((F.col("hour") == 8) & (F.col("probability") >= 0.9)) \
+    since = back.agg(F.date_sub(F.max("date"), 100)).first()[0]      # a literal date prunes folders
+    return back.filter((F.col("date") >= F.lit(since)) & (F.col("hour") == 8) & (F.col("probability") >= 0.9)) \
         .select("event_id", "date", "hour", "probability")

@@ -7,9 +7,11 @@ import re
 from pyspark.sql import functions as F
 
 from ..operators import features as feat
-from ..operators import profile, scoring
+from ..operators import model, profile, scoring
 from ..session import scratch_path
+from ..operators.tables import path_exists
 from ..sources import bindings as B
+from ..sources.grid import load_enriched_grid
 from ..streaming import requests as stream
 from . import jobs
 from .catalog import FEATURE_CORE_SQL
@@ -35,8 +37,17 @@ def pre_ctes(events: str = "acc") -> dict:
                       FROM road_attr r JOIN density d USING (latitude, longitude) JOIN vin v USING (latitude, longitude)"""}
 
 
+_stores: dict[tuple, str] = {}
+
+
+def _stored(spark, sf_dir, name: str) -> str:
+    """One store per application, input and name: the queries that score share what the first one computed."""
+    return _stores.setdefault((spark.sparkContext.applicationId, sf_dir, name), scratch_path(spark, name))
+
+
 def _pre_grid(spark, sf_dir):
-    return jobs.precompute(spark, B.roads(spark, sf_dir), B.acc(spark, sf_dir))
+    return load_enriched_grid(spark, _stored(spark, sf_dir, "enriched_grid"),
+                              lambda: jobs.precompute(spark, B.roads(spark, sf_dir), B.acc(spark, sf_dir)))
 
 
 def _next_day(spark, sf_dir):
@@ -169,7 +180,10 @@ SILVER_CTES = {
 
 
 def _silver(spark, sf_dir):
-    return jobs.silver(spark, B.acc(spark, sf_dir), B.roads(spark, sf_dir))
+    path = _stored(spark, sf_dir, "silver")
+    if not path_exists(spark, path):
+        jobs.silver(spark, B.acc(spark, sf_dir), B.roads(spark, sf_dir)).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 @register("silver_dataset", B.with_views(
@@ -200,8 +214,8 @@ def q_gold_sizes(spark, sf_dir):
 # ------------------------------------------------------------------ training
 @register("train_leaderboard")
 def q_train(spark, sf_dir):
-    """Train three spark.ml classifiers on gold train, evaluate on test, rank by recall (rows-only check)."""
-    board, _ = jobs.train(spark, jobs.gold(_silver(spark, sf_dir)), fast=True)
+    """Train the four spark.ml classifiers on gold train, evaluate on test, rank by recall (rows-only check)."""
+    board, _ = jobs.train(spark, jobs.gold(_silver(spark, sf_dir)))
     return board
 
 
@@ -237,13 +251,109 @@ def q_risk_hourly(spark, sf_dir):
     return profile.hourly_stats(_top5(spark, sf_dir), decimals=6, half_even=False)
 
 
+def _hist_sql(src: str) -> str:
+    return f"""WITH m AS (SELECT min(probability) AS lo, max(probability) AS hi,
+                              (max(probability) - min(probability)) / 10 AS w FROM {src}),
+c AS (SELECT CAST(CASE WHEN hi = lo THEN 1 ELSE greatest(1, least(10, ceil((probability - lo) / w))) END AS INT) AS bin
+      FROM {src}, m)
+SELECT CAST(b.bin AS INT) AS bin, (SELECT count(*) FROM c WHERE c.bin = b.bin) AS n
+FROM range(1, 11) b(bin) WHERE EXISTS (SELECT 1 FROM {src})"""
+
+
+HIGH_CTE = {"high": "SELECT * FROM dfeat WHERE probability > 0.1e0 AND probability >= 0.12e0"}
+
+
+def _report(spark, sf_dir, **how):
+    return jobs.risk_report(scoring.score_day(_pre_grid(spark, sf_dir), _next_day(spark, sf_dir), atm_code=1), **how)
+
+
 @register("risk_report_histogram", B.with_views(
-    """SELECT bin, count(*) AS n FROM (
-         SELECT CAST(CASE WHEN hi = lo THEN 1 ELSE greatest(1, least(10, ceil((probability - lo) / w))) END AS INT) AS bin
-         FROM dfeat, (SELECT min(probability) AS lo, max(probability) AS hi,
-                             (max(probability) - min(probability)) / 10 AS w FROM dfeat) m) GROUP BY bin""",
-    "grid", "roads", "acc", extra={**pre_ctes(), **DAY_CTES}))
+    f"SELECT * FROM ({_hist_sql('top5')})", "grid", "roads", "acc", extra={**pre_ctes(), **DAY_CTES, **TOP5_CTE}))
 def q_risk_histogram(spark, sf_dir):
-    """Risk report: 10-bin histogram of all probabilities of the scored day."""
-    s = scoring.score_day(_pre_grid(spark, sf_dir), _next_day(spark, sf_dir), atm_code=1)
-    return profile.histogram(s, "probability", 10).select("bin", "n")
+    """Risk report (top-N mode): ten bins of the selected points' probabilities, empty ones included."""
+    return _report(spark, sf_dir, mode="top_n", n=5)["histogram"].select("bin", "n")
+
+
+@register("risk_report_threshold", B.with_views(
+    f"""SELECT hour, latitude, longitude, round(probability, 6) AS probability, {BANDS_SQL} FROM high""",
+    "grid", "roads", "acc", extra={**pre_ctes(), **DAY_CTES, **HIGH_CTE}))
+def q_risk_threshold(spark, sf_dir):
+    """Risk report (threshold mode with a minimum display filter): the selected points with bands and labels."""
+    sel = _report(spark, sf_dir, mode="threshold", threshold=0.1, min_display=0.12)["selection"]
+    return sel.select("hour", "latitude", "longitude", r6(F.col("probability")).alias("probability"), "colour", "level",
+                      "hour_label", "probability_label", "tooltip")
+
+
+@register("risk_report_top10", B.with_views(
+    """SELECT hour, latitude, longitude, round(probability, 6) AS probability FROM top5
+       ORDER BY top5.probability DESC, hour, latitude, longitude LIMIT 10""",
+    "grid", "roads", "acc", extra={**pre_ctes(), **DAY_CTES, **TOP5_CTE}))
+def q_risk_top10(spark, sf_dir):
+    """Risk report: the ten riskiest of the selected points."""
+    top = _report(spark, sf_dir, mode="top_n", n=5)["top10"]
+    return top.select("hour", "latitude", "longitude", r6(F.col("probability")).alias("probability"))
+
+
+@register("score_daily_job", B.with_views(
+    """SELECT row_number() OVER (ORDER BY hour, latitude, longitude) AS id, date, hour, latitude, longitude,
+              round(probability, 6) AS probability, atm AS atm_code, dayofweek, month FROM dfeat""",
+    "grid", "roads", "acc", extra={**pre_ctes(), **DAY_CTES}))
+def q_score_daily(spark, sf_dir):
+    """The daily job: a first run with another weather code, then the run whose rows replace that date; read back."""
+    out = scratch_path(spark, "daily_predictions")
+    grid, day = _pre_grid(spark, sf_dir), _next_day(spark, sf_dir)
+    jobs.score_daily(grid, day, out, atm_code=3)
+    stored, _ = jobs.score_daily(grid, day, out, atm_code=1)
+    return stored.select("id", "date", "hour", "latitude", "longitude", r6(F.col("probability")).alias("probability"),
+                         "atm_code", "dayofweek", "month")
+
+
+# ------------------------------------------------------------------ encoder and rejects
+@register("apply_encoder", B.with_views(
+    """SELECT a.num_acc, a.atm, CAST(coalesce(d.code, (SELECT count(*) FROM dic)) AS INT) AS atm_code
+       FROM acc a LEFT JOIN dic d ON d.atm = a.atm""", "acc",
+    extra={"dic": """SELECT atm, row_number() OVER (ORDER BY CAST(atm AS VARCHAR)) - 1 AS code
+                     FROM (SELECT DISTINCT atm FROM acc WHERE atm <> 4)"""}))
+def q_apply_encoder(spark, sf_dir):
+    """A dictionary fitted without one of the labels, applied to all rows: the unknown label has its own code."""
+    a = B.acc(spark, sf_dir).select("num_acc", "atm")
+    dic = model.label_dictionary(a.filter("atm <> 4"), "atm")
+    return model.apply_encoder(a, "atm", dic, "atm_code")
+
+
+REQ_ENCODED_SQL = REQ_SQL.replace("AS is_holiday) FROM", "AS is_holiday, CAST(coalesce((SELECT d.code FROM dic d WHERE d.atm = "
+                                  "q.atm), (SELECT count(*) FROM dic)) AS INT) AS atm) FROM").replace("FROM p)),", "FROM p) q),")
+
+
+@register("score_requests_encoded", B.with_views(
+    f"SELECT * FROM ({REQ_ENCODED_SQL})", "acc",
+    extra={"dic": """SELECT atm, row_number() OVER (ORDER BY CAST(atm AS VARCHAR)) - 1 AS code
+                     FROM (SELECT DISTINCT atm FROM acc WHERE atm <> 4)"""}))
+def q_score_encoded(spark, sf_dir):
+    """Requests scored by logistic coefficients on the encoded weather code, one label unknown to the encoder."""
+    dic = model.label_dictionary(B.acc(spark, sf_dir).select("atm").filter("atm <> 4"), "atm")
+    return _flat(stream.scored_stream(_requests(spark, sf_dir), encoder=dic))
+
+
+def _dirty_requests(spark, sf_dir):
+    """Every 7th request has an unreadable time, every 5th a latitude outside the box, every 3rd weather code 0."""
+    r, k = _requests(spark, sf_dir), F.col("request_id")
+    return r.withColumns({"datetime": F.when(k % 7 == 0, "junk").otherwise(F.col("datetime")),
+                          "latitude": F.when(k % 5 == 0, F.lit(10.0)).otherwise(F.col("latitude")),
+                          "atm": F.when(k % 3 == 0, F.lit(0)).otherwise(F.col("atm"))})
+
+
+REJECT_SQL = """SELECT num_acc AS request_id, concat_ws(',',
+    CASE WHEN num_acc % 5 = 0 OR NOT latitude BETWEEN -23e0 AND -19.5e0 THEN 'latitude' END,
+    CASE WHEN NOT longitude BETWEEN 163.5e0 AND 168e0 THEN 'longitude' END,
+    CASE WHEN num_acc % 7 = 0 THEN 'datetime' END,
+    CASE WHEN num_acc % 3 = 0 OR NOT atm BETWEEN 1 AND 9 THEN 'atm' END) AS reasons FROM acc"""
+
+
+@register("score_requests_rejects", B.with_views(f"SELECT * FROM ({REJECT_SQL}) WHERE reasons <> ''", "acc"))
+def q_rejects(spark, sf_dir):
+    """Requests with unreadable times, places outside the box and bad codes through the stream: the rejects table."""
+    src, sink = scratch_path(spark, "dirty_in"), scratch_path(spark, "dirty_out")
+    _dirty_requests(spark, sf_dir).repartition(4).write.parquet(src)
+    stream.run_to_sink(spark, src, sink, scratch_path(spark, "dirty_ckpt"))
+    return spark.read.parquet(f"{sink}-rejected").select("request_id", "reasons")

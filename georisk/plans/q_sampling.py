@@ -31,7 +31,7 @@ d2 AS (SELECT d.sample_id,
          {H(SEED, 'point', 'd.sample_id')} % nn.n_pts AS pi,
          {H(SEED, 'time', 'd.sample_id')} % nn.n_ev AS ti,
          {H(SEED, 'atm', 'd.sample_id')} % nn.n_ev AS ai,
-         {H(SEED, 'uniform', 'd.sample_id')} / 4294967296e0 AS u,
+         {H(SEED, 'uniform', 'd.sample_id')} / 1152921504606846976e0 AS u,
          row_number() OVER (ORDER BY {H(SEED, 'shuffle', 'd.sample_id')}, d.sample_id) - 1 AS pos,
          nn.n, nn.tmin, nn.tmax FROM draws d, nn),
 neg AS (SELECT d2.sample_id,

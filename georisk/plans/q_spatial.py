@@ -34,7 +34,7 @@ CENTROIDS = """SELECT edge_id,
        THEN (sqrt(power(lon1-lon2,2) + power(lat1-lat2,2)) * ((lon1+lon2)/2)) / sqrt(power(lon1-lon2,2) + power(lat1-lat2,2))
        ELSE (lon1+lon2)/2 END AS clon,
   CAST(CASE coalesce(highway, 'unclassified') WHEN 'motorway' THEN 5 WHEN 'trunk' THEN 4 WHEN 'primary' THEN 3
-       ELSE 1 END AS INT) AS road_type,
+       WHEN 'secondary' THEN 2 WHEN 'tertiary' THEN 2 ELSE 1 END AS INT) AS road_type,
   CAST(CASE WHEN regexp_matches(coalesce(regexp_extract(coalesce(maxspeed, ''), '^\\s*(\\S+)', 1), ''), '^[0-9]+$')
        THEN CAST(regexp_extract(coalesce(maxspeed, ''), '^\\s*(\\S+)', 1) AS INT) ELSE 50 END AS INT) AS speed_limit
 FROM roads"""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -40,10 +39,11 @@ def get_session(master: str | None = None, app: str = "georisk",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names.
+    """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as-is.  Only when it is unset (local tests) a private folder is created.
+    Only a local master, where driver and tasks share one disk, may leave it
+    unset: a private folder is made then.  On a cluster a missing folder is an
+    error, since parts written to one executor's disk can't be read by others.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,16 +51,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="georisk-ckpt-", dir="/tmp")
+        if not is_local(sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="georisk-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+def is_local(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
+_written: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location for written tables."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    path = f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    _written.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables of this application; call it once their results are read or stored."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -75,18 +96,3 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer splits than there are cores.
-
-    Small inputs (one row group, or a small stage table) scan in a single
-    task, and every narrow step after the scan (hashing, geometry, candidate
-    pairs) would run on one core.  Large inputs have far more splits than
-    cores and pass through untouched.  The round-robin repartition is
-    deterministic on retry (spark.sql.execution.sortBeforeRepartition).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df

@@ -16,11 +16,14 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_parallelism
+
+
+# every known road class, one unknown and one missing, by p_size % 10
+ROAD_CLASSES = ("motorway", "trunk", "primary", "secondary", "tertiary", "residential", "unclassified", "service", "track", None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return ensure_parallelism(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def _lat(key):
@@ -80,8 +83,7 @@ def roads(spark: SparkSession, sf_dir: str) -> DataFrame:
         _lat(k).alias("lat1"),
         (_lon(k) + ((k % 7) - 3) / F.lit(100.0)).alias("lon2"),
         (_lat(k) + ((k % 5) - 2) / F.lit(100.0)).alias("lat2"),
-        F.when(size % 5 == 0, "motorway").when(size % 5 == 1, "primary")
-         .when(size % 5 == 2, "residential").when(size % 5 == 3, "track").alias("highway"),
+        F.element_at(F.array(*[F.lit(c) for c in ROAD_CLASSES]), (size % 10 + 1).cast("int")).alias("highway"),
         F.when(size % 4 == 0, "50").when(size % 4 == 1, "80 km/h").when(size % 4 == 2, "walk").alias("maxspeed"),
     )
 
@@ -130,7 +132,9 @@ VIEW_SQL = {
        1635e-1 + ((p_partkey*104729) % 4500)/1000e0 AS lon1, -23e0 + ((p_partkey*7919) % 3500)/1000e0 AS lat1,
        1635e-1 + ((p_partkey*104729) % 4500)/1000e0 + ((p_partkey % 7) - 3)/100e0 AS lon2,
        -23e0 + ((p_partkey*7919) % 3500)/1000e0 + ((p_partkey % 5) - 2)/100e0 AS lat2,
-       CASE p_size % 5 WHEN 0 THEN 'motorway' WHEN 1 THEN 'primary' WHEN 2 THEN 'residential' WHEN 3 THEN 'track' ELSE NULL END AS highway,
+       CASE p_size % 10 WHEN 0 THEN 'motorway' WHEN 1 THEN 'trunk' WHEN 2 THEN 'primary' WHEN 3 THEN 'secondary'
+         WHEN 4 THEN 'tertiary' WHEN 5 THEN 'residential' WHEN 6 THEN 'unclassified' WHEN 7 THEN 'service' WHEN 8 THEN 'track'
+         ELSE NULL END AS highway,
        CASE p_size % 4 WHEN 0 THEN '50' WHEN 1 THEN '80 km/h' WHEN 2 THEN 'walk' ELSE NULL END AS maxspeed FROM part""",
     "preds": """SELECT event_id, CAST(ts AS DATE) AS date, CAST(hour(ts) AS INT) AS hour,
        -23e0 + ((event_id*7919) % 3500)/1000e0 AS latitude, 1635e-1 + ((event_id*104729) % 4500)/1000e0 AS longitude,

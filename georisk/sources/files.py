@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,22 +24,42 @@ def discover_sources(spark: SparkSession, pattern: str, fallback=()) -> list[str
     return sources
 
 
-def scan_csv_union(spark: SparkSession, paths, sep: str = ",", schema: T.StructType | None = None,
-                   header: bool = True) -> DataFrame:
-    """Several CSV files with possibly different columns, unioned by name.
+SEPARATORS = (",", ";", "\t", "|")
 
-    With a schema the files are read in one scan (splittable, parallel);
-    without one each file's header decides its columns and the frames are
-    unioned by name with missing columns as NULL.
+
+def sniff_separator(header: str) -> str:
+    """The separator that occurs most in a header line (first of ``SEPARATORS`` on a tie)."""
+    return max(SEPARATORS, key=lambda x: (header.count(x), -SEPARATORS.index(x)))
+
+
+def scan_csv_union(spark: SparkSession, paths, sep: str | None = None, schema: T.StructType | None = None) -> DataFrame:
+    """Several CSV files with a header, unioned by column name; missing columns are NULL.
+
+    Every field is read as text, so nothing is inferred that differs from file
+    to file ('14:30' stays '14:30', '2A' stays '2A').  Without ``sep`` each
+    file's separator is found from its header line.  Files with the same
+    header are one scan.  ``schema`` picks the columns by name and converts
+    them with ``try_cast`` (NULL where a field doesn't fit).
     """
-    paths = list(paths)
-    if not paths:
+    alike: dict[tuple, list[str]] = {}
+    for p in paths:                                   # one line per file
+        line = (spark.read.text(p).first() or [""])[0].lstrip("\ufeff")
+        own = sep or sniff_separator(line)
+        names = tuple(x.strip() for x in next(csv.reader([line], delimiter=own), []))
+        alike.setdefault((own, names), []).append(p)
+    if not alike:
         raise ValueError("no CSV source given")
-    reader = spark.read.option("header", header).option("sep", sep)
-    if schema is not None:
-        return reader.schema(schema).csv(paths)
-    frames = [reader.option("inferSchema", True).csv(p) for p in paths]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    frames = []
+    for (own, names), files in alike.items():
+        text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        frames.append(spark.read.option("header", True).option("sep", own).option("enforceSchema", True)
+                      .schema(text).csv(files))
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    if schema is None:
+        return out
+    have = {c.lower() for c in out.columns}
+    return out.select(*[(F.col(f.name) if f.name.lower() in have else F.lit(None)).try_cast(f.dataType).alias(f.name)
+                        for f in schema.fields])
 
 
 def scan_csv_lenient(spark: SparkSession, paths, schema: T.StructType, sep: str = ",") -> DataFrame:
@@ -62,18 +83,16 @@ def scan_csv_lenient(spark: SparkSession, paths, schema: T.StructType, sep: str
                                  F.col("_metadata.file_path").alias("filename"))
 
 
+# properties and coordinates differ from file to file: the one is read as a map of texts, the other as JSON text
 ROAD_FEATURE_SCHEMA = T.StructType([
     T.StructField("type", T.StringType()),
     T.StructField("geometry", T.StructType([
         T.StructField("type", T.StringType()),
-        T.StructField("coordinates", T.ArrayType(T.ArrayType(T.DoubleType()))),
-    ])),
-    T.StructField("properties", T.StructType([
-        T.StructField("edge_id", T.LongType()),
-        T.StructField("highway", T.StringType()),
-        T.StructField("maxspeed", T.StringType()),
+        T.StructField("coordinates", T.StringType()),
     ])),
+    T.StructField("properties", T.MapType(T.StringType(), T.StringType())),
 ])
+_LINE = "array<array<double>>"
 
 
 def read_road_edges(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
@@ -81,8 +100,12 @@ def read_road_edges(spark: SparkSession, path: str, multiline: bool = False) ->
 
     ``multiline=False`` reads one feature per line (splittable; the scalable
     layout).  ``multiline=True`` reads a FeatureCollection document, which a
-    single task must parse.  ``highway`` / ``maxspeed`` may be a string or a
-    JSON list; both are normalised to the first element.
+    single task must parse.  A LineString is one edge, a MultiLineString one
+    edge of several lines; other geometries have no segments.  Features
+    without an ``edge_id`` are keyed by a hash of their coordinates.
+    ``highway`` / ``maxspeed`` may be a string or a JSON list; both are
+    normalised to the first element.  A property that no feature has is no
+    column of the result, as attribute defaults depend on that.
     """
     if multiline:
         coll = T.StructType([T.StructField("features", T.ArrayType(ROAD_FEATURE_SCHEMA))])
@@ -90,19 +113,22 @@ def read_road_edges(spark: SparkSession, path: str, multiline: bool = False) ->
         feats = raw.select(F.explode("features").alias("f")).select("f.*")
     else:
         feats = spark.read.schema(ROAD_FEATURE_SCHEMA).json(path)
-
-    def first_text(c):
-        s = F.col(c).cast("string")
+    names = ("highway", "maxspeed")
+    held = feats.agg(*[F.bool_or(F.map_contains_key("properties", n)).alias(n) for n in names]).first()
+    kind, text = F.col("geometry.type"), F.col("geometry.coordinates")
+    lines = (F.when(kind == "LineString", F.array(F.from_json(text, _LINE)))
+             .when(kind == "MultiLineString", F.from_json(text, f"array<{_LINE}>")))
+
+    def first_text(name):
+        s = F.col("properties")[name]
         as_list = F.from_json(s, T.ArrayType(T.StringType()))
         return F.when(s.startswith("["), F.try_element_at(as_list, F.lit(1))).otherwise(s)
 
     edges = feats.select(
-        F.col("properties.edge_id").alias("edge_id"),
-        first_text("properties.highway").alias("highway"),
-        first_text("properties.maxspeed").alias("maxspeed"),
-        F.col("geometry.coordinates").alias("coords"),
-    )
-    return edges_to_segments(edges)
+        F.coalesce(F.col("properties")["edge_id"].try_cast("long"), F.xxhash64(text)).alias("edge_id"),
+        *[first_text(n).alias(n) for n in names if held[n]], lines.alias("lines"))
+    parts = edges.select(*[c for c in edges.columns if c != "lines"], F.posexplode("lines").alias("part", "coords"))
+    return edges_to_segments(parts)
 
 
 def edges_to_segments(edges: DataFrame) -> DataFrame:

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-import numpy as np
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.tables import path_exists
 from ..params import GRID_BOUNDS, GRID_STEP
 
 
 def grid_shape(bounds=GRID_BOUNDS, step: float = GRID_STEP) -> tuple[int, int]:
     """Half-open arange lengths (lat, lon), as numpy computes them."""
     lat_min, lat_max, lon_min, lon_max = bounds
-    return len(np.arange(lat_min, lat_max, step)), len(np.arange(lon_min, lon_max, step))
+    return math.ceil((lat_max - lat_min) / step), math.ceil((lon_max - lon_min) / step)
 
 
 def make_grid(spark: SparkSession, bounds=GRID_BOUNDS, step: float = GRID_STEP,
@@ -35,11 +37,26 @@ def make_grid(spark: SparkSession, bounds=GRID_BOUNDS, step: float = GRID_STEP,
     )
 
 
+def save_enriched_grid(grid: DataFrame, path: str, patterns: DataFrame | None = None) -> None:
+    """The enriched grid, the temporal patterns beside it, and a row of metadata (points, columns, means)."""
+    grid.write.mode("overwrite").parquet(f"{path}/grid")
+    if patterns is not None:
+        patterns.write.mode("overwrite").parquet(f"{path}/patterns")
+    stored = grid.sparkSession.read.parquet(f"{path}/grid")
+    stored.agg(F.count(F.lit(1)).alias("n_points"), F.lit(",".join(stored.columns)).alias("columns"),
+               F.avg("accident_density_5km").alias("mean_density"),
+               F.max("accident_density_5km").cast("long").alias("max_density"),
+               F.avg("dist_to_noumea_km").alias("mean_distance_km")) \
+        .write.mode("overwrite").json(f"{path}/metadata")
+
+
 def load_enriched_grid(spark: SparkSession, path: str, build) -> DataFrame:
-    """Use the stored grid when present, else compute it with ``build()`` and store it."""
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - missing path is the expected case
-        df = build()
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+    """The grid stored by ``save_enriched_grid``; if there is none, ``build()`` it and store it.
+
+    Only a missing store is built: an unreadable one raises.
+    """
+    if not path_exists(spark, f"{path}/grid"):
+        built = build()
+        grid, patterns = built if isinstance(built, tuple) else (built, None)
+        save_enriched_grid(grid, path, patterns)
+    return spark.read.parquet(f"{path}/grid")

@@ -13,8 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import ingest
-from ..operators.scoring import REQUEST_SCHEMA, score_requests
+from ..operators.scoring import REQUEST_SCHEMA, score_requests, split_requests
 
 
 def request_stream(spark: SparkSession, source_dir: str, fmt: str = "parquet",
@@ -25,30 +24,41 @@ def request_stream(spark: SparkSession, source_dir: str, fmt: str = "parquet",
     return reader.format(fmt).load(source_dir)
 
 
-def scored_stream(requests: DataFrame, scorer=None, model_version: str = "formula-1") -> DataFrame:
-    """Valid requests scored; features flattened for a columnar sink."""
-    valid = ingest.validate_ranges(requests, ingest.request_rules()).filter("valid").drop("valid", "reasons")
-    s = score_requests(valid, scorer, model_version)
-    return s.select("request_id", "risk_score", "risk_level", "confidence", "model_version",
+def scored_stream(requests: DataFrame, scorer=None, model_version: str = "formula-1",
+                  encoder: DataFrame | None = None) -> DataFrame:
+    """Valid requests scored, with the features used; those of the sink's filters flattened beside them."""
+    valid, _ = split_requests(requests)
+    s = score_requests(valid, scorer, model_version, encoder)
+    return s.select("request_id", "risk_score", "risk_level", "confidence", "model_version", "features_used",
                     F.col("features_used.hour").alias("hour"), F.col("features_used.is_weekend").alias("is_weekend"))
 
 
 def run_to_sink(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str, fmt: str = "parquet",
                 available_now: bool = True, scorer=None, model_version: str = "formula-1",
-                max_files_per_trigger: int | None = None):
-    """Start the stream into a Parquet sink; with availableNow it returns when drained."""
-    q = (scored_stream(request_stream(spark, source_dir, fmt, max_files_per_trigger), scorer, model_version)
-         .writeStream.format("parquet").option("path", sink_dir).option("checkpointLocation", checkpoint_dir)
-         .outputMode("append"))
-    q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="10 seconds")
-    handle = q.start()
+                max_files_per_trigger: int | None = None, encoder: DataFrame | None = None,
+                rejects_dir: str | None = None):
+    """Start the stream into a Parquet sink; with availableNow it returns when drained.
+
+    A request that fails a rule goes to ``rejects_dir`` (default: ``rejected`` beside the sink) with its reasons,
+    by a second query over the same files with a checkpoint of its own.
+    """
+    source = request_stream(spark, source_dir, fmt, max_files_per_trigger)
+    rejects_dir = rejects_dir or f"{sink_dir.rstrip('/')}-rejected"
+    handles = []
+    for rows, sink, name in ((scored_stream(source, scorer, model_version, encoder), sink_dir, "scored"),
+                             (split_requests(source)[1], rejects_dir, "rejected")):
+        q = rows.writeStream.format("parquet").option("path", sink).outputMode("append") \
+            .option("checkpointLocation", f"{checkpoint_dir.rstrip('/')}/{name}")
+        handles.append((q.trigger(availableNow=True) if available_now else q.trigger(processingTime="10 seconds")).start())
     if available_now:
-        handle.awaitTermination()
-    return handle
+        for h in handles:
+            h.awaitTermination()
+    return handles[0]
 
 
 def run_with_model_reload(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
-                          model_path: str, fmt: str = "parquet", available_now: bool = True):
+                          model_path: str, fmt: str = "parquet", available_now: bool = True,
+                          encoder: DataFrame | None = None):
     """foreachBatch variant: the model folder is (re)read at the start of every
     micro-batch, so a newly published model version is picked up without a restart."""
     from pyspark.ml import PipelineModel
@@ -58,9 +68,10 @@ def run_with_model_reload(spark: SparkSession, source_dir: str, sink_dir: str, c
     def batch(df: DataFrame, epoch_id: int) -> None:
         fitted = PipelineModel.load(model_path)
         out = scored_stream(df, scorer=lambda f: model_score(f, fitted, out="risk_score"),
-                            model_version=model_path.rstrip("/").split("/")[-1])
+                            model_version=model_path.rstrip("/").split("/")[-1], encoder=encoder)
         # one folder per epoch, overwritten on replay: a retried batch cannot duplicate rows
         out.write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/epoch_id={epoch_id}")
+        split_requests(df)[1].write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}-rejected/epoch_id={epoch_id}")
 
     q = request_stream(spark, source_dir, fmt).writeStream.foreachBatch(batch) \
         .option("checkpointLocation", checkpoint_dir)

@@ -125,9 +125,13 @@ def test_lenient_event_loader(spark):
     assert [(r.hour, r.atm, r.dayofweek, r.year) for r in rows] == [(7, 3, 1, 2021), (14, 1, 2, 2021)]
 
 
-def test_apply_encoder_unknown_keeps_raw(spark):
+def test_apply_encoder_unknown_label(spark):
     fit = spark.createDataFrame([(1,), (2,), (3,)], "atm int")
     dic = model.label_dictionary(fit, "atm")
     df = spark.createDataFrame([(1,), (3,), (7,)], "atm int")
     got = {r.atm: r.atm_code for r in model.apply_encoder(df, "atm", dic, "atm_code").collect()}
-    assert got == {1: 0, 3: 2, 7: 7}
+    assert got == {1: 0, 3: 2, 7: 3}
+    text = spark.createDataFrame([("b",), ("z",), (None,), ("a",)], "atm string")
+    dic = model.label_dictionary(text.filter("atm <> 'z'"), "atm")
+    got = {r.atm: r.atm_code for r in model.apply_encoder(text, "atm", dic, "atm_code").collect()}
+    assert got == {"a": 0, "b": 1, "z": 2, None: 2}

@@ -110,8 +110,8 @@ def test_jobs_train_and_report(spark):
     schema = ", ".join(f"{c} double" for c in FEATURE_COLUMNS) + ", target int, split string"
     gold = spark.createDataFrame(rows, schema)
     out = scratch_path(spark, "t_train")
-    board, fitted = jobs.train(spark, gold, out_dir=out, fast=True, tune_trials=2)
-    assert board.count() == 3 and set(fitted) == {"LogisticRegression", "RandomForest", "GBT"}
+    board, fitted = jobs.train(spark, gold, out_dir=out, trees=20, rounds=10, perceptron_iterations=20, tune_trials=2)
+    assert board.count() == 4 and set(fitted) == {"LogisticRegression", "RandomForest", "GBT", "MLP"}
     from pyspark.ml import PipelineModel
     assert PipelineModel.load(f"{out}/best_model") is not None
     day = spark.createDataFrame([(dt.date(2026, 1, 23), h, -22.0 - i * 0.01, 166.0, (h * 7 + i) % 10 / 10)
