@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +29,7 @@ from ..params import EARTH_RADIUS_KM, ENRICHMENT_DEFAULTS, ROAD_TYPE_WITHOUT_COL
 from ..session import cut_lineage
 
 KM_PER_DEG = EARTH_RADIUS_KM * math.pi / 180.0
-INITIAL_DENSITY = 4.0    # nearest_join: expected right points per starting cell
+INITIAL_DENSITY = 4.0    # nearest_join: right coordinates per occupied starting cell
 
 
 def _with_mercator(df: DataFrame, lat: str = "latitude", lon: str = "longitude", x: str = "_x", y: str = "_y"):
@@ -37,30 +37,67 @@ def _with_mercator(df: DataFrame, lat: str = "latitude", lon: str = "longitude",
 
 
 # ---------------------------------------------------------------- hot cells
-HOT_CELL_ROWS = 1_000_000   # a cell with more rows than this on the probe side is salted
+HOT_PAIRS = 50_000_000   # candidate pairs that one task compares in a cell; a cell with more is split
 
 
-def cell_join(probe: DataFrame, build: DataFrame, keys=("_cx", "_cy"), hot_rows: int = HOT_CELL_ROWS) -> DataFrame:
-    """Inner equi-join on cell keys with explicit salting of hot cells.
+def cell_join(probe: DataFrame, build: DataFrame, keys=("_cx", "_cy"), hot_pairs: int = HOT_PAIRS) -> DataFrame:
+    """Inner equi-join on cell keys that splits hot cells on both sides.
 
-    Cells holding more than ``hot_rows`` probe rows are split into
-    ceil(n / hot_rows) salt buckets: probe rows pick a bucket from a hash of
-    the row, build rows of that cell are replicated once per bucket.  The
-    hot-cell table has at most (probe rows / hot_rows) entries, so it is
-    broadcast with a proven bound; cold cells join exactly as before (salt 0).
+    What a cell costs is its probe rows times its build rows.  A cell with
+    more than ``hot_pairs`` of them is cut into shares of about
+    sqrt(hot_pairs) rows on either side, dealt by a hash of the row; every
+    pair of shares is a group of its own, so each pair of rows still meets
+    exactly once.  Other cells are one group.
     """
     keys = list(keys)
-    hot = probe.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hn")).filter(F.col("_hn") > hot_rows) \
-        .select(*keys, F.ceil(F.col("_hn") / F.lit(hot_rows)).cast("int").alias("_hs"))
-    p = probe.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt", F.when(F.col("_hs").isNull(), F.lit(0))
-        .otherwise(F.pmod(F.xxhash64(*[F.col(c) for c in probe.columns]), F.col("_hs"))).cast("int")).drop("_hs")
-    b = build.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hs").isNull(), F.array(F.lit(0)))
-                           .otherwise(F.sequence(F.lit(0), F.col("_hs") - 1)))).drop("_hs")
+    share = math.isqrt(hot_pairs)
+    hot = (probe.groupBy(*keys).agg(F.count(F.lit(1)).alias("_np"))
+           .join(build.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nb")), keys)
+           .filter(F.col("_np") * F.col("_nb") > hot_pairs)
+           .select(*keys, F.ceil(F.col("_np") / share).cast("int").alias("_sp"),
+                   F.ceil(F.col("_nb") / share).cast("int").alias("_sb")))
+
+    def dealt(df, own, other, salt):
+        mine = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col(own)).cast("int")
+        salts = F.when(F.col(own).isNull(), F.array(F.lit(0))) \
+            .otherwise(F.transform(F.sequence(F.lit(0), F.col(other) - 1), lambda t: salt(mine, t)))
+        return df.join(hot, keys, "left").withColumn("_salt", F.explode(salts)).drop("_sp", "_sb")
+
+    p = dealt(probe, "_sp", "_sb", lambda m, t: m * F.col("_sb") + t)
+    b = dealt(build, "_sb", "_sp", lambda m, t: t * F.col("_sb") + m)
     return p.join(b, keys + ["_salt"]).drop("_salt")
 
 
+# ------------------------------------------------------------- cells on the sphere
+def _row_width(row, dlat: float, theta: float):
+    """Width in degrees of the longitude cells of latitude row ``row``.
+
+    Two points at most ``theta`` apart, one in the row and one in it or a
+    neighbouring row, differ by less than this in longitude.  Where a cell
+    would span a third of the circle or more the row has one cell (360).
+    """
+    top = F.least(F.greatest(F.abs(row - 1), F.abs(row + 2)) * F.lit(dlat), F.lit(90.0))
+    s = F.lit(math.sin(min(theta, math.pi) / 2)) / F.greatest(F.cos(F.radians(top)), F.lit(1e-12))
+    w = F.degrees(2 * F.asin(F.least(s, F.lit(1.0))))
+    return F.when((s >= 1) | (w >= 120), F.lit(360.0)).otherwise(F.greatest(w, F.lit(1e-9)))
+
+
+def _sphere_cells(df: DataFrame, lat: str, lon: str, dlat: float, theta: float) -> DataFrame:
+    """One row per cell ``(_cy, _cx)`` of a point; near the antimeridian also the cell seen from the other side."""
+    w = _row_width(F.col("_cy"), dlat, theta)
+    x = F.col(lon)
+    seen = F.filter(F.array(x, x - 360, x + 360), lambda v: (v == x) | ((F.col("_w") < 360) & (F.abs(v) <= 180 + 2 * F.col("_w"))))
+    return (df.withColumn("_cy", geo.cell_index(lat, dlat)).withColumn("_w", w)
+            .withColumn("_x", F.explode(seen)).withColumn("_cx", F.floor(F.col("_x") / F.col("_w"))).drop("_w", "_x"))
+
+
+def _sphere_neighbours(df: DataFrame, lat: str, lon: str, dlat: float, theta: float) -> DataFrame:
+    """One row per cell that a disc of angle ``theta`` around the point can reach."""
+    row = geo.cell_index(lat, dlat) + F.col("_o.dy")
+    return (df.withColumn("_o", F.explode(geo.neighbour_offsets())).withColumn("_cy", row)
+            .withColumn("_cx", F.floor(F.col(lon) / _row_width(F.col("_cy"), dlat, theta)) + F.col("_o.dx")).drop("_o"))
+
+
 # ------------------------------------------------------------ point near line
 def segments_mercator(segments: DataFrame) -> DataFrame:
     return segments.withColumns({
@@ -69,6 +106,28 @@ def segments_mercator(segments: DataFrame) -> DataFrame:
     })
 
 
+def _cells_along(seg: DataFrame, r: float, c: float) -> DataFrame:
+    """A segment's row for every cell within ``r`` of it: per column of cells only the rows that the line crosses
+    there, so a diagonal takes cells in proportion to its length and not to its bounding box."""
+    turn = F.col("_ax") <= F.col("_bx")
+    x0, x1 = F.least("_ax", "_bx"), F.greatest("_ax", "_bx")
+    y0, y1 = F.when(turn, F.col("_ay")).otherwise(F.col("_by")), F.when(turn, F.col("_by")).otherwise(F.col("_ay"))
+    pad = F.lit(r + 1e-6)
+    seg = seg.withColumns({"_x0": x0, "_x1": x1, "_y0": y0, "_y1": y1}).withColumn(
+        "_cx", F.explode(F.sequence(F.floor((F.col("_x0") - pad) / c), F.floor((F.col("_x1") + pad) / c))))
+
+    def y_at(x):
+        inside = F.least(F.greatest(x, F.col("_x0")), F.col("_x1"))
+        return F.col("_y0") + (inside - F.col("_x0")) / (F.col("_x1") - F.col("_x0")) * (F.col("_y1") - F.col("_y0"))
+
+    flat = F.col("_x1") == F.col("_x0")
+    ya = F.when(flat, F.col("_y0")).otherwise(y_at(F.col("_cx") * c - pad))
+    yb = F.when(flat, F.col("_y1")).otherwise(y_at((F.col("_cx") + 1) * c + pad))
+    seg = seg.withColumns({"_ya": ya, "_yb": yb}).withColumn("_cy", F.explode(F.sequence(
+        F.floor((F.least("_ya", "_yb") - pad) / c), F.floor((F.greatest("_ya", "_yb") + pad) / c))))
+    return seg.drop("_x0", "_x1", "_y0", "_y1", "_ya", "_yb", "lon1", "lat1", "lon2", "lat2")
+
+
 def points_near_lines(points: DataFrame, segments: DataFrame, meters: float, point_keys=("latitude", "longitude"),
                       edge_key: str = "edge_id", cell_m: float | None = None, dedupe: bool = True) -> DataFrame:
     """Points within ``meters`` (EPSG:3857) of any segment.
@@ -81,14 +140,7 @@ def points_near_lines(points: DataFrame, segments: DataFrame, meters: float, poi
     keys = list(point_keys)
     pts = _with_mercator(points.select(*dict.fromkeys(keys + ["latitude", "longitude"])))
     pts = pts.withColumns({"_cx": geo.cell_index("_x", c), "_cy": geo.cell_index("_y", c)})
-    seg = segments_mercator(segments.select(edge_key, "lon1", "lat1", "lon2", "lat2"))
-    seg = seg.select(
-        edge_key, "_ax", "_ay", "_bx", "_by",
-        F.explode(F.sequence(geo.cell_index(F.least("_ax", "_bx") - r, c),
-                             geo.cell_index(F.greatest("_ax", "_bx") + r, c))).alias("_cx"),
-        geo.cell_index(F.least("_ay", "_by") - r, c).alias("_cy0"),
-        geo.cell_index(F.greatest("_ay", "_by") + r, c).alias("_cy1"),
-    ).select("*", F.explode(F.sequence("_cy0", "_cy1")).alias("_cy")).drop("_cy0", "_cy1")
+    seg = _cells_along(segments_mercator(segments.select(edge_key, "lon1", "lat1", "lon2", "lat2")), r, c)
     pairs = cell_join(pts, seg).filter(
         geo.point_segment_distance("_x", "_y", "_ax", "_ay", "_bx", "_by") <= F.lit(r))
     pairs = pairs.select(*keys, edge_key).distinct()
@@ -124,41 +176,35 @@ def exclude_near_points(points: DataFrame, events: DataFrame, meters: float, key
 
 
 # ------------------------------------------------------------- radius count
-def _lon_span_deg(theta_rad: float, lat_abs_max_deg: float) -> float:
-    """Longitude half-width (degrees) guaranteed to contain a great-circle disc of angle theta."""
-    cosm = math.cos(math.radians(min(lat_abs_max_deg, 89.999)))
-    s = math.sin(theta_rad / 2) / cosm
-    return 180.0 if s >= 1 else math.degrees(2 * math.asin(s))
-
-
 def radius_count(points: DataFrame, events: DataFrame, radius_rad: float, keys=("latitude", "longitude"),
                  out: str = "accident_density_5km") -> DataFrame:
     """Number of events within a great-circle angle ``radius_rad`` of each point (0 if none).
 
-    Events are first reduced to (coordinate, multiplicity); cells are sized so
-    the 3x3 neighbourhood contains the whole search disc at the largest
-    |latitude| present.  ``radius_rad`` is an angle: 5 km is 5/6371.0088.
+    Events are first reduced to (coordinate, multiplicity).  Cells are as high
+    as the radius and, row by row, as wide as it is at the row's latitude, so
+    one event near a pole widens the cells there and nowhere else; cells at the
+    antimeridian see across it.  ``radius_rad`` is an angle: 5 km is 5/6371.0088.
     """
     keys = list(keys)
-    ev = cut_lineage(events.groupBy("latitude", "longitude").agg(F.count(F.lit(1)).alias("_w"))
+    ev = cut_lineage(events.groupBy("latitude", "longitude").agg(F.count(F.lit(1)).alias("_w0"))
                      .withColumnsRenamed({"latitude": "_elat", "longitude": "_elon"}), "radius_events")
     pts = cut_lineage(points.select(*dict.fromkeys(keys + ["latitude", "longitude"])), "radius_points")
-    ext = pts.select(F.abs("latitude").alias("a")).union(ev.select(F.abs("_elat"))).agg(F.max("a")).first()[0]
-    lat_abs = float(ext or 0.0)
     dlat = max(math.degrees(radius_rad), 1e-9)
-    dlon = max(_lon_span_deg(radius_rad, lat_abs), 1e-9)
-    ev = ev.withColumns({"_cy": geo.cell_index("_elat", dlat), "_cx": geo.cell_index("_elon", dlon)})
-    pts9 = pts.select(*keys, "latitude", "longitude", F.explode(geo.neighbour_offsets()).alias("_o")).select(
-        *keys, F.col("latitude").alias("_plat"), F.col("longitude").alias("_plon"),
-        (geo.cell_index("longitude", dlon) + F.col("_o.dx")).alias("_cx"),
-        (geo.cell_index("latitude", dlat) + F.col("_o.dy")).alias("_cy"))
+    ev = _sphere_cells(ev, "_elat", "_elon", dlat, radius_rad)
+    pts9 = _sphere_neighbours(pts.withColumns({"_plat": F.col("latitude"), "_plon": F.col("longitude")}), "_plat", "_plon",
+                              dlat, radius_rad).select(*keys, "_plat", "_plon", "_cx", "_cy")
     hits = cell_join(ev, pts9).filter(
         geo.haversine_rad("_plat", "_plon", "_elat", "_elon") <= F.lit(float(radius_rad)))
-    counts = hits.groupBy(*keys).agg(F.sum("_w").alias(out))
+    counts = hits.groupBy(*keys).agg(F.sum("_w0").alias(out))
     return points.join(counts, keys, "left").withColumn(out, F.coalesce(F.col(out), F.lit(0)).cast("long"))
 
 
 # ------------------------------------------------------------------ nearest
+ROUNDS = 3              # rounds of growing cells before what is left goes down the levels
+LADDER = tuple(360.0 / 2 ** k for k in range(26))
+TOP_CELLS = 64          # occupied cells of the coarsest level, each compared with every coordinate left
+
+
 def nearest_join(left: DataFrame, right: DataFrame, right_cols, tie: str, metric: str = "euclid_deg",
                  lat: str = "latitude", lon: str = "longitude", initial_cell: float | None = None,
                  dist_col: str = "nearest_dist") -> DataFrame:
@@ -166,90 +212,123 @@ def nearest_join(left: DataFrame, right: DataFrame, right_cols, tie: str, metric
 
     metric 'euclid_deg': planar distance in degrees; 'haversine': km on the sphere.
 
-    Exact, with no cap on the search distance.  Distinct left coordinates
-    are resolved in rounds: coordinates look into the 3x3 cells of size c
-    around them; a best candidate at distance <= c is provably the nearest
-    (anything outside the neighbourhood is farther than c).  The rest retry
-    with 2c.  Every round is an equi-join on the cell key; pending
-    coordinates are checkpointed between rounds.
+    Exact, with no cap on the search distance.  Distinct left coordinates look
+    into the 3x3 cells of size c around them; a best candidate at distance <= c
+    is the nearest, since all else is farther.  c is the size at which occupied
+    cells hold about ``INITIAL_DENSITY`` right coordinates, so stray rows on
+    either side don't change it, and it doubles for the few coordinates left.
+    Coordinates far from all right rows then go down a hierarchy of cells: a
+    cell can be left out if its lower bound, the distance to its
+    representative less its radius, is above the least distance to any
+    representative.  Every step is an equi-join on a cell key.  An empty right
+    side gives the documented enrichment defaults.
     """
     want_tie = tie in right_cols
     right_cols = [c for c in right_cols if c not in (lat, lon, tie)]
-    # both inputs are read by several jobs (extent statistics, every round): write them once
-    R = cut_lineage(right.select(F.col(lat).alias("_rlat"), F.col(lon).alias("_rlon"), F.col(tie).alias("_tie"),
-                                 *right_cols), "nearest_right")
-    L = cut_lineage(left.select(F.col(lat).alias("_llat"), F.col(lon).alias("_llon")).distinct(), "nearest_left")
-    stats = R.agg(F.count(F.lit(1)), F.min("_rlat"), F.max("_rlat"), F.min("_rlon"), F.max("_rlon"),
-                  F.max(F.abs("_rlat"))).first()
-    n_right = stats[0]
-    if not n_right:                             # enrichment from nothing: its documented defaults
+    if metric not in ("euclid_deg", "haversine"):
+        raise ValueError(f"unknown metric {metric!r}")
+    sphere = metric == "haversine"
+    dist = geo.haversine_km if sphere else geo.euclid
+    # of equal right coordinates only the smallest tie can win; both inputs are read by several jobs
+    R = cut_lineage(right.select(F.col(lat).alias("_rlat"), F.col(lon).alias("_rlon"),
+                                 F.struct(F.col(tie).alias("_tie"), *right_cols).alias("_row"))
+                    .filter("_rlat IS NOT NULL AND _rlon IS NOT NULL").groupBy("_rlat", "_rlon")
+                    .agg(F.min("_row").alias("_row")), "nearest_right")
+    L = cut_lineage(left.select(F.col(lat).alias("_llat"), F.col(lon).alias("_llon"))
+                    .filter("_llat IS NOT NULL AND _llon IS NOT NULL").distinct(), "nearest_left")
+    occupied = R.agg(F.count(F.lit(1)), *[F.approx_count_distinct(F.struct(
+        geo.cell_index("_rlat", c), geo.cell_index("_rlon", c))) for c in LADDER]).first()
+    n_right = occupied[0]
+    if not n_right:
         return left.withColumns({c: F.lit(ENRICHMENT_DEFAULTS.get(c)).cast(right.schema[c].dataType) for c in right_cols}
                                 | {dist_col: F.lit(None).cast("double")})
-    lstats = L.agg(F.min("_llat"), F.max("_llat"), F.min("_llon"), F.max("_llon"), F.max(F.abs("_llat"))).first()
-    if lstats[0] is None:                       # no left coordinates: nothing to match
-        return left.withColumns({c: F.lit(None) for c in right_cols + [dist_col]})
-    lat_lo, lat_hi = min(stats[1], lstats[0]), max(stats[2], lstats[1])
-    lon_lo, lon_hi = min(stats[3], lstats[2]), max(stats[4], lstats[3])
-    lat_abs = max(stats[5], lstats[4])
-    span = max(lat_hi - lat_lo, lon_hi - lon_lo, 1e-9)   # degrees
-    # start with cells holding ~INITIAL_DENSITY right points on average (uniform spread)
-    c = initial_cell or max(span * math.sqrt(INITIAL_DENSITY / n_right), span / 4096.0)
-
-    if metric == "euclid_deg":
-        def dist():
-            return geo.euclid("_llat", "_llon", "_rlat", "_rlon")
-
-        def cells(cdeg):
-            return cdeg, cdeg, cdeg          # lat cell, lon cell, acceptance distance
-        full_cover = span * math.sqrt(2)
-    elif metric == "haversine":
-        def dist():
-            return geo.haversine_km("_llat", "_llon", "_rlat", "_rlon")
-
-        def cells(cdeg):
-            theta = math.radians(cdeg)
-            return cdeg, _lon_span_deg(theta, lat_abs), cdeg * KM_PER_DEG
-        full_cover = None
-    else:
-        raise ValueError(f"unknown metric {metric!r}")
-
-    best_cols = ["_d", "_tie", *right_cols]
-    done = []
-    pending = L
-    while True:
-        dlat, dlon, accept = cells(c)
-        covers_all = (dlat >= (lat_hi - lat_lo) and dlon >= (lon_hi - lon_lo)) or \
-                     (full_cover is not None and accept >= full_cover)
-        Rc = R.withColumns({"_cy": geo.cell_index("_rlat", dlat), "_cx": geo.cell_index("_rlon", dlon)})
-        P9 = pending.select("_llat", "_llon", F.explode(geo.neighbour_offsets()).alias("_o")).select(
-            "_llat", "_llon",
-            (geo.cell_index("_llat", dlat) + F.col("_o.dy")).alias("_cy"),
-            (geo.cell_index("_llon", dlon) + F.col("_o.dx")).alias("_cx"))
-        cand = cell_join(P9, Rc, ("_cy", "_cx")).withColumn("_d", dist())
-        best = cand.groupBy("_llat", "_llon").agg(
-            F.min(F.struct(*[F.col(x) for x in best_cols])).alias("_b"))
-        if covers_all:
-            done.append(best)
-            break
-        best = cut_lineage(best, "nearest_round")        # one write per round
-        ok = best.filter(F.col("_b._d") <= F.lit(float(accept)))
+    level = next((k for k, n in enumerate(occupied[1:]) if n_right <= INITIAL_DENSITY * n), len(LADDER) - 1)
+    c = initial_cell or LADDER[level]
+
+    def least(cand):
+        return cand.groupBy("_llat", "_llon").agg(F.min(F.struct("_d", "_row")).alias("_b"))
+
+    done, pending = [], L
+    for _ in range(ROUNDS):
+        if sphere:
+            theta, accept = math.radians(c), c * KM_PER_DEG
+            near = _sphere_cells(R, "_rlat", "_rlon", c, theta)
+            look = _sphere_neighbours(pending, "_llat", "_llon", c, theta)
+        else:
+            accept = c
+            near = R.withColumns({"_cy": geo.cell_index("_rlat", c), "_cx": geo.cell_index("_rlon", c)})
+            look = pending.withColumn("_o", F.explode(geo.neighbour_offsets())).select(
+                "_llat", "_llon", (geo.cell_index("_llat", c) + F.col("_o.dy")).alias("_cy"),
+                (geo.cell_index("_llon", c) + F.col("_o.dx")).alias("_cx"))
+        cand = cell_join(look, near, ("_cy", "_cx")).withColumn("_d", dist("_llat", "_llon", "_rlat", "_rlon"))
+        ok = cut_lineage(least(cand).filter(F.col("_b._d") <= F.lit(float(accept))), "nearest_round")
         done.append(ok)
         pending = cut_lineage(pending.join(ok.select("_llat", "_llon"), ["_llat", "_llon"], "left_anti"),
                               "nearest_pending")
         if pending.isEmpty():
             break
         c *= 2.0
+    else:
+        done.append(least(_down_the_levels(pending, R, occupied[1:], level, dist)))
 
     resolved = done[0]
     for d in done[1:]:
         resolved = resolved.unionByName(d)
     resolved = resolved.select(F.col("_llat").alias(lat), F.col("_llon").alias(lon),
-                               *[F.col(f"_b.{x}").alias(x) for x in right_cols],
-                               F.col("_b._d").alias(dist_col), F.col("_b._tie").alias(f"nearest_{tie}"),
-                               *([F.col("_b._tie").alias(tie)] if want_tie else []))
+                               *[F.col(f"_b._row.{x}").alias(x) for x in right_cols],
+                               F.col("_b._d").alias(dist_col), F.col("_b._row._tie").alias(f"nearest_{tie}"),
+                               *([F.col("_b._row._tie").alias(tie)] if want_tie else []))
     return left.join(resolved, [lat, lon], "left")
 
 
+def _down_the_levels(pending: DataFrame, R: DataFrame, occupied, leaf: int, dist) -> DataFrame:
+    """``_llat, _llon, _row, _d`` of all right coordinates that may be nearest to a pending one.
+
+    A level's cells are four times as wide as those of the next one.  Each
+    cell has one of its own coordinates as representative and a radius around
+    it that holds the cell; both follow from the cells of the level below.
+    """
+    top = max((k for k, n in enumerate(occupied) if n <= TOP_CELLS // 2), default=0)   # the count is approximate
+    depth = max(0, -(-(leaf - top) // 2))
+    size = LADDER[leaf]
+
+    def key(c):
+        return [F.floor(F.col(c[0]) / 4).alias("_py"), F.floor(F.col(c[1]) / 4).alias("_px")]
+
+    points = R.withColumns({"_ky": geo.cell_index("_rlat", size), "_kx": geo.cell_index("_rlon", size)})
+    rep = points.groupBy("_ky", "_kx").agg(F.min(F.struct("_rlat", "_rlon")).alias("_m"))
+    cells = cut_lineage(
+        points.join(rep, ["_ky", "_kx"]).withColumn("_d", dist("_rlat", "_rlon", F.col("_m._rlat"), F.col("_m._rlon")))
+        .groupBy("_ky", "_kx").agg(F.first("_m").alias("_m"), F.max("_d").alias("_rad"))
+        .select("_ky", "_kx", F.col("_m._rlat").alias("_clat"), F.col("_m._rlon").alias("_clon"), "_rad"), "nearest_cells")
+    levels = [cells]
+    for _ in range(depth):
+        below = levels[-1].select("*", *key(("_ky", "_kx")))
+        rep = below.groupBy("_py", "_px").agg(F.min(F.struct("_clat", "_clon")).alias("_m"))
+        levels.append(cut_lineage(
+            below.join(rep, ["_py", "_px"])
+            .withColumn("_d", dist("_clat", "_clon", F.col("_m._clat"), F.col("_m._clon")) + F.col("_rad"))
+            .groupBy("_py", "_px").agg(F.first("_m").alias("_m"), F.max("_d").alias("_rad"))
+            .select(F.col("_py").alias("_ky"), F.col("_px").alias("_kx"), F.col("_m._clat").alias("_clat"),
+                    F.col("_m._clon").alias("_clon"), "_rad"), "nearest_cells"))
+
+    own = Window.partitionBy("_llat", "_llon")
+
+    def possible(cand):
+        up = dist("_llat", "_llon", "_clat", "_clon")
+        return (cand.withColumn("_up", up).withColumn("_least", F.min("_up").over(own))
+                .filter(F.col("_up") - F.col("_rad") <= F.col("_least") * (1 + 1e-9) + 1e-9)
+                .select("_llat", "_llon", F.col("_ky").alias("_py"), F.col("_kx").alias("_px")))
+
+    cand = possible(pending.crossJoin(F.broadcast(levels[-1])))        # about TOP_CELLS rows
+    for cells in levels[-2::-1]:
+        children = cells.select("*", *key(("_ky", "_kx")))
+        cand = possible(cell_join(cut_lineage(cand, "nearest_level"), children, ("_py", "_px")))
+    at = points.withColumnsRenamed({"_ky": "_py", "_kx": "_px"})
+    return cell_join(cut_lineage(cand, "nearest_level"), at, ("_py", "_px")).select(
+        "_llat", "_llon", "_row", dist("_llat", "_llon", "_rlat", "_rlon").alias("_d"))
+
+
 # ------------------------------------------------------------ road attributes
 def line_centroids(segments: DataFrame, edge_key: str = "edge_id") -> DataFrame:
     """Length-weighted mean of segment midpoints per edge (planar lon/lat).

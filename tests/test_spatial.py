@@ -3,6 +3,8 @@
 import math
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from georisk.functions import geo
@@ -119,7 +121,7 @@ def test_cell_join_salting_preserves_result(spark):
     probe = spark.range(500).select((F.col("id") % 3).alias("_cx"), F.lit(0).alias("_cy"), F.col("id").alias("v"))
     build = spark.createDataFrame([(0, 0, "a"), (0, 0, "b"), (1, 0, "c")], "_cx long, _cy int, w string")
     want = sorted(tuple(r) for r in probe.join(build, ["_cx", "_cy"]).collect())
-    got = sorted(tuple(r) for r in spatial.cell_join(probe, build, hot_rows=20).select(*probe.join(build, ["_cx", "_cy"]).columns).collect())
+    got = sorted(tuple(r) for r in spatial.cell_join(probe, build, hot_pairs=100).select(*probe.join(build, ["_cx", "_cy"]).columns).collect())
     assert got == want and len(want) == 167 * 2 + 167
 
 
@@ -130,3 +132,93 @@ def test_empty_inputs(spark):
     assert spatial.nearest_join(some, empty, ["p_id"], tie="p_id").filter("nearest_dist IS NULL").count() == 10
     assert spatial.exclude_near_points(some, empty, 100.0).count() == 10
     assert {r.accident_density_5km for r in spatial.radius_count(some, empty, 0.001).collect()} == {0}
+
+
+# ------------------------------------------------------- stray rows, poles, antimeridian
+def _points(spark, rows, cols="latitude double, longitude double"):
+    return spark.createDataFrame(rows, cols)
+
+
+def _brute_nearest(left, right, dist):
+    out = {}
+    for p in left:
+        out[p] = min((dist(p, (r[0], r[1])), r[2]) for r in right)[1]
+    return out
+
+
+@pytest.mark.parametrize("metric", ["euclid_deg", "haversine"])
+def test_nearest_with_strays_and_a_far_cluster(spark, metric):
+    rng = random.Random(4)
+    right = [(-22 + rng.random(), 166 + rng.random(), i) for i in range(400)] + [(50.0, -170.0, 400), (0.0, 0.0, 401)]
+    left = {(-22 + rng.random(), 166 + rng.random()) for _ in range(150)}
+    left |= {(10 + rng.random() / 50, 20 + rng.random() / 50) for _ in range(60)} | {(0.0, 1.0), (-89.9, 10.0), (5.0, 179.99)}
+    left = sorted(left)
+
+    def dist(a, b):
+        if metric == "euclid_deg":
+            return math.hypot(a[0] - b[0], a[1] - b[1])
+        p, q = math.radians(a[0]), math.radians(b[0])
+        h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(b[1] - a[1]) / 2) ** 2
+        return 2 * math.asin(min(1.0, math.sqrt(h)))
+    got = spatial.nearest_join(_points(spark, left), _points(spark, right, "latitude double, longitude double, id long"),
+                               ["id"], "id", metric=metric)
+    assert {(r.latitude, r.longitude): r.id for r in got.collect()} == _brute_nearest(left, right, dist)
+
+
+def test_stray_rows_leave_the_candidates_few(spark, monkeypatch):
+    made = []
+    plain = spatial.cell_join
+
+    def counted(*a, **k):
+        out = plain(*a, **k)
+        made.append(out.count())
+        return out
+    monkeypatch.setattr(spatial, "cell_join", counted)
+    rng = random.Random(2)
+    right = [(-22 + rng.random(), 166 + rng.random(), i) for i in range(1500)]
+    left = [(-22 + rng.random(), 166 + rng.random()) for _ in range(300)]
+    R = _points(spark, right, "latitude double, longitude double, id long")
+    totals = []
+    for extra in ([], [(0.0, 0.0), (89.0, -120.0)]):
+        made.clear()
+        spatial.nearest_join(_points(spark, left + extra), R, ["id"], "id").count()
+        totals.append(sum(made))
+    assert totals[1] < 2 * totals[0] < 2 * 300 * 400          # far fewer than the 450 000 pairs
+    totals = []
+    for extra in ([], [(90.0, 0.0)]):
+        made.clear()
+        spatial.radius_count(_points(spark, left), _points(spark, [r[:2] for r in right] + extra), math.radians(0.05)).count()
+        totals.append(sum(made))
+    assert totals[1] <= totals[0] + 10
+
+
+def test_radius_count_across_the_antimeridian_and_at_the_pole(spark):
+    pts = [(0.0, 179.99), (0.0, -179.99), (89.999, 10.0), (-45.0, 0.0)]
+    ev = [(0.0, -179.995), (0.0, 179.985), (89.999, -170.0), (89.998, 100.0), (-45.0, 0.0), (-45.0, 0.0)]
+    got = {(r.latitude, r.longitude): r.n for r in spatial.radius_count(
+        _points(spark, pts), _points(spark, ev), 5 / 6371.0088, out="n").collect()}
+    assert got == {(0.0, 179.99): 2, (0.0, -179.99): 2, (89.999, 10.0): 2, (-45.0, 0.0): 2}
+
+
+def test_nearest_across_the_antimeridian(spark):
+    left = _points(spark, [(0.0, 179.9), (10.0, -179.9)])
+    right = _points(spark, [(0.0, -179.9, 1), (0.0, 178.0, 2), (10.0, 179.95, 3), (10.0, -178.0, 4)],
+                    "latitude double, longitude double, id long")
+    got = spatial.nearest_join(left, right, ["id"], "id", metric="haversine")
+    assert {r.latitude: r.id for r in got.collect()} == {0.0: 1, 10.0: 3}
+
+
+def test_cells_along_a_diagonal_segment(spark):
+    seg = _points(spark, [(1, 163.5, -23.0, 168.0, -19.5), (2, 166.0, -22.0, 166.0, -22.1), (3, 165.0, -21.0, 165.0, -21.0)],
+                  "edge_id long, lon1 double, lat1 double, lon2 double, lat2 double")
+    cells = spatial._cells_along(spatial.segments_mercator(seg), 200.0, 1000.0)
+    n = {r.edge_id: r["count"] for r in cells.groupBy("edge_id").count().collect()}
+    assert n[1] < 4 * (n_columns := 503) and n[1] > n_columns and n[3] <= 9
+    assert cells.select("edge_id", "_cx", "_cy").distinct().count() == cells.count()
+
+
+def test_empty_right_side_gives_defaults(spark):
+    left = _points(spark, [(-22.0, 166.0)])
+    right = spark.createDataFrame([], "latitude double, longitude double, id long, road_type int, speed_limit int")
+    r = spatial.nearest_join(left, right, ["road_type", "speed_limit"], "id").first()
+    assert (r.road_type, r.speed_limit, r.nearest_dist) == (2, 50, None)
