@@ -55,3 +55,8 @@ def hour_short_label(hour) -> Column:
 def percent_label(p, decimals: int = 1) -> Column:
     """'12.5%' with half-even rounding of the percentage (as Python's format)."""
     return F.format_string(f"%.{decimals}f%%", F.bround(_c(p) * 100, decimals))
+
+
+def position_label(lat, lon) -> Column:
+    """'-22.2758, 166.4580': four decimals, half to even."""
+    return F.format_string("%.4f, %.4f", F.bround(_c(lat), 4), F.bround(_c(lon), 4))

@@ -17,7 +17,9 @@ _LOCAL_BITS = 33   # monotonically_increasing_id = partition_id << 33 | row_in_p
 
 
 def _sorted_with_pid(df: DataFrame, order) -> DataFrame:
-    s = df.orderBy(*order)
+    # rows with equal keys are spread by a last key of their own: a key that a third of the rows share is
+    # cut over many ranges (which of them comes first is open, so order keys should be unique or the rows alike)
+    s = df.withColumn("_spread", F.monotonically_increasing_id()).orderBy(*order, "_spread").drop("_spread")
     s = s.withColumns({"_mid": F.monotonically_increasing_id(), "_pid": F.spark_partition_id()})
     return cut_lineage(s)   # materialised once: offsets and rows agree under retries
 

@@ -49,24 +49,48 @@ def sample_with_replacement(spark, df: DataFrame, n: int, seed: int, stream: str
     return gather(draws, src, n_src, "_i", cols)
 
 
+def smallest_by_hash(spark, n: int, k: int, seed: int, stream: str, buckets_log2: int = 20) -> DataFrame:
+    """One row ``(_h, _id)``: the k-th smallest (hash, id) of the ids 0..n-1; exactly k ids are not above it.
+
+    Only counts per hash bucket and the ids of one bucket (about n / 2^20) are
+    ordered; the ids themselves are never sorted or shuffled.
+    """
+    if not 0 < k <= n:
+        raise ValueError(f"k = {k} is not between 1 and n = {n}")
+    h = hash_draw(seed, stream, "sample_id")
+    ids = draw_ids(spark, n).select("sample_id", h.alias("_h"), F.shiftright(h, DRAW_BITS - buckets_log2).alias("_b"))
+    hist = ids.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))          # at most 2^buckets_log2 rows, whatever n is
+    run = hist.withColumn("_cum", F.sum("_n").over(Window.orderBy("_b")))
+    edge = run.filter((F.col("_cum") >= k) & (F.col("_cum") - F.col("_n") < k)) \
+        .select("_b", (F.lit(k) - F.col("_cum") + F.col("_n")).alias("_k"))   # one row
+    w = Window.partitionBy("_b").orderBy("_h", "sample_id")
+    return (ids.join(F.broadcast(edge), "_b").withColumn("_r", F.row_number().over(w))
+            .filter(F.col("_r") == F.col("_k")).select("_h", F.col("sample_id").alias("_id")))
+
+
 def sample_times(spark, draws: DataFrame, events_idx: DataFrame, n_events: int, n: int, seed: int,
                  t_bounds: DataFrame, risk_ratio: float = 0.85, ts: str = "datetime") -> DataFrame:
     """Draw a time per sample: int(n * ratio) of them copied from observed
     times, the rest uniform (whole seconds) between the first and last
-    observed time; which samples get which kind is a random permutation.
+    observed time; which samples get which kind is a random permutation,
+    decided by comparing a sample's hash with one threshold row.
     ``t_bounds`` is a one-row frame (_tmin, _tmax).
     """
     n_obs = int(n * risk_ratio)
-    perm = dense_index(draws.select("sample_id", hash_draw(seed, "shuffle", "sample_id").alias("_h")),
-                       ["_h", "sample_id"], out="_pos").select("sample_id", "_pos")
-    d = draws.join(perm, "sample_id").withColumn("_ti", index_draw(seed, "time", n_events, "sample_id"))
+    d = draws.withColumn("_ti", index_draw(seed, "time", n_events, "sample_id"))
+    if n_obs > 0:
+        last = smallest_by_hash(spark, n, n_obs, seed, "shuffle").select(F.struct("_h", "_id").alias("_last"))
+        key = F.struct(hash_draw(seed, "shuffle", "sample_id").alias("_h"), F.col("sample_id").alias("_id"))
+        d = d.crossJoin(F.broadcast(last)).withColumn("_copied", key <= F.col("_last")).drop("_last")   # one row
+    else:
+        d = d.withColumn("_copied", F.lit(False))
     obs = events_idx.select(F.col("_idx").alias("_ti"), F.col(ts).alias("_obs_ts"))
     d = d.join(obs, "_ti", "left").crossJoin(F.broadcast(t_bounds))
     total_s = F.timestamp_diff("MICROSECOND", F.col("_tmin"), F.col("_tmax")) / F.lit(1e6)
     offset = F.floor(uniform_draw(seed, "uniform", "sample_id") * total_s).cast("long")
     uni = F.timestamp_add("SECOND", offset, F.col("_tmin"))
-    return d.withColumn(ts, F.when(F.col("_pos") < n_obs, F.col("_obs_ts")).otherwise(uni)) \
-        .drop("_pos", "_ti", "_obs_ts", "_tmin", "_tmax")
+    return d.withColumn(ts, F.when(F.col("_copied"), F.col("_obs_ts")).otherwise(uni)) \
+        .drop("_copied", "_ti", "_obs_ts", "_tmin", "_tmax")
 
 
 def generate_negatives(spark, events: DataFrame, safe_points: DataFrame, road_points: DataFrame | None = None,
