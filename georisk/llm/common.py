@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
+
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import cut_lineage, scratch_path  # noqa: F401  (re-exported for the operators)
@@ -29,3 +32,14 @@ def space_words(text: str | None, lower: bool = False) -> list[bytes]:
         return []
     data = text.encode()
     return (data.lower() if lower else data).split()
+
+
+class Shared:
+    """An object sent to every executor once, with its class: tasks need no import of this package."""
+
+    def __init__(self, spark: SparkSession, obj):
+        self._sent = spark.sparkContext.broadcast(cloudpickle.dumps(obj))
+
+    @property
+    def value(self):
+        return pickle.loads(self._sent.value)

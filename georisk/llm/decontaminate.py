@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import alnum_words, cut_lineage
+from .common import Shared, alnum_words, cut_lineage
 
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
@@ -221,13 +221,13 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], p: Params = Par
     ``spans`` lists start and end of each stretch of hit words, ``items`` the
     sorted ids of the items found.  Null and empty texts have no words.
     """
-    sc = docs.sparkSession.sparkContext
+    spark = docs.sparkSession
     columns = [F.col(c) for c in keep]
     parts, blocks = _blocks(item_windows(benchmark, p), p)
 
     def indexed(index: Index):
-        index.set_prefixes(_holding(docs, sc.broadcast(index)) if index.windows else {})
-        return sc.broadcast(index)
+        index.set_prefixes(_holding(docs, Shared(spark, index)) if index.windows else {})
+        return Shared(spark, index)
     if parts == 1:
         return _hits(docs, columns, indexed(next(blocks)))
     th, th2 = F.xxhash64("text"), F.xxhash64(F.lit(1), F.col("text"))
@@ -239,7 +239,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], p: Params = Par
                              F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")))
     none = Index([], p)
     none.set_prefixes({})
-    rows = _hits(docs, [*columns, th, th2], sc.broadcast(none)).withColumnsRenamed(
+    rows = _hits(docs, [*columns, th, th2], Shared(spark, none)).withColumnsRenamed(
         {f"k{len(keep)}": "th", f"k{len(keep) + 1}": "th2"})
     return rows.join(hits, ["th", "th2"], "left").select(
         *[f"k{i}" for i in range(len(keep))], "n_words", F.coalesce("found_spans", "spans").alias("spans"),

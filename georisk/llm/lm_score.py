@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, space_words
+from .common import Shared, cut_lineage, space_words
 
 SCALE = 1 << 20
 FLUSH = 300_000
@@ -189,8 +189,7 @@ def vocabulary(docs: DataFrame, p: Params) -> tuple[Vocabulary, np.ndarray]:
 
 def _trained(docs: DataFrame, vocab: Vocabulary, net: Network, turn: int) -> Network:
     """One round: copies trained on the documents of this turn, averaged by the tokens they saw."""
-    p, sc = net.params, docs.sparkSession.sparkContext
-    shared = sc.broadcast((vocab, net))
+    p, shared = net.params, Shared(docs.sparkSession, (vocab, net))
 
     def run(batches):
         vocab, start = shared.value
@@ -234,7 +233,7 @@ def score(docs: DataFrame, vocab: Vocabulary, net: Network) -> DataFrame:
     A null, empty or blank text has no tokens, log-likelihood 0 and null mean
     and perplexity.  Repeated rows and null ids are scored like any other.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((vocab, net))
+    shared = Shared(docs.sparkSession, (vocab, net))
 
     def run(batches):
         vocab, net = shared.value

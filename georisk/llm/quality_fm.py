@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import space_words
+from .common import Shared, space_words
 
 UPPER = bytes(range(65, 91))
 LOWER = bytes(range(97, 123))
@@ -197,7 +197,7 @@ def train(docs: DataFrame, labels: DataFrame, p: Params = Params(), target: str
 
 def _scored(docs: DataFrame, machine: Machine, keep: list[str]) -> DataFrame:
     """``keep`` columns renamed to k0, k1, ... with ``score``: no clash whatever they are called."""
-    shared = docs.sparkSession.sparkContext.broadcast(machine)
+    shared = Shared(docs.sparkSession, machine)
     names = [f"k{i}" for i in range(len(keep))]
     taken = docs.select(*[F.col(c).alias(k) for k, c in zip(names, keep)],
                         *[c.alias(f"x{i}") for i, c in enumerate(_inputs(docs)[1:])])
