@@ -55,14 +55,16 @@ def split_valid(df: DataFrame, rules: dict) -> tuple[DataFrame, DataFrame]:
     return tagged.filter("valid").drop("valid", "reasons"), tagged.filter(~F.col("valid"))
 
 
-def request_rules(bounds=GRID_BOUNDS) -> dict:
+def request_rules(bounds=GRID_BOUNDS, time: str | None = "datetime") -> dict:
+    """Rules of a scoring request; ``time=None`` for rows whose time has been checked before."""
     lat_min, lat_max, lon_min, lon_max = bounds
-    return {
+    rules = {
         "latitude": F.col("latitude").between(lat_min, lat_max),
         "longitude": F.col("longitude").between(lon_min, lon_max),
-        "datetime": F.try_to_timestamp(F.col("datetime").cast("string")).isNotNull(),
-        "atm": F.col("atm").between(1, 9),
     }
+    if time:
+        rules["datetime"] = F.try_to_timestamp(F.col(time).cast("string")).isNotNull()
+    return rules | {"atm": F.col("atm").between(1, 9)}
 
 
 def test_rules() -> dict:

@@ -115,7 +115,7 @@ def q_validate(spark, sf_dir):
     c = B.carac_raw(spark, sf_dir).select(
         "Num_Acc", "atm", parse.parse_decimal_comma("lat").alias("latitude"),
         parse.parse_decimal_comma("long").alias("longitude"))
-    rules = {**ingest.request_rules(), "atm_code": F.col("atm").isin(1, 2, 3, 5)}
+    rules = {**ingest.request_rules(time=None), "atm_code": F.col("atm").isin(1, 2, 3, 5)}
     return ingest.validate_ranges(c, rules).select("Num_Acc", "reasons", "valid")
 
 

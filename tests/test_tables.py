@@ -37,7 +37,7 @@ def test_left_join_fanout_equals_left_join(spark):
 def test_validate_ranges(spark):
     df = spark.createDataFrame([(-22.0, 166.0, 1), (-25.0, 170.0, 4), (None, 166.0, 0)],
                                "latitude double, longitude double, atm int")
-    rules = {**ingest.request_rules(), "atm_code": F.col("atm").isin(1, 2, 3, 5)}
+    rules = {**ingest.request_rules(time=None), "atm_code": F.col("atm").isin(1, 2, 3, 5)}
     out = [(r.valid, r.reasons) for r in ingest.validate_ranges(df, rules).collect()]
     assert out == [(True, ""), (False, "latitude,longitude,atm_code"), (False, "latitude,atm,atm_code")]
 
