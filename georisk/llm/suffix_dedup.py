@@ -50,7 +50,7 @@ class Params:
     min_words: int = 50
     window: int = 32
     order: int = 4
-    split: int = 4096
+    split: int = 64
 
     @property
     def prefix(self) -> int:
@@ -89,28 +89,30 @@ class Suffixes:
 
 
 def _entries(docs: DataFrame, p: Params) -> DataFrame:
-    """One row per text (``key`` null) and one per retained suffix (``key``, ``th``)."""
-    names = ["key", "th", "doc", "th2", "n_words"]
+    """One row per text (``key`` null, ``n`` its words) and one per key of a retained suffix (``n`` its places)."""
+    names = ["key", "th", "doc", "th2", "n"]
 
     def run(batches):
         for b in batches:
             key, th, doc, th2, count = [], [], [], [], []
             for d, h, h2, t in zip(*(c.to_pylist() for c in b.columns)):
                 words = space_words(t)
-                keys = Suffixes(words, p).keys if len(words) >= p.min_words else []
+                keys, places = [], []
+                if len(words) >= p.min_words:  # a text that repeats a word or phrase has many equal suffixes
+                    keys, places = np.unique(Suffixes(words, p).keys, return_counts=True)
                 key.append(pa.array([None, *keys], pa.int64()))
                 th.append(np.full(len(keys) + 1, h, np.int64))
                 pad = [None] * len(keys)
                 doc.append(pa.array([d, *pad], pa.int64()))
                 th2.append(pa.array([h2, *pad], pa.int64()))
-                count.append(pa.array([len(words), *pad], pa.int64()))
+                count.append(pa.array([len(words), *places], pa.int64()))
             if key:
                 yield pa.RecordBatch.from_arrays(
                     [pa.concat_arrays(key), pa.array(np.concatenate(th)), *map(pa.concat_arrays, (doc, th2, count))],
                     names=names)
 
     return _identified(docs).select("doc", "th", "th2", "text").mapInArrow(
-        run, "key long, th long, doc long, th2 long, n_words long")
+        run, "key long, th long, doc long, th2 long, n long")
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -245,14 +247,15 @@ def repeated_passages(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame,
     if p.order > p.prefix or p.window < 1:
         raise ValueError("order must be at most min_words - window + 1, window at least 1")
     entries = cut_lineage(_entries(docs, p), "suffixes")
-    texts = entries.filter("key is null").select("doc", "th", "th2", "n_words")
+    texts = entries.filter("key is null").select("doc", "th", "th2", F.col("n").alias("n_words"))
     first = texts.groupBy("th", "th2").agg(F.min("doc").alias("first"))
-    suffixes = entries.filter("key is not null").select("key", "th")
-    shared = (suffixes.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-              .select("key", F.ceil(F.col("n") / p.split).cast("int").alias("k")))
+    suffixes = entries.filter("key is not null")
+    # written, so that the join below reads a plain exchange on both sides and a frequent key can be split
+    shared = cut_lineage(suffixes.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
+                         .select("key", F.ceil(F.col("n") / p.split).cast("int").alias("k")), "shared")
     # copies of a text repeat its keys; what is collected is bounded by the words of one text
     often = F.collect_set(F.when(F.col("k") > 1, F.struct("key", "k"))).alias("often")
-    by_text = suffixes.join(shared, "key").groupBy("th").agg(F.collect_set("key").alias("shared"), often)
+    by_text = suffixes.select("key", "th").join(shared, "key").groupBy("th").agg(F.collect_set("key").alias("shared"), often)
     wanted = first.join(by_text, "th").select("th", "th2", F.col("first").alias("doc"), "shared", "often")
     held = (_identified(docs).select("doc", "th", "th2", "text").join(wanted, ["th", "th2", "doc"])
             .select("doc", "th", "th2", "text", "shared", "often"))
