@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -205,13 +207,19 @@ def train(spark: SparkSession, gold_df: DataFrame, out_dir: str | None = None, l
         "RandomForest": (model.tree_pipeline("rf", numTrees=trees, maxDepth=8), FOREST_SPACE),
         "GBT": (model.tree_pipeline("gbt", maxIter=rounds, maxDepth=5), GBT_SPACE),
     }
-    fitted, parts = {}, []
-    for name, (pipe, space) in pipes.items():
+    def fit(name):
+        if name == "MLP":
+            return model.fit_mlp(cut_lineage(model.oversample(train_df), "oversampled"), max_iter=perceptron_iterations)
+        pipe, space = pipes[name]
         if tune_trials:
-            fitted[name] = model.tune(pipe, pipe.getStages()[-1], space, train_df, n_trials=tune_trials).bestModel
-        else:
-            fitted[name] = pipe.fit(train_df)
-    fitted["MLP"] = model.fit_mlp(cut_lineage(model.oversample(train_df), "oversampled"), max_iter=perceptron_iterations)
+            return model.tune(pipe, pipe.getStages()[-1], space, train_df, n_trials=tune_trials).bestModel
+        return pipe.fit(train_df)
+
+    # the candidates are fitted side by side: each is a long row of small jobs that leaves most cores idle
+    names = [*pipes, "MLP"]
+    with ThreadPoolExecutor(len(names)) as pool:
+        fitted = dict(zip(names, pool.map(inheritable_thread_target(spark)(fit), names)))
+    parts = []
     for name, m in fitted.items():
         # stored once: each metric reads the scored rows, not the model
         scored = cut_lineage(model.score(test_df, m, out="score").select(F.col("target").alias("label"), "score"), "scored")
