@@ -65,7 +65,10 @@ def cell_join(probe: DataFrame, build: DataFrame, keys=("_cx", "_cy"), hot_pairs
 
     p = dealt(probe, "_sp", "_sb", lambda m, t: m * F.col("_sb") + t)
     b = dealt(build, "_sb", "_sp", lambda m, t: t * F.col("_sb") + m)
-    return p.join(b, keys + ["_salt"]).drop("_salt")
+    # few bytes make many pairs here, so the groups are dealt over all shuffle partitions and not by their size;
+    # a shuffled join uses the same dealing
+    n = int(probe.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return p.repartition(n, *keys, "_salt").join(b, keys + ["_salt"]).drop("_salt")
 
 
 # ------------------------------------------------------------- cells on the sphere
