@@ -12,7 +12,7 @@ from ..session import scratch_path
 from ..sources import bindings as B
 from ..sources import files
 from . import jobs
-from .catalog import ACC_PARTS_SQL, FEATURE_CORE_SQL
+from .catalog import ACC_PARTS_SQL
 from .q_spatial import ROAD_GRID_CTES
 from .registry import r6, register
 
