@@ -50,7 +50,7 @@ class Params:
     min_words: int = 50
     window: int = 32
     order: int = 4
-    split: int = 64
+    split: int = 256
 
     @property
     def prefix(self) -> int:
@@ -210,7 +210,8 @@ def _settled(suffixes: DataFrame, p: Params) -> DataFrame:
             key[r], runs[pick], th[r], th2[r], doc[r], at[pick].astype(np.int32), n.astype(np.int32), doc[row[first[pick]]])],
             names=names)
 
-    return (suffixes.repartition("key", "share").sortWithinPartitions("key", "share", "doc", "th", "th2", "pos")
+    # ranges of the sorted order: even parts, whatever the keys' frequencies, and no share in two of them
+    return (suffixes.repartitionByRange("key", "share").sortWithinPartitions("key", "share", "doc", "th", "th2", "pos")
             .mapInArrow(run, "key long, run long, th long, th2 long, doc long, pos int, n int, kept long"))
 
 
@@ -259,11 +260,13 @@ def repeated_passages(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame,
     wanted = first.join(by_text, "th").select("th", "th2", F.col("first").alias("doc"), "shared", "often")
     held = (_identified(docs).select("doc", "th", "th2", "text").join(wanted, ["th", "th2", "doc"])
             .select("doc", "th", "th2", "text", "shared", "often"))
-    settled = cut_lineage(_settled(_suffixes(held, p), p), "settled")
+    # written first, as finding even ranges reads the keys once more
+    settled = cut_lineage(_settled(cut_lineage(_suffixes(held, p), "suffix-runs"), p), "settled")
     # shares of a frequent key have found their own first occurrences; the first of those decides the rest
     place = F.struct("doc", "th", "th2", "pos")
     open_ = settled.filter("n = 0").select("key", "run", "doc", "th", "th2", "pos")
-    least = open_.groupBy("key", "run").agg(F.min(place).alias("least"))
+    least = cut_lineage(open_.groupBy("key", "run").agg(F.min(place).alias("least"), F.max(place).alias("most"))
+                        .filter("least <> most").select("key", "run", "least"), "least")
     own = (F.struct("doc", "th", "th2") == F.struct("least.doc", "least.th", "least.th2")) & (
         F.col("pos") < F.col("least.pos") + p.min_words)
     later = (open_.join(least, ["key", "run"]).filter(~own)
