@@ -2,11 +2,19 @@
 
     h_t = tanh(b + sum_{o in -r..r, o != 0} E_o[x_{t+o}])      p(x_t | both sides) = softmax(c + h_t U)
 
-The network never sees x_t itself.  A document's score is the sum over all its
-tokens of log p(x_t | both sides).
+The network never sees x_t itself.  Its outputs are the corpus's most frequent
+words, counted over all documents, and hashed classes of the rarer ones; both
+numbers follow the number of distinct words.  A word of a class has its counted
+share of it,
 
-Tokens are the corpus's most frequent words, counted over all documents; rarer
-words fall into hashed classes.  Training is data-parallel: every task trains
+    p(word | both sides) = p(class | both sides) * n(word) / n(class)
+
+so every distinct word has a likelihood of its own, and a document's score is
+the sum over all its tokens of log p(word | both sides).  The counts of rare
+words stay a table: the documents' distinct words are joined with it, and the
+logarithms are summed per document as fixed-point integers.
+
+Training is data-parallel: every task trains
 a copy in numpy on its own documents, then the copies are averaged, weighted by
 the tokens they were trained on; each document is used in one of the rounds.
 In training a token in ``mask_every`` is masked and predicted; the score
@@ -19,7 +27,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +42,10 @@ FLUSH = 300_000
 
 @dataclass(frozen=True)
 class Params:
-    """``top`` frequent words, ``classes`` for the rest, ``reach`` words on each side, ``hidden`` units."""
+    """``top`` frequent words, ``classes`` for the rest, ``reach`` words on each side, ``hidden`` units.
+
+    ``top`` and ``classes`` are the least numbers: both grow with the cube root of the distinct words.
+    """
 
     top: int = 191
     classes: int = 64
@@ -50,12 +61,26 @@ class Params:
     def size(self) -> int:  # 0 stands for the ends of a text
         return 1 + self.top + self.classes
 
+    def grown(self, distinct: int) -> Params:
+        """For a corpus of so many distinct words."""
+        root = distinct ** (1 / 3)
+        return replace(self, top=max(self.top, int(1.5 * root)), classes=max(self.classes, int(root)))
+
 
 class Vocabulary:
-    """Number of each frequent word, class of any other."""
+    """Number of each frequent word, class of any other; ``totals`` of each number, ``counts`` ``(word, n)`` of all words."""
 
-    def __init__(self, words: list[bytes], p: Params):
-        self.p, self.number = p, {w: i + 1 for i, w in enumerate(words)}
+    def __init__(self, words: list[bytes], p: Params, totals: np.ndarray, counts: DataFrame):
+        self.p, self.number, self.totals, self.counts = p, {w: i + 1 for i, w in enumerate(words)}, totals, counts
+
+    def __getstate__(self):  # the table stays with the driver
+        return self.__dict__ | {"counts": None}
+
+    def log_totals(self) -> np.ndarray:
+        """log n(class) of each number; 0 for frequent words, which have their number to themselves."""
+        out = np.log(np.maximum(self.totals, 1))
+        out[:1 + self.p.top] = 0
+        return out
 
     def ids(self, words: list[bytes]) -> np.ndarray:
         get, crc, first, n = self.number.get, zlib.crc32, 1 + self.p.top, self.p.classes
@@ -173,8 +198,9 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def vocabulary(docs: DataFrame, p: Params) -> tuple[Vocabulary, np.ndarray]:
-    """The most frequent words (ties by word) and the count of every token."""
+    """The most frequent words (ties by word) and the count of every token; ``p`` grown to the distinct words."""
     counts = cut_lineage(word_counts(docs), "words")
+    p = p.grown(counts.count())
     top = counts.orderBy(F.desc("n"), "word").limit(p.top).collect()
     words = [bytes(r["word"]) for r in top]
     known = docs.sparkSession.createDataFrame([(w,) for w in words], "word binary")
@@ -184,7 +210,7 @@ def vocabulary(docs: DataFrame, p: Params) -> tuple[Vocabulary, np.ndarray]:
     n[1:1 + len(top)] = [r["n"] for r in top]
     for r in rest:
         n[1 + p.top + r["k"]] = r["n"]
-    return Vocabulary(words, p), n
+    return Vocabulary(words, p, n, counts), n
 
 
 def _trained(docs: DataFrame, vocab: Vocabulary, net: Network, turn: int) -> Network:
@@ -221,39 +247,65 @@ def _trained(docs: DataFrame, vocab: Vocabulary, net: Network, turn: int) -> Net
 def train(docs: DataFrame, p: Params = Params()) -> tuple[Vocabulary, Network]:
     """Vocabulary and network of the whole table.  Without any word the network is its start."""
     vocab, counts = vocabulary(docs, p)
-    net = Network.start(p, counts)
+    net = Network.start(vocab.p, counts)
     for turn in range(p.rounds):
         net = _trained(docs, vocab, net, turn)
     return vocab, net
 
 
 def score(docs: DataFrame, vocab: Vocabulary, net: Network) -> DataFrame:
-    """``doc_id, n_tokens, log_likelihood, mean_log_likelihood, perplexity`` per row of ``docs``.
+    """``doc_id, n_tokens, log_likelihood, word_log_likelihood, mean_log_likelihood, perplexity`` per row of ``docs``.
 
-    A null, empty or blank text has no tokens, log-likelihood 0 and null mean
+    ``word_log_likelihood`` is the likelihood of the words, and mean and
+    perplexity are taken from it; ``log_likelihood`` is its first part alone,
+    that of the network's outputs (frequent words and classes).  A word that
+    the vocabulary has not counted is taken for one that was seen once.  A
+    null, empty or blank text has no tokens, log-likelihoods 0 and null mean
     and perplexity.  Repeated rows and null ids are scored like any other.
     """
     shared = Shared(docs.sparkSession, (vocab, net))
 
     def run(batches):
         vocab, net = shared.value
+        known, log_totals = vocab.number, vocab.log_totals()
         for b in batches:
-            texts = [vocab.ids(space_words(t.as_py(), lower=True)) for t in b.column(1)]
-            total = np.zeros(len(texts))
+            split = [space_words(t.as_py(), lower=True) for t in b.column(1)]
             start = 0
-            while start < len(texts):  # a few texts at a time; a very long one alone
+            while start < len(split):  # a few texts at a time; a very long one alone
                 end, size = start, 0
-                while end < len(texts) and (end == start or size + len(texts[end]) <= 200_000):
-                    size += len(texts[end])
+                while end < len(split) and (end == start or size + len(split[end]) <= 200_000):
+                    size += len(split[end])
                     end += 1
-                ids, at, text = padded(texts[start:end], net.params.reach)
-                total[start:end] = np.bincount(text, net.log_probs(ids, at), end - start)
+                texts = [vocab.ids(w) for w in split[start:end]]
+                ids, at, text = padded(texts, net.params.reach)
+                total = np.bincount(text, net.log_probs(ids, at), end - start).astype(float)  # no token: integers
+                minus = np.bincount(text, log_totals[ids[at]], end - start).astype(float)
+                # a row per text, whose word matches none, and a row per rare word of a text
+                words, times, row = [b" %d" % k.as_py() for k in b.column(2)[start:end]], [0] * len(texts), list(range(len(texts)))
+                for i, w in enumerate(split[start:end]):
+                    rare = {x: n for x, n in Counter(w).items() if x not in known}
+                    words += rare
+                    times += rare.values()
+                    row += [i] * len(rare)
+                at, n, head = pa.array(row, pa.int64()), len(row) - len(texts), pa.array([len(t) for t in texts], pa.int64())
+                of_text = [pa.concat_arrays([x, pa.nulls(n, x.type)]) for x in (head, pa.array(total), pa.array(minus))]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0)[start:end].take(at), b.column(2)[start:end].take(at), pa.array(words, pa.binary()),
+                     pa.array(times, pa.int64()), *of_text],
+                    names=["doc_id", "text_hash", "word", "times", "n_tokens", "log_likelihood", "log_totals"])
                 start = end
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(total)],
-                                             names=["doc_id", "n_tokens", "log_likelihood"])
-
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n_tokens long, log_likelihood double")
-    mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
-    return found.select("doc_id", "n_tokens", F.round("log_likelihood", 3).alias("log_likelihood"),
-                        F.round(mean, 6).alias("mean_log_likelihood"), F.round(F.exp(-mean), 4).alias("perplexity"))
+
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
+        run, "doc_id long, text_hash long, word binary, times long, n_tokens long, log_likelihood double, log_totals double")
+    log_n = F.round(F.log(F.coalesce("n", F.lit(1)).cast("double")) * (1 << 32)).cast("long") * F.col("times")
+    # rows that repeat id and text are one group, given out as often as they came
+    summed = (found.join(vocab.counts.hint("shuffle_hash"), "word", "left").groupBy("doc_id", "text_hash")
+              .agg(F.count("n_tokens").alias("copies"), F.max("n_tokens").alias("n_tokens"),
+                   F.max("log_likelihood").alias("log_likelihood"), F.max("log_totals").alias("log_totals"),
+                   F.sum(log_n).alias("log_n")))
+    of_words = F.col("log_likelihood") - F.col("log_totals") + F.col("log_n") / F.col("copies") / (1 << 32)
+    each = summed.withColumn("word_log_likelihood", of_words).withColumn("_", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    mean = F.when(F.col("n_tokens") > 0, F.col("word_log_likelihood") / F.col("n_tokens"))
+    return each.select("doc_id", "n_tokens", F.round("log_likelihood", 3).alias("log_likelihood"),
+                       F.round("word_log_likelihood", 3).alias("word_log_likelihood"),
+                       F.round(mean, 6).alias("mean_log_likelihood"), F.round(F.exp(-mean), 4).alias("perplexity"))

@@ -115,3 +115,38 @@ def test_edge_rows(spark):
         assert (r["n_tokens"] == 0) == (r["perplexity"] is None) and (r["n_tokens"] or r["log_likelihood"] == 0)
     empty = docs.limit(0)
     assert lm.score(empty, *lm.train(empty, P)).count() == 0
+
+
+def test_every_word_has_its_own_likelihood(spark):
+    """The class part from the network, and each rare word's counted share of its class."""
+    rng = random.Random(4)
+    rows = [(i % 30, " ".join(f"w{int(rng.paretovariate(0.5))}" for _ in range(rng.randint(0, 40)))) for i in range(50)]
+    rows += [(50, "frequent w1 W1 garbage"), (51, None)] + [(None, "w1 rare")] * 2 + [(52, "rare " * 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    vocab, net = lm.train(docs, P)
+    counts = Counter(w for _, t in rows for w in space_words(t, lower=True))
+    assert {bytes(r["word"]): r["n"] for r in vocab.counts.collect()} == counts
+
+    def want(doc_id, text):
+        words = space_words(text, lower=True)
+        ids, at, _ = lm.padded([vocab.ids(words)], P.reach)
+        classes = sum(brute_log_prob(net, ids[2:-2].tolist(), k) for k in range(len(words)))
+        shares = sum(math.log(counts[w] / vocab.totals[i]) for w, i in zip(words, ids[2:-2].tolist()))
+        return doc_id, len(words), classes, classes + shares
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], round(r[3], 1))
+    got = sorted(((r["doc_id"], r["n_tokens"], r["log_likelihood"], r["word_log_likelihood"])
+                  for r in lm.score(docs, vocab, net).collect()), key=key)
+    assert len(got) == len(rows)
+    for g, w in zip(got, sorted((want(*r) for r in rows), key=key)):
+        assert g[:2] == w[:2] and g[2:] == pytest.approx(w[2:], abs=2e-2)
+    other = spark.createDataFrame([(1, "never seen zz"), (2, "never w1 zz")], "doc_id long, text string")
+    unseen = lm.score(other, vocab, net).collect()
+    assert all(math.isfinite(r["mean_log_likelihood"]) for r in unseen)
+
+
+def test_outputs_follow_the_vocabulary(spark):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "concat('w', id, ' common') AS text")
+    vocab, counts = lm.vocabulary(docs, P)
+    assert (vocab.p.top, vocab.p.classes) == (23, 15) and len(vocab.number) == 23 and len(counts) == 39
+    assert counts.sum() == 8000
+    assert lm.Params().grown(10 ** 9).size > 2 * lm.Params().grown(10 ** 8).size > 2 * lm.Params().size
