@@ -16,9 +16,9 @@ logarithms are summed per document as fixed-point integers.
 
 Training is data-parallel: every task trains
 a copy in numpy on its own documents, then the copies are averaged, weighted by
-the tokens they were trained on; each document is used in one of the rounds.
-In training a token in ``mask_every`` is masked and predicted; the score
-predicts every token.  The copies are summed as fixed-point integers by an
+the tokens they were trained on; each document is used in one of the rounds,
+with a token in ``mask_every`` masked and predicted: at 1 every token of every
+document is a target once.  The score predicts every token.  The copies are summed as fixed-point integers by an
 aggregation, so the average does not depend on the order of the tasks, and only
 one set of parameters reaches the driver whatever the size of the corpus.
 """
@@ -52,7 +52,7 @@ class Params:
     reach: int = 2
     hidden: int = 16
     rounds: int = 2
-    mask_every: int = 4
+    mask_every: int = 1
     batch: int = 512
     rate: float = 0.1
     seed: int = 3
@@ -128,10 +128,14 @@ class Network:
             total += self.e[k][ids[at + o]]
         return np.tanh(total)
 
+    def steep(self) -> bool:
+        """Whether exp of an output could overflow."""
+        return float((np.abs(self.c) + np.abs(self.u).sum(axis=0)).max()) > 80
+
     def log_probs(self, ids: np.ndarray, at: np.ndarray, step: int = 2048) -> np.ndarray:
         """log p of the token at each position, given both sides."""
         out = np.empty(len(at), np.float64)
-        steep = float((np.abs(self.c) + np.abs(self.u).sum(axis=0)).max()) > 80  # else exp can't overflow
+        steep = self.steep()
         for s in range(0, len(at), step):
             part = at[s:s + step]
             z = self.hidden(ids, part) @ self.u
@@ -146,22 +150,23 @@ class Network:
     def train(self, ids: np.ndarray, at: np.ndarray, memory: list[np.ndarray]) -> None:
         """Adagrad steps over masked positions; ``memory`` has the summed squared gradients."""
         p = self.params
+        table, units = np.arange(2 * p.reach) * p.size, np.arange(p.hidden)
         for s in range(0, len(at), p.batch):
             part = at[s:s + p.batch]
             n = len(part)
             h = self.hidden(ids, part)
-            z = h @ self.u + self.c
-            z -= z.max(axis=1, keepdims=True)
+            z = h @ self.u
+            z += self.c
+            if self.steep():
+                z -= z.max(axis=1, keepdims=True)
             np.exp(z, out=z)
-            z /= z.sum(axis=1, keepdims=True)
-            z[np.arange(n), ids[part]] -= 1
-            z /= n
+            z *= 1 / (n * z.sum(axis=1, keepdims=True))
+            z[np.arange(n), ids[part]] -= np.float32(1 / n)
             dh = (z @ self.u.T) * (1 - h * h)
-            de = np.empty_like(self.e)
-            for k, o in enumerate(self.offsets()):
-                hot = np.zeros((n, p.size), np.float32)
-                hot[np.arange(n), ids[part + o]] = 1
-                de[k] = hot.T @ dh
+            rows = ids[part[:, None] + self.offsets()] + table  # of all input tables as one
+            de = np.bincount(((rows * p.hidden)[:, :, None] + units).ravel(),
+                             np.broadcast_to(dh[:, None], (*rows.shape, p.hidden)).ravel(), self.e.size)
+            de = de.reshape(self.e.shape).astype(np.float32)
             for x, g, m in zip(self.parts(), (de, dh.sum(axis=0), h.T @ z, z.sum(axis=0)), memory):
                 m += g * g
                 x -= p.rate * g / np.sqrt(m)

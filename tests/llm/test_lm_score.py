@@ -150,3 +150,17 @@ def test_outputs_follow_the_vocabulary(spark):
     assert (vocab.p.top, vocab.p.classes) == (23, 15) and len(vocab.number) == 23 and len(counts) == 39
     assert counts.sum() == 8000
     assert lm.Params().grown(10 ** 9).size > 2 * lm.Params().grown(10 ** 8).size > 2 * lm.Params().size
+
+
+def test_production_parameters_learn_from_every_token(spark):
+    """Far better than token frequencies, which the start network already gives, on few documents."""
+    rng = random.Random(9)
+    text = lambda: " ".join(f"{a} {a}{b} {b}" for a, b in ((rng.choice("abc"), rng.choice("def")) for _ in range(60)))
+    docs = spark.createDataFrame([(i, text()) for i in range(60)], "doc_id long, text string").coalesce(1).cache()
+    vocab, net = lm.train(docs)
+    _, counts = lm.vocabulary(docs, lm.Params())
+    texts = [vocab.ids(space_words(r["text"])) for r in docs.collect()]
+    ids, at, _ = lm.padded(texts, vocab.p.reach)
+    frequency = np.log(counts / counts.sum(), where=counts > 0, out=np.full(len(counts), -50.0))[ids[at]].mean()
+    gain = net.log_probs(ids, at).mean() - frequency
+    assert gain > 0.6  # with one token in four as a target: 0.15
