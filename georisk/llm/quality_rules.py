@@ -33,8 +33,8 @@ class Params:
 
     ``repeat_words``: words of a repeat that counts as covered.  A text is rejected
     when repeats cover more than ``max_covered`` of the characters of its words,
-    or when one repeat is longer than ``max_repeat`` words and than
-    ``max_repeat_share`` of the text.  ``chunk`` words are sorted at a time; a
+    or when one repeat is longer than ``max_repeat`` words, however long the text.
+    ``chunk`` words are sorted at a time; a
     longer text is a chunk of its own.
     """
 
@@ -44,7 +44,6 @@ class Params:
     repeat_words: int = 5
     max_covered: float = 0.3
     max_repeat: int = 40
-    max_repeat_share: float = 0.25
     chunk: int = 60_000
 
 
@@ -181,7 +180,6 @@ def judge(docs: DataFrame, p: Params = Params()) -> DataFrame:
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, " + ", ".join(f"{k} {t}" for k, t in kinds.items()))
     base = (F.col("n_words") < p.min_words) | (100 * F.col("n_repeat_words") > p.max_repeat_percent * F.col("n_words"))
-    long = (F.col("longest_repeat") > p.max_repeat) & (F.col("longest_repeat") > p.max_repeat_share * F.col("n_words"))
-    repeats = (F.col("covered") > p.max_covered) | long
+    repeats = (F.col("covered") > p.max_covered) | (F.col("longest_repeat") > p.max_repeat)
     return (found.withColumn("base_failed", base).withColumn("repeats_failed", repeats)
             .withColumn("kept", ~F.col("base_failed") & ~F.col("repeats_failed")))

@@ -90,3 +90,14 @@ def test_verdicts_and_edge_rows(spark):
     assert got[3]["base_failed"] and got[4]["base_failed"] and not got[None]["kept"]
     assert got[6]["longest_repeat"] == 29_999 and not got[6]["kept"]
     assert qr.judge(docs).count() == 7 and qr.judge(docs.limit(0)).count() == 0
+
+
+def test_a_long_repeat_alone_rejects_a_long_text(spark):
+    words = [f"w{i}" for i in range(4000)]
+    at_limit, above, passage = words[:], words[:], words[:]
+    at_limit[2000:2040], above[2000:2041], passage[3000:3400] = words[:40], words[:41], words[:400]
+    rows = [(i, " ".join(w)) for i, w in enumerate((words, at_limit, above, passage))]
+    got = {r["doc_id"]: r for r in qr.judge(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i]["longest_repeat"] for i in range(4)] == [0, 40, 41, 400]
+    assert not any(r["base_failed"] or r["covered"] > 0.3 for r in got.values())
+    assert [got[i]["kept"] for i in range(4)] == [True, True, False, False]
