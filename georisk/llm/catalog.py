@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, lm_score, mixing, quality_fm, quality_rules, simhash, suffix_dedup, url_filter, warc
+from . import (
+    decontaminate, html_extract, lm_score, mixing, odd_sketch, quality_fm, quality_rules, simhash, suffix_dedup, url_filter,
+    warc,
+)
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,6 +114,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(docs, *lm_score.train(docs))
 
 
+def op11_odd_sketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_warc_archive": op2_warc_archive,
@@ -122,5 +129,6 @@ QUERIES: dict[str, Query] = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_odd_sketch_near_dedup": op11_odd_sketch_near_dedup,
 }
 ORACLES: dict[str, str] = {"op3_url_filter": OP3_SQL}
