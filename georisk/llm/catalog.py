@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    decontaminate, html_extract, lm_score, mixing, odd_sketch, quality_fm, quality_rules, simhash, suffix_dedup, url_filter,
-    warc, whitening,
+    decontaminate, html_extract, lm_score, mixing, odd_sketch, quality_fm, quality_rules, simhash, spelling, suffix_dedup,
+    url_filter, warc, whitening,
 )
 from .common import read_table
 
@@ -118,6 +118,10 @@ def op11_odd_sketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odd_sketch.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf_dir, "documents"))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
 
@@ -134,6 +138,7 @@ QUERIES: dict[str, Query] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_odd_sketch_near_dedup": op11_odd_sketch_near_dedup,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
 ORACLES: dict[str, str] = {"op3_url_filter": OP3_SQL}

@@ -43,3 +43,7 @@ class Shared:
     @property
     def value(self):
         return pickle.loads(self._sent.value)
+
+    def release(self) -> None:
+        """Drop the executors' copies; a task that still asks fetches it again."""
+        self._sent.unpersist()
