@@ -1,12 +1,12 @@
 """MinHash near-duplicates whose candidates are verified by odd sketches, then on the full sets.
 
-A document is the set of its distinct shingles.  ``samples`` minimum hashes of
-the set are cut into bands; sets that agree in a whole band meet in a bucket.
-The odd sketch folds all samples into a bitmap of parities: each sample flips
-one bit.  Two bitmaps differ where a sample differs, so the population count of
-their exclusive-or estimates the distance of two sets, and best where they are
-nearly equal.  A candidate within the cut (`Params.cut`) is compared on the
-full sets of 64-bit shingle hashes.
+A document is the set of its distinct shingles.  Minimum hashes of the set are
+cut into bands; sets that agree in a whole band meet in a bucket.  Sets that
+share a bucket get an odd sketch: ``samples`` minimum hashes are folded into a
+bitmap of parities, where each sample flips one bit.  Two bitmaps differ where a
+sample differs, so the population count of their exclusive-or estimates the
+distance of two sets, and best where they are nearly equal.  A candidate within
+the cut (`Params.cut`) is compared on the full sets of 64-bit shingle hashes.
 
 Nothing emits all pairs of a bucket:
 
@@ -14,10 +14,11 @@ Nothing emits all pairs of a bucket:
 2. Every member of a bucket is paired with the bucket's smallest node, so a
    group of near copies costs one row per member and bucket.
 3. Buckets whose members lie in more than one component are compared in full,
-   tile by tile in numpy; a node names its nearest partners outside its own
-   component, at most ``partners`` of them.  What is confirmed joins components,
-   what is refuted is remembered, and the next round allows more partners.
-   Rounds end when every node has named all it has, so no link is lost.
+   tile by tile in numpy.  A node's partners are ordered by distance; a round
+   names a slice of them, those outside its own component.  What is confirmed
+   joins components, so that later slices have less to name; slices grow
+   eightfold, and rounds end when every node has come to its last partner, so
+   no link is lost.
 """
 
 from __future__ import annotations
@@ -34,8 +35,6 @@ from pyspark.sql import functions as F
 from .common import cut_lineage, space_words
 from .components import components
 
-WORD = 64
-
 
 @dataclass(frozen=True)
 class Params:
@@ -43,10 +42,10 @@ class Params:
     percent: int = 85        # least similarity: 100 * intersection >= percent * union
     bands: int = 28
     rows: int = 5            # a pair of that similarity meets in no band with chance 7e-8
-    samples: int = 192       # minimum hashes; the bands use the first bands * rows of them
-    bits: int = 512          # of the odd sketch
-    sigmas: float = 6.0      # the sketch refutes only what lies this far beyond the threshold
-    partners: int = 8        # named by a node in the first exhaustive round; grows eightfold
+    samples: int = 2048      # minimum hashes of a sketch
+    bits: int = 4096         # of the odd sketch
+    sigmas: float = 5.5      # the sketch refutes only what lies this far beyond the threshold: chance 2e-8
+    partners: int = 8        # ranks of the first slice
     hot: int = 4096          # a larger bucket is dealt as pairs of shares of this many rows
     tile: int = 64
 
@@ -56,11 +55,13 @@ class Params:
         A sample differs with chance 1 - similarity and then flips two bits;
         f flips leave bits / 2 * (1 - (1 - 2 / bits) ** f) of them odd.
         """
-        far = 1 - self.percent / 100
+        m, far = self.bits, 1 - self.percent / 100
         flips = 2 * self.samples * far
-        stay = (1 - 2 / self.bits) ** flips
-        spread = 4 * stay * stay * self.samples * far * (1 - far) + self.bits / 4 * (1 - stay * stay)
-        return int(self.bits / 2 * (1 - stay) + self.sigmas * sqrt(spread)) + 1
+        one, two = (1 - 2 / m) ** flips, (1 - 4 / m) ** flips
+        mean = m / 2 * (1 - one)
+        folded = m * (m - 1) / 4 * (1 - 2 * one + two) + mean - mean * mean   # variance for a fixed number of flips
+        spread = folded + 4 * one * one * self.samples * far * (1 - far)      # and that of the number itself
+        return int(mean + self.sigmas * sqrt(spread)) + 1
 
 
 def shingle_hashes(words: list[bytes], shingle: int) -> np.ndarray:
@@ -80,86 +81,111 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-class Signer:
-    """Minimum hashes, band keys and odd sketch of a set."""
+class Sampler:
+    """``size`` minimum hashes of a set; every sample is a bijection of the upper half of the shingle hashes."""
 
-    def __init__(self, p: Params, seed: int = 11):
+    def __init__(self, size: int, seed: int):
         draw = np.random.default_rng(seed)
-        self.p = p
-        self.flip = draw.integers(0, 2 ** 64, p.samples, dtype=np.uint64)[:, None]
-        self.times = draw.integers(0, 2 ** 64, p.samples, dtype=np.uint64)[:, None] | np.uint64(1)
-        self.salt = draw.integers(0, 2 ** 64, p.samples, dtype=np.uint64)
+        self.flip = draw.integers(0, 2 ** 32, size, dtype=np.uint32)[:, None]
+        self.times = draw.integers(0, 2 ** 32, size, dtype=np.uint32)[:, None] | np.uint32(1)
 
     def minima(self, grams: np.ndarray) -> np.ndarray:
-        low = np.full(self.p.samples, np.iinfo(np.uint64).max, np.uint64)
-        for at in range(0, len(grams), 2048):
-            part = (grams[None, at:at + 2048] ^ self.flip) * self.times
+        half = (grams >> np.uint64(32)).astype(np.uint32)
+        low = np.full(len(self.flip), np.iinfo(np.uint32).max, np.uint32)
+        step = max(1, (1 << 18) // len(low))   # a long text takes bounded memory
+        for at in range(0, len(half), step):
+            part = half[None, at:at + step] ^ self.flip
+            part *= self.times
+            part ^= part >> np.uint32(15)
             np.minimum(low, part.min(axis=1), out=low)
         return low
 
-    def bands(self, low: np.ndarray) -> list[int]:
-        r, raw = self.p.rows, low.tobytes()
-        return [xxhash.xxh64_intdigest(raw[8 * r * i:8 * r * (i + 1)], i) for i in range(self.p.bands)]
 
-    def sketch(self, low: np.ndarray) -> np.ndarray:
-        at = (_mix(low ^ self.salt) % np.uint64(self.p.bits)).astype(np.int64)
-        odd = np.bincount(at, minlength=self.p.bits) & 1
-        return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+def band_keys(low: np.ndarray, p: Params) -> np.ndarray:
+    raw, r = low.tobytes(), 4 * p.rows
+    return np.array([xxhash.xxh64_intdigest(raw[r * i:r * (i + 1)], i) for i in range(p.bands)], np.uint64).view(np.int64)
 
 
-def _signed(values) -> pa.Array:
-    return pa.array(np.asarray(values, np.uint64).view(np.int64))
+def odd_sketch(low: np.ndarray, p: Params) -> np.ndarray:
+    """Parities of the samples' bits, packed into 64-bit words."""
+    at = (_mix(low + (np.arange(len(low), dtype=np.uint64) << np.uint64(32))) % np.uint64(p.bits)).astype(np.int64)
+    odd = np.bincount(at, minlength=p.bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
 
 
 def _sign_task(p: Params):
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()),
-                        ("set_key", pa.binary()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))])
+                        ("set_key", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches):
-        signer = Signer(p)
+        sampler = Sampler(p.bands * p.rows, 11)
         for b in batches:
-            n, keys, bands, sketches, seen = [], [], [], [], {}
+            n, keys, bands, seen = [], [], [], {}
             for t in b.column(3):
                 t = t.as_py()
                 made = seen.get(t)
                 if made is None:
                     grams = shingle_hashes(space_words(t, lower=True), p.shingle)
                     if len(grams):
-                        low = signer.minima(grams)
-                        made = (len(grams), xxhash.xxh3_128_digest(grams.tobytes()),
-                                np.array(signer.bands(low), np.uint64).view(np.int64), signer.sketch(low))
+                        made = (len(grams), xxhash.xxh3_128_digest(grams.tobytes()), band_keys(sampler.minima(grams), p))
                     else:
-                        made = (0, None, None, None)
+                        made = (0, None, None)
                     seen = {t: made}  # copies often stand side by side
                 n.append(made[0])
                 keys.append(made[1])
                 bands.append(made[2])
-                sketches.append(made[3])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), b.column(2), pa.array(n, pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(bands, schema.field("bands").type), pa.array(sketches, schema.field("sketch").type)],
-                schema=schema)
+                 pa.array(bands, schema.field("bands").type)], schema=schema)
+
+    return run
+
+
+def _sketch_task(p: Params):
+    schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary()),
+                        ("bands", pa.list_(pa.int64())), ("text", pa.string())])
+
+    def run(batches):
+        sampler = Sampler(p.samples, 12)
+        for b in batches:
+            n, sketches = [], []
+            for t in b.column(1):
+                grams = shingle_hashes(space_words(t.as_py(), lower=True), p.shingle)
+                n.append(len(grams))
+                sketches.append(odd_sketch(sampler.minima(grams), p).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(sketches, pa.binary()),
+                                              b.column(2).cast(schema.field("bands").type), b.column(1)], schema=schema)
 
     return run
 
 
 def signatures(docs: DataFrame, p: Params, id_col: str, text_col: str) -> DataFrame:
-    """One row per document: set size, key of its set, band keys and odd sketch (null for empty sets)."""
+    """One row per document: set size, key of its set and band keys (null for empty sets)."""
     return (docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
                         F.xxhash64(text_col).alias("text_key"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(_sign_task(p), "row long, doc_id long, text_key long, n long, set_key binary, "
-                                       "bands array<long>, sketch array<long>"))
+            .mapInArrow(_sign_task(p), "row long, doc_id long, text_key long, n long, set_key binary, bands array<long>"))
+
+
+def _sketches(column: pa.Array) -> np.ndarray:
+    """Sketches of a batch, a row of 64-bit words each."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), -1)
 
 
-def _far(a: str, b: str, p: Params):
-    """Differing bits of two sketch columns."""
-    return sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(1, p.bits // WORD)),
-               F.bit_count(F.col(a)[0].bitwiseXOR(F.col(b)[0])))
+def _may_link_task(p: Params):
+    """Pairs whose sizes and sketches allow the similarity."""
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            nu, nv = b.column("nu").to_numpy(), b.column("nv").to_numpy()
+            far = np.bitwise_count(_sketches(b.column("su")) ^ _sketches(b.column("sv"))).sum(axis=1, dtype=np.int64)
+            near = (100 * np.minimum(nu, nv) >= p.percent * np.maximum(nu, nv)) & (far <= p.cut())
+            yield pa.RecordBatch.from_arrays([b.column("u").filter(pa.array(near)), b.column("v").filter(pa.array(near))],
+                                             schema=schema)
 
-def _may_link(p: Params):
-    """Pairs (nu, nv, su, sv) whose sizes and sketches allow the similarity."""
-    return ((100 * F.least("nu", "nv") >= p.percent * F.greatest("nu", "nv")) & (_far("su", "sv", p) <= p.cut()))
+    return run
 
 
 def _verify_task(p: Params):
@@ -190,92 +216,103 @@ def confirm(pairs: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
             .sortWithinPartitions("v").mapInArrow(_verify_task(p), "u long, v long, linked boolean"))
 
 
-def nearest_outside(key, comp, n, sketch, node, p: Params, most: int):
-    """Rows sorted by (key, n): for each row its nearest ``most`` partners of equal key and other component.
+def partners_outside(key, band, comp, n, node, sketch, bands, p: Params, start: int, stop: int):
+    """Rows sorted by (key, n): pairs of rows of equal key whose sketches are near and whose components differ.
 
-    Returns row indexes (a, b) and, for every pair, whether row a has more
-    partners than were returned.
+    A row's near rows are ordered by distance, whatever their component, and
+    those at ranks ``start`` to ``stop`` are named; a pair that meets in several
+    bands is named in the first.  Returns row indexes (a, b), and the keys in
+    which a row has partners beyond ``stop``.
     """
-    words = sketch.shape[1]
-    cut, found = p.cut(), []
-    first = np.searchsorted(key, key, "left")
-    end = np.searchsorted(key, key, "right")
+    cut, found, beyond = p.cut(), [], []
+    first, end = np.searchsorted(key, key, "left"), np.searchsorted(key, key, "right")
     for i in range(0, len(key), p.tile):
         rows = slice(i, min(i + p.tile, len(key)))
         lo, hi = first[i], end[rows.stop - 1]
-        near = key[rows, None] == key[None, lo:hi]
-        near &= comp[rows, None] != comp[None, lo:hi]
+        outside = comp[rows, None] != comp[None, lo:hi]
         small, large = np.minimum(n[rows, None], n[None, lo:hi]), np.maximum(n[rows, None], n[None, lo:hi])
-        near &= 100 * small >= p.percent * large
-        if not near.any():
+        near = (key[rows, None] == key[None, lo:hi]) & (100 * small >= p.percent * large)
+        asks = np.nonzero((near & outside).any(axis=1))[0]
+        if not len(asks):
             continue
-        far = np.zeros(near.shape, np.int64)
-        for w in range(words):
-            far += np.bitwise_count(sketch[rows, w][:, None] ^ sketch[None, lo:hi, w])
-        near &= far <= cut
-        a, b = np.nonzero(near)
+        near, outside, at = near[asks], outside[asks], i + asks
+        far = np.zeros(near.shape, np.int32)
+        for w in range(sketch.shape[1]):
+            far += np.bitwise_count(sketch[at, w][:, None] ^ sketch[None, lo:hi, w])
+        near &= (far <= cut) & (at[:, None] != np.arange(lo, hi)[None, :])
+        a, b = np.nonzero(near & outside)
         if not len(a):
             continue
+        asks = np.unique(a)
+        near[np.setdiff1d(np.arange(len(at)), asks)] = False
+        a, b = np.nonzero(near)
         order = np.lexsort((node[lo + b], far[a, b], a))
         a, b = a[order], b[order]
-        start = np.searchsorted(a, a, "left")
-        kept = np.arange(len(a)) - start < most
-        more = (np.searchsorted(a, a, "right") - start) > most
-        found.append((a[kept] + i, b[kept] + lo, more[kept]))
-    if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
-    return tuple(np.concatenate(x) for x in zip(*found))
-
-
-def _partner_task(p: Params, most: int):
-    schema = pa.schema([("key", pa.int64()), ("u", pa.int64()), ("v", pa.int64()), ("more", pa.bool_())])
-    names = ("key", "part", "comp", "n", "node")
-
-    def work(cols, sketch):
-        key, part, comp, n, node = cols
+        rank = np.arange(len(a)) - np.searchsorted(a, a, "left")
+        wanted = outside[a, b]
+        beyond.append(key[at[a[wanted & (rank >= stop)]]])
+        wanted &= (rank >= start) & (rank < stop)
+        a, b = at[a[wanted]], lo + b[wanted]
+        own = (bands[a] == bands[b]).argmax(axis=1) == band[a]
+        found.append((a[own], b[own]))
+    none = np.empty(0, np.int64)
+    a, b = (np.concatenate(x) for x in zip(*found)) if found else (none, none)
+    return a, b, np.unique(np.concatenate(beyond)) if beyond else none
+
+
+def _partner_task(p: Params, start: int, stop: int):
+    """Pairs (u, v) named, and a row with null ends for each bucket that has more."""
+    schema = pa.schema([("key", pa.int64()), ("u", pa.int64()), ("v", pa.int64())])
+    names = ("key", "part", "band", "comp", "n", "node")
+
+    def work(cols, sketch, bands):
+        key, part, band, comp, n, node = cols
         if len(key) < 2:
             return
         new = (key[1:] != key[:-1]) | (part[1:] != part[:-1])
         group = np.concatenate([[0], np.cumsum(new)])
-        a, b, more = nearest_outside(group, comp, n, sketch, node, p, most)
+        a, b, more = partners_outside(group, band, comp, n, node, sketch, bands, p, start, stop)
         if len(a):
-            yield pa.RecordBatch.from_arrays([pa.array(key[a]), pa.array(node[a]), pa.array(node[b]), pa.array(more)],
-                                             schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(key[a]), pa.array(node[a]), pa.array(node[b])], schema=schema)
+        if len(more):
+            none = pa.nulls(len(more), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(key[np.searchsorted(group, more)]), none, none], schema=schema)
 
     def run(batches):
-        left, sk = None, None
+        left = None
         for b in batches:
+            if not b.num_rows:
+                continue
             now = [b.column(c).to_numpy(zero_copy_only=False) for c in names]
-            bits = b.column("sketch").flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(b), -1)
+            now += [_sketches(b.column("sketch")), b.column("bands").flatten().to_numpy().reshape(b.num_rows, -1)]
             left = now if left is None else [np.concatenate(x) for x in zip(left, now)]
-            sk = bits if sk is None else np.concatenate([sk, bits])
             edge = np.nonzero((left[0][1:] != left[0][:-1]) | (left[1][1:] != left[1][:-1]))[0]
             if len(edge):
                 at = edge[-1] + 1  # the last bucket may go on in the next batch
-                yield from work([x[:at] for x in left], sk[:at])
-                left, sk = [x[at:] for x in left], sk[at:]
+                yield from work([x[:at] for x in left[:6]], left[6][:at], left[7][:at])
+                left = [x[at:] for x in left]
         if left is not None:
-            yield from work(left, sk)
+            yield from work(left[:6], *left[6:])
 
     return run
 
 
-def partners(members: DataFrame, signs: DataFrame, labels: DataFrame, p: Params, most: int) -> DataFrame:
-    """``(key, u, v, more)``: what nodes of buckets with several components name outside their own one.
+def partners(members: DataFrame, signs: DataFrame, labels: DataFrame, p: Params, start: int, stop: int) -> DataFrame:
+    """``(key, u, v)`` of buckets with several components: partners ranked from ``start`` to ``stop``.
 
     A bucket of more than ``hot`` rows is dealt to several tasks: its rows fall
     into shares, each pair of shares is one group, so every pair still meets.
     """
     named = (members.join(labels, "node", "left")
-             .select("key", "node", F.coalesce("root", "node").alias("comp")))
+             .select("key", "band", "node", F.coalesce("root", "node").alias("comp")))
     open_ = (named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c"))
              .filter("lo < hi").select("key", F.ceil(F.col("c") / p.hot).cast("int").alias("k")))
     share = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
     parts = F.transform(F.expr("sequence(0, k - 1)"), lambda t: F.least(t, share) * F.col("k") + F.greatest(t, share))
-    rows = named.join(open_, "key").select("key", "node", "comp", F.explode(parts).alias("part"))
-    return (rows.join(signs, "node").select("key", "part", "comp", "n", "node", "sketch")
+    rows = named.join(open_, "key").select("key", "band", "node", "comp", F.explode(parts).alias("part"))
+    return (rows.join(signs, "node").select("key", "part", "band", "comp", "n", "node", "sketch", "bands")
             .repartition("key", "part").sortWithinPartitions("key", "part", "n", "node")
-            .mapInArrow(_partner_task(p, most), "key long, u long, v long, more boolean"))
+            .mapInArrow(_partner_task(p, start, stop), "key long, u long, v long"))
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -312,40 +349,42 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         rows.filter("n > 0").groupBy("set_key")
         .agg(F.min("row").alias("node"), F.min("doc_id").alias("first_id")), "odd_nodes")
     own = rows.join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
-    banded = own.select(F.col("row").alias("node"), F.explode("bands").alias("key"))
+    banded = own.select(F.col("row").alias("node"), F.posexplode("bands").alias("band", "key"))
     shared = banded.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("pivot")).filter("c > 1")
     members = cut_lineage(banded.join(shared.drop("c"), "key"), "odd_members")
 
     meets = members.select("node").distinct()
     needed = rows.join(meets, rows["row"] == meets["node"], "left_semi")
-    signs = cut_lineage(needed.select(F.col("row").alias("node"), "n", "sketch", "text_key", "doc_id"), "odd_signs")
+    wanted = needed.select(F.col("row").alias("node"), "text_key", "doc_id", "bands")
     found = docs.select(F.xxhash64(text_col).alias("text_key"), F.col(id_col).cast("long").alias("doc_id"),
                         F.col(text_col).cast("string").alias("text"))
-    wanted = signs.select("node", "text_key", "doc_id")
     same = (found["text_key"] == wanted["text_key"]) & found["doc_id"].eqNullSafe(wanted["doc_id"])
-    texts = cut_lineage(found.join(wanted, same).select("node", "text").dropDuplicates(["node"]), "odd_texts")
-    signs = signs.select("node", "n", "sketch")
+    sketched = cut_lineage(
+        found.join(wanted, same).select("node", "text", "bands").dropDuplicates(["node"])
+        .mapInArrow(_sketch_task(p), "node long, n long, sketch binary, bands array<long>, text string"), "odd_texts")
+    signs, texts = sketched.select("node", "n", "sketch", "bands"), sketched.select("node", "text")
 
     def candidates(pairs):
         a = signs.select(F.col("node").alias("u"), F.col("n").alias("nu"), F.col("sketch").alias("su"))
         b = signs.select(F.col("node").alias("v"), F.col("n").alias("nv"), F.col("sketch").alias("sv"))
-        return pairs.join(a, "u").join(b, "v").filter(_may_link(p)).select("u", "v")
+        return (pairs.join(a, "u").join(b, "v").select("u", "v", "nu", "nv", "su", "sv")
+                .mapInArrow(_may_link_task(p), "u long, v long"))
 
-    pairs = candidates(_unordered(members.filter("node <> pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v"))))
-    judged = cut_lineage(confirm(pairs, texts, p), "odd_judged")
+    pivots = _unordered(members.filter("node <> pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")))
+    judged = cut_lineage(confirm(candidates(pivots), texts, p), "odd_judged")
     labels = cut_lineage(components(judged.filter("linked").select("u", "v")), "odd_labels")
-    refuted = judged.filter("not linked").select("u", "v")
-    members, most = members.select("key", "node"), p.partners
+    members, tried, start, stop = members.drop("pivot"), judged.select("u", "v"), 0, p.partners
     while True:
-        named = cut_lineage(partners(members, signs, labels, p, most), "odd_partners")
-        fresh = _unordered(named).join(refuted, ["u", "v"], "left_anti")
+        named = cut_lineage(partners(members, signs, labels, p, start, stop), "odd_partners")
+        fresh = _unordered(named.filter("u is not null")).join(tried, ["u", "v"], "left_anti")
         judged = cut_lineage(confirm(fresh, texts, p), "odd_judged")
         labels = _merged(labels, judged.filter("linked").select("u", "v"))
-        if named.filter("more").isEmpty():
+        more = named.filter("u is null").select("key").distinct()
+        if more.isEmpty():
             break  # every node has named all its partners, and all of them are judged
-        refuted = refuted.unionByName(judged.filter("not linked").select("u", "v"))
-        members = named.select("key", F.col("u").alias("node")).distinct()
-        most *= 8
+        tried = tried.unionByName(judged.select("u", "v"))
+        members = cut_lineage(members.join(more, "key", "left_semi"), "odd_members")
+        start, stop = stop, 8 * stop
 
     of = nodes.join(labels, "node", "left").select("set_key", "first_id", F.coalesce("root", "node").alias("root"))
     least = of.groupBy("root").agg(F.min("first_id").alias("component"))
