@@ -119,12 +119,13 @@ def compare_runs(metrics: DataFrame, baseline_recall: float = BASELINE_RECALL) -
 
 
 def leaderboard(results: DataFrame, k: int | None = None) -> DataFrame:
-    """results(model, recall, precision, f1, auc_roc, ...) -> formatted columns, best recall first."""
+    """results(model, recall, precision, f1, auc_roc[, rounds]) -> formatted columns, best recall first."""
     out = results.select(
         "model", F.format_string("%.3f", F.bround("recall", 3)).alias("Recall"),
         F.format_string("%.3f", F.bround("precision", 3)).alias("Precision"),
         F.format_string("%.3f", F.bround("f1", 3)).alias("F1-Score"),
         F.format_string("%.3f", F.bround("auc_roc", 3)).alias("AUC-ROC"),
+        *[F.col(c) for c in ("rounds",) if c in results.columns],
         F.col("recall").alias("recall_raw"))
     out = out.orderBy(F.desc("recall_raw"), F.asc("model"))
     return out.limit(k) if k else out

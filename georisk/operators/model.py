@@ -82,12 +82,58 @@ def with_class_weights(df: DataFrame, target: str = "target", mode: str = "balan
 
 
 # --------------------------------------------------------------- spark.ml
+RAW_LABEL, LABEL_CODE = "atm_raw", "atm_label"
+
+
+def encoder_stage():
+    """The label dictionary as a pipeline stage: text order, an unknown or missing label gets the next free code.
+
+    It reads ``atm_raw``, the code as it comes, so a saved pipeline that begins with it can't be fed by mistake.
+    """
+    from pyspark.ml.feature import StringIndexer
+    return StringIndexer(inputCol=RAW_LABEL, outputCol=LABEL_CODE, stringOrderType="alphabetAsc", handleInvalid="keep")
+
+
+def has_encoder(fitted) -> bool:
+    """Whether a fitted pipeline encodes the raw label itself."""
+    from pyspark.ml.feature import StringIndexerModel
+    return any(isinstance(s, StringIndexerModel) and s.getOrDefault(s.inputCol) == RAW_LABEL
+               for s in getattr(fitted, "stages", []))
+
+
+def with_raw_label(df: DataFrame) -> DataFrame:
+    """``atm_raw`` beside ``atm`` if it isn't there."""
+    return df if RAW_LABEL in df.columns else df.withColumn(RAW_LABEL, F.col("atm"))
+
+
+def _encoded_columns(cols) -> list[str]:
+    return [LABEL_CODE if c == "atm" else c for c in cols]
+
+
+def formula_pipeline(rows: DataFrame, weights: dict | None = None, intercept: float | None = None):
+    """The logistic formula as a fitted, storable pipeline whose encoder knows the labels of ``rows``."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+
+    from .features import FORMULA_WEIGHTS, logistic_score_sql
+    used = FORMULA_WEIGHTS if weights is None else weights
+    sql = logistic_score_sql({LABEL_CODE if c == "atm" else c: w for c, w in used.items()}, intercept)
+    return PipelineModel(stages=[encoder_stage().fit(with_raw_label(rows)),
+                                 SQLTransformer(statement=f"SELECT *, {sql} AS probability FROM __THIS__")])
+
+
 def _assembler(cols=FEATURE_COLUMNS):
     from pyspark.ml.feature import VectorAssembler
     return VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep")
 
 
-def logistic_pipeline(cols=FEATURE_COLUMNS, C: float = 0.5, max_iter: int = 2000, sum_weights: float = 1.0):
+def _front(cols, encode: bool) -> list:
+    """First stages: the encoder if asked for, and the assembler."""
+    return [encoder_stage(), _assembler(_encoded_columns(cols))] if encode else [_assembler(cols)]
+
+
+def logistic_pipeline(cols=FEATURE_COLUMNS, C: float = 0.5, max_iter: int = 2000, sum_weights: float = 1.0,
+                      encode: bool = False, **params):
     """Standardised L2 logistic regression with class weights.
 
     sklearn's objective sum(w_i * loss_i) + ||b||^2 / (2C) equals Spark's
@@ -97,12 +143,13 @@ def logistic_pipeline(cols=FEATURE_COLUMNS, C: float = 0.5, max_iter: int = 2000
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import StandardScaler
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
-    lr = LogisticRegression(featuresCol="scaled", labelCol="target", weightCol="weight", maxIter=max_iter,
-                            regParam=1.0 / (C * sum_weights), elasticNetParam=0.0, standardization=False)
-    return Pipeline(stages=[_assembler(cols), scaler, lr])
+    params = {"maxIter": max_iter, "regParam": 1.0 / (C * sum_weights), "elasticNetParam": 0.0} | params
+    lr = LogisticRegression(featuresCol="scaled", labelCol="target", weightCol="weight", standardization=False, **params)
+    return Pipeline(stages=[*_front(cols, encode), scaler, lr])
 
 
-def tree_pipeline(kind: str = "gbt", cols=FEATURE_COLUMNS, seed: int = 42, **params):
+def tree_pipeline(kind: str = "gbt", cols=FEATURE_COLUMNS, seed: int = 42, encode: bool = False, **params):
+    """Boosted trees or a forest.  Boosting with ``validationIndicatorCol`` stops at the best round of that part."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
     if kind == "gbt":
@@ -112,7 +159,7 @@ def tree_pipeline(kind: str = "gbt", cols=FEATURE_COLUMNS, seed: int = 42, **par
                                      **params)
     else:
         raise ValueError(kind)
-    return Pipeline(stages=[_assembler(cols), est])
+    return Pipeline(stages=[*_front(cols, encode), est])
 
 
 def positive_probability(pred: DataFrame, out: str = "probability_1") -> DataFrame:
@@ -123,9 +170,10 @@ def positive_probability(pred: DataFrame, out: str = "probability_1") -> DataFra
 def score(df: DataFrame, fitted, out: str = "probability") -> DataFrame:
     """P(class 1) for every row with a fitted PipelineModel (JVM-side)."""
     from pyspark.ml.functions import vector_to_array
+    from pyspark.sql.types import DoubleType
     pred = fitted.transform(df)
-    keep = [c for c in df.columns]
-    return pred.select(*keep, vector_to_array("probability")[1].alias(out))
+    p = F.col("probability") if pred.schema["probability"].dataType == DoubleType() else vector_to_array("probability")[1]
+    return pred.select(*df.columns, p.alias(out))
 
 
 def score_pandas(df: DataFrame, predict_proba, feature_cols=FEATURE_COLUMNS, out: str = "probability",
@@ -144,7 +192,7 @@ def score_pandas(df: DataFrame, predict_proba, feature_cols=FEATURE_COLUMNS, out
 def logistic_coefficients(fitted) -> tuple[dict, float]:
     """(weights per raw feature, intercept) from a fitted logistic pipeline, with the
     scaler folded in, so scoring can run as a plain column expression."""
-    assembler, scaler, lr = fitted.stages
+    assembler, scaler, lr = fitted.stages[-3:]
     cols = assembler.getInputCols()
     mean, std = scaler.mean.toArray(), scaler.std.toArray()
     coef = lr.coefficients.toArray()
@@ -154,10 +202,12 @@ def logistic_coefficients(fitted) -> tuple[dict, float]:
 
 
 def random_param_maps(grid: dict, n: int, seed: int = 42):
-    """n random points of a parameter space (lists are choices)."""
+    """n random points of a parameter space (lists are choices); a space of fewer points is an error."""
     rnd = random.Random(seed)
     keys = list(grid)
     all_points = list(itertools.product(*[grid[k] for k in keys]))
+    if n > len(all_points):
+        raise ValueError(f"{n} trials asked of a space of {len(all_points)} points")
     rnd.shuffle(all_points)
     return [dict(zip(keys, p)) for p in all_points[:n]]
 
@@ -206,28 +256,67 @@ def oversample(df: DataFrame, target: str = "target", factor: int | None = None)
     return df.withColumn("_rep", F.explode(F.sequence(F.lit(1), reps))).drop("_rep")
 
 
-def mlp_preparation(cols=FEATURE_COLUMNS, categorical=("atm", "road_type")):
+def mlp_preparation(cols=FEATURE_COLUMNS, categorical=("atm", "road_type"), encode: bool = False):
     """Categorical columns one-hot encoded (unknown kept), the rest standardised, assembled to ``features``."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import OneHotEncoder, StandardScaler, VectorAssembler
+    if encode:
+        cols, categorical = _encoded_columns(cols), _encoded_columns(categorical)
     cats = [c for c in categorical if c in cols]
     cont = [c for c in cols if c not in cats]
     ohe = OneHotEncoder(inputCols=cats, outputCols=[f"{c}_ohe" for c in cats], handleInvalid="keep")
     cont_vec = VectorAssembler(inputCols=cont, outputCol="_cont", handleInvalid="keep")
     scaler = StandardScaler(inputCol="_cont", outputCol="_cont_z", withMean=True, withStd=True)
     feats = VectorAssembler(inputCols=["_cont_z"] + [f"{c}_ohe" for c in cats], outputCol="features")
-    return Pipeline(stages=[ohe, cont_vec, scaler, feats])
+    return Pipeline(stages=[*([encoder_stage()] if encode else []), ohe, cont_vec, scaler, feats])
+
+
+def validation_loss(prepared: DataFrame, fitted) -> float:
+    """Weighted mean of -log p(label) over rows with ``features``, ``target`` and ``weight`` (one aggregation)."""
+    from pyspark.ml.functions import vector_to_array
+    p = F.greatest(F.element_at(vector_to_array("probability"), F.col("target").cast("int") + 1), F.lit(1e-15))
+    row = fitted.transform(prepared).agg(F.sum(-F.log(p) * F.col("weight")) / F.sum("weight")).first()
+    return float("inf") if row[0] is None else float(row[0])
 
 
 def fit_mlp(train: DataFrame, cols=FEATURE_COLUMNS, categorical=("atm", "road_type"), hidden=(64, 32),
-            max_iter: int = 100, seed: int = 42):
+            max_iter: int = 100, seed: int = 42, encode: bool = False, validation: DataFrame | None = None,
+            step: int = 10, patience: int = 6, tolerance: float = 1e-4):
     """Fit preparation + multilayer perceptron; the perceptron takes no weight column, so train it on
-    ``oversample(train)``.  The input layer size is read from the assembled features."""
+    ``oversample(train)``.  The input layer size is read from the assembled features.
+
+    With ``validation`` rows (which must not be in ``train``; they carry
+    ``weight``) training goes on in steps of ``step`` iterations, each from the
+    weights of the one before.  It ends after ``patience`` steps that did not
+    lower the validation loss by ``tolerance``, or at ``max_iter``; the weights
+    of the best step are kept.  The losses are left in ``losses`` of the result.
+    """
     from pyspark.ml import PipelineModel
     from pyspark.ml.classification import MultilayerPerceptronClassifier
-    prep_model = mlp_preparation(cols, categorical).fit(train)
+
+    from ..session import cut_lineage
+    prep_model = mlp_preparation(cols, categorical, encode).fit(train)
     prepared = prep_model.transform(train)
     n_in = prepared.select("features").first()[0].size
     mlp = MultilayerPerceptronClassifier(featuresCol="features", labelCol="target", layers=[n_in, *hidden, 2],
                                          maxIter=max_iter, seed=seed)
-    return PipelineModel(stages=[*prep_model.stages, mlp.fit(prepared)])
+    if validation is None:
+        out = PipelineModel(stages=[*prep_model.stages, mlp.fit(prepared)])
+        out.losses = []
+        return out
+    prepared = cut_lineage(prepared.select("features", "target"), "mlp_rows")
+    held = cut_lineage(prep_model.transform(validation).select("features", "target", "weight"), "mlp_validation")
+    best, least, idle, losses, done = None, float("inf"), 0, [], 0
+    while done < max_iter and idle < patience:
+        now = min(step, max_iter - done)
+        fitted = mlp.setMaxIter(now).fit(prepared)
+        done += now
+        losses.append(validation_loss(held, fitted))
+        if best is None or losses[-1] < least - tolerance:
+            best, least, idle = fitted, losses[-1], 0
+        else:
+            idle += 1
+        mlp = mlp.setInitialWeights(fitted.weights)
+    out = PipelineModel(stages=[*prep_model.stages, best])
+    out.losses = losses
+    return out

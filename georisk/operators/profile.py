@@ -33,6 +33,16 @@ def stage_stats(**frames: DataFrame) -> DataFrame:
     return out
 
 
+def observed(df: DataFrame, name: str, **metrics):
+    """``df`` and an observation of it: the row count ``n`` and ``metrics``, gathered by whatever writes the frame.
+
+    Read ``observation.get`` after the write; nothing is scanned for it.
+    """
+    from pyspark.sql import Observation
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("n"), *[c.alias(k) for k, c in metrics.items()]), seen
+
+
 def class_balance(df: DataFrame, target: str = "target") -> DataFrame:
     """Count and share per class, and the ratio to the smallest class."""
     w = Window.partitionBy()   # over the per-class aggregate only (one row per class)
@@ -198,6 +208,12 @@ def temporal_patterns(df: DataFrame, year: str = "year") -> DataFrame:
         kind.alias("kind"), key.cast("int").alias("key"), (F.col("n") / F.col("_ny")).alias("value"))
 
 
+def pattern_maps(patterns: DataFrame) -> DataFrame:
+    """``(kind, pattern)``: the long form as one map of key to value per kind (at most 24 entries), keys in order."""
+    entries = F.transform(F.sort_array(F.collect_list(F.struct("key", "value"))), lambda e: F.struct(e["key"], e["value"]))
+    return patterns.groupBy("kind").agg(F.map_from_entries(entries).alias("pattern"))
+
+
 def pattern_peaks(patterns: DataFrame) -> DataFrame:
     """Arg-max per kind (smallest key on a tie)."""
     return patterns.groupBy("kind").agg(

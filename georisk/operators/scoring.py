@@ -12,6 +12,7 @@ from ..functions.parse import day_of_week
 from ..params import ENRICHMENT_DEFAULTS
 from . import features as feat
 from . import ingest
+from . import model
 from .model import apply_encoder
 
 
@@ -36,14 +37,30 @@ def encoded(rows: DataFrame, encoder: DataFrame | None) -> DataFrame:
     return apply_encoder(rows, "atm", encoder) if encoder is not None else rows
 
 
+def scored(rows: DataFrame, scorer=None, encoder: DataFrame | None = None, out: str = "probability") -> DataFrame:
+    """``rows`` with the probability of the formula, of a fitted pipeline or of a function of the rows.
+
+    What has been fitted needs the label codes of its training rows: a pipeline
+    that holds the encoder, or the ``encoder`` table.  Without either this raises.
+    """
+    if scorer is None:
+        return rows.withColumn(out, feat.logistic_score())
+    if encoder is None and not model.has_encoder(scorer):
+        raise ValueError("a fitted scorer needs its label encoder: as a stage of the pipeline, or as encoder=")
+    if hasattr(scorer, "stages"):
+        return model.score(rows, scorer, out)
+    p = scorer(rows)
+    return p if out in p.columns else p.withColumnRenamed("probability", out)
+
+
 def score_day(grid: DataFrame, day: DataFrame, atm_code: int = 1, profile: str = "pipeline", scorer=None,
               created_at: Column | None = None, encoder: DataFrame | None = None) -> DataFrame:
     """Every road-grid point for every hour of ``day``: features, probability, 9 output columns.
 
-    A fitted model needs the ``encoder`` that gold stored with its training rows.
+    A fitted model brings its label encoder, or needs the ``encoder`` that gold stored with its training rows.
     """
     rows = encoded(feat.build_features(expand_day(grid, day.limit(1), atm_code), profile), encoder)
-    p = scorer(rows) if callable(scorer) else rows.withColumn("probability", feat.logistic_score())
+    p = scored(rows, scorer, encoder)
     return p.select("date", "hour", "latitude", "longitude", "probability", F.col("atm_raw").alias("atm_code"),
                     "dayofweek", "month", (created_at if created_at is not None else F.current_timestamp())
                     .alias("created_at"))
@@ -80,9 +97,7 @@ def score_requests(requests: DataFrame, scorer=None, model_version: str = "formu
     A request whose datetime can't be read has a null score; ``split_requests`` takes such rows out first.
     """
     f = encoded(request_features(requests), encoder)
-    p = scorer(f) if callable(scorer) else f.withColumn("risk_score", feat.logistic_score())
-    if "risk_score" not in p.columns:
-        p = p.withColumnRenamed("probability", "risk_score")
+    p = scored(f, scorer, encoder, out="risk_score")
     return p.select(
         "request_id", "risk_score", bands.risk_level("risk_score").alias("risk_level"),
         bands.confidence("risk_score").alias("confidence"), F.lit(model_version).alias("model_version"),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .ordering import dense_index
+from .versions import Store
 
 NAMESPACES = ("bronze", "silver", "gold")
 
@@ -18,12 +19,16 @@ def ensure_namespaces(spark: SparkSession, names=NAMESPACES) -> None:
 
 
 def replace_table(df: DataFrame, name: str | None = None, path: str | None = None) -> None:
-    """CREATE OR REPLACE: a catalog table (name) or a Parquet folder (path)."""
-    w = df.write.mode("overwrite")
+    """CREATE OR REPLACE: a catalog table (name) or a stored table (path), whose readers see the old or the new rows."""
     if name:
-        w.saveAsTable(name)
+        df.write.mode("overwrite").saveAsTable(name)
     else:
-        w.parquet(path)
+        Store(df.sparkSession, path).replace({"data": df})
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of what ``replace_table`` or ``replace_partition`` has stored."""
+    return Store(spark, path).read()
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -32,20 +37,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def replace_partition(df: DataFrame, path: str, partition_col: str = "date", values=()) -> None:
-    """Replace the partitions present in ``df`` and those named in ``values``; others stay untouched.
+def replace_partition(df: DataFrame, path: str, partition_col: str = "date", values=(), check=None) -> None:
+    """Replace the partitions present in ``df`` and those named in ``values``, in one step; others stay untouched.
 
-    Dynamic partition overwrite rewrites a date's folder at job commit.  A date
-    named in ``values`` for which ``df`` has no row ends up empty: a run that
-    finds nothing must not leave the rows of the run before.
+    A date named in ``values`` for which ``df`` has no row ends up empty: a run
+    that finds nothing must not leave the rows of the run before.  ``check(name, rows)``
+    sees the stored rows before they are published.
     """
-    spark = df.sparkSession
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for v in values:
-        if df.filter(F.col(partition_col) == F.lit(v)).isEmpty():
-            folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{partition_col}={v}")
-            folder.getFileSystem(conf).delete(folder, True)
+    Store(df.sparkSession, path).replace_partitions(df, partition_col, values, check=check)
 
 
 def layout_for_lookup(df: DataFrame, path: str, partition_col: str = "date", range_col: str = "hour",

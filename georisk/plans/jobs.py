@@ -12,8 +12,10 @@ from pyspark.sql import types as T
 
 from ..functions import geo
 from ..operators import spatial
+from ..operators.tuning import IntRange, LogUniform, Uniform
+from ..operators.versions import Store
 from ..params import CITY_CENTRE, DEFAULT_PARAMS, GRID_BOUNDS, GRID_STEP, JobParams, true_radius_rad
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_path
 from ..sources.grid import make_grid
 
 
@@ -50,16 +52,26 @@ def attach_distance_to_centre(points: DataFrame, centre=CITY_CENTRE, out: str =
 
 
 def precompute(spark: SparkSession, segments: DataFrame, events: DataFrame,
-               params: JobParams = DEFAULT_PARAMS, compat_radius: bool = False) -> DataFrame:
-    """Road grid with road attributes, accident density and distance to the centre."""
+               params: JobParams = DEFAULT_PARAMS, compat_radius: bool = False, out_dir: str | None = None) -> DataFrame:
+    """Road grid with road attributes, accident density and distance to the centre.
+
+    With ``out_dir`` grid, temporal patterns of the events and metadata are
+    published there as one version, and the grid is read from it.
+    """
     grid = cut_lineage(road_grid(spark, segments, params.bounds, params.step, params.road_buffer_m,
                                  dedupe=True))
     grid = attach_road_attributes(grid.select("latitude", "longitude"), segments)
     radius = params.density_radius_km / 111.0 if compat_radius else true_radius_rad(params.density_radius_km)
     grid = spatial.radius_count(grid, events.select("latitude", "longitude"), radius)
-    grid = attach_distance_to_centre(grid)
-    return cut_lineage(grid.select("latitude", "longitude", "road_type", "speed_limit", "accident_density_5km",
-                                   "dist_to_noumea_km"))
+    grid = attach_distance_to_centre(grid).select("latitude", "longitude", "road_type", "speed_limit",
+                                                  "accident_density_5km", "dist_to_noumea_km")
+    if not out_dir:
+        return cut_lineage(grid)
+    from ..operators import features, profile
+    from ..sources.grid import save_enriched_grid
+    parts = features.add_time_parts(events, "datetime", params.dow_base).withColumn("year", F.year("datetime"))
+    save_enriched_grid(grid, out_dir, profile.temporal_patterns(parts))
+    return Store(spark, out_dir).read("grid")
 
 
 # ------------------------------------------------------------------ silver
@@ -74,8 +86,11 @@ def positives(events: DataFrame, bounds=GRID_BOUNDS, dow_base: str = "mon0") ->
 
 
 def silver(spark: SparkSession, events: DataFrame, segments: DataFrame, params: JobParams = DEFAULT_PARAMS,
-           grid: DataFrame | None = None) -> DataFrame:
-    """Positives + synthetic negatives, 24 features, enrichment from the nearest road-grid point."""
+           grid: DataFrame | None = None, out_dir: str | None = None) -> DataFrame:
+    """Positives + synthetic negatives, 24 features, enrichment from the nearest road-grid point.
+
+    With ``out_dir`` the table full_dataset is replaced there and read back.
+    """
     from ..operators import features as feat
     from ..operators import ingest, sampling
     pos = positives(events, params.bounds, params.dow_base)
@@ -93,33 +108,35 @@ def silver(spark: SparkSession, events: DataFrame, segments: DataFrame, params:
                  "road_type", "speed_limit", "accident_density_5km", "dist_to_noumea_km")
     enriched = spatial.nearest_join(both, g, ["road_type", "speed_limit", "accident_density_5km",
                                               "dist_to_noumea_km"], tie="_gkey")
-    return cut_lineage(feat.build_features(enriched, params.calendar).drop("nearest_dist", "nearest__gkey"))
+    out = feat.build_features(enriched, params.calendar).drop("nearest_dist", "nearest__gkey")
+    if not out_dir:
+        return cut_lineage(out)
+    Store(spark, out_dir).replace({"full_dataset": out})
+    return Store(spark, out_dir).read("full_dataset")
 
 
 def gold(silver_df: DataFrame, params: JobParams = DEFAULT_PARAMS, out_dir: str | None = None) -> DataFrame:
     """Encode atm (text order), drop incomplete rows, exact stratified split -> column ``split``.
 
-    With ``out_dir`` the tables train, test, feature_metadata and encoder are replaced there; ``load_encoder`` reads
-    the last one for scoring.
+    ``atm_raw`` keeps the label as it came, for pipelines that hold their encoder.  With ``out_dir`` the tables train,
+    test, feature_metadata and encoder are replaced there in one step; ``load_encoder`` reads the last one for scoring.
     """
-    from ..operators import features, ingest, model, sampling, tables
+    from ..operators import features, ingest, model, sampling
     from ..params import FEATURE_COLUMNS
     encoder = cut_lineage(model.label_dictionary(silver_df, "atm"), "encoder")
     features.require_columns(silver_df)
-    clean = ingest.drop_incomplete(model.apply_encoder(silver_df, "atm", encoder), FEATURE_COLUMNS)
+    clean = ingest.drop_incomplete(model.apply_encoder(model.with_raw_label(silver_df), "atm", encoder), FEATURE_COLUMNS)
     out = cut_lineage(sampling.stratified_split(clean, "target", params.test_share, params.sampling.seed,
                                                 hash_cols=["target", "src_id"]), "gold")
     if out_dir:
-        for part in ("train", "test"):
-            tables.replace_table(out.filter(F.col("split") == part).select(*FEATURE_COLUMNS, "target"),
-                                 path=f"{out_dir}/{part}")
-        tables.replace_table(features.feature_metadata(silver_df.sparkSession), path=f"{out_dir}/feature_metadata")
-        tables.replace_table(encoder, path=f"{out_dir}/encoder")
+        parts = {p: out.filter(F.col("split") == p).select(*FEATURE_COLUMNS, "target") for p in ("train", "test")}
+        Store(silver_df.sparkSession, out_dir).replace(
+            parts | {"feature_metadata": features.feature_metadata(silver_df.sparkSession), "encoder": encoder})
     return out
 
 
 def load_encoder(spark: SparkSession, gold_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{gold_dir}/encoder")
+    return Store(spark, gold_dir).read("encoder")
 
 
 # ------------------------------------------------------------------ scoring
@@ -129,18 +146,21 @@ def score_daily(grid: DataFrame, day: DataFrame, path: str, atm_code: int = 1, p
 
     Rows get ids from 1 per date.  A broken constraint (null date or
     probability, a repeated date, hour and place) raises before anything is
-    replaced.  A grid without points leaves the date empty.  Returns the
-    stored table and the day's statistics.
+    published, and the day's old rows stay.  A grid without points leaves the
+    date empty.  Returns the stored table and the day's statistics.
     """
     from ..operators import ingest, profile as prof, scoring, tables
     scored = scoring.score_day(grid, day, atm_code, profile, scorer, encoder=encoder)
-    rows = cut_lineage(tables.assign_row_ids(scored, "date", ["hour", "latitude", "longitude"]), "predictions")
-    broken = ingest.check_table_constraints(rows, ["date", "probability"], ["date", "hour", "latitude", "longitude"])
-    if first := broken.first():
-        raise ValueError(f"predictions break {first['constraint']} at {first['key']} ({first['n']} rows)")
+    rows = tables.assign_row_ids(scored, "date", ["hour", "latitude", "longitude"])
+
+    def check(_, stored):
+        broken = ingest.check_table_constraints(stored, ["date", "probability"], ["date", "hour", "latitude", "longitude"])
+        if first := broken.first():
+            raise ValueError(f"predictions break {first['constraint']} at {first['key']} ({first['n']} rows)")
+
     when = day.select("date").limit(1).first()[0]
-    tables.replace_partition(rows, path, "date", [when])
-    stored = grid.sparkSession.read.schema(rows.schema).parquet(path)
+    tables.replace_partition(rows, path, "date", [when], check=check)
+    stored = tables.read_table(grid.sparkSession, path)
     return stored, prof.prediction_day_stats(stored.filter(F.col("date") == F.lit(when)))
 
 
@@ -154,81 +174,119 @@ def bronze(spark: SparkSession, carac_pattern: str, usagers_pattern: str | None
            carac_fallback=(), usagers_fallback=(), sep: str | None = None, out_dir: str | None = None):
     """Yearly CSV files -> cleaned events; returns (frame, stage counts).
 
-    ``sep=None`` finds each file's separator.  With ``out_dir`` the tables
-    caracteristiques, usagers and accidents_nc are replaced there.
+    ``sep=None`` finds each file's separator.  Each CSV file is read once: its
+    table is stored, its rows are counted by an observation of that write, and
+    the cleaning reads the stored table.  With ``out_dir`` the tables
+    caracteristiques, usagers and accidents_nc are replaced there in one step,
+    the counts with them.
     """
-    from ..operators import ingest, tables
+    from ..operators import ingest, profile
     from ..sources import files
-    carac = files.scan_csv_union(spark, files.discover_sources(spark, carac_pattern, carac_fallback), sep)
-    users = None
+    store, seen, entries, found = Store(spark, out_dir or scratch_path(spark, "bronze")), {}, {}, {}
+
+    def keep(name, df):
+        rows, seen[name] = profile.observed(df, name)
+        entries[name] = store.stage(name, rows)
+        found[name] = store.staged(name, entries[name])
+        return found[name]
+
+    base = (store.versions() or [0])[-1]
+    carac = keep("caracteristiques", files.scan_csv_union(spark, files.discover_sources(spark, carac_pattern, carac_fallback), sep))
+    keys = None
     if usagers_pattern:
-        users = files.scan_csv_union(spark, files.discover_sources(spark, usagers_pattern, usagers_fallback), sep)
+        users = keep("usagers", files.scan_csv_union(spark, files.discover_sources(spark, usagers_pattern, usagers_fallback), sep))
+        keys = users.select(F.col("Num_Acc").try_cast("long").alias("Num_Acc"))
     typed = carac.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in ACCIDENT_SCHEMA.fields])
-    keys = users.select(F.col("Num_Acc").try_cast("long").alias("Num_Acc")) if users is not None else None
-    out = cut_lineage(ingest.parse_accidents(typed, keys, mode=mode), "bronze")
-    counts = {"caracteristiques": carac.count(), "accidents_nc": out.count()}
-    if users is not None:
-        counts["usagers"] = users.count()
-    if out_dir:
-        for name, table in (("caracteristiques", carac), ("usagers", users), ("accidents_nc", out)):
-            if table is not None:
-                tables.replace_table(table, path=f"{out_dir}/{name}")
+    out = keep("accidents_nc", ingest.parse_accidents(typed, keys, mode=mode))
+    counts = {name: s.get["n"] for name, s in seen.items()}
+    store.publish(entries, {"counts": counts}, base)
     return out, counts
 
 
 # ------------------------------------------------------------------ training
-GBT_SPACE = {"maxDepth": [3, 4, 5, 6], "maxIter": [10, 20, 40], "stepSize": [0.05, 0.1, 0.2]}
-FOREST_SPACE = {"maxDepth": [4, 6, 8, 10], "numTrees": [50, 100, 200], "minInstancesPerNode": [1, 5]}
-LOGISTIC_SPACE = {"regParam": [0.0, 1e-5, 1e-4, 1e-3, 1e-2], "elasticNetParam": [0.0, 0.5]}
+GBT_SPACE = {"maxDepth": IntRange(3, 8), "stepSize": LogUniform(0.01, 0.3), "subsamplingRate": Uniform(0.6, 1.0),
+             "minInstancesPerNode": IntRange(1, 100)}
+FOREST_SPACE = {"maxDepth": IntRange(4, 10), "minInstancesPerNode": IntRange(1, 100), "subsamplingRate": Uniform(0.6, 1.0)}
+LOGISTIC_SPACE = {"regParam": LogUniform(1e-8, 1e-1), "elasticNetParam": Uniform(0.0, 1.0)}
 
 
 def train(spark: SparkSession, gold_df: DataFrame, out_dir: str | None = None, logistic_iterations: int = 2000,
-          trees: int = 200, rounds: int = 200, perceptron_iterations: int = 100, tune_trials: int = 0):
+          trees: int = 200, rounds: int = 200, perceptron_iterations: int = 100, tune_trials: int = 0,
+          validation_share: float = 0.2):
     """Fit the candidate models on the train split, evaluate on the test split, rank by recall.
 
     ``logistic_iterations`` is a bound (the optimiser stops when it has
-    converged); ``trees`` of the forest, ``rounds`` of boosting and
-    ``perceptron_iterations`` are the work asked for.  ``tune_trials`` > 0
-    picks parameters of the first three by random search, scored by recall of
-    class 1 on a validation split carved out of the training rows (the test
-    split stays unseen).
-
-    Returns (leaderboard, fitted models by name).  With ``out_dir`` the
-    leaderboard is written as JSON and the best model as a PipelineModel.
+    converged); ``trees`` of the forest are the work asked for.  ``rounds`` of
+    boosting and ``perceptron_iterations`` are bounds too: both stop early on a
+    stratified validation part carved out of the training rows, and the
+    leaderboard says how many ``rounds`` the kept model has.  ``tune_trials`` > 0
+    picks parameters of the first three by successive halving over that many
+    draws (``operators.tuning``).  The test split stays unseen throughout.
+
+    Every model begins with the label encoder, fitted on ``atm_raw``.  Returns
+    (leaderboard, fitted models by name).  With ``out_dir`` leaderboard, trials
+    and best_model are published there as one version, the leaderboard also as
+    JSON in its metadata.
     """
     from ..operators import evaluate as ev
-    from ..operators import model
-    train_df = cut_lineage(model.with_class_weights(gold_df.filter(F.col("split") == "train"), "target"),
-                           "train_rows")
-    test_df = gold_df.filter(F.col("split") == "test")
+    from ..operators import model, tuning
+    rows = model.with_class_weights(model.with_raw_label(gold_df.filter(F.col("split") == "train")).drop("split"), "target")
+    keys = ["target", "src_id"] if "src_id" in rows.columns else None
+    train_df = cut_lineage(tuning.with_validation(rows, validation_share, hash_cols=keys), "train_rows")
+    test_df = model.with_raw_label(gold_df.filter(F.col("split") == "test"))
     sw = train_df.agg(F.sum("weight")).first()[0]
-    pipes = {
-        "LogisticRegression": (model.logistic_pipeline(C=0.5, max_iter=logistic_iterations, sum_weights=sw), LOGISTIC_SPACE),
-        "RandomForest": (model.tree_pipeline("rf", numTrees=trees, maxDepth=8), FOREST_SPACE),
-        "GBT": (model.tree_pipeline("gbt", maxIter=rounds, maxDepth=5), GBT_SPACE),
+    build = {
+        "LogisticRegression": lambda p: model.logistic_pipeline(C=0.5, sum_weights=sw, encode=True,
+                                                                **{"maxIter": logistic_iterations} | p),
+        "RandomForest": lambda p: model.tree_pipeline("rf", encode=True, **{"numTrees": trees, "maxDepth": 8} | p),
+        "GBT": lambda p: model.tree_pipeline("gbt", encode=True, validationIndicatorCol="is_validation", validationTol=1e-3,
+                                             **{"maxIter": rounds, "maxDepth": 5} | p),
     }
+    search = {"LogisticRegression": (LOGISTIC_SPACE, ("maxIter", min(20, logistic_iterations), logistic_iterations)),
+              "RandomForest": (FOREST_SPACE, ("numTrees", min(10, trees), trees)),
+              "GBT": (GBT_SPACE, ("maxIter", min(10, rounds), rounds))}
+    trials = []
+
     def fit(name):
         if name == "MLP":
-            return model.fit_mlp(cut_lineage(model.oversample(train_df), "oversampled"), max_iter=perceptron_iterations)
-        pipe, space = pipes[name]
+            held = train_df.filter("is_validation")
+            over = cut_lineage(model.oversample(train_df.filter("NOT is_validation")), "oversampled")
+            return model.fit_mlp(over, max_iter=perceptron_iterations, encode=True, validation=held)
+        params = {}
         if tune_trials:
-            return model.tune(pipe, pipe.getStages()[-1], space, train_df, n_trials=tune_trials).bestModel
-        return pipe.fit(train_df)
+            space, budget = search[name]
+            # trials are scored on a part of the rows that models learn from; boosting keeps its own part for stopping
+            pool_rows = train_df.drop("is_validation")
+            if name == "GBT":
+                pool_rows = cut_lineage(tuning.with_validation(pool_rows, validation_share, 7, hash_cols=keys, out="_part"), "gbt_rows")
+                plain = lambda p: model.tree_pipeline("gbt", encode=True, **{"maxDepth": 5} | p)
+                tuned = tuning.halving(plain, space, pool_rows.filter("NOT _part"), tune_trials, budget, hash_cols=keys)
+            else:
+                tuned = tuning.halving(build[name], space, pool_rows, tune_trials, budget, hash_cols=keys)
+            trials.append(tuned.trials.withColumn("model", F.lit(name)))
+            params = tuned.params
+        return build[name](params).fit(train_df)
 
     # the candidates are fitted side by side: each is a long row of small jobs that leaves most cores idle
-    names = [*pipes, "MLP"]
+    names = [*build, "MLP"]
     with ThreadPoolExecutor(len(names)) as pool:
         fitted = dict(zip(names, pool.map(inheritable_thread_target(spark)(fit), names)))
+    used = {"GBT": lambda m: m.stages[-1].getNumTrees, "RandomForest": lambda m: m.stages[-1].getNumTrees,
+            "LogisticRegression": lambda m: m.stages[-1].summary.totalIterations, "MLP": lambda m: len(m.losses)}
     parts = []
     for name, m in fitted.items():
         # stored once: each metric reads the scored rows, not the model
         scored = cut_lineage(model.score(test_df, m, out="score").select(F.col("target").alias("label"), "score"), "scored")
-        parts.append(ev.binary_metrics(scored, "label", "score").withColumn("model", F.lit(name)))
+        parts.append(ev.binary_metrics(scored, "label", "score").withColumn("model", F.lit(name))
+                     .withColumn("rounds", F.lit(int(used[name](m)))))
     board = cut_lineage(ev.leaderboard(reduce(DataFrame.unionByName, parts)), "leaderboard")
     if out_dir:
-        board.coalesce(1).write.mode("overwrite").json(f"{out_dir}/leaderboard")
-        best = board.orderBy(F.desc("recall_raw"), F.asc("model")).first()["model"]
-        fitted[best].write().overwrite().save(f"{out_dir}/best_model")
+        lines = [r.asDict() for r in board.orderBy(F.desc("recall_raw"), F.asc("model")).collect()]   # a line per model
+        best = lines[0]["model"]
+        tables = {"leaderboard": board}
+        if trials:
+            tables["trials"] = reduce(DataFrame.unionByName, trials)
+        Store(spark, out_dir).replace(tables, {"best_model": fitted[best]}, {"best": best, "leaderboard": lines})
     return board, fitted
 
 

@@ -172,14 +172,14 @@ def q_road_edges(spark, sf_dir):
                                        THEN round(1e0 - probability, 6) ELSE round(probability, 6) END AS probability
        FROM preds""", "preds"))
 def q_replace_partition(spark, sf_dir):
-    """Write predictions partitioned by date, then replace the first date only (dynamic overwrite)."""
+    """Write predictions partitioned by date, then replace the first date only, in one published step."""
     out = scratch_path(spark, "predictions")
     p = B.preds(spark, sf_dir).select("event_id", "hour", "probability", "date")
     tables.replace_partition(p, out)
     first = p.agg(F.min("date").alias("date"))
     redo = p.join(first, "date").withColumn("probability", F.lit(1.0) - F.col("probability"))
     tables.replace_partition(redo.select("event_id", "hour", "probability", "date"), out)
-    back = p.sparkSession.read.parquet(out)
+    back = tables.read_table(spark, out)
     return back.select("event_id", "date", "hour", r6(F.col("probability")).alias("probability"))
 
 

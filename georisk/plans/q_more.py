@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from ..functions import bands, parse
 from ..functions.hashing import sql_hash_draw as H
 from ..operators import evaluate, features as feat, ingest, model, profile, sampling, tables
+from ..operators.versions import Store
 from ..session import scratch_path
 from ..sources import bindings as B
 from ..sources import files
@@ -106,15 +107,17 @@ def q_plain_geojson(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ tables
-@register("replace_table", "SELECT o_orderpriority, count(*) AS n FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1")
+@register("replace_table", """SELECT 'orders' AS source, o_orderpriority AS kind, count(*) AS n FROM orders GROUP BY 2
+    UNION ALL SELECT 'lineitem', l_returnflag, count(*) FROM lineitem GROUP BY 2""")
 def q_replace_table(spark, sf_dir):
-    """A table replaced by a smaller one, looked at through a temporary view."""
+    """A stored table replaced by another one while a reader still holds the first; both looked at through views."""
     out = scratch_path(spark, "replaced")
-    o = B.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    tables.replace_table(o, path=out)
-    tables.replace_table(o.filter("o_orderkey % 2 = 0"), path=out)
-    with tables.with_view(spark.read.parquet(out), "replaced_orders") as s:
-        return s.sql("SELECT o_orderpriority, count(*) AS n FROM replaced_orders GROUP BY 1")
+    tables.replace_table(B.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderpriority").alias("kind")), path=out)
+    before = tables.read_table(spark, out)
+    tables.replace_table(B.table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_returnflag").alias("kind")), path=out)
+    count = "SELECT '{0}' AS source, kind, count(*) AS n FROM {0}_kinds GROUP BY kind"
+    with tables.with_view(before, "orders_kinds") as s, tables.with_view(tables.read_table(spark, out), "lineitem_kinds"):
+        return s.sql(count.format("orders")).unionByName(s.sql(count.format("lineitem")))
 
 
 @register("preview", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 20")
@@ -132,9 +135,10 @@ def q_gold_tables(spark, sf_dir):
     a = ingest.filter_bbox(B.acc(spark, sf_dir))
     rows = feat.build_features(feat.add_time_parts(a, "datetime", "mon0"), "pipeline").withColumn("src_id", F.col("num_acc"))
     jobs.gold(rows, out_dir=out)
-    both = spark.read.parquet(f"{out}/train").unionByName(spark.read.parquet(f"{out}/test"))
+    store = Store(spark, out)
+    both = store.read("train").unionByName(store.read("test"))
     known = jobs.load_encoder(spark, out).count()
-    meta = spark.read.parquet(f"{out}/feature_metadata").count()
+    meta = store.read("feature_metadata").count()
     return both.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("atm").between(0, 8)).alias("n_coded")) \
         .select("n", "n_coded", F.lit(meta).cast("int").alias("n_features"), F.lit(known).cast("long").alias("n_labels"))
 

@@ -54,7 +54,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not is_local(sc.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="georisk-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 

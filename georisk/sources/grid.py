@@ -7,7 +7,8 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.tables import path_exists
+from ..operators.profile import pattern_maps
+from ..operators.versions import Store
 from ..params import GRID_BOUNDS, GRID_STEP
 
 
@@ -37,17 +38,21 @@ def make_grid(spark: SparkSession, bounds=GRID_BOUNDS, step: float = GRID_STEP,
     )
 
 
-def save_enriched_grid(grid: DataFrame, path: str, patterns: DataFrame | None = None) -> None:
-    """The enriched grid, the temporal patterns beside it, and a row of metadata (points, columns, means)."""
-    grid.write.mode("overwrite").parquet(f"{path}/grid")
+def grid_metadata(grid: DataFrame) -> dict:
+    """Number of points, columns and summary figures of an enriched grid (one aggregation)."""
+    want = {"accident_density_5km": {"mean_density": F.avg, "max_density": F.max}, "dist_to_noumea_km": {"mean_distance_km": F.avg}}
+    aggs = [f(c).alias(k) for c, fs in want.items() if c in grid.columns for k, f in fs.items()]
+    return {"columns": grid.columns} | grid.agg(F.count(F.lit(1)).alias("n_points"), *aggs).first().asDict()
+
+
+def save_enriched_grid(grid: DataFrame, path: str, patterns: DataFrame | None = None) -> int:
+    """Grid, temporal patterns (a map per kind) and metadata as one version of a store; readers see all of it or none."""
+    store = Store(grid.sparkSession, path)
+    base = (store.versions() or [0])[-1]
+    entries = {"grid": store.stage("grid", grid)}
     if patterns is not None:
-        patterns.write.mode("overwrite").parquet(f"{path}/patterns")
-    stored = grid.sparkSession.read.parquet(f"{path}/grid")
-    stored.agg(F.count(F.lit(1)).alias("n_points"), F.lit(",".join(stored.columns)).alias("columns"),
-               F.avg("accident_density_5km").alias("mean_density"),
-               F.max("accident_density_5km").cast("long").alias("max_density"),
-               F.avg("dist_to_noumea_km").alias("mean_distance_km")) \
-        .write.mode("overwrite").json(f"{path}/metadata")
+        entries["patterns"] = store.stage("patterns", pattern_maps(patterns))
+    return store.publish(entries, grid_metadata(store.staged("grid", entries["grid"])), base)
 
 
 def load_enriched_grid(spark: SparkSession, path: str, build) -> DataFrame:
@@ -55,8 +60,14 @@ def load_enriched_grid(spark: SparkSession, path: str, build) -> DataFrame:
 
     Only a missing store is built: an unreadable one raises.
     """
-    if not path_exists(spark, f"{path}/grid"):
+    store = Store(spark, path)
+    if not store.versions():
         built = build()
         grid, patterns = built if isinstance(built, tuple) else (built, None)
         save_enriched_grid(grid, path, patterns)
-    return spark.read.parquet(f"{path}/grid")
+    return store.read("grid")
+
+
+def load_patterns(spark: SparkSession, path: str) -> DataFrame:
+    """``(kind, pattern)`` as stored beside the grid; ``pattern`` maps hour, day of week or month to its value."""
+    return Store(spark, path).read("patterns")

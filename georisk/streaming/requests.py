@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.scoring import REQUEST_SCHEMA, score_requests, split_requests
+from ..operators.versions import Store
 
 
 def request_stream(spark: SparkSession, source_dir: str, fmt: str = "parquet",
@@ -56,24 +57,27 @@ def run_to_sink(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_
     return handles[0]
 
 
+def score_batch(df: DataFrame, epoch_id: int, sink_dir: str, model_store: str,
+                encoder: DataFrame | None = None) -> None:
+    """One micro-batch, scored by the newest published model and stored under its epoch.
+
+    The epoch is a partition that is replaced as a whole: a batch that runs
+    again puts its rows in place of those of its first run.
+    """
+    store = Store(df.sparkSession, model_store)
+    version = store.versions()[-1]
+    out = scored_stream(df, store.load_model("model", version), f"v{version}", encoder)
+    for rows, path in ((out, sink_dir), (split_requests(df)[1], f"{sink_dir.rstrip('/')}-rejected")):
+        Store(df.sparkSession, path).replace_partitions(rows.withColumn("epoch_id", F.lit(epoch_id)), "epoch_id", [epoch_id])
+
+
 def run_with_model_reload(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
-                          model_path: str, fmt: str = "parquet", available_now: bool = True,
-                          encoder: DataFrame | None = None):
-    """foreachBatch variant: the model folder is (re)read at the start of every
-    micro-batch, so a newly published model version is picked up without a restart."""
-    from pyspark.ml import PipelineModel
-
-    from ..operators.model import score as model_score
-
-    def batch(df: DataFrame, epoch_id: int) -> None:
-        fitted = PipelineModel.load(model_path)
-        out = scored_stream(df, scorer=lambda f: model_score(f, fitted, out="risk_score"),
-                            model_version=model_path.rstrip("/").split("/")[-1], encoder=encoder)
-        # one folder per epoch, overwritten on replay: a retried batch cannot duplicate rows
-        out.write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/epoch_id={epoch_id}")
-        split_requests(df)[1].write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}-rejected/epoch_id={epoch_id}")
-
-    q = request_stream(spark, source_dir, fmt).writeStream.foreachBatch(batch) \
+                          model_store: str, fmt: str = "parquet", available_now: bool = True,
+                          encoder: DataFrame | None = None, max_files_per_trigger: int | None = None):
+    """foreachBatch variant: the newest version of ``model`` in the store is read at the start of every
+    micro-batch, so a newly published model is picked up without a restart."""
+    q = request_stream(spark, source_dir, fmt, max_files_per_trigger).writeStream \
+        .foreachBatch(lambda df, epoch_id: score_batch(df, epoch_id, sink_dir, model_store, encoder)) \
         .option("checkpointLocation", checkpoint_dir)
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="10 seconds")
     handle = q.start()

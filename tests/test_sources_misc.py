@@ -43,7 +43,7 @@ def test_replace_table_overwrites(spark):
     path = scratch_path(spark, "t_tbl")
     tables.replace_table(spark.range(3), path=path)
     tables.replace_table(spark.range(5), path=path)
-    assert spark.read.parquet(path).count() == 5
+    assert tables.read_table(spark, path).count() == 5
 
 
 def test_score_pandas_matches_formula(spark):

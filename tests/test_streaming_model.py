@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from georisk.operators import features as feat
 from georisk.operators import model, scoring
+from georisk.operators.versions import Store
 from georisk.session import scratch_path
 from georisk.streaming import requests as stream
 
@@ -112,8 +113,13 @@ def test_jobs_train_and_report(spark):
     out = scratch_path(spark, "t_train")
     board, fitted = jobs.train(spark, gold, out_dir=out, trees=20, rounds=10, perceptron_iterations=20, tune_trials=2)
     assert board.count() == 4 and set(fitted) == {"LogisticRegression", "RandomForest", "GBT", "MLP"}
-    from pyspark.ml import PipelineModel
-    assert PipelineModel.load(f"{out}/best_model") is not None
+    store = Store(spark, out)
+    best = store.load_model("best_model")
+    assert model.has_encoder(best) and store.meta()["best"] == store.meta()["leaderboard"][0]["model"]
+    log = store.read("trials")
+    assert log.select("model", "trial").distinct().count() == 6
+    assert log.filter("dropped").count() == 3      # of two trials of each model one is dropped
+    assert all(1 <= r["rounds"] <= 20 for r in board.collect() if r["model"] in ("RandomForest", "GBT"))
     day = spark.createDataFrame([(dt.date(2026, 1, 23), h, -22.0 - i * 0.01, 166.0, (h * 7 + i) % 10 / 10)
                                  for h in range(24) for i in range(8)],
                                 "date date, hour int, latitude double, longitude double, probability double")

@@ -14,7 +14,7 @@ def test_replace_partition_touches_one_date(spark):
     df = spark.createDataFrame([(d1, 1, 0.1), (d2, 1, 0.2)], "date date, hour int, probability double")
     tables.replace_partition(df, path)
     tables.replace_partition(spark.createDataFrame([(d2, 5, 0.9)], "date date, hour int, probability double"), path)
-    got = sorted((r.date, r.hour) for r in spark.read.parquet(path).collect())
+    got = sorted((r.date, r.hour) for r in tables.read_table(spark, path).collect())
     assert got == [(d1, 1), (d2, 5)]
 
 
