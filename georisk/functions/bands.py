@@ -60,3 +60,19 @@ def percent_label(p, decimals: int = 1) -> Column:
 def position_label(lat, lon) -> Column:
     """'-22.2758, 166.4580': four decimals, half to even."""
     return F.format_string("%.4f, %.4f", F.bround(_c(lat), 4), F.bround(_c(lon), 4))
+
+
+def date_label(date) -> Column:
+    """'2026-01-23 (Friday)'."""
+    d = _c(date)
+    return F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit(" ("), day_name(d), F.lit(")"))
+
+
+def day_name(date) -> Column:
+    """English name of the day of week, whatever the locale."""
+    return F.date_format(_c(date), "EEEE")
+
+
+def month_name(date) -> Column:
+    """English name of the month."""
+    return F.date_format(_c(date), "MMMM")

@@ -78,6 +78,16 @@ def feature_metadata(spark, cols=FEATURE_COLUMNS) -> DataFrame:
         .select("feature_name", F.col("order_index").cast("int").alias("order_index"))
 
 
+def feature_profile(df: DataFrame, cols=FEATURE_COLUMNS) -> DataFrame:
+    """Name, order, null count, minimum and maximum of each feature over all rows: one aggregation, then a row each."""
+    aggs = [a for i, c in enumerate(cols) for a in (
+        F.count_if(F.col(c).isNull()).alias(f"n{i}"), F.min(F.col(c).cast("double")).alias(f"a{i}"),
+        F.max(F.col(c).cast("double")).alias(f"b{i}"))]
+    rows = F.array(*[F.struct(F.lit(c).alias("feature_name"), F.lit(i).alias("order_index"), F.col(f"n{i}").alias("n_null"),
+                              F.col(f"a{i}").alias("least"), F.col(f"b{i}").alias("most")) for i, c in enumerate(cols)])
+    return df.agg(*aggs).select(F.explode(rows).alias("r")).select("r.*")
+
+
 # -------------------------------------------------------------- scoring
 # A logistic scorer as a column expression: probability = sigmoid(b + w.x).
 # Coefficients can come from a fitted spark.ml LogisticRegressionModel

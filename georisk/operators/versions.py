@@ -65,10 +65,10 @@ class Store:
         context.rename(source, target, self._jvm.java.lang.reflect.Array.newInstance(kind, 0))
 
     # ------------------------------------------------------------ writing
-    def stage(self, name: str, df: DataFrame, partition_by: str | None = None) -> dict:
+    def stage(self, name: str, df: DataFrame, partition_by: str | None = None, options: dict | None = None) -> dict:
         """Write ``df`` where no reader looks; the result is an entry of a manifest."""
         folder = f"{name}/{VERSION_COLUMN}={uuid.uuid4().hex[:16]}"
-        writer = df.write.mode("errorifexists")
+        writer = df.write.mode("errorifexists").options(**(options or {}))
         (writer.partitionBy(partition_by) if partition_by else writer).parquet(f"{self.path}/{folder}")
         parts = {"": folder}
         if partition_by:

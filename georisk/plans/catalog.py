@@ -21,7 +21,7 @@ from .registry import ORACLES, QUERIES, r6, register
 
 def all_queries():
     """Import every query module (they register on import) and return the registry."""
-    from . import q_eval, q_ingest, q_ml, q_more, q_sampling, q_spatial  # noqa: F401
+    from . import q_eval, q_ingest, q_ml, q_more, q_sampling, q_spatial, q_stores  # noqa: F401
     return QUERIES
 
 

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 from ..operators import features as feat
 from ..operators import model, profile, scoring
 from ..session import scratch_path
-from ..operators.tables import path_exists
+from ..operators.versions import Store
 from ..sources import bindings as B
-from ..sources.grid import load_enriched_grid
 from ..streaming import requests as stream
 from . import jobs
 from .catalog import FEATURE_CORE_SQL
@@ -45,9 +44,16 @@ def _stored(spark, sf_dir, name: str) -> str:
     return _stores.setdefault((spark.sparkContext.applicationId, sf_dir, name), scratch_path(spark, name))
 
 
+def _pre_store(spark, sf_dir) -> str:
+    """The store that the pre-compute job has filled."""
+    path = _stored(spark, sf_dir, "enriched_grid")
+    if not Store(spark, path).versions():
+        jobs.precompute(spark, B.roads(spark, sf_dir), B.acc(spark, sf_dir), out_dir=path)
+    return path
+
+
 def _pre_grid(spark, sf_dir):
-    return load_enriched_grid(spark, _stored(spark, sf_dir, "enriched_grid"),
-                              lambda: jobs.precompute(spark, B.roads(spark, sf_dir), B.acc(spark, sf_dir)))
+    return Store(spark, _pre_store(spark, sf_dir)).read("grid")
 
 
 def _next_day(spark, sf_dir):
@@ -181,9 +187,9 @@ SILVER_CTES = {
 
 def _silver(spark, sf_dir):
     path = _stored(spark, sf_dir, "silver")
-    if not path_exists(spark, path):
-        jobs.silver(spark, B.acc(spark, sf_dir), B.roads(spark, sf_dir)).write.parquet(path)
-    return spark.read.parquet(path)
+    if not Store(spark, path).versions():
+        jobs.silver(spark, B.acc(spark, sf_dir), B.roads(spark, sf_dir), out_dir=path)
+    return Store(spark, path).read("full_dataset")
 
 
 @register("silver_dataset", B.with_views(

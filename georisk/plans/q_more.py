@@ -13,7 +13,7 @@ from ..session import scratch_path
 from ..sources import bindings as B
 from ..sources import files
 from . import jobs
-from .catalog import ACC_PARTS_SQL
+from .catalog import ACC_PARTS_SQL, FEATURE_SQL, acc_features
 from .q_spatial import ROAD_GRID_CTES
 from .registry import r6, register
 
@@ -24,29 +24,31 @@ LENIENT_SCHEMA = T.StructType([
     T.StructField("Num_Acc", T.LongType()), T.StructField("jour", T.IntegerType()), T.StructField("mois", T.IntegerType()),
     T.StructField("an", T.IntegerType()), T.StructField("hrmn", T.StringType()), T.StructField("lat", T.StringType()),
     T.StructField("long", T.StringType()), T.StructField("atm", T.IntegerType()), T.StructField("dep", T.StringType())])
-# every 7th day is no number, every 11th code is missing, every 3rd time has no seconds
+# every 7th day is no number, every 11th code is missing, every 3rd time has no seconds; files of every 3rd year lack the codes
 DIRTY_SQL = """SELECT Num_Acc, CASE WHEN Num_Acc % 7 = 0 THEN 'oops' ELSE CAST(jour AS VARCHAR) END AS jour, mois, an,
   CASE WHEN Num_Acc % 3 = 0 THEN '14:30' ELSE '09:15:00' END AS hrmn, lat, long,
-  CASE WHEN Num_Acc % 11 = 0 THEN NULL ELSE atm END AS atm, dep FROM carac_raw"""
+  CASE WHEN Num_Acc % 11 = 0 OR an % 3 = 2 THEN NULL ELSE atm END AS atm, dep FROM carac_raw"""
 
 
-def _dirty_csv(spark, sf_dir) -> str:
+def _dirty_csv(spark, sf_dir) -> list[str]:
     k = F.col("Num_Acc")
     raw = B.carac_raw(spark, sf_dir).withColumns({
         "jour": F.when(k % 7 == 0, "oops").otherwise(F.col("jour").cast("string")),
         "hrmn": F.when(k % 3 == 0, "14:30").otherwise("09:15:00"),
         "atm": F.when(k % 11 != 0, F.col("atm"))})
-    out = scratch_path(spark, "dirty_csv")
-    raw.select(*LENIENT_SCHEMA.fieldNames()).write.option("header", True).csv(out)
-    return out
+    out, names = scratch_path(spark, "dirty_csv"), LENIENT_SCHEMA.fieldNames()
+    forms = ((",", names), (";", names[::-1]), (",", [n for n in names[::-1] if n != "atm"]))
+    for form, (sep, columns) in enumerate(forms):
+        raw.filter(F.col("an") % 3 == form).select(*columns).write.option("header", True).option("sep", sep).csv(f"{out}/{form}")
+    return [f"{out}/{form}" for form in range(len(forms))]
 
 
 @register("scan_csv_lenient", B.with_views(
     """SELECT Num_Acc, CAST(jour AS INT) AS jour, atm, dep FROM dirty WHERE jour <> 'oops'""", "carac_raw",
     extra={"dirty": DIRTY_SQL}))
 def q_lenient(spark, sf_dir):
-    """Rows whose fields don't fit the schema are dropped, missing fields stay NULL."""
-    out = files.scan_csv_lenient(spark, [_dirty_csv(spark, sf_dir)], LENIENT_SCHEMA)
+    """Files of three forms (order, separator, a column missing): rows that don't fit are dropped, missing fields stay NULL."""
+    out = files.scan_csv_lenient(spark, _dirty_csv(spark, sf_dir), LENIENT_SCHEMA)
     return out.select("Num_Acc", "jour", "atm", "dep")
 
 
@@ -59,7 +61,7 @@ def q_lenient(spark, sf_dir):
          AND CAST(replace(trim(long), ',', '.') AS DOUBLE) BETWEEN 163e0 AND 169e0""", "carac_raw", extra={"dirty": DIRTY_SQL}))
 def q_load_events(spark, sf_dir):
     """The pre-compute stage's loader: department and wide box, times without seconds dropped, missing code 1."""
-    out = jobs.load_events_lenient(spark, [_dirty_csv(spark, sf_dir)], LENIENT_SCHEMA)
+    out = jobs.load_events_lenient(spark, _dirty_csv(spark, sf_dir), LENIENT_SCHEMA)
     return out.select("latitude", "longitude", "hour", "dayofweek", "month", "year", "atm")
 
 
@@ -143,15 +145,15 @@ def q_gold_tables(spark, sf_dir):
         .select("n", "n_coded", F.lit(meta).cast("int").alias("n_features"), F.lit(known).cast("long").alias("n_labels"))
 
 
-@register("feature_metadata", "SELECT feature_name, CAST(order_index AS INT) AS order_index FROM (VALUES " + ", ".join(
-    f"('{c}', {i})" for i, c in enumerate(feat.FEATURE_COLUMNS)) + ") t(feature_name, order_index), "
-    "(SELECT min(event_id) AS e FROM events) WHERE e IS NOT NULL")
+@register("feature_metadata", B.with_views(" UNION ALL ".join(
+    f"SELECT '{c}' AS feature_name, {i} AS order_index, count(*) - count({c}) AS n_null, "
+    f"round(CAST(min({c}) AS DOUBLE), 6) AS least, round(CAST(max({c}) AS DOUBLE), 6) AS most FROM feats"
+    for i, c in enumerate(feat.FEATURE_COLUMNS)), "acc", extra={"acc_parts": ACC_PARTS_SQL, "feats": FEATURE_SQL}))
 def q_feature_metadata(spark, sf_dir):
-    """Names and order of the 24 features as the scored events carry them."""
-    a = feat.build_features(feat.add_time_parts(B.acc(spark, sf_dir), "datetime", "mon0"), "pipeline")
-    feat.require_columns(a)
-    return feat.feature_metadata(spark).join(a.limit(1).select(F.lit(1).alias("_one")), how="cross").drop("_one") \
-        .withColumn("order_index", F.col("order_index").cast("int"))
+    """Name and order of the 24 features, with null count, minimum and maximum of each over all events."""
+    rows = acc_features(spark, sf_dir)
+    feat.require_columns(rows)
+    return feat.feature_profile(rows).select("feature_name", "order_index", "n_null", *[r6(F.col(c)).alias(c) for c in ("least", "most")])
 
 
 # ------------------------------------------------------------------ features

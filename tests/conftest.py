@@ -12,7 +12,7 @@ def spark():
     from georisk.session import get_session
     ckpt = tempfile.mkdtemp(prefix="georisk-test-ckpt-", dir="/tmp")
     s = get_session("local[4]", app="georisk-tests", shuffle_partitions=8,
-                    conf={"spark.checkpoint.dir": ckpt})
+                    conf={"spark.checkpoint.dir": ckpt, "spark.sql.warehouse.dir": f"{ckpt}/warehouse"})
     yield s
     s.stop()
 

@@ -23,7 +23,8 @@ def test_forms_of_time_and_department_stay_text(spark, tmp_path):
     rows = sorted((r.num_acc, str(r.datetime), r.atm) for r in out.collect())
     assert rows == [(1, "2020-01-05 14:30:00", 1), (2, "2021-01-05 14:30:00", 2), (4, "2021-01-06 09:15:00", None)]
     assert counts == {"caracteristiques": 4, "accidents_nc": 3}
-    assert spark.read.parquet(str(tmp_path / "bronze/accidents_nc")).count() == 3
+    store = Store(spark, str(tmp_path / "bronze"))
+    assert store.read("accidents_nc").count() == 3 and store.meta()["counts"] == counts
     schema = T.StructType([T.StructField("dep", T.StringType()), T.StructField("Num_Acc", T.LongType()), T.StructField("new", T.DateType())])
     got = files.scan_csv_union(spark, [str(tmp_path / "c-2020.csv"), str(tmp_path / "c-2021.csv")], schema=schema)
     assert sorted(tuple(r) for r in got.collect()) == [("2A", 3, None), ("988", 1, None), ("988", 2, None), ("988", 4, None)]
@@ -106,3 +107,68 @@ def test_scratch_tables_are_released(spark, monkeypatch):
     path = session._written[0]
     assert df.count() == 3 and tables.path_exists(spark, path)
     assert session.release_scratch(spark) == 1 and not tables.path_exists(spark, path)
+
+
+def test_lenient_scan_goes_by_name(spark, tmp_path):
+    schema = T.StructType([T.StructField("Num_Acc", T.LongType()), T.StructField("jour", T.IntegerType()),
+                           T.StructField("dep", T.StringType()), T.StructField("atm", T.IntegerType())])
+    put(tmp_path, "a.csv", "Num_Acc,jour,dep,atm\n1,5,988,2\n2,oops,988,2\n")
+    put(tmp_path, "b.csv", "dep,jour,Num_Acc,more\n2A,3,3,x\n988,4,4,y\n988,4\n")
+    put(tmp_path, "c.csv", "\ufeffatm;dep;jour;Num_Acc\n;988;7;5\nx;988;8;6\n")
+    put(tmp_path, "empty.csv", "")
+    got = files.scan_csv_lenient(spark, [str(tmp_path)], schema)
+    assert sorted(((r.Num_Acc, r.jour, r.dep, r.atm) for r in got.collect()), key=str) == [
+        (1, 5, "988", 2), (3, 3, "2A", None), (4, 4, "988", None), (5, 7, "988", None)]
+    assert {r.filename.rsplit("/", 1)[1] for r in got.collect()} == {"a.csv", "b.csv", "c.csv"}
+    assert files.scan_csv_lenient(spark, [str(tmp_path / "empty.csv")], schema).count() == 0
+
+
+FEATURE = '{ "type": "Feature", "properties": {"edge_id": %d, "highway": "primary", "maxspeed": %s}, "geometry": ' \
+          '{ "type": "LineString", "coordinates": [[166.%d, -22.0], [167.0, -22.5], [167.1, -22.5]] } }'
+
+
+def test_one_document_is_parsed_by_many_tasks(spark, tmp_path):
+    speeds = ["80.0", "70", '"80.0"', '"60 km/h"', "[90.5]", '["30", "50"]', "null", "[]"]
+    head = '{\n"type": "FeatureCollection",\n"crs": {"type": "name"},\n"features": [\n'
+    put(tmp_path, "roads.geojson", head + ",\n".join(FEATURE % (i, speeds[i % 8], i) for i in range(4000)) + "\n]\n}\n")
+    path = str(tmp_path / "roads.geojson")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        found = files.read_feature_collection(spark, path)
+        assert found.rdd.getNumPartitions() > 5
+        assert found.count() == 4000 and found.filter("geometry.type = 'LineString' AND type = 'Feature'").count() == 4000
+        seg = files.read_road_edges(spark, path, multiline=True)
+        doc = T.StructType([T.StructField("features", T.ArrayType(files.ROAD_FEATURE_SCHEMA))])
+        one = spark.read.option("multiLine", True).schema(doc).json(path).selectExpr("explode(features) AS f").select("f.*")
+        bare = lambda df: df.selectExpr("type", "geometry.type AS kind", "from_json(geometry.coordinates, 'array<array<double>>') AS at",
+                                        "replace(properties, ' ') AS properties")
+        assert one.rdd.getNumPartitions() == 1 and bare(one).exceptAll(bare(found)).count() == 0
+        assert seg.count() == 8000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    attrs = {r.edge_id: r.speed_limit for r in spatial.road_attributes(seg).collect()}
+    assert [attrs[i] for i in range(8)] == [80, 70, 50, 60, 90, 30, 50, 50]
+
+
+def test_documents_of_another_shape_are_parsed_whole(spark, tmp_path):
+    other = '{"geometry": {"type": "LineString", "coordinates": [[1.0, 2.0], [3.0, 4.0]]}, "type": "Feature", "properties": {"edge_id": %d}}'
+    put(tmp_path, "a.geojson", '{"features": [' + other % 1 + "," + other % 2 + '], "type": "FeatureCollection"}')
+    mixed = FEATURE % (3, "50", 1) + "," + other % 4
+    put(tmp_path, "b.geojson", '{"type": "FeatureCollection", "features": [' + mixed + "]}")
+    put(tmp_path, "c.geojson", '{"type": "FeatureCollection", "features": [' + FEATURE % (5, "50", 1) + "]}")
+    put(tmp_path, "d.geojson", '{"type": "FeatureCollection", "features": []}')
+    seg = files.read_road_edges(spark, str(tmp_path), multiline=True)
+    assert sorted((r.edge_id, r.seg) for r in seg.collect()) == [(1, 0), (2, 0), (3, 0), (3, 1), (4, 0), (5, 0), (5, 1)]
+
+
+def test_a_polyline_is_one_edge_again(spark, tmp_path):
+    rows = [(1, 0, 0, 1.0, 2.0, 3.0, 4.0), (1, 0, 1, 3.0, 4.0, 5.0, 6.0), (2, 0, 0, 1.0, 2.0, 3.0, 4.0),
+            (3, 0, 0, 1.0, 2.0, 3.0, 4.0), (3, 0, 1, 3.0, 4.0, 5.0, 6.0),                 # the geometry of edge 1
+            (4, 0, 0, 1.0, 2.0, 3.0, 4.0), (4, 1, 0, 7.0, 8.0, 9.0, 9.5)]
+    roads = spark.createDataFrame(rows, "edge_id long, part int, seg int, lon1 double, lat1 double, lon2 double, lat2 double") \
+        .selectExpr("*", "'primary' AS highway", "'50' AS maxspeed")
+    files.write_road_edges(roads, str(tmp_path / "r"))
+    assert spark.read.text(str(tmp_path / "r")).count() == 3
+    back = files.read_road_edges(spark, str(tmp_path / "r"))
+    assert sorted((r.edge_id, r.part, r.seg, r.lon1, r.lat1, r.lon2, r.lat2) for r in back.collect()) == [r for r in rows if r[0] != 3]
