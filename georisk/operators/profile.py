@@ -127,39 +127,46 @@ def histogram(df: DataFrame, col: str = "probability", bins: int = 10) -> DataFr
         (F.col("_lo") + F.col("bin") * F.col("_w")).alias("bin_hi"), F.coalesce("_n", F.lit(0).cast("long")).alias("n"))
 
 
-def exact_percentiles(df: DataFrame, col: str, probs) -> DataFrame:
-    """Exact percentiles with linear interpolation (NumPy's default), one row ``p<k>`` per prob.
+def _order_statistics(df: DataFrame, col: str, probs) -> DataFrame:
+    """One row: n, min, max, mean of the values, and per prob ``p<i>`` with ``ge<i>``, the rows not below it.
 
     Instead of buffering every value in one task, values are reduced to
-    (distinct value, count), running counts come from range-partitioned
-    prefix sums, and the two order statistics around ``p * (N - 1)`` are
-    picked by a filter: only a handful of rows reach the final aggregate.
+    (distinct value, count), the only read of the input; running counts come
+    from range-partitioned prefix sums, and everything is one aggregation over
+    those.
     """
     from .ordering import prefix_sums
-    vc = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    cum = prefix_sums(vc, ["_v"], ["_c"])                       # _c_cum: rows with value <= _v
-    n = vc.agg(F.sum("_c").alias("_n"))
+    counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    cum = prefix_sums(counts, ["_v"], ["_c"])                   # _c_cum: rows with value <= _v
+    n = cum.agg(F.max("_c_cum").alias("_n"))
     cum = cum.crossJoin(F.broadcast(n)).withColumn("_first", F.col("_c_cum") - F.col("_c"))  # rank of first copy
-    aggs, finals = [], []
+    aggs = [F.max("_n").alias("n"), F.min("_v").alias("min_v"), F.max("_v").alias("max_v"),
+            (F.sum(F.col("_v") * F.col("_c")) / F.max("_n")).alias("mean_v")]
+    finals = ["n", "min_v", "max_v", "mean_v"]
     for i, p in enumerate(probs):
         pos = F.lit(float(p)) * (F.col("_n") - 1)
-        lo, hi = F.floor(pos), F.ceil(pos)
-        # value at rank r: the distinct value whose copies cover r  (_first <= r < _c_cum)
-        aggs += [F.max(F.when((F.col("_first") <= lo) & (lo < F.col("_c_cum")), F.col("_v"))).alias(f"_lo{i}"),
-                 F.max(F.when((F.col("_first") <= hi) & (hi < F.col("_c_cum")), F.col("_v"))).alias(f"_hi{i}"),
-                 F.max(pos - lo).alias(f"_f{i}")]
-        finals.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(f"p{i}"))
+        for name, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            # value at a rank: the distinct value whose copies cover it  (_first <= rank < _c_cum)
+            here = (F.col("_first") <= rank) & (rank < F.col("_c_cum"))
+            aggs += [F.max(F.when(here, F.col("_v"))).alias(f"_{name}{i}"),
+                     F.max(F.when(here, F.col("_first"))).alias(f"_{name}_first{i}")]
+        aggs.append(F.max(pos - F.floor(pos)).alias(f"_f{i}"))
+        value = F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")
+        below = F.when(value > F.col(f"_lo{i}"), F.col(f"_hi_first{i}")).otherwise(F.col(f"_lo_first{i}"))
+        finals += [value.alias(f"p{i}"), (F.col("n") - below).alias(f"ge{i}")]
     return cum.agg(*aggs).select(*finals)
 
 
+def exact_percentiles(df: DataFrame, col: str, probs) -> DataFrame:
+    """Exact percentiles with linear interpolation (NumPy's default), one row ``p<k>`` per prob."""
+    return _order_statistics(df, col, probs).select(*[f"p{i}" for i in range(len(probs))])
+
+
 def distribution_stats(df: DataFrame, col: str) -> DataFrame:
-    """min, max, mean, exact median and p90 (linear interpolation), count >= p90."""
-    s = df.agg(F.min(col).alias("min_v"), F.max(col).alias("max_v"), F.avg(col).alias("mean_v"))
-    q = exact_percentiles(df, col, [0.5, 0.9]).select(F.col("p0").alias("median_v"), F.col("p1").alias("p90_v"))
-    s = s.crossJoin(q)
-    n90 = df.select(col).crossJoin(F.broadcast(s.select("p90_v"))) \
-        .agg(F.count_if(F.col(col) >= F.col("p90_v")).alias("n_ge_p90"))
-    return s.crossJoin(n90)
+    """min, max, mean, exact median and p90 (linear interpolation), count >= p90; the input is read once."""
+    s = _order_statistics(df, col, [0.5, 0.9])
+    return s.select("min_v", "max_v", "mean_v", F.col("p0").alias("median_v"), F.col("p1").alias("p90_v"),
+                    F.coalesce("ge1", F.lit(0)).cast("long").alias("n_ge_p90"))
 
 
 # ------------------------------------------------------------- top-k family

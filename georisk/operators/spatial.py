@@ -38,22 +38,34 @@ def _with_mercator(df: DataFrame, lat: str = "latitude", lon: str = "longitude",
 
 # ---------------------------------------------------------------- hot cells
 HOT_PAIRS = 50_000_000   # candidate pairs that one task compares in a cell; a cell with more is split
+TASK_PAIRS = 2_000_000   # candidate pairs for which a join gets one more task
 
 
-def cell_join(probe: DataFrame, build: DataFrame, keys=("_cx", "_cy"), hot_pairs: int = HOT_PAIRS) -> DataFrame:
+def cell_join(probe: DataFrame, build: DataFrame, keys=("_cx", "_cy"), hot_pairs: int | None = None) -> DataFrame:
     """Inner equi-join on cell keys that splits hot cells on both sides.
 
-    What a cell costs is its probe rows times its build rows.  A cell with
-    more than ``hot_pairs`` of them is cut into shares of about
-    sqrt(hot_pairs) rows on either side, dealt by a hash of the row; every
-    pair of shares is a group of its own, so each pair of rows still meets
-    exactly once.  Other cells are one group.
+    What a cell costs is its probe rows times its build rows; one aggregation
+    finds the sum and the greatest of that over all cells.  Without a cell of
+    more than ``hot_pairs`` it is a plain join, left to the planner if it is
+    small, else dealt over as many tasks as its pairs ask for (few bytes make
+    many pairs here, which sizes in bytes don't show).  A hot cell is cut into
+    shares of about sqrt(hot_pairs) rows on either side, dealt by a hash of the
+    row; every pair of shares is a group of its own, so each pair of rows still
+    meets exactly once.
     """
     keys = list(keys)
+    hot_pairs = hot_pairs or HOT_PAIRS
+    sizes = (probe.groupBy(*keys).agg(F.count(F.lit(1)).alias("_np"))
+             .join(build.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nb")), keys))
+    pairs = F.col("_np").cast("double") * F.col("_nb")
+    total, most = sizes.agg(F.sum(pairs), F.max(pairs)).first()
+    most_tasks = int(probe.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = min(most_tasks, math.ceil((total or 0.0) / TASK_PAIRS))
+    if (most or 0.0) <= hot_pairs:
+        return (probe.repartition(tasks, *keys) if tasks > 1 else probe).join(build, keys)
+
     share = math.isqrt(hot_pairs)
-    hot = (probe.groupBy(*keys).agg(F.count(F.lit(1)).alias("_np"))
-           .join(build.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nb")), keys)
-           .filter(F.col("_np") * F.col("_nb") > hot_pairs)
+    hot = (sizes.filter(pairs > hot_pairs)
            .select(*keys, F.ceil(F.col("_np") / share).cast("int").alias("_sp"),
                    F.ceil(F.col("_nb") / share).cast("int").alias("_sb")))
 
@@ -65,10 +77,7 @@ def cell_join(probe: DataFrame, build: DataFrame, keys=("_cx", "_cy"), hot_pairs
 
     p = dealt(probe, "_sp", "_sb", lambda m, t: m * F.col("_sb") + t)
     b = dealt(build, "_sb", "_sp", lambda m, t: t * F.col("_sb") + m)
-    # few bytes make many pairs here, so the groups are dealt over all shuffle partitions and not by their size;
-    # a shuffled join uses the same dealing
-    n = int(probe.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return p.repartition(n, *keys, "_salt").join(b, keys + ["_salt"]).drop("_salt")
+    return p.repartition(tasks, *keys, "_salt").join(b, keys + ["_salt"]).drop("_salt")
 
 
 # ------------------------------------------------------------- cells on the sphere

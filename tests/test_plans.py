@@ -39,3 +39,27 @@ def test_fanout_does_not_shuffle_child_rows(spark):
     p = plan(E.queries()["bronze_accidents"](spark, SF_SMALL))
     # the child side reaches the join as an aggregate (one row per key)
     assert "HashAggregate" in p and "count(1)" in p
+
+
+def test_distribution_reads_its_input_once(spark):
+    """What is returned reads the stored value counts; the input is no part of its plan."""
+    from georisk.operators import profile
+    from georisk.sources import bindings as B
+    p = plan(profile.distribution_stats(B.preds(spark, SF_SMALL), "probability"))
+    assert "events.parquet" not in p and "parquet" in p
+    rows = [(v,) for v in (1.0, 2.0, 2.0, 4.0, 9.0)] + [(None,)]
+    got = profile.distribution_stats(spark.createDataFrame(rows, "x double"), "x").first()
+    assert tuple(got) == (1.0, 9.0, 3.6, 2.0, 7.0, 1)
+    assert tuple(profile.distribution_stats(spark.createDataFrame([], "x double"), "x").first()) == (None,) * 5 + (0,)
+
+
+def test_cell_join_is_plain_without_hot_cells(spark):
+    from pyspark.sql import functions as F
+
+    from georisk.operators import spatial
+    a = spark.range(2000).select(F.col("id").alias("i"), (F.col("id") % 50).alias("_cx"), F.lit(0).alias("_cy"))
+    b = a.select(F.col("i").alias("j"), "_cx", "_cy")
+    cold, hot = spatial.cell_join(a, b), spatial.cell_join(a, b, hot_pairs=500)
+    assert "_salt" not in plan(cold) and "_salt" in plan(hot)
+    assert cold.count() == hot.count() == 80_000
+    assert hot.select("i", "j").distinct().count() == 80_000
