@@ -33,16 +33,6 @@ def stage_stats(**frames: DataFrame) -> DataFrame:
     return out
 
 
-def observed(df: DataFrame, name: str, **metrics):
-    """``df`` and an observation of it: the row count ``n`` and ``metrics``, gathered by whatever writes the frame.
-
-    Read ``observation.get`` after the write; nothing is scanned for it.
-    """
-    from pyspark.sql import Observation
-    seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("n"), *[c.alias(k) for k, c in metrics.items()]), seen
-
-
 def class_balance(df: DataFrame, target: str = "target") -> DataFrame:
     """Count and share per class, and the ratio to the smallest class."""
     w = Window.partitionBy()   # over the per-class aggregate only (one row per class)

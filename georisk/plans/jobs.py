@@ -175,18 +175,19 @@ def bronze(spark: SparkSession, carac_pattern: str, usagers_pattern: str | None
     """Yearly CSV files -> cleaned events; returns (frame, stage counts).
 
     ``sep=None`` finds each file's separator.  Each CSV file is read once: its
-    table is stored, its rows are counted by an observation of that write, and
-    the cleaning reads the stored table.  With ``out_dir`` the tables
+    table is stored, the count comes from the row counts in the footers of what
+    was stored (an ``Observation`` of the write would do, but one makes the
+    session's later spark.ml fits fail in Spark 4.1), and the cleaning reads the
+    stored table.  With ``out_dir`` the tables
     caracteristiques, usagers and accidents_nc are replaced there in one step,
     the counts with them.
     """
-    from ..operators import ingest, profile
+    from ..operators import ingest
     from ..sources import files
-    store, seen, entries, found = Store(spark, out_dir or scratch_path(spark, "bronze")), {}, {}, {}
+    store, entries, found = Store(spark, out_dir or scratch_path(spark, "bronze")), {}, {}
 
     def keep(name, df):
-        rows, seen[name] = profile.observed(df, name)
-        entries[name] = store.stage(name, rows)
+        entries[name] = store.stage(name, df)
         found[name] = store.staged(name, entries[name])
         return found[name]
 
@@ -198,7 +199,7 @@ def bronze(spark: SparkSession, carac_pattern: str, usagers_pattern: str | None
         keys = users.select(F.col("Num_Acc").try_cast("long").alias("Num_Acc"))
     typed = carac.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in ACCIDENT_SCHEMA.fields])
     out = keep("accidents_nc", ingest.parse_accidents(typed, keys, mode=mode))
-    counts = {name: s.get["n"] for name, s in seen.items()}
+    counts = {name: rows.count() for name, rows in found.items()}
     store.publish(entries, {"counts": counts}, base)
     return out, counts
 

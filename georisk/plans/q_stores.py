@@ -165,7 +165,7 @@ def q_bronze_job(spark, sf_dir):
     f"""SELECT 'caracteristiques' AS stage, count(*) AS n FROM carac_raw UNION ALL SELECT 'usagers', count(*) FROM usagers_raw
         UNION ALL SELECT 'accidents_nc', count(*) FROM ({BRONZE_OUT})""", "carac_raw", "usagers_raw", extra={"b0": BRONZE_SQL}))
 def q_bronze_counts(spark, sf_dir):
-    """Rows per stage, observed while the bronze job wrote them."""
+    """Rows per stage, as the bronze job has published them with its tables."""
     counts = Store(spark, _bronze_store(spark, sf_dir)).meta()["counts"]
     return spark.createDataFrame(list(counts.items()), "stage string, n long")
 
