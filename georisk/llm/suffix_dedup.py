@@ -174,7 +174,7 @@ def settle(group: np.ndarray, place: list[np.ndarray], pos: np.ndarray, sizes: n
 
 
 def _settled(suffixes: DataFrame, p: Params) -> DataFrame:
-    """Sort, compare and extend: stretches of ``n`` repeated runs, and (n = 0) runs of split keys not yet decided."""
+    """Sort, compare and extend: stretches of ``n`` runs whose words all repeat, and (n = 0) runs of split keys not yet decided."""
     names = ["key", "run", "th", "th2", "doc", "pos", "n", "kept"]
 
     def run(batches):
@@ -198,14 +198,23 @@ def _settled(suffixes: DataFrame, p: Params) -> DataFrame:
         row, at, first, repeated = settle(group, [doc, th, th2], pos, sizes, runs, p.min_words)
         if not len(row):
             return
-        # stretches: repeated runs of one suffix at consecutive words
+        # stretches: repeated runs of a text at consecutive words, then those of its suffixes that overlap or touch as one,
+        # so that a row is the left end of a passage in this group and not one of the suffixes that it covers
         goes_on = np.concatenate([[False], repeated[1:] & repeated[:-1] & (row[1:] == row[:-1])])
         heads = np.nonzero(repeated & ~goes_on)[0]
         number = np.cumsum(repeated & ~goes_on)[repeated] - 1
+        ends = at[heads] + np.bincount(number, minlength=len(heads)) - 1 + p.min_words
+        if len(heads):
+            own = row[heads]
+            apart = at[heads[1:]] > ends[:-1]
+            for x in (group, doc, th, th2):
+                apart |= x[own[1:]] != x[own[:-1]]
+            left = np.concatenate([[True], apart])
+            heads, ends = heads[left], ends[np.concatenate([apart, [True]])]
         open_ = np.nonzero(~repeated & split[row])[0]
         pick = np.concatenate([heads, open_])
         r = row[pick]
-        n = np.concatenate([np.bincount(number, minlength=len(heads)), np.zeros(len(open_), np.int64)])
+        n = np.concatenate([ends - p.min_words + 1 - at[heads], np.zeros(len(open_), np.int64)])
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
             key[r], runs[pick], th[r], th2[r], doc[r], at[pick].astype(np.int32), n.astype(np.int32), doc[row[first[pick]]])],
             names=names)
@@ -252,7 +261,9 @@ def repeated_passages(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame,
     first = texts.groupBy("th", "th2").agg(F.min("doc").alias("first"))
     suffixes = entries.filter("key is not null")
     # written, so that the join below reads a plain exchange on both sides and a frequent key can be split
-    shared = cut_lineage(suffixes.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
+    # a key has neighbours if two different texts have it, or one text twice; exact copies alone are none
+    shared = cut_lineage(suffixes.groupBy("key").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.min("th").alias("lo"),
+                                                     F.max("th").alias("hi")).filter("most > 1 or lo <> hi")
                          .select("key", F.ceil(F.col("n") / p.split).cast("int").alias("k")), "shared")
     # copies of a text repeat its keys; what is collected is bounded by the words of one text
     often = F.collect_set(F.when(F.col("k") > 1, F.struct("key", "k"))).alias("often")
