@@ -47,18 +47,19 @@ def fingerprint(words: list[bytes], shingle: int = 3, seed: int = 42) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = 3, seed: int = 42) -> DataFrame:
-    """``(doc_id, fp)`` of every row; ``fp`` holds the 64 bits as a signed long.
+    """``(doc_id, text_hash, fp)`` of every row; ``fp`` holds the 64 bits as a signed long.
 
     Null, empty and blank texts have fingerprint zero.
     """
     def run(batches):
         for b in batches:
-            fps = [fingerprint(space_words(t.as_py(), lower=True), shingle, seed) for t in b.column(1)]
+            fps = [fingerprint(space_words(t.as_py(), lower=True), shingle, seed) for t in b.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], names=["doc_id", "fp"])
+                [b.column(0), b.column(1), pa.array(np.array(fps, np.uint64).view(np.int64))], names=["doc_id", "text_hash", "fp"])
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, "doc_id long, fp long"))
+    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
+                        F.col(text_col).alias("text"))
+            .mapInArrow(run, "doc_id long, text_hash long, fp long"))
 
 
 def layout(n: int, radius: int, bucket: int, most_copies: int = 56) -> int:
@@ -178,31 +179,49 @@ def links(nodes: DataFrame, radius: int = 3, tile: int = 128, bucket: int = 64,
             .mapInArrow(_link_task(radius, tile), "u long, v long"))
 
 
+def _grouped(fps: DataFrame, radius: int) -> DataFrame:
+    """``(fp, root)`` of every fingerprint, ``root`` the smallest fingerprint of its component.
+
+    The fingerprints themselves are the nodes, whatever ids hold them: rows
+    that share an id are not joined by it, and rows without one join others.
+    """
+    nodes = cut_lineage(fps.select("fp").distinct().select("fp", F.col("fp").alias("node")), "nodes")
+    roots = components(links(nodes, radius))
+    return nodes.join(roots, "node", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     radius: int = 3, seed: int = 42) -> DataFrame:
     """``(doc_id, fp, component_id)`` per row of ``docs``; other columns are left out.
 
     ``component_id`` is the smallest doc_id reachable over fingerprints that
     differ in at most ``radius`` bits, the row's own included.  Rows whose
-    doc_id is null get a fingerprint but no component (null).  Repeated rows
-    give repeated result rows; an empty table gives an empty result.
+    doc_id is null belong to their component like any other; a component of
+    such rows alone has the id null.  An id that several texts share is in the
+    component of each of them and joins none.  Repeated rows give repeated
+    result rows; an empty table gives an empty result.
     """
     fps = cut_lineage(fingerprints(docs, id_col, text_col, shingle, seed), "fingerprints")
-    nodes = cut_lineage(fps.filter("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
-    roots = components(links(nodes, radius))
-    named = nodes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("root"))
-    return (fps.join(named, "fp", "left")
-            .select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("root")).alias("component_id")))
+    grouped = cut_lineage(_grouped(fps, radius), "grouped")
+    least = (fps.groupBy("fp").agg(F.min("doc_id").alias("least")).join(grouped, "fp")
+             .groupBy("root").agg(F.min("least").alias("component_id")))
+    named = grouped.join(least, "root").select("fp", "component_id")
+    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_representatives(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """``docs`` with one row per component: that whose doc_id is the component's id.
+    """``docs`` with one row per component: the smallest by (doc_id, hash of the text), a null doc_id last.
 
-    All columns are kept.  Of rows that repeat a doc_id inside a component one
-    stays.  A row without doc_id has no component and stays.
+    All columns are kept.  Rows that repeat doc_id and text are one document,
+    of which any one row stays; two texts under one doc_id are two documents.
     """
-    kept = (near_duplicates(docs, shingle=shingle, radius=radius)
-            .filter("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct())
-    named = docs.filter(F.col("doc_id").isNotNull())
-    one = named.join(kept, named["doc_id"] == F.col("__kept"), "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.filter(F.col("doc_id").isNull()))
+    fps = cut_lineage(fingerprints(docs, shingle=shingle), "fingerprints")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    kept = (fps.groupBy("fp").agg(F.min(place).alias("least")).join(_grouped(fps, radius), "fp")
+            .groupBy("root").agg(F.min("least").alias("least")))
+    kept = kept.select(F.col("least.doc_id").alias("__id"), F.col("least.text_hash").alias("__hash"))
+    marked = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"),
+                         F.xxhash64("text").alias("hash"))
+    one = (marked.join(kept, F.col("id").eqNullSafe(F.col("__id")) & (F.col("hash") == F.col("__hash")), "left_semi")
+           .dropDuplicates(["id", "hash"]))
+    return one.select(*[F.col("row")[c].alias(c) for c in docs.columns])

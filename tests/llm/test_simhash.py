@@ -110,10 +110,41 @@ def test_edge_rows(spark):
     assert simhash.near_duplicates(spark.createDataFrame([], schema)).count() == 0
     docs = spark.createDataFrame([(None, "a b c d"), (3, "a b c d"), (3, "a b c d"), (2, None), (1, "")], schema)
     got = sorted((r["doc_id"] or 0, r["component_id"]) for r in simhash.near_duplicates(docs).collect())
-    assert got == [(0, None), (1, 1), (2, 1), (3, 3), (3, 3)]
+    assert got == [(0, 3), (1, 1), (2, 1), (3, 3), (3, 3)]
     kept = simhash.keep_representatives(docs)
     assert kept.columns == docs.columns
-    assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 1, 3]
+    assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [1, 3]
+
+
+def test_ids_join_nothing_and_rows_without_id_join_others(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(4000)]
+    base = [" ".join(rng.choices(words, k=400)) for _ in range(6)]
+
+    def near(t, k):
+        x = t.split()
+        x[k] = "other"
+        return " ".join(x)
+    rows = [(1, base[0], "x"), (1, base[1], "y"), (2, base[0], "x"), (3, base[1], "x"), (None, base[2], "x"),
+            (None, base[2], "z"), (None, near(base[2], 5), "x"), (9, near(base[2], 5), "x"), (8, near(base[2], 9), "x"),
+            (None, base[3], "x"), (None, base[3], "x"), (5, base[4], "x"), (5, base[4], "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, hash string")
+    fp = [simhash.fingerprint(t.lower().encode().split()) for _, t, _ in rows]
+    root = brute_components(list(enumerate(fp)))  # rows as nodes
+    members = {}
+    for i, r in root.items():
+        members.setdefault(r, []).append(i)
+    least = {r: min((rows[i][0] for i in m if rows[i][0] is not None), default=None) for r, m in members.items()}
+    assert root[4] == root[7]  # a row without id is between 8 and 9
+    key = lambda r: tuple((x is None, x) if x is not None else (True, 0) for x in r)
+    got = sorted(((r["doc_id"], r["component_id"]) for r in simhash.near_duplicates(docs).collect()), key=key)
+    assert got == sorted(((rows[i][0], least[r]) for i, r in root.items()), key=key)
+    kept = simhash.keep_representatives(docs)
+    assert kept.columns == docs.columns
+    kept = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert len(kept) == len(members)  # one per component, the two texts of doc 1 among them
+    assert {(1, base[0]), (1, base[1]), (None, base[3]), (5, base[4])} <= set(kept)
+    assert sorted(i for i, _ in kept if i) == sorted(x for x in least.values() if x)
 
 
 def test_components_of_a_long_chain(spark):
