@@ -3,10 +3,11 @@
 A page is read into blocks of text in page order.  A small linear classifier
 turns what is known of a block (its containers, length, links, punctuation)
 into a signed score, which becomes the capacity to the content terminal or to
-the boilerplate terminal: the cost of giving the block the other label.
-Smoothness edges cost their capacity if the two blocks they join get different
-labels: between neighbours in page order, and between blocks that are close in
-the element tree.  The cheapest labelling is the minimum cut; maximum flow
+the boilerplate terminal: the cost of giving the block the other label.  The
+names of the page's parts are one feature of that score; the edges around a
+block can outweigh it.  Smoothness edges cost their capacity if the two blocks
+they join get different labels: between neighbours in page order, and between
+blocks that are close in the element tree; they are weak where a part begins.  The cheapest labelling is the minimum cut; maximum flow
 finds it, and the blocks that can still be reached from the content terminal
 are the main text.
 """
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -33,13 +34,15 @@ CLOSES_P = frozenset("""address article aside blockquote center details dialog d
     form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table ul""".split())
 SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
                "th": {"td", "th"}, "option": {"option"}}
+CLOSABLE = frozenset("p li dt dd tr td th option".split())
 SCOPES = frozenset("ul ol dl table tbody thead tfoot select div section article main body".split())
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 BAD_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar
     navigation menu sidebar footer header masthead comment comments commentlist disqus cookie cookies consent gdpr notice popup
-    modal overlay newsletter subscribe subscription share sharing social related recommended recommendations breadcrumb
+    modal overlay meta newsletter subscribe subscription share sharing social related recommended recommendations breadcrumb
     breadcrumbs pagination pager login signup signin widget toolbar disclaimer search reply replies respond""".split())
-GOOD_NAMES = frozenset("article articlebody post entry content story body main text".split())
+TITLED = frozenset("article entry post story".split())
+STATES = frozenset("has no not with without".split())  # has-sidebar says what the page has, not what the element is
 
 ATTRIBUTES = r"""(?:[^>"']++|"[^"]*"|'[^']*')*+"""
 TOKEN = re.compile(
@@ -58,18 +61,19 @@ SENTENCE_END = re.compile("[.!?…。！？]")
 class Weights:
     """Classifier weights and capacities of the smoothness edges."""
 
-    content_part: float = 4.0
-    other_part: float = -8.0
+    content_part: float = 2.5
+    other_part: float = -3.5
     header_in_content: float = -1.0
     paragraph: float = 0.6
     heading: float = 0.2
     list_item: float = -0.4
     per_word: float = 0.05
     most_words: int = 40
-    links: float = -3.0
+    links: float = -1.8
     sentence: float = 0.5
     start: float = -0.8
     neighbour: float = 0.6
+    other_parent: float = 0.3
     across: float = 0.15
     same_parent: float = 0.4
     same_grandparent: float = 0.2
@@ -87,6 +91,17 @@ class Block:
     linked: int  # characters inside links
 
 
+def _names_other_part(token: str) -> bool:
+    """Whether a class or id names boilerplate; a bad word beside a good one is bad (main-menu, entry-footer).
+
+    An entry-header, like a header element, holds the title of what it heads.
+    """
+    words = NAME.findall(token)
+    stop = next((i for i, x in enumerate(words) if x in STATES), len(words))
+    words = set(words[:stop])
+    return bool(words & BAD_NAMES) and not (words & TITLED and words & BAD_NAMES == {"header"})
+
+
 def _part(name: str, attributes: str) -> tuple[bool, bool]:
     """Whether the element names itself a content part, or another part of the page."""
     good, bad = name in CONTENT, name in NOT_CONTENT
@@ -97,9 +112,7 @@ def _part(name: str, attributes: str) -> tuple[bool, bool]:
                 bad |= value in BAD_ROLES
                 good |= value in ("main", "article")
             elif key in ("class", "id") and name not in ("html", "body"):
-                words = set(NAME.findall(value))
-                if not good:  # article class="has-comments" stays an article
-                    bad |= bool(words & BAD_NAMES) and not words & GOOD_NAMES or bool(words & {"comment", "comments"})
+                bad |= not good and any(map(_names_other_part, value.split()))
             elif key == "hidden" or key == "aria-hidden" and value == "true":
                 bad = True
             elif key == "style":
@@ -110,8 +123,9 @@ def _part(name: str, attributes: str) -> tuple[bool, bool]:
 def blocks(page: str) -> list[Block]:
     """Text blocks in page order, white space collapsed, character references decoded."""
     out: list[Block] = []
-    # of each open element: name, number, good, bad, header
-    stack = [("", 0, False, False, False)]
+    # of each open element: name, number, good, bad, header, and which elements that a start tag can close are open in its scope
+    stack = [("", 0, False, False, False, frozenset())]
+    opened: Counter[str] = Counter()  # only what is open is searched for, and then closed: a page takes linear time
     parts: list[str] = []
     linked, in_link, count, at = 0, False, 0, 0
 
@@ -120,7 +134,7 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                name, _, good, bad, header = stack[-1]
+                name, _, good, bad, header, _ = stack[-1]
                 out.append(Block(text, name, good, bad, header, stack[-2][1] if len(stack) > 1 else 0,
                                  stack[-3][1] if len(stack) > 2 else 0, linked))
             parts.clear()
@@ -128,6 +142,7 @@ def blocks(page: str) -> list[Block]:
 
     def pop_to(depth: int):
         flush()
+        opened.subtract(x[0] for x in stack[depth:])
         del stack[depth:]
 
     def text(piece: str):
@@ -149,13 +164,10 @@ def blocks(page: str) -> list[Block]:
         if m["end"] or m["end2"]:
             if name == "a":
                 in_link = False
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == name:
-                    pop_to(depth)
-                    break
-            else:
-                if name not in INLINE:
-                    flush()
+            if opened[name] > 0:
+                pop_to(next(d for d in range(len(stack) - 1, 0, -1) if stack[d][0] == name))
+            elif name not in INLINE:
+                flush()
             continue
         if name == "br" or name in INLINE or name in VOID:
             if name == "a":
@@ -174,30 +186,22 @@ def blocks(page: str) -> list[Block]:
             good, bad = _part(name, attributes)
             in_link = False
         flush()
-        if name in CLOSES_P and any(x[0] == "p" for x in stack):
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == "p":
-                    pop_to(depth)
-                    break
-                if stack[depth][0] in SCOPES:
-                    break
-        if name == "body":
-            for depth in range(1, len(stack)):
-                if stack[depth][0] == "head":
-                    pop_to(depth)
-                    break
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth][0] in SAME_CLOSES.get(name, ()):
-                pop_to(depth)
-            elif stack[depth][0] in SCOPES:
-                break
+        if name in CLOSES_P and "p" in stack[-1][5]:
+            pop_to(next(d for d in range(len(stack) - 1, 0, -1) if stack[d][0] == "p"))
+        if name == "body" and opened["head"] > 0:
+            pop_to(next(d for d in range(1, len(stack)) if stack[d][0] == "head"))
+        closes = SAME_CLOSES.get(name, frozenset())
+        while stack[-1][5] & closes:
+            pop_to(next(d for d in range(len(stack) - 1, 0, -1) if stack[d][0] in closes))
         if attributes.endswith("/") and name in INLINE:
             continue
         count += 1
         top = stack[-1]
         header = top[4] or name == "header"
         inside = top[2] or good
-        stack.append((name, count, inside, top[3] or bad or name == "header" and not inside, header))
+        opened[name] += 1
+        stack.append((name, count, inside, top[3] or bad or name == "header" and not inside, header,
+                      frozenset() if name in SCOPES else top[5] | {name} if name in CLOSABLE else top[5]))
     text(page[at:])
     flush()
     return out
@@ -215,21 +219,28 @@ def score(b: Block, w: Weights) -> float:
         s += w.list_item
     elif len(b.tag) == 2 and b.tag[0] == "h":
         s += w.heading
-    if b.good:
-        s += w.content_part + (w.header_in_content if b.header else 0)
-    return s + (w.other_part if b.bad else 0)
+    if b.bad:  # a part of its own, inside an article too
+        return s + w.other_part
+    return s + (w.content_part + (w.header_in_content if b.header else 0) if b.good else 0)
 
 
 def smoothness(found: list[Block], w: Weights) -> list[tuple[int, int, float]]:
-    """Edges between neighbours, and from a block to the last one under the same parent or grandparent."""
+    """Edges between neighbours, and from a block to the last one under the same parent or grandparent.
+
+    Between blocks of different parts no edge is stronger than ``across``.
+    """
     edges, by_parent, by_grandparent = [], {}, {}
+
+    def join(i: int, j: int, capacity: float):
+        a, b = found[i], found[j]
+        edges.append((i, j, capacity if (a.bad, a.good) == (b.bad, b.good) else min(capacity, w.across)))
+
     for i, b in enumerate(found):
         if i:
-            a = found[i - 1]
-            edges.append((i - 1, i, w.neighbour if (a.bad, a.good) == (b.bad, b.good) else w.across))
+            join(i - 1, i, w.neighbour if b.parent == found[i - 1].parent else w.other_parent)
         for table, key, capacity in ((by_parent, b.parent, w.same_parent), (by_grandparent, b.grandparent, w.same_grandparent)):
             if key in table:
-                edges.append((table[key], i, capacity))
+                join(table[key], i, capacity)
             table[key] = i
     return edges
 

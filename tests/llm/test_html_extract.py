@@ -2,6 +2,7 @@ import html
 import itertools
 import random
 import re
+import time
 
 import pytest
 
@@ -51,6 +52,55 @@ def test_odd_pages(page, text):
     assert hx.main_text(page) == text
 
 
+STORY = ["The committee met on Tuesday and agreed that the old bridge would have to be closed for repairs.",
+         "Nobody could say how long the work would take, although most expected that it would last until spring.",
+         "A second crossing, further down the river, is to open next week, with a lane for buses and bicycles."]
+LINKS = '<a href="/1">Home</a> <a href="/2">World news</a> <a href="/3">Sport</a> <a href="/4">Contact us</a>'
+WRAPPERS = ["post", "entry-content", "story-body", "main content no-sidebar", "c-17", "page-with-sidebar"]
+EXTRAS = [  # markup inside the story and what it adds to the text
+    ("<p>Yes.</p>", "Yes."), ('<p><a href="/s">Read the report</a></p>', "Read the report"), ("<p>***</p>", "***"),
+    ("<h2>Later</h2>", "Later")]
+PARTS = ["main-menu", "entry-footer", "post-navigation", "content-sidebar", "story-share", "article-ad", "main-header", "post-meta"]
+
+
+def plain_pages():
+    """Pages of div and p only: 24 of a wrapper and an extra, each with two of the named parts around or inside the story."""
+    for i, (wrapper, (markup, text)) in enumerate(itertools.product(WRAPPERS, EXTRAS)):
+        before, inside = PARTS[i % 8], PARTS[(i * 3 + 1) % 8]
+        page = (f'<body><div class="{before}">{LINKS}</div><div>{LINKS}</div><div class="{wrapper}"><p>{STORY[0]}</p>{markup}'
+                f'<p>{STORY[1]}</p><div class="{inside}"><p>Sign up for our letter. It comes every day.</p></div><p>{STORY[2]}</p>'
+                f'</div><div>{LINKS}</div><div><a href="/i">Imprint</a></div></body>')
+        yield page, "\n".join([STORY[0], text, *STORY[1:]])
+
+
+def test_pages_without_semantic_elements_come_from_the_cut():
+    pages, flipped, w = list(plain_pages()), 0, hx.Weights()
+    assert len(pages) >= 20
+    for page, text in pages:
+        assert hx.main_text(page) == text, page
+        found = hx.blocks(page)
+        scores = [hx.score(b, w) for b in found]
+        flipped += sum((s > 0) != x for s, x in zip(scores, hx.minimum_cut(scores, hx.smoothness(found, w))))
+    assert flipped >= 12  # blocks whose own score says otherwise
+
+
+@pytest.mark.parametrize("name,bad", [(x, True) for x in PARTS + ["body-ad", "related-content", "comment-body"]] + [
+    ("entry-header", False), ("has-comments", False), ("content-with-sidebar", False), ("post", False), ("readable", False)])
+def test_names_of_parts(name, bad):
+    page = f'<article><p>{STORY[0]}</p><div class="{name}"><p>{STORY[1]}</p></div><p>{STORY[2]}</p></article>'
+    assert hx.main_text(page) == "\n".join([STORY[0], STORY[2]] if bad else STORY)
+
+
+def test_nested_pages_take_linear_time():
+    def seconds(n):
+        page = "<div>" * n + "</span></p>" * n + "<h1><center>" * n + "<li>x" * n + "</b></form>" * n
+        start = time.process_time()
+        hx.blocks(page)
+        return time.process_time() - start
+    small = max(min(seconds(1_000) for _ in range(3)), 0.01)
+    assert seconds(8_000) < 24 * small  # quadratic: 64
+
+
 def cut_cost(labels, scores, edges):
     return (sum(abs(s) for s, x in zip(scores, labels) if (s > 0) != x and s != 0)
             + sum(c for a, b, c in edges if labels[a] != labels[b]))
