@@ -61,7 +61,7 @@ SENTENCE_END = re.compile("[.!?…。！？]")
 class Weights:
     """Classifier weights and capacities of the smoothness edges."""
 
-    content_part: float = 2.5
+    content_part: float = 3.0
     other_part: float = -3.5
     header_in_content: float = -1.0
     paragraph: float = 0.6

@@ -91,6 +91,13 @@ def test_names_of_parts(name, bad):
     assert hx.main_text(page) == "\n".join([STORY[0], STORY[2]] if bad else STORY)
 
 
+@pytest.mark.parametrize("n", [1, 2, 5, 30])
+def test_linked_items_of_an_article_stay(n):
+    items = "".join(f"<li><a href=/{i}>source {i}</a>" for i in range(n))
+    page = f"<nav><ul>{items}</ul></nav><article><p>{STORY[0]}</p><ul>{items}</ul><p>{STORY[1]}</p></article>"
+    assert hx.main_text(page).split("\n") == [STORY[0], *(f"source {i}" for i in range(n)), STORY[1]]
+
+
 def test_nested_pages_take_linear_time():
     def seconds(n):
         page = "<div>" * n + "</span></p>" * n + "<h1><center>" * n + "<li>x" * n + "</b></form>" * n
