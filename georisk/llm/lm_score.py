@@ -1,18 +1,24 @@
 """Masked pseudo-likelihood of documents under a bidirectional window network.
 
-    h_t = tanh(b + sum_{o in -r..r, o != 0} E_o[x_{t+o}])      p(x_t | both sides) = softmax(c + h_t U)
+    h_t = tanh(b + sum_{o in -r..r, o != 0} E_o[x_{t+o}])
+    p(x_t | both sides) = softmax over groups (d + h_t V) * softmax inside the group (c + h_t U)
 
 The network never sees x_t itself.  Its outputs are the corpus's most frequent
 words, counted over all documents, and hashed classes of the rarer ones; both
-numbers follow the number of distinct words.  A word of a class has its counted
+numbers follow the number of distinct words.  About sqrt(outputs) / 2 groups of outputs
+of like frequency make the sum over all outputs one over the groups and one inside
+the token's own: the probabilities of all outputs still add up to one, at a cost per
+token that grows with the root of their number.  A word of a class has its counted
 share of it,
 
     p(word | both sides) = p(class | both sides) * n(word) / n(class)
 
 so every distinct word has a likelihood of its own, and a document's score is
-the sum over all its tokens of log p(word | both sides).  The counts of rare
-words stay a table: the documents' distinct words are joined with it, and the
-logarithms are summed per document as fixed-point integers.
+the sum over all its tokens of log p(word | both sides).  The tasks hold the counts
+of words that are at least one token in ``held`` (so no more than that many words, of
+at most 64 bytes).  The counts of all others stay a table: the documents' distinct
+words are joined with it, and the logarithms are summed per document as fixed-point
+integers.
 
 Training is data-parallel: every task trains
 a copy in numpy on its own documents, then the copies are averaged, weighted by
@@ -25,6 +31,7 @@ one set of parameters reaches the driver whatever the size of the corpus.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from dataclasses import dataclass, replace
@@ -45,6 +52,7 @@ class Params:
     """``top`` frequent words, ``classes`` for the rest, ``reach`` words on each side, ``hidden`` units.
 
     ``top`` and ``classes`` are the least numbers: both grow with the cube root of the distinct words.
+    One token in ``held`` is the least share of a word whose count the tasks hold.
     """
 
     top: int = 191
@@ -55,12 +63,21 @@ class Params:
     mask_every: int = 1
     batch: int = 512
     rate: float = 0.1
+    held: int = 100_000
     seed: int = 3
 
     @property
     def size(self) -> int:  # 0 stands for the ends of a text
         return 1 + self.top + self.classes
 
+    @property
+    def width(self) -> int:  # outputs of a group; output k is in group k // width
+        return math.ceil(2 * math.sqrt(self.size))
+
+    @property
+    def groups(self) -> int:
+        return -(-self.size // self.width)
+
     def grown(self, distinct: int) -> Params:
         """For a corpus of so many distinct words."""
         root = distinct ** (1 / 3)
@@ -68,10 +85,14 @@ class Params:
 
 
 class Vocabulary:
-    """Number of each frequent word, class of any other; ``totals`` of each number, ``counts`` ``(word, n)`` of all words."""
+    """Number of each frequent word, class of any other; ``totals`` of each number, ``counts`` ``(word, n)`` of all words.
 
-    def __init__(self, words: list[bytes], p: Params, totals: np.ndarray, counts: DataFrame):
+    ``held`` has the fixed-point log n of words that tasks look up themselves.
+    """
+
+    def __init__(self, words: list[bytes], p: Params, totals: np.ndarray, counts: DataFrame, held: dict[bytes, int]):
         self.p, self.number, self.totals, self.counts = p, {w: i + 1 for i, w in enumerate(words)}, totals, counts
+        self.held = held
 
     def __getstate__(self):  # the table stays with the driver
         return self.__dict__ | {"counts": None}
@@ -92,20 +113,20 @@ class Network:
     params: Params
     e: np.ndarray  # (2 * reach, size, hidden)
     b: np.ndarray
-    u: np.ndarray  # (hidden, size)
-    c: np.ndarray
+    u: np.ndarray  # (hidden + 1, size): outputs inside their group, the last row the bias c
+    v: np.ndarray  # (hidden + 1, groups): groups, the last row the bias d
 
     @classmethod
     def start(cls, p: Params, counts: np.ndarray) -> Network:
         """Small random inputs, and the corpus's token frequencies as the first guess of the output."""
         rng = np.random.default_rng(p.seed)
         share = (counts + 1) / (counts + 1).sum()
-        return cls(p, rng.normal(0, 0.1, (2 * p.reach, p.size, p.hidden)).astype(np.float32),
-                   np.zeros(p.hidden, np.float32), rng.normal(0, 0.1, (p.hidden, p.size)).astype(np.float32),
-                   np.log(share).astype(np.float32))
+        of_group = np.add.reduceat(share, np.arange(0, p.size, p.width))
+        return cls(p, rng.normal(0, 0.1, (2 * p.reach, p.size, p.hidden)).astype(np.float32), np.zeros(p.hidden, np.float32),
+                   *[np.vstack([rng.normal(0, 0.1, (p.hidden, len(x))), np.log(x)]).astype(np.float32) for x in (share, of_group)])
 
     def parts(self) -> list[np.ndarray]:
-        return [self.e, self.b, self.u, self.c]
+        return [self.e, self.b, self.u, self.v]
 
     def flat(self) -> np.ndarray:
         return np.concatenate([x.ravel() for x in self.parts()])
@@ -121,53 +142,88 @@ class Network:
         r = self.params.reach
         return [o for o in range(-r, r + 1) if o]
 
-    def hidden(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """``ids`` has ``reach`` zeros around every text; ``at`` are positions inside."""
-        total = self.b + self.e[0][ids[at + self.offsets()[0]]]
-        for k, o in list(enumerate(self.offsets()))[1:]:
-            total += self.e[k][ids[at + o]]
-        return np.tanh(total)
-
-    def steep(self) -> bool:
+    def rows(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Rows of all input tables as one; ``ids`` has ``reach`` zeros around every text, ``at`` are positions inside."""
+        p = self.params
+        return ids[at[:, None] + np.array(self.offsets())] + np.arange(2 * p.reach) * p.size
+
+    def hidden(self, rows: np.ndarray) -> np.ndarray:
+        """Units of each position and a last one that is always 1, for the outputs' bias."""
+        table = self.e.reshape(-1, self.params.hidden)
+        total = table.take(rows[:, 0], axis=0)
+        for k in range(1, rows.shape[1]):
+            total += table.take(rows[:, k], axis=0)
+        total += self.b
+        h = np.ones((len(rows), self.params.hidden + 1), np.float32)
+        np.tanh(total, out=h[:, :-1])
+        return h
+
+    def by_group(self, own: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice, slice]]]:
+        """Order that brings tokens of a group together; first output, tokens and outputs of each group that has any."""
+        width, group = self.params.width, own // self.params.width
+        order = np.argsort(group, kind="stable")
+        ends = np.searchsorted(group[order], np.arange(self.params.groups + 1)).tolist()
+        return order, [(g * width, slice(a, z), slice(g * width, (g + 1) * width))
+                       for g, (a, z) in enumerate(zip(ends, ends[1:])) if a < z]
+
+    def steep(self, limit: float = 80) -> bool:
         """Whether exp of an output could overflow."""
-        return float((np.abs(self.c) + np.abs(self.u).sum(axis=0)).max()) > 80
-
-    def log_probs(self, ids: np.ndarray, at: np.ndarray, step: int = 2048) -> np.ndarray:
+        return max(float(np.abs(x).sum(axis=0).max()) for x in (self.u, self.v)) > limit
+
+    @staticmethod
+    def exps(h: np.ndarray, table: np.ndarray, own: np.ndarray, steep: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Logit of each row's own output, exp of all of them and their sums."""
+        z = h @ table
+        if steep:
+            z -= z.max(axis=1, keepdims=True)
+        logit = z[np.arange(len(own)), own]
+        np.exp(z, out=z)
+        return logit, z, z.sum(axis=1)
+
+    def log_probs(self, ids: np.ndarray, at: np.ndarray, step: int = 8192) -> np.ndarray:
         """log p of the token at each position, given both sides."""
         out = np.empty(len(at), np.float64)
         steep = self.steep()
         for s in range(0, len(at), step):
-            part = at[s:s + step]
-            z = self.hidden(ids, part) @ self.u
-            z += self.c
-            if steep:
-                z -= z.max(axis=1, keepdims=True)
-            own = z[np.arange(len(part)), ids[part]]
-            np.exp(z, out=z)
-            out[s:s + step] = own - np.log(z.sum(axis=1))
+            order, groups = self.by_group(ids[at[s:s + step]])
+            part = at[s:s + step][order]
+            own, h = ids[part], self.hidden(self.rows(ids, part))
+            logit, _, total = self.exps(h, self.v, own // self.params.width, steep)
+            found = logit - np.log(total)
+            for first, mine, outputs in groups:
+                logit, _, total = self.exps(h[mine], self.u[:, outputs], own[mine] - first, steep)
+                found[mine] += logit - np.log(total)
+            out[s + order] = found
         return out
 
     def train(self, ids: np.ndarray, at: np.ndarray, memory: list[np.ndarray]) -> None:
         """Adagrad steps over masked positions; ``memory`` has the summed squared gradients."""
         p = self.params
-        table, units = np.arange(2 * p.reach) * p.size, np.arange(p.hidden)
+        de = np.empty((2 * p.reach * p.size, p.hidden), np.float32)
+
+        def slopes(h, table, own, steep, n):  # at the inputs and the table
+            _, z, total = self.exps(h, table, own, steep)
+            z[np.arange(len(own)), own] -= total
+            z /= (n * total)[:, None]
+            return z @ table[:-1].T, h.T @ z
+
         for s in range(0, len(at), p.batch):
-            part = at[s:s + p.batch]
-            n = len(part)
-            h = self.hidden(ids, part)
-            z = h @ self.u
-            z += self.c
-            if self.steep():
-                z -= z.max(axis=1, keepdims=True)
-            np.exp(z, out=z)
-            z *= 1 / (n * z.sum(axis=1, keepdims=True))
-            z[np.arange(n), ids[part]] -= np.float32(1 / n)
-            dh = (z @ self.u.T) * (1 - h * h)
-            rows = ids[part[:, None] + self.offsets()] + table  # of all input tables as one
-            de = np.bincount(((rows * p.hidden)[:, :, None] + units).ravel(),
-                             np.broadcast_to(dh[:, None], (*rows.shape, p.hidden)).ravel(), self.e.size)
-            de = de.reshape(self.e.shape).astype(np.float32)
-            for x, g, m in zip(self.parts(), (de, dh.sum(axis=0), h.T @ z, z.sum(axis=0)), memory):
+            order, groups = self.by_group(ids[at[s:s + p.batch]])
+            part = at[s:s + p.batch][order]
+            if s % (8 * p.batch) == 0:  # a step moves a parameter by at most p.rate
+                steep = self.steep(80 - 8 * p.rate * len(self.u))
+            n, own, rows = len(part), ids[part], self.rows(ids, part)
+            h = self.hidden(rows)
+            dh, dv = slopes(h, self.v, own // p.width, steep, n)
+            du = np.zeros_like(self.u)
+            for first, mine, outputs in groups:
+                dx, du[:, outputs] = slopes(h[mine], self.u[:, outputs], own[mine] - first, steep, n)
+                dh[mine] += dx
+            dh *= 1 - h[:, :-1] ** 2
+            each, flat = np.repeat(dh.T.astype(np.float64), rows.shape[1], axis=1), rows.ravel()
+            for k, x in enumerate(each):
+                de[:, k] = np.bincount(flat, x, len(de))
+            for x, g, m in zip(self.parts(), (de.reshape(self.e.shape), dh.sum(axis=0), du, dv), memory):
                 m += g * g
                 x -= p.rate * g / np.sqrt(m)
 
@@ -202,6 +258,11 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _log_n():
+    """log of a word's count in 2^-32; a word that was not counted is taken for one seen once."""
+    return F.round(F.log(F.coalesce("n", F.lit(1)).cast("double")) * (1 << 32)).cast("long")
+
+
 def vocabulary(docs: DataFrame, p: Params) -> tuple[Vocabulary, np.ndarray]:
     """The most frequent words (ties by word) and the count of every token; ``p`` grown to the distinct words."""
     counts = cut_lineage(word_counts(docs), "words")
@@ -215,7 +276,9 @@ def vocabulary(docs: DataFrame, p: Params) -> tuple[Vocabulary, np.ndarray]:
     n[1:1 + len(top)] = [r["n"] for r in top]
     for r in rest:
         n[1 + p.top + r["k"]] = r["n"]
-    return Vocabulary(words, p, n, counts), n
+    often = (F.col("n") >= n.sum() / p.held) & (F.length("word") <= 64)
+    held = {bytes(r["word"]): r["log_n"] for r in counts.filter(often).select("word", _log_n().alias("log_n")).collect()}
+    return Vocabulary(words, p, n, counts, held), n
 
 
 def _trained(docs: DataFrame, vocab: Vocabulary, net: Network, turn: int) -> Network:
@@ -272,7 +335,7 @@ def score(docs: DataFrame, vocab: Vocabulary, net: Network) -> DataFrame:
 
     def run(batches):
         vocab, net = shared.value
-        known, log_totals = vocab.number, vocab.log_totals()
+        known, held, log_totals = vocab.number, vocab.held, vocab.log_totals()
         for b in batches:
             split = [space_words(t.as_py(), lower=True) for t in b.column(1)]
             start = 0
@@ -287,28 +350,33 @@ def score(docs: DataFrame, vocab: Vocabulary, net: Network) -> DataFrame:
                 minus = np.bincount(text, log_totals[ids[at]], end - start).astype(float)
                 # a row per text, whose word matches none, and a row per rare word of a text
                 words, times, row = [b" %d" % k.as_py() for k in b.column(2)[start:end]], [0] * len(texts), list(range(len(texts)))
+                logs = []
                 for i, w in enumerate(split[start:end]):
                     rare = {x: n for x, n in Counter(w).items() if x not in known}
+                    logs.append(sum([n * held[x] for x, n in rare.items() if x in held]))
+                    rare = {x: n for x, n in rare.items() if x not in held}
                     words += rare
                     times += rare.values()
                     row += [i] * len(rare)
                 at, n, head = pa.array(row, pa.int64()), len(row) - len(texts), pa.array([len(t) for t in texts], pa.int64())
-                of_text = [pa.concat_arrays([x, pa.nulls(n, x.type)]) for x in (head, pa.array(total), pa.array(minus))]
+                of_text = [pa.concat_arrays([x, pa.nulls(n, x.type)])
+                           for x in (head, pa.array(total), pa.array(minus), pa.array(logs, pa.int64()))]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0)[start:end].take(at), b.column(2)[start:end].take(at), pa.array(words, pa.binary()),
                      pa.array(times, pa.int64()), *of_text],
-                    names=["doc_id", "text_hash", "word", "times", "n_tokens", "log_likelihood", "log_totals"])
+                    names=["doc_id", "text_hash", "word", "times", "n_tokens", "log_likelihood", "log_totals", "held_log_n"])
                 start = end
 
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
-        run, "doc_id long, text_hash long, word binary, times long, n_tokens long, log_likelihood double, log_totals double")
-    log_n = F.round(F.log(F.coalesce("n", F.lit(1)).cast("double")) * (1 << 32)).cast("long") * F.col("times")
+        run, "doc_id long, text_hash long, word binary, times long, n_tokens long, log_likelihood double, log_totals double, "
+             "held_log_n long")
     # rows that repeat id and text are one group, given out as often as they came
     summed = (found.join(vocab.counts.hint("shuffle_hash"), "word", "left").groupBy("doc_id", "text_hash")
               .agg(F.count("n_tokens").alias("copies"), F.max("n_tokens").alias("n_tokens"),
                    F.max("log_likelihood").alias("log_likelihood"), F.max("log_totals").alias("log_totals"),
-                   F.sum(log_n).alias("log_n")))
-    of_words = F.col("log_likelihood") - F.col("log_totals") + F.col("log_n") / F.col("copies") / (1 << 32)
+                   F.max("held_log_n").alias("held_log_n"), F.sum(_log_n() * F.col("times")).alias("log_n")))
+    log_n = F.col("held_log_n") + F.col("log_n") / F.col("copies")
+    of_words = F.col("log_likelihood") - F.col("log_totals") + log_n / (1 << 32)
     each = summed.withColumn("word_log_likelihood", of_words).withColumn("_", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     mean = F.when(F.col("n_tokens") > 0, F.col("word_log_likelihood") / F.col("n_tokens"))
     return each.select("doc_id", "n_tokens", F.round("log_likelihood", 3).alias("log_likelihood"),

@@ -22,8 +22,11 @@ def brute_log_prob(net, tokens, t):
     total = net.b.astype(float).copy()
     for k, o in enumerate(x for x in range(-r, r + 1) if x):
         total += net.e[k][tokens[t + o] if 0 <= t + o < len(tokens) else 0]
-    z = np.tanh(total) @ net.u.astype(float) + net.c
-    return z[tokens[t]] - math.log(sum(math.exp(x) for x in z))
+    h, own = np.append(np.tanh(total), 1.0), tokens[t]
+    first = own // p.width * p.width
+    inside, group = h @ net.u.astype(float)[:, first:first + p.width], h @ net.v.astype(float)
+    return (group[own // p.width] - math.log(sum(math.exp(x) for x in group))
+            + inside[own - first] - math.log(sum(math.exp(x) for x in inside)))
 
 
 def test_log_probs_match_brute_force():
@@ -164,3 +167,31 @@ def test_production_parameters_learn_from_every_token(spark):
     frequency = np.log(counts / counts.sum(), where=counts > 0, out=np.full(len(counts), -50.0))[ids[at]].mean()
     gain = net.log_probs(ids, at).mean() - frequency
     assert gain > 0.6  # with one token in four as a target: 0.15
+
+
+def test_probabilities_of_all_outputs_add_up_to_one():
+    for p in (P, lm.Params(top=20, classes=9, hidden=3), lm.Params(top=1, classes=1)):
+        net = net_of(p)
+        assert (p.groups - 1) * p.width < p.size <= p.groups * p.width
+        around = np.random.default_rng(5).integers(1, p.size, 5).astype(np.int32)
+        texts = [np.concatenate([around[:2], [k], around[3:]]).astype(np.int32) for k in range(p.size)]
+        ids, at, _ = lm.padded(texts, p.reach)
+        assert np.exp(net.log_probs(ids, at[2::5])).sum() == pytest.approx(1, abs=1e-5)
+
+
+def test_counts_held_by_tasks_and_joined_ones_give_the_same_scores(spark):
+    rng = random.Random(4)
+    words = ["a", "b", "c", "dd", "eé", "f" * 65, "f" * 64] + [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randint(0, 30)))) for i in range(60)] + [(5, "a w1 w1"), (5, "a w1 w1"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    vocab, net = lm.train(docs, P)
+    n = {bytes(r["word"]): r["n"] for r in vocab.counts.collect()}
+    assert set(vocab.held) == {w for w in n if len(w) <= 64}  # in a table this small each word is a token in 100 000
+    key = lambda rows: sorted(map(tuple, rows), key=str)
+    held = key(lm.score(docs, vocab, net).collect())
+    vocab.held = {w: x for w, x in vocab.held.items() if n[w] > 25}
+    assert key(lm.score(docs, vocab, net).collect()) == held
+    vocab.held = {}
+    assert key(lm.score(docs, vocab, net).collect()) == held
+    few = lm.vocabulary(docs, lm.Params(top=5, classes=3, held=20))[0].held
+    assert few and all(n[w] * 20 >= sum(n.values()) for w in few) and len(few) <= 20
