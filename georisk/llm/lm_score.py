@@ -63,7 +63,7 @@ class Params:
     mask_every: int = 1
     batch: int = 512
     rate: float = 0.1
-    held: int = 100_000
+    held: int = 1 << 18
     seed: int = 3
 
     @property
@@ -199,7 +199,7 @@ class Network:
     def train(self, ids: np.ndarray, at: np.ndarray, memory: list[np.ndarray]) -> None:
         """Adagrad steps over masked positions; ``memory`` has the summed squared gradients."""
         p = self.params
-        de = np.empty((2 * p.reach * p.size, p.hidden), np.float32)
+        cells = np.arange(self.e.size).reshape(-1, p.hidden)
 
         def slopes(h, table, own, steep, n):  # at the inputs and the table
             _, z, total = self.exps(h, table, own, steep)
@@ -220,12 +220,13 @@ class Network:
                 dx, du[:, outputs] = slopes(h[mine], self.u[:, outputs], own[mine] - first, steep, n)
                 dh[mine] += dx
             dh *= 1 - h[:, :-1] ** 2
-            each, flat = np.repeat(dh.T.astype(np.float64), rows.shape[1], axis=1), rows.ravel()
-            for k, x in enumerate(each):
-                de[:, k] = np.bincount(flat, x, len(de))
+            slopes_of_rows = np.repeat(dh.astype(np.float64), rows.shape[1], axis=0).ravel()
+            de = np.bincount(cells.take(rows.ravel(), axis=0).ravel(), slopes_of_rows, self.e.size).astype(np.float32)
             for x, g, m in zip(self.parts(), (de.reshape(self.e.shape), dh.sum(axis=0), du, dv), memory):
                 m += g * g
-                x -= p.rate * g / np.sqrt(m)
+                g *= p.rate
+                g /= np.sqrt(m)
+                x -= g
 
 
 def padded(texts: list[np.ndarray], reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -335,7 +336,7 @@ def score(docs: DataFrame, vocab: Vocabulary, net: Network) -> DataFrame:
 
     def run(batches):
         vocab, net = shared.value
-        known, held, log_totals = vocab.number, vocab.held, vocab.log_totals()
+        held, log_totals = vocab.held | dict.fromkeys(vocab.number, 0), vocab.log_totals()
         for b in batches:
             split = [space_words(t.as_py(), lower=True) for t in b.column(1)]
             start = 0
@@ -352,9 +353,9 @@ def score(docs: DataFrame, vocab: Vocabulary, net: Network) -> DataFrame:
                 words, times, row = [b" %d" % k.as_py() for k in b.column(2)[start:end]], [0] * len(texts), list(range(len(texts)))
                 logs = []
                 for i, w in enumerate(split[start:end]):
-                    rare = {x: n for x, n in Counter(w).items() if x not in known}
-                    logs.append(sum([n * held[x] for x, n in rare.items() if x in held]))
-                    rare = {x: n for x, n in rare.items() if x not in held}
+                    times_of = Counter(w)
+                    logs.append(sum([n * held[x] for x, n in times_of.items() if x in held]))
+                    rare = {x: n for x, n in times_of.items() if x not in held}
                     words += rare
                     times += rare.values()
                     row += [i] * len(rare)
