@@ -180,7 +180,8 @@ def stratified_split(df: DataFrame, target: str, test_size: float = 0.2, seed: i
     bnd = hist.join(quotas, target) \
         .filter((F.col("_start") < F.col("k_test")) & (F.col("_start") + F.col("_cnt") >= F.col("k_test"))) \
         .select(target, F.col("_b").alias("_bb"), F.col("_start").alias("_bstart"))
-    cls = quotas.join(bnd, target, "left").select(target, "k_test", "_bb", "_bstart")  # one row per class
+    # one row per class, stored: its size is known when the join is planned, so the table itself is not shuffled by class
+    cls = cut_lineage(quotas.join(bnd, target, "left").select(target, "k_test", "_bb", "_bstart"), "split_classes")
     rows = hashed.join(cls, target)
     outer = rows.filter(F.col("_bb").isNull() | (F.col("_b") != F.col("_bb"))).select(
         *cols, F.when(F.col("_bb").isNotNull() & (F.col("_b") < F.col("_bb")), "test").otherwise("train")

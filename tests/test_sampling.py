@@ -48,6 +48,21 @@ def test_stratified_split_exact_quotas(spark):
     assert out.count() == 1003
 
 
+def test_stratified_split_leaves_the_table_where_it_is(spark):
+    """A few classes must not be the keys that the whole table is shuffled and sorted by."""
+    df = spark.range(30000).selectExpr("id", "CAST(id % 3 AS INT) AS cls", "repeat('x', 40) AS filler")
+    key, was = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "20000")   # less than the histogram, more than the classes
+    try:
+        out = sampling.stratified_split(df, "cls", 0.2, 42, hash_cols=["id"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+        assert {(r["cls"], r["split"]): r["count"] for r in out.groupBy("cls", "split").count().collect()} == {
+            (c, s): n for c in range(3) for s, n in (("test", 2000), ("train", 8000))}
+    finally:
+        spark.conf.set(key, was)
+
+
 def test_stratified_split_with_copies(spark):
     # one repeated row holds a third of the data: it is split by multiplicity, not dropped
     rows = [(0, "A")] * 400 + [(i, "A") for i in range(1, 801)]
