@@ -230,11 +230,12 @@ def train(spark: SparkSession, gold_df: DataFrame, out_dir: str | None = None, l
     JSON in its metadata.
     """
     from ..operators import evaluate as ev
-    from ..operators import model, tuning
+    from ..operators import model, tables, tuning
     rows = model.with_class_weights(model.with_raw_label(gold_df.filter(F.col("split") == "train")).drop("split"), "target")
     keys = ["target", "src_id"] if "src_id" in rows.columns else None
-    train_df = cut_lineage(tuning.with_validation(rows, validation_share, hash_cols=keys), "train_rows")
-    test_df = model.with_raw_label(gold_df.filter(F.col("split") == "test"))
+    # each fit goes over the rows hundreds of times: files of like size, else its tasks wait for the largest
+    train_df = tables.evenly_stored(tuning.with_validation(rows, validation_share, hash_cols=keys), "train_rows")
+    test_df = tables.evenly_stored(model.with_raw_label(gold_df.filter(F.col("split") == "test")), "test_rows")
     sw = train_df.agg(F.sum("weight")).first()[0]
     build = {
         "LogisticRegression": lambda p: model.logistic_pipeline(C=0.5, sum_weights=sw, encode=True,
@@ -251,7 +252,7 @@ def train(spark: SparkSession, gold_df: DataFrame, out_dir: str | None = None, l
     def fit(name):
         if name == "MLP":
             held = train_df.filter("is_validation")
-            over = cut_lineage(model.oversample(train_df.filter("NOT is_validation")), "oversampled")
+            over = tables.evenly_stored(model.oversample(train_df.filter("NOT is_validation")), "oversampled")
             return model.fit_mlp(over, max_iter=perceptron_iterations, encode=True, validation=held)
         params = {}
         if tune_trials:

@@ -73,3 +73,13 @@ def test_bronze_job_from_csv_equals_direct(spark):
     direct = ingest.parse_accidents(carac, B.usagers_raw(spark, SF_SMALL))
     assert sorted(tuple(r) for r in out.collect()) == sorted(tuple(r) for r in direct.collect())
     assert counts["caracteristiques"] == carac.count() and counts["accidents_nc"] == direct.count()
+
+
+def test_rows_read_many_times_are_stored_in_even_files(spark):
+    """Nine tenths of the rows in one part: the files are even, every row is there with its copies."""
+    rows = spark.range(0, 9000, 1, 1).unionByName(spark.range(9000, 10000, 1, 4)).selectExpr("id % 4999 AS k", "'x' AS v")
+    got = tables.evenly_stored(rows, "even", rows_per_file=1000)
+    sizes = [r["count"] for r in got.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 10 and max(sizes) <= 1100
+    assert got.exceptAll(rows).count() == 0 and rows.exceptAll(got).count() == 0
+    assert tables.evenly_stored(rows.filter("false"), "even").count() == 0
