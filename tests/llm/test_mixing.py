@@ -174,3 +174,38 @@ def test_long_periods_and_repeated_ones_place_every_row(spark):
         got = mixing.mix(docs, weights, mixing.Params(block=2)).collect()
         assert sorted(r["doc_id"] for r in got) == list(range(900))
         assert sorted({r["mix_slot"] for r in got}) == list(range(450)) and len({r["mix_position"] for r in got}) == 900
+
+
+def slots_of(plan):
+    """(source, block, slot) of phases that are laid out as a whole or repeat their period."""
+    return {(s, ph["first"][s] + k + n * ph["units"][s], ph["start"] + t + n * ph["period"])
+            for ph in plan for s, x in ph["slots"].items()
+            for n in range(-(-sum(ph["taken"].values()) // ph["period"]) if ph["repeats"] else 1)
+            for k, t in enumerate(x) if k + n * ph["units"][s] < ph["taken"][s]}
+
+
+@pytest.mark.parametrize("blocks", [{"a": 900, "b": 900, "c": 300}, {"a": 400, "b": 700, "c": 5}])
+def test_legs_give_the_slots_of_one_layout(spark, blocks):
+    """Blocks done at the start of a leg are enough to go on; periods longer and shorter than a leg."""
+    for weights in ({"a": 0.37, "b": 1 / 3, "c": 0.1234}, {"a": 200, "b": 131, "c": 70}):
+        units = mixing.weight_units(blocks, weights, mixing.Params())
+        whole = slots_of(mixing.phases(blocks, units))
+        plan = mixing.phases(blocks, units, leg=64)
+        assert max(len(ph["legs"]) for ph in plan) > 3 and not any(ph["slots"] for ph in plan if ph["period"] > 64)
+        legs = {tuple(r) for r in mixing._laid_out(spark, plan, 64).select("s", "block", "slot").collect()}
+        assert legs | slots_of([ph for ph in plan if ph["repeats"]]) == whole and len(whole) == sum(blocks.values())
+
+
+def test_blocks_and_joint_sources_do_not_depend_on_the_size(spark):
+    """The same shares in a table of one and of five times the rows: blocks of one size, the same sources by themselves."""
+    assert mixing.Params().max_slots is None and mixing.Params().max_sources is None
+    p = mixing.Params(block=2, alpha=1.0, least_share=0.1, leg=16)
+    for times in (1, 5):  # shares 0.4, 0.3, 0.1 and four of 0.05
+        docs = spark.range(100 * times).selectExpr("id AS doc_id", "element_at(array('a', 'a', 'a', 'a', 'a', 'a', 'a', 'a', 'b', 'b', "
+                                                   "'b', 'b', 'b', 'b', 'c', 'c', 's1', 's2', 's3', 's4'), CAST(id % 20 + 1 AS INT)) AS source")
+        _, counts, _ = mixing._places(docs, None, p, "doc_id", "source")
+        assert counts == {"=a": 40 * times, "=b": 30 * times, "=c": 10 * times, "rest": 20 * times}
+        got = mixing.mix(docs, p=p).collect()
+        assert sorted(r["doc_id"] for r in got) == list(range(100 * times))
+        assert max(Counter(r["mix_slot"] for r in got).values()) == 2
+        assert sorted({r["mix_slot"] for r in got}) == list(range(len({r["mix_slot"] for r in got})))
