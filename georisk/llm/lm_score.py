@@ -145,7 +145,7 @@ class Network:
     def rows(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Rows of all input tables as one; ``ids`` has ``reach`` zeros around every text, ``at`` are positions inside."""
         p = self.params
-        return ids[at[:, None] + np.array(self.offsets())] + np.arange(2 * p.reach) * p.size
+        return ids.take(at[:, None] + np.array(self.offsets())) + np.arange(2 * p.reach) * p.size
 
     def hidden(self, rows: np.ndarray) -> np.ndarray:
         """Units of each position and a last one that is always 1, for the outputs' bias."""
@@ -160,9 +160,9 @@ class Network:
 
     def by_group(self, own: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice, slice]]]:
         """Order that brings tokens of a group together; first output, tokens and outputs of each group that has any."""
-        width, group = self.params.width, own // self.params.width
+        width, group = self.params.width, (own // self.params.width).astype(np.int16)  # 16 bits are sorted by radix
         order = np.argsort(group, kind="stable")
-        ends = np.searchsorted(group[order], np.arange(self.params.groups + 1)).tolist()
+        ends = [0, *np.bincount(group, minlength=self.params.groups).cumsum().tolist()]
         return order, [(g * width, slice(a, z), slice(g * width, (g + 1) * width))
                        for g, (a, z) in enumerate(zip(ends, ends[1:])) if a < z]
 
@@ -199,11 +199,17 @@ class Network:
     def train(self, ids: np.ndarray, at: np.ndarray, memory: list[np.ndarray]) -> None:
         """Adagrad steps over masked positions; ``memory`` has the summed squared gradients."""
         p = self.params
-        cells = np.arange(self.e.size).reshape(-1, p.hidden)
+        cells = np.arange(p.size * p.hidden).reshape(-1, p.hidden)  # of one input table
+        count = np.arange(p.batch)
+        de = np.empty_like(self.e)
 
         def slopes(h, table, own, steep, n):  # at the inputs and the table
-            _, z, total = self.exps(h, table, own, steep)
-            z[np.arange(len(own)), own] -= total
+            z = h @ table
+            if steep:
+                z -= z.max(axis=1, keepdims=True)
+            np.exp(z, out=z)
+            total = np.add.reduce(z, axis=1)
+            z.reshape(-1)[count[:len(own)] * z.shape[1] + own] -= total
             z /= (n * total)[:, None]
             return z @ table[:-1].T, h.T @ z
 
@@ -220,9 +226,10 @@ class Network:
                 dx, du[:, outputs] = slopes(h[mine], self.u[:, outputs], own[mine] - first, steep, n)
                 dh[mine] += dx
             dh *= 1 - h[:, :-1] ** 2
-            slopes_of_rows = np.repeat(dh.astype(np.float64), rows.shape[1], axis=0).ravel()
-            de = np.bincount(cells.take(rows.ravel(), axis=0).ravel(), slopes_of_rows, self.e.size).astype(np.float32)
-            for x, g, m in zip(self.parts(), (de.reshape(self.e.shape), dh.sum(axis=0), du, dv), memory):
+            each = dh.astype(np.float64).ravel()
+            for k in range(len(de)):  # every table's own rows
+                de[k].reshape(-1)[:] = np.bincount(cells.take(rows[:, k] - k * p.size, axis=0).ravel(), each, cells.size)
+            for x, g, m in zip(self.parts(), (de, dh.sum(axis=0), du, dv), memory):
                 m += g * g
                 g *= p.rate
                 g /= np.sqrt(m)
