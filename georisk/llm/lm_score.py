@@ -33,18 +33,21 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, cut_lineage, space_words
+from .common import Shared, cut_lineage
 
 SCALE = 1 << 20
-FLUSH = 300_000
+FLUSH = 2_000_000  # words counted at once
+PIECE = 8 << 20  # bytes of text split at once
+AHEAD = 64  # training steps whose tokens are sorted at once
 
 
 @dataclass(frozen=True)
@@ -103,9 +106,38 @@ class Vocabulary:
         out[:1 + self.p.top] = 0
         return out
 
+    def known(self, held: bool = True) -> Known:
+        """The frequent words and, if ``held``, those whose count the tasks hold."""
+        words = pa.array(list(self.number | self.held) if held else list(self.number), pa.binary())
+        logs = [0 if w.as_py() in self.number else self.held[w.as_py()] for w in words]
+        numbers = np.append(self.classes(words), 0)
+        numbers[:len(self.number)] = list(self.number.values())
+        return Known(words, numbers, np.array([*logs, 0], np.int64), self.classes)
+
+    def classes(self, words: pa.Array) -> np.ndarray:
+        crcs = np.fromiter(map(zlib.crc32, words.to_numpy(zero_copy_only=False)), np.int64, len(words))
+        return (1 + self.p.top + crcs % self.p.classes).astype(np.int32)
+
     def ids(self, words: list[bytes]) -> np.ndarray:
-        get, crc, first, n = self.number.get, zlib.crc32, 1 + self.p.top, self.p.classes
-        return np.fromiter((get(w) or first + crc(w) % n for w in words), np.int32, len(words))
+        return self.known(held=False).ids(pa.array(words, pa.binary()))[0]
+
+
+@dataclass
+class Known:
+    """Words that tasks look up at once, number and fixed-point log n of each and, last, 0 for all others; classes of those."""
+
+    words: pa.Array
+    numbers: np.ndarray
+    logs: np.ndarray
+    classes: Callable[[pa.Array], np.ndarray]
+
+    def ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of each word, its place among the known ones or -1, positions of the others."""
+        place = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy()
+        others = np.flatnonzero(place < 0)
+        ids = self.numbers[place]
+        ids[others] = self.classes(words.take(pa.array(others)))
+        return ids, place, others
 
 
 @dataclass
@@ -131,30 +163,32 @@ class Network:
     def flat(self) -> np.ndarray:
         return np.concatenate([x.ravel() for x in self.parts()])
 
-    def filled(self, values: np.ndarray) -> Network:
+    def views(self, values: np.ndarray) -> list[np.ndarray]:
+        """The parts of a flat vector."""
         out, at = [], 0
         for x in self.parts():
-            out.append(values[at:at + x.size].reshape(x.shape).astype(np.float32))
+            out.append(values[at:at + x.size].reshape(x.shape))
             at += x.size
-        return Network(self.params, *out)
+        return out
+
+    def filled(self, values: np.ndarray) -> Network:
+        return Network(self.params, *[x.astype(np.float32) for x in self.views(values)])
 
     def offsets(self) -> list[int]:
         r = self.params.reach
         return [o for o in range(-r, r + 1) if o]
 
-    def rows(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Rows of all input tables as one; ``ids`` has ``reach`` zeros around every text, ``at`` are positions inside."""
-        p = self.params
-        return ids.take(at[:, None] + np.array(self.offsets())) + np.arange(2 * p.reach) * p.size
+    def around(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Neighbours of each position, a row per input table; ``ids`` has ``reach`` zeros around every text."""
+        return ids.take(at + np.array(self.offsets())[:, None])
 
-    def hidden(self, rows: np.ndarray) -> np.ndarray:
+    def hidden(self, around: np.ndarray) -> np.ndarray:
         """Units of each position and a last one that is always 1, for the outputs' bias."""
-        table = self.e.reshape(-1, self.params.hidden)
-        total = table.take(rows[:, 0], axis=0)
-        for k in range(1, rows.shape[1]):
-            total += table.take(rows[:, k], axis=0)
+        total = self.e[0].take(around[0], axis=0)
+        for table, row in zip(self.e[1:], around[1:]):
+            total += table.take(row, axis=0)
         total += self.b
-        h = np.ones((len(rows), self.params.hidden + 1), np.float32)
+        h = np.ones((len(total), self.params.hidden + 1), np.float32)
         np.tanh(total, out=h[:, :-1])
         return h
 
@@ -166,6 +200,23 @@ class Network:
         return order, [(g * width, slice(a, z), slice(g * width, (g + 1) * width))
                        for g, (a, z) in enumerate(zip(ends, ends[1:])) if a < z]
 
+    def steps(self, own: np.ndarray) -> tuple[np.ndarray, list[list[int]], np.ndarray, np.ndarray]:
+        """The same for the steps of a training run at once.
+
+        Order that brings tokens of a group together inside each step; ends of the groups of each step; then, in that order, where
+        a token's own group is in its step's flat table of tokens and groups, and its own output in its group's.
+        """
+        p, n = self.params, len(own)
+        group, step = own // p.width, np.arange(n) // p.batch
+        small = np.int16 if AHEAD * p.groups < 1 << 15 else np.int64  # 16 bits are sorted by radix
+        order = np.argsort((step * p.groups + group).astype(small), kind="stable")
+        own, group, inside = own[order], group[order], np.arange(n) - step * p.batch
+        counts = np.bincount(step * p.groups + group, minlength=-(-n // p.batch) * p.groups).reshape(-1, p.groups)
+        ends = np.hstack([np.zeros((len(counts), 1), np.int64), counts.cumsum(axis=1)])
+        first = group * p.width
+        width = np.minimum(p.width, p.size - first)
+        return order, ends.tolist(), inside * p.groups + group, (inside - ends[step, group]) * width + own - first
+
     def steep(self, limit: float = 80) -> bool:
         """Whether exp of an output could overflow."""
         return max(float(np.abs(x).sum(axis=0).max()) for x in (self.u, self.v)) > limit
@@ -187,7 +238,7 @@ class Network:
         for s in range(0, len(at), step):
             order, groups = self.by_group(ids[at[s:s + step]])
             part = at[s:s + step][order]
-            own, h = ids[part], self.hidden(self.rows(ids, part))
+            own, h = ids[part], self.hidden(self.around(ids, part))
             logit, _, total = self.exps(h, self.v, own // self.params.width, steep)
             found = logit - np.log(total)
             for first, mine, outputs in groups:
@@ -199,69 +250,107 @@ class Network:
     def train(self, ids: np.ndarray, at: np.ndarray, memory: list[np.ndarray]) -> None:
         """Adagrad steps over masked positions; ``memory`` has the summed squared gradients."""
         p = self.params
+        # parameters, gradients and memory are one vector each; the parts are views of it
+        x, m = self.flat(), np.concatenate([part.ravel() for part in memory])
+        self.e, self.b, self.u, self.v = self.views(x)
+        g = np.zeros_like(x)
+        de, db, du, dv = self.views(g)
+        de = de.reshape(len(de), -1)
         cells = np.arange(p.size * p.hidden).reshape(-1, p.hidden)  # of one input table
-        count = np.arange(p.batch)
-        de = np.empty_like(self.e)
+        outputs = [slice(first, first + p.width) for first in range(0, p.size, p.width)]
 
-        def slopes(h, table, own, steep, n):  # at the inputs and the table
+        def slopes(h, table, own, steep, n, out):  # at the inputs and, to out, the table
             z = h @ table
             if steep:
                 z -= z.max(axis=1, keepdims=True)
             np.exp(z, out=z)
             total = np.add.reduce(z, axis=1)
-            z.reshape(-1)[count[:len(own)] * z.shape[1] + own] -= total
+            z.reshape(-1)[own] -= total
             z /= (n * total)[:, None]
-            return z @ table[:-1].T, h.T @ z
-
-        for s in range(0, len(at), p.batch):
-            order, groups = self.by_group(ids[at[s:s + p.batch]])
-            part = at[s:s + p.batch][order]
-            if s % (8 * p.batch) == 0:  # a step moves a parameter by at most p.rate
-                steep = self.steep(80 - 8 * p.rate * len(self.u))
-            n, own, rows = len(part), ids[part], self.rows(ids, part)
-            h = self.hidden(rows)
-            dh, dv = slopes(h, self.v, own // p.width, steep, n)
-            du = np.zeros_like(self.u)
-            for first, mine, outputs in groups:
-                dx, du[:, outputs] = slopes(h[mine], self.u[:, outputs], own[mine] - first, steep, n)
-                dh[mine] += dx
-            dh *= 1 - h[:, :-1] ** 2
-            each = dh.astype(np.float64).ravel()
-            for k in range(len(de)):  # every table's own rows
-                de[k].reshape(-1)[:] = np.bincount(cells.take(rows[:, k] - k * p.size, axis=0).ravel(), each, cells.size)
-            for x, g, m in zip(self.parts(), (de, dh.sum(axis=0), du, dv), memory):
+            np.matmul(h.T, z, out=out)
+            return z @ table[:-1].T
+
+        for s in range(0, len(at), AHEAD * p.batch):
+            some = at[s:s + AHEAD * p.batch]
+            order, ends, own_group, own = self.steps(ids[some])
+            some = some[order]
+            around = self.around(ids, some)
+            for k in range(len(ends)):
+                if k % 8 == 0:  # a step moves a parameter by at most p.rate
+                    steep = self.steep(80 - 8 * p.rate * len(self.u))
+                a, z = k * p.batch, min((k + 1) * p.batch, len(some))
+                near, n = around[:, a:z], z - a
+                h = self.hidden(near)
+                dh = slopes(h, self.v, own_group[a:z], steep, n, dv)
+                du[:] = 0
+                for mine, first, last in zip(outputs, ends[k], ends[k][1:]):
+                    if first < last:
+                        dh[first:last] += slopes(h[first:last], self.u[:, mine], own[a + first:a + last], steep, n, du[:, mine])
+                dh *= 1 - h[:, :-1] ** 2
+                np.add.reduce(dh, axis=0, out=db)
+                each = dh.astype(np.float64).ravel()
+                for table, row in zip(de, near):  # every table's own rows
+                    table[:] = np.bincount(cells.take(row, axis=0).ravel(), each, cells.size)
                 m += g * g
                 g *= p.rate
                 g /= np.sqrt(m)
                 x -= g
+        for old, new in zip(memory, self.views(m)):
+            old[:] = new
 
 
-def padded(texts: list[np.ndarray], reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def spread(tokens: np.ndarray, sizes: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All texts in one array with ``reach`` zeros around each; the positions of tokens; their text's number."""
-    sizes = np.array([len(t) for t in texts], np.int64)
     starts = np.concatenate([[0], np.cumsum(sizes + reach)])[:-1] + reach
     ids = np.zeros(int((sizes + reach).sum()) + reach, np.int32)
     at = np.repeat(starts - np.concatenate([[0], np.cumsum(sizes)])[:-1], sizes) + np.arange(int(sizes.sum()))
-    if len(at):
-        ids[at] = np.concatenate(texts)
-    return ids, at, np.repeat(np.arange(len(texts)), sizes)
+    ids[at] = tokens
+    return ids, at, np.repeat(np.arange(len(sizes)), sizes)
+
+
+def padded(texts: list[np.ndarray], reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return spread(np.concatenate([np.empty(0, np.int32), *texts]), np.array([len(t) for t in texts], np.int64), reach)
+
+
+def runs(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """First and end of the texts that are together at most so large; a larger one is alone."""
+    ends, start = np.concatenate([[0], np.cumsum(sizes)]), 0
+    while start < len(sizes):
+        end = max(start + 1, int(np.searchsorted(ends, ends[start] + most, side="right")) - 1)
+        yield start, end
+        start = end
+
+
+def pieces(texts: pa.Array) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+    """A few texts at a time: number of the first, words of all of them and how many each text has.
+
+    Words are those of ``space_words``, lower-cased: Arrow's ASCII kernels know the same six white space characters.
+    """
+    for start, end in runs(pc.binary_length(texts).fill_null(0).to_numpy().astype(np.int64), PIECE):
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts[start:end].fill_null("")))
+        words, sizes = split.flatten(), pc.list_value_length(split).to_numpy().astype(np.int64)
+        full = pc.binary_length(words).to_numpy() > 0  # white space at the ends of a text leaves empty words
+        if not full.all():
+            sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[full], minlength=len(sizes))
+            words = words.filter(pa.array(full))
+        yield start, words.cast(pa.binary()), sizes
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """``(word, n)`` over all documents; A-Z lower-cased, words as UTF-8 binary."""
     def run(batches):
-        counts: Counter = Counter()
+        some: list[pa.Array] = []
 
         def out():
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())],
-                                             names=["word", "n"])
-            counts.clear()
+            found = pa.chunked_array(some, pa.binary()).value_counts()
+            some.clear()
+            return pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], names=["word", "n"])
         for b in batches:
-            for t in b.column(0):
-                counts.update(space_words(t.as_py(), lower=True))
-                if len(counts) > FLUSH:
-                    yield from out()
-        yield from out()
+            for _, words, _ in pieces(b.column(0)):
+                some.append(words)
+                if sum(map(len, some)) > FLUSH:
+                    yield out()
+        yield out()
 
     return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -297,10 +386,12 @@ def _trained(docs: DataFrame, vocab: Vocabulary, net: Network, turn: int) -> Net
         vocab, start = shared.value
         mine = start.filled(start.flat())
         memory = [np.full_like(x, 1e-2) for x in mine.parts()]
-        seen = 0
+        seen, known = 0, vocab.known()
         for b in batches:
-            texts = [vocab.ids(space_words(t.as_py(), lower=True)) for t in b.column(0)]
-            ids, at, _ = padded(texts, p.reach)
+            found = [(known.ids(words)[0], sizes) for _, words, sizes in pieces(b.column(0))]
+            if not found:
+                continue
+            ids, at, _ = spread(*map(np.concatenate, zip(*found)), p.reach)
             at = at[(at + turn) % p.mask_every == 0]
             mine.train(ids, np.random.default_rng(p.seed).permutation(at), memory)
             seen += len(at)
@@ -343,37 +434,38 @@ def score(docs: DataFrame, vocab: Vocabulary, net: Network) -> DataFrame:
 
     def run(batches):
         vocab, net = shared.value
-        held, log_totals = vocab.held | dict.fromkeys(vocab.number, 0), vocab.log_totals()
+        known, log_totals = vocab.known(), vocab.log_totals()
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
+        names = ["doc_id", "text_hash", "word", "times", "n_tokens", "log_likelihood", "log_totals", "held_log_n"]
+
+        def rows(of, word, times, *values):  # of the texts numbered ``of``
+            values = values or [pa.nulls(len(of), k) for k in kinds[4:]]
+            return pa.RecordBatch.from_arrays([b.column(0).take(of), b.column(2).take(of), word, *[
+                x if isinstance(x, pa.Array) else pa.array(x, k) for x, k in zip((times, *values), kinds[3:])]], names=names)
         for b in batches:
-            split = [space_words(t.as_py(), lower=True) for t in b.column(1)]
-            start = 0
-            while start < len(split):  # a few texts at a time; a very long one alone
-                end, size = start, 0
-                while end < len(split) and (end == start or size + len(split[end]) <= 200_000):
-                    size += len(split[end])
-                    end += 1
-                texts = [vocab.ids(w) for w in split[start:end]]
-                ids, at, text = padded(texts, net.params.reach)
-                total = np.bincount(text, net.log_probs(ids, at), end - start).astype(float)  # no token: integers
-                minus = np.bincount(text, log_totals[ids[at]], end - start).astype(float)
-                # a row per text, whose word matches none, and a row per rare word of a text
-                words, times, row = [b" %d" % k.as_py() for k in b.column(2)[start:end]], [0] * len(texts), list(range(len(texts)))
-                logs = []
-                for i, w in enumerate(split[start:end]):
-                    times_of = Counter(w)
-                    logs.append(sum([n * held[x] for x, n in times_of.items() if x in held]))
-                    rare = {x: n for x, n in times_of.items() if x not in held}
-                    words += rare
-                    times += rare.values()
-                    row += [i] * len(rare)
-                at, n, head = pa.array(row, pa.int64()), len(row) - len(texts), pa.array([len(t) for t in texts], pa.int64())
-                of_text = [pa.concat_arrays([x, pa.nulls(n, x.type)])
-                           for x in (head, pa.array(total), pa.array(minus), pa.array(logs, pa.int64()))]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0)[start:end].take(at), b.column(2)[start:end].take(at), pa.array(words, pa.binary()),
-                     pa.array(times, pa.int64()), *of_text],
-                    names=["doc_id", "text_hash", "word", "times", "n_tokens", "log_likelihood", "log_totals", "held_log_n"])
-                start = end
+            found = []
+            for start, words, sizes in pieces(b.column(1)):
+                tokens, place, others = known.ids(words)
+                log_n = np.concatenate([[0], known.logs[place].cumsum()])[np.concatenate([[0], sizes.cumsum()])]
+                found.append((tokens, sizes, np.diff(log_n)))
+                # a row per rare word of a text
+                rare, text = words.take(pa.array(others)).dictionary_encode(), np.repeat(np.arange(len(sizes)), sizes)[others]
+                pairs, times = np.unique(text * len(rare.dictionary) + rare.indices.to_numpy(), return_counts=True)
+                of, word = np.divmod(pairs, max(len(rare.dictionary), 1))
+                yield rows(pa.array(start + of), rare.dictionary.take(pa.array(word)), times)
+            if not found:
+                continue
+            # and a row per text, whose word matches none
+            tokens, sizes, held = map(np.concatenate, zip(*found))
+            ids, at, text = spread(tokens, sizes, net.params.reach)
+            total, minus = np.zeros((2, len(sizes)))
+            ends = np.concatenate([[0], sizes.cumsum()])
+            for first, end in runs(sizes, 200_000):
+                some = slice(ends[first], ends[end])
+                total[first:end] = np.bincount(text[some] - first, net.log_probs(ids, at[some]), end - first)
+                minus[first:end] = np.bincount(text[some] - first, log_totals[tokens[some]], end - first)
+            heads = pa.array([b" %d" % k for k in b.column(2).to_numpy()], pa.binary())
+            yield rows(pa.array(np.arange(len(sizes))), heads, np.zeros(len(sizes), np.int64), sizes, total, minus, held)
 
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
         run, "doc_id long, text_hash long, word binary, times long, n_tokens long, log_likelihood double, log_totals double, "

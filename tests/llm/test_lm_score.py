@@ -1,8 +1,10 @@
 import math
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from georisk.llm import catalog, lm_score as lm
@@ -195,3 +197,53 @@ def test_counts_held_by_tasks_and_joined_ones_give_the_same_scores(spark):
     assert key(lm.score(docs, vocab, net).collect()) == held
     few = lm.vocabulary(docs, lm.Params(top=5, classes=3, held=40))[0].held
     assert few and all(n[w] * 40 >= sum(n.values()) for w in few) and len(few) <= 40
+
+
+def test_words_of_pieces_are_those_of_space_words(monkeypatch):
+    rng = random.Random(6)
+    marks = [" ", "  ", *"\t\n\x0b\x0c\r\x00\x1c\x1f\x7f\x85\xa0", "a", "Bc", "É", "𝔘x"]
+    texts = ["".join(rng.choices(marks, k=rng.randint(0, 12))) for _ in range(300)] + [None, "", " ", "A " * 200]
+    for size in (1, 50, 1 << 20):
+        monkeypatch.setattr(lm, "PIECE", size)
+        got, first = [], []
+        for start, words, sizes in lm.pieces(pa.array([None, "cut", *texts])[2:]):
+            ends = [0, *sizes.cumsum().tolist()]
+            assert start == len(got) and ends[-1] == len(words)
+            got += [words[a:z].to_pylist() for a, z in zip(ends, ends[1:])]
+            first.append(start)
+        assert got == [space_words(t, lower=True) for t in texts]
+        assert (len(first) == 1) == (size == 1 << 20)
+    assert not [*lm.pieces(pa.array([], pa.string()))]
+
+
+def test_class_is_computed_for_unknown_words_alone():
+    """Words that the tasks hold have their number beside them and cost no call per token."""
+    vocab = lm.Vocabulary([b"a", b"b"], P, np.ones(P.size), None, {b"a": 7, b"held": 9})
+    known, hashed = vocab.known(), []
+    classes, known.classes = known.classes, lambda words: hashed.extend(words.to_pylist()) or classes(words)
+    words = [b"held", b"rare", b"a", b"held", b"b", b"", b"rare"]
+    ids, place, others = known.ids(pa.array(words, pa.binary()))
+    assert hashed == [b"rare", b"", b"rare"] and others.tolist() == [1, 5, 6]
+    assert ids.tolist() == vocab.ids(words).tolist() == [
+        {b"a": 1, b"b": 2}.get(w) or 1 + P.top + zlib.crc32(w) % P.classes for w in words]
+    assert known.logs[place].tolist() == [9, 0, 0, 9, 0, 0, 0]  # frequent words have their number to themselves
+    none = lm.Vocabulary([], P, np.ones(P.size), None, {}).known()
+    assert none.ids(pa.array([b"a"], pa.binary()))[0].tolist() == [1 + P.top + zlib.crc32(b"a") % P.classes]
+
+
+def test_steps_sorted_ahead_are_the_steps_of_one_batch_after_the_other():
+    """Many steps, the last one short and a run of steps cut: one call per batch moves the parameters alike."""
+    p = lm.Params(top=14, classes=6, hidden=3, batch=8)
+    net, rng = net_of(p), np.random.default_rng(8)
+    ids, at, _ = lm.padded([rng.integers(1, p.size, n).astype(np.int32) for n in (700, 0, 503)], p.reach)
+    at = rng.permutation(at)
+    assert len(at) > 2 * lm.AHEAD * p.batch and len(at) % p.batch and p.size % p.width
+    order, ends, own_group, own = net.steps(ids[at[:p.batch * 3 + 5]])
+    assert [e[-1] for e in ends] == [8, 8, 8, 5] and sorted(order.tolist()) == list(range(29))
+    assert (own_group // p.groups).tolist() == [*range(8)] * 3 + [*range(5)]
+    nets, sums = [net.filled(net.flat()) for _ in range(2)], [[np.full_like(x, 1e-2) for x in net.parts()] for _ in range(2)]
+    nets[0].train(ids, at, sums[0])
+    for s in range(0, len(at), p.batch):
+        nets[1].train(ids, at[s:s + p.batch], sums[1])
+    assert np.array_equal(nets[0].flat(), nets[1].flat()) and not np.array_equal(nets[0].flat(), net.flat())
+    assert all(np.array_equal(a, b) for a, b in zip(*sums))
