@@ -78,7 +78,8 @@ def class_weight_table(df: DataFrame, target: str = "target", mode: str = "balan
 
 
 def with_class_weights(df: DataFrame, target: str = "target", mode: str = "balanced") -> DataFrame:
-    return df.join(class_weight_table(df, target, mode), target)
+    # a row per class: rows that are nearly all of one class must not be shuffled by it
+    return df.join(F.broadcast(class_weight_table(df, target, mode)), target)
 
 
 # --------------------------------------------------------------- spark.ml
@@ -151,12 +152,13 @@ def logistic_pipeline(cols=FEATURE_COLUMNS, C: float = 0.5, max_iter: int = 2000
 def tree_pipeline(kind: str = "gbt", cols=FEATURE_COLUMNS, seed: int = 42, encode: bool = False, **params):
     """Boosted trees or a forest.  Boosting with ``validationIndicatorCol`` stops at the best round of that part."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+    from pyspark.ml.classification import GBTClassifier
+
+    from .forest import BinnedForest
     if kind == "gbt":
         est = GBTClassifier(featuresCol="features", labelCol="target", weightCol="weight", seed=seed, **params)
     elif kind == "rf":
-        est = RandomForestClassifier(featuresCol="features", labelCol="target", weightCol="weight", seed=seed,
-                                     **params)
+        est = BinnedForest(featuresCol="features", labelCol="target", weightCol="weight", seed=seed, **params)
     else:
         raise ValueError(kind)
     return Pipeline(stages=[*_front(cols, encode), est])
