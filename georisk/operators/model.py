@@ -288,37 +288,22 @@ def fit_mlp(train: DataFrame, cols=FEATURE_COLUMNS, categorical=("atm", "road_ty
     ``oversample(train)``.  The input layer size is read from the assembled features.
 
     With ``validation`` rows (which must not be in ``train``; they carry
-    ``weight``) training goes on in steps of ``step`` iterations, each from the
-    weights of the one before.  It ends after ``patience`` steps that did not
-    lower the validation loss by ``tolerance``, or at ``max_iter``; the weights
+    ``weight``) the validation loss is taken after every ``step`` iterations.
+    Training ends after ``patience`` steps that did not
+    lower it by ``tolerance``, or at ``max_iter``; the weights
     of the best step are kept.  The losses are left in ``losses`` of the result.
     """
     from pyspark.ml import PipelineModel
     from pyspark.ml.classification import MultilayerPerceptronClassifier
 
-    from ..session import cut_lineage
+    from . import perceptron
     prep_model = mlp_preparation(cols, categorical, encode).fit(train)
     prepared = prep_model.transform(train)
     n_in = prepared.select("features").first()[0].size
     mlp = MultilayerPerceptronClassifier(featuresCol="features", labelCol="target", layers=[n_in, *hidden, 2],
                                          maxIter=max_iter, seed=seed)
-    if validation is None:
-        out = PipelineModel(stages=[*prep_model.stages, mlp.fit(prepared)])
-        out.losses = []
-        return out
-    prepared = cut_lineage(prepared.select("features", "target"), "mlp_rows")
-    held = cut_lineage(prep_model.transform(validation).select("features", "target", "weight"), "mlp_validation")
-    best, least, idle, losses, done = None, float("inf"), 0, [], 0
-    while done < max_iter and idle < patience:
-        now = min(step, max_iter - done)
-        fitted = mlp.setMaxIter(now).fit(prepared)
-        done += now
-        losses.append(validation_loss(held, fitted))
-        if best is None or losses[-1] < least - tolerance:
-            best, least, idle = fitted, losses[-1], 0
-        else:
-            idle += 1
-        mlp = mlp.setInitialWeights(fitted.weights)
+    held = None if validation is None else perceptron.stored_blocks(prep_model.transform(validation), n_in, "weight")
+    best, losses = perceptron.train(mlp, perceptron.stored_blocks(prepared, n_in), held, max_iter, step, patience, tolerance)
     out = PipelineModel(stages=[*prep_model.stages, best])
     out.losses = losses
     return out
