@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from . import tables
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])   # tasks need numpy and pyarrow, not this package
 
@@ -272,13 +273,8 @@ def _grow(rows: DataFrame, arity, n_trees: int, depth: int, bins: int, min_rows:
     bins = max([2, arity.max(), *(c.size + 1 for c, a in zip(cuts, arity) if not a)])
     wide = 2 * int(bins)
     tasks = 2 * spark.sparkContext.defaultParallelism
-    path = scratch_path(spark, "forest_bins")
-    rows.mapInArrow(lambda it: _packed(it, cuts, arity), "block long, x binary, w binary").repartition(tasks).write.parquet(path)
-    own = spark.newSession()          # a task per file, few blocks at a time
-    own.conf.set("spark.sql.files.openCostInBytes", str(1 << 40))
-    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
-    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
-    blocks, counted = own.read.parquet(path), min_rows > 1
+    blocks = tables.stored_blocks(rows.mapInArrow(lambda it: _packed(it, cuts, arity), "block long, x binary, w binary"), "forest_bins", tasks)
+    counted = min_rows > 1
 
     m = width if n_trees == 1 else math.ceil(math.sqrt(width))
     roots, paths, open_ = [None] * n_trees, [[] for _ in range(n_trees)], [[None] for _ in range(n_trees)]

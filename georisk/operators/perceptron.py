@@ -17,17 +17,38 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from . import tables
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])   # tasks need numpy and pyarrow, not this package
 
 BLOCK_ROWS = 4096
+STEP_ROWS = 512              # rows whose layers fit into a core's cache
 MOST_PARTS = 64              # tasks whose sums are added up on the driver; those of more are added by tasks
 CORRECTIONS = 10
 ARMIJO, CURVATURE, LINE_STEPS = 1e-4, 0.9, 20
 
 
 # ------------------------------------------------------------------ blocks
+def columns_packed(x) -> bytes:
+    """The columns of a matrix without loss: those of at most 256 values as a byte per row and the values."""
+    cols = []
+    for col in x.T:
+        values, code = np.unique(col, return_inverse=True) if np.unique(col[:512]).size <= 256 else (col, None)
+        cols.append((values, code.astype(np.uint8)) if values.size <= 256 and code is not None else (np.ascontiguousarray(col), None))
+    return pickle.dumps(cols, protocol=5)
+
+
+def columns_unpacked(data) -> np.ndarray:
+    cols = pickle.loads(data)
+    out = np.empty((len(cols), len(cols[0][0] if cols[0][1] is None else cols[0][1])))
+    for row, (values, code) in zip(out, cols):
+        if code is None:
+            row[:] = values
+        else:
+            values.take(code, out=row, mode="clip")
+    return out.T
+
+
 def _packed(batches, width: int):
     held, n = [], 0
 
@@ -36,7 +57,8 @@ def _packed(batches, width: int):
         x, y, w = (np.concatenate(p) for p in zip(*held))
         for at in range(0, n - n % BLOCK_ROWS or n, BLOCK_ROWS):
             end = min(n, at + BLOCK_ROWS)
-            yield pa.record_batch({k: pa.array([v[at:end].tobytes()], pa.binary()) for k, v in (("x", x), ("y", y), ("w", w))})
+            yield pa.record_batch({k: pa.array([v], pa.binary()) for k, v in (
+                ("x", columns_packed(x[at:end])), ("y", y[at:end].tobytes()), ("w", w[at:end].tobytes()))})
         held, n = ([(x[end:], y[end:], w[end:])], n - end) if end < n else ([], 0)
 
     for b in batches:
@@ -53,17 +75,10 @@ def _packed(batches, width: int):
 
 
 def stored_blocks(prepared: DataFrame, width: int, weight: str | None = None) -> DataFrame:
-    """``features``, ``target`` and the weight (1 without) in blocks, a file and a task for each share of them."""
-    spark = prepared.sparkSession
+    """``features``, ``target`` and the weight (1 without) in blocks."""
     rows = prepared.select(vector_to_array("features").alias("x"), F.col("target").cast("double").alias("y"),
                            (F.col(weight) if weight else F.lit(1.0)).cast("double").alias("w"))
-    path = scratch_path(spark, "perceptron_blocks")
-    rows.mapInArrow(lambda it: _packed(it, width), "x binary, y binary, w binary") \
-        .repartition(2 * spark.sparkContext.defaultParallelism).write.parquet(path)
-    own = spark.newSession()          # a task per file, few blocks at a time
-    own.conf.set("spark.sql.files.openCostInBytes", str(1 << 40))
-    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
-    return own.read.parquet(path)
+    return tables.stored_blocks(rows.mapInArrow(lambda it: _packed(it, width), "x binary, y binary, w binary"), "perceptron_blocks")
 
 
 # ------------------------------------------------------------------ one pass
@@ -114,10 +129,14 @@ def _pass(batches, state, sizes, slope: bool):
     weights, loss, grad, n = pickle.loads(state.value), 0.0, 0.0, 0.0
     for b in batches:
         for xs, ys, ws in zip(*(b.column(k) for k in range(3))):
-            y, w = np.frombuffer(ys.as_buffer(), np.uint8), np.frombuffer(ws.as_buffer(), float)
-            more, g = block_loss(weights, sizes, np.frombuffer(xs.as_buffer(), float).reshape(y.size, -1), y, w, slope)
-            loss, n = loss + more, n + float(w.sum())
-            grad = grad + g if slope else 0.0
+            x, y, w = columns_unpacked(xs.as_buffer()), np.frombuffer(ys.as_buffer(), np.uint8), np.frombuffer(ws.as_buffer(), float)
+            n += float(w.sum())
+            for at in range(0, y.size, STEP_ROWS):
+                own = slice(at, at + STEP_ROWS)
+                more, g = block_loss(weights, sizes, x[own], y[own], w[own], slope)
+                loss += more
+                if slope:
+                    grad = grad + g
     yield _part(TaskContext.get().partitionId(), loss, n, grad)
 
 

@@ -7,7 +7,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_path
 from .ordering import dense_index
 from .versions import Store
 
@@ -41,6 +41,24 @@ def evenly_stored(df: DataFrame, name: str, rows_per_file: int = 25_000) -> Data
     return cut_lineage(stored.repartition(max(1, -(-stored.count() // rows_per_file))), f"{name}_even")
 
 
+def stored_blocks(blocks: DataFrame, name: str, tasks: int | None = None) -> DataFrame:
+    """Rows that hold up to a megabyte or so of packed bytes each, for kernels that go over them many times.
+
+    They are dealt evenly over files of small row groups, and read by a task per file, a few rows at a time, so that no
+    task holds more than that however large its file is.  The reading settings are those of a session of its own.
+    """
+    spark = blocks.sparkSession
+    path = scratch_path(spark, name)
+    blocks.repartition(tasks or 2 * spark.sparkContext.defaultParallelism).write \
+        .option("parquet.block.size", 8 << 20).option("parquet.page.size.row.check.min", 4).parquet(path)
+    own = spark.newSession()
+    for k, v in {"spark.sql.files.openCostInBytes": 1 << 40, "spark.sql.parquet.columnarReaderBatchSize": 8,
+                 "spark.sql.execution.arrow.maxRecordsPerBatch": 8,
+                 "spark.sql.session.timeZone": spark.conf.get("spark.sql.session.timeZone")}.items():
+        own.conf.set(k, str(v))
+    return own.read.parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -271,14 +271,19 @@ def train(spark: SparkSession, gold_df: DataFrame, out_dir: str | None = None, l
 
     # the candidates are fitted side by side: each is a long row of small jobs that leaves most cores idle
     names = [*build, "MLP"]
+
+    def fit_and_score(name):
+        m = fit(name)
+        # stored once: each metric reads the scored rows, not the model
+        return m, cut_lineage(model.score(test_df, m, out="score").select(F.col("target").alias("label"), "score"), "scored")
+
     with ThreadPoolExecutor(len(names)) as pool:
-        fitted = dict(zip(names, pool.map(inheritable_thread_target(spark)(fit), names)))
+        done = dict(zip(names, pool.map(inheritable_thread_target(spark)(fit_and_score), names)))
+    fitted = {name: m for name, (m, _) in done.items()}
     used = {"GBT": lambda m: m.stages[-1].getNumTrees, "RandomForest": lambda m: m.stages[-1].getNumTrees,
             "LogisticRegression": lambda m: m.stages[-1].summary.totalIterations, "MLP": lambda m: len(m.losses)}
     parts = []
-    for name, m in fitted.items():
-        # stored once: each metric reads the scored rows, not the model
-        scored = cut_lineage(model.score(test_df, m, out="score").select(F.col("target").alias("label"), "score"), "scored")
+    for name, (m, scored) in done.items():
         parts.append(ev.binary_metrics(scored, "label", "score").withColumn("model", F.lit(name))
                      .withColumn("rounds", F.lit(int(used[name](m)))))
     board = cut_lineage(ev.leaderboard(reduce(DataFrame.unionByName, parts)), "leaderboard")

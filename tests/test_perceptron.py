@@ -66,3 +66,12 @@ def test_optimiser_finds_the_minimum():
     assert steps[-1] == pytest.approx([1, 1], abs=1e-4) and len(steps) < 60 and len(calls) < 2 * len(steps)
     values = [rosenbrock(x)[0] for x in steps]
     assert all(b <= a for a, b in zip(values, values[1:]))
+
+
+def test_columns_are_packed_without_loss():
+    rng = np.random.default_rng(2)
+    x = np.column_stack([rng.integers(0, 7, 700), rng.normal(size=700), np.r_[np.zeros(600), np.arange(100)], rng.integers(0, 400, 700) / 7,
+                         np.ones(700)]).astype(float)
+    data = perceptron.columns_packed(x)
+    assert np.array_equal(perceptron.columns_unpacked(data), x) and len(data) < x.nbytes * 0.6
+    assert np.array_equal(perceptron.columns_unpacked(perceptron.columns_packed(x[:1])), x[:1])
