@@ -1,8 +1,8 @@
 """Random forest for many rows: the rows are binned once, then each level of all trees is one pass of array kernels.
 
 The algorithm is that of spark.ml's RandomForestClassifier: quantile bins, Poisson bags, a draw of features per node,
-Gini gain, categories ordered by their share of class 1, and leaves of one parent that predict alike made one.  The
-fitted model is spark.ml's.  Bags and draws come from other generators, so trees differ from those of spark.ml as they
+Gini gain, categories ordered by their weight of class 1, and leaves of one parent that predict alike made one.  The
+fitted model is spark.ml's; of its nodes ``rawCount`` is kept (else -1) only where a least number of rows asks for it.  Bags and draws come from other generators, so trees differ from those of spark.ml as they
 do between two seeds; they depend on how the rows are dealt over files, not on tasks or retries.
 """
 
@@ -214,8 +214,7 @@ def best_splits(sums, drawn, arity, min_rows: int, min_gain: float):
     named = arity[drawn.T] > 0
     if named.any():
         of = sums[:, named]
-        n = of[0].sum(-1)
-        order = np.argsort(np.where(n > 0, of[0, ..., 1] / np.where(n > 0, n, 1), np.inf), axis=1, kind="stable")
+        order = np.argsort(np.where(of[0].sum(-1) > 0, of[0, ..., 1], np.inf), axis=1, kind="stable")   # as spark.ml orders them
         sums = sums.copy()
         sums[:, named] = np.take_along_axis(of, order[None, :, :, None], 2)
         own = np.empty_like(order)

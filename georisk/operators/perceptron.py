@@ -1,7 +1,7 @@
 """Multilayer perceptron for many rows: the assembled rows are stored once in blocks, a pass over them is matrix products.
 
 Layers, loss and starting weights are those of spark.ml's MultilayerPerceptronClassifier (sigmoid layers, softmax, mean
-cross-entropy), the optimiser is L-BFGS with ten corrections and a strong Wolfe line search, and the fitted model is spark.ml's.
+cross-entropy), and so are the optimiser (L-BFGS with ten corrections and a strong Wolfe line search) and the fitted model.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ BLOCK_ROWS = 4096
 STEP_ROWS = 512              # rows whose layers fit into a core's cache
 MOST_PARTS = 64              # tasks whose sums are added up on the driver; those of more are added by tasks
 CORRECTIONS = 10
-ARMIJO, CURVATURE, LINE_STEPS = 1e-4, 0.9, 20
+ARMIJO, CURVATURE, LINE_STEPS = 1e-4, 0.9, 10
 
 
 # ------------------------------------------------------------------ blocks
@@ -180,102 +180,117 @@ class Loss:
 
 
 # ------------------------------------------------------------------ the optimiser
-def _line_search(at, f0, d0, step):
-    """A step that meets the strong Wolfe conditions: (step, loss, gradient), None if there is none.
-
-    ``at(step)`` gives (loss, gradient, slope along the direction)."""
-    low, f_low, d_low, high, f_high = 0.0, f0, d0, None, None
-    for _ in range(LINE_STEPS):
-        f, g, d = at(step)
-        if not math.isfinite(f) or f > f0 + ARMIJO * step * d0 or (f >= f_low and low > 0):
-            high, f_high = step, f
-        elif abs(d) <= -CURVATURE * d0:
-            return step, f, g
-        else:
-            if d * ((high if high is not None else math.inf) - low) >= 0 or (high is None and d >= 0):
-                high, f_high = low, f_low
-            low, f_low, d_low = step, f, d
-        if high is None:
-            step *= 2.0
+class _Failed(Exception):
+    """No step meets the conditions."""
+
+
+def _between(low, high):
+    """Minimum of the cubic through two points (step, loss, slope), not too near to either."""
+    (t0, f0, d0), (t1, f1, d1) = sorted((low[:3], high[:3]))
+    mid = d0 + d1 - 3 * (f0 - f1) / (t0 - t1)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        root = np.sqrt(mid * mid - d0 * d1)
+        t = t1 - (t1 - t0) * (d1 + root - mid) / (d1 - d0 + 2 * root)
+    least, most = t0 + 0.1 * (t1 - t0), t0 + 0.9 * (t1 - t0)
+    return least if t < least else most if t > most else t
+
+
+def _line_search(at, f0: float, d0: float, t: float):
+    """The first point (step, loss, slope, gradient) that meets the strong Wolfe conditions; steps as in Breeze, which spark.ml uses."""
+    if d0 > 0:
+        raise _Failed("no descent")
+
+    def falls(c):
+        return c[1] <= f0 + ARMIJO * c[0] * d0
+
+    def flat(c):
+        return abs(c[2]) <= CURVATURE * abs(d0)
+
+    def zoom(low, high):
+        for _ in range(LINE_STEPS):
+            c = at(_between(low, high))
+            if not falls(c) or c[1] >= low[1]:
+                high = c
+            else:
+                if flat(c):
+                    return c
+                if c[2] * (high[0] - low[0]) >= 0:
+                    high = low
+                low = c
+        raise _Failed("zoom")
+
+    low = (0.0, f0, d0, None)
+    for k in range(LINE_STEPS):
+        c = at(t)
+        if not math.isfinite(c[1]):
+            t /= 2
             continue
-        wide = high - low
-        curve = f_high - f_low - d_low * wide
-        cut = -d_low * wide * wide / (2 * curve) if math.isfinite(curve) and curve > 0 else wide / 2
-        least, most = sorted((0.1 * wide, 0.9 * wide))
-        step = low + min(max(cut, least), most)
-    if low > 0 and f_low < f0:               # lower, if not flat enough
-        f, g, _ = at(low)
-        return low, f, g
-    return None
-
-
-def minimise(loss, start, tol: float = 1e-6):
-    """L-BFGS: yields the weights after each iteration; ends when the loss no longer falls by ``tol`` of the first one."""
-    x, (f, g) = start, loss(start)
-    first, past, pairs = abs(f), [f], []
-    while True:
+        if not falls(c) or (k and c[1] >= low[1]):
+            return zoom(low, c)
+        if flat(c):
+            return c
+        if c[2] >= 0:
+            return zoom(c, low)
+        low, t = c, t * 1.5
+    raise _Failed("steps")
+
+
+def minimise(loss, x, iterations: int, tol: float = 1e-6, known=None):
+    """L-BFGS as in Breeze: (weights, (loss, gradient) there) after at most ``iterations``.
+
+    ``known`` is the loss and gradient at the start if they are known."""
+    f, g = known or loss(x)
+    first, past, pairs, failed, done = f, [math.inf], [], False, 0
+    while done < iterations and np.linalg.norm(g) > max(tol * abs(f), 1e-8):
         d, kept = -g, []
         for s, y, r in reversed(pairs):
-            a = r * (s @ d)
-            kept.append(a)
-            d = d - a * y
+            kept.append(r * (s @ d))
+            d = d - kept[-1] * y
         if pairs:
-            s, y, _ = pairs[-1]
-            d = d * ((s @ y) / (y @ y))
+            s, y, r = pairs[-1]
+            d = d / (r * (y @ y))
         for (s, y, r), a in zip(pairs, reversed(kept)):
             d = d + s * (a - r * (y @ d))
-        slope = g @ d
-        if slope >= 0:
-            if not pairs:
-                return
-            pairs = []
-            continue
 
-        def at(step, x=x, d=d):
-            value, grad = loss(x + step * d)
-            return value, grad, grad @ d
-        found = _line_search(at, f, slope, 1.0 if pairs else 1.0 / np.linalg.norm(d))
-        if found is None:
-            if not pairs:
-                return
-            pairs = []                       # once more along the gradient
+        def at(t, x=x, d=d):
+            value, grad = loss(x + t * d)
+            return t, value, float(grad @ d), grad
+        try:
+            t, value, _, new = _line_search(at, f, float(g @ d), 1.0 if done else 1.0 / np.linalg.norm(d))
+            if t * np.linalg.norm(g) < 1e-10:
+                raise _Failed("small")
+        except _Failed:
+            if failed:
+                break
+            failed, pairs = True, []         # once more along the gradient
             continue
-        step, f, new = found
-        s, y = step * d, new - g
-        if s @ y > 0:
-            pairs = [*pairs, (s, y, 1.0 / (s @ y))][-CORRECTIONS:]
-        x, g, past = x + s, new, [*past, f][-20:]
-        yield x
-        if abs(f - max(past)) <= tol * first or np.linalg.norm(g) <= max(tol * first, 1e-8):
-            return
+        s, y, failed, done = t * d, new - g, False, done + 1
+        pairs = [*pairs, (s, y, 1.0 / (s @ y))][-CORRECTIONS:]
+        x, f, g, past = x + s, value, new, [*past, value][-20:]
+        if abs(f - max(past)) <= tol * first:
+            break
+    return x, (f, g)
 
 
 def train(mlp, train_blocks: DataFrame, held_blocks: DataFrame | None, max_iter: int, step: int, patience: int, tolerance: float):
-    """Weights of the best step, and the validation loss of every step; of the last iteration without ``held_blocks``."""
+    """spark.ml's model of the best step, and the validation loss of every step; of the last iteration without ``held_blocks``."""
     sizes, one = mlp.getLayers(), _tiny(mlp, train_blocks)
-    loss = Loss(train_blocks, sizes)
-    held = Loss(held_blocks, sizes) if held_blocks is not None else None
+    loss, known = Loss(train_blocks, sizes), None
     weights = mlp.copy({mlp.maxIter: 0}).fit(one).weights.toArray()           # spark.ml's start for the seed
-    best, least, idle, losses, done = weights, float("inf"), 0, [], 0
-    steps = minimise(loss, weights, mlp.getTol())
+    if held_blocks is None:
+        return fitted(mlp, minimise(loss, weights, max_iter, mlp.getTol())[0], one, max_iter), []
+    held = Loss(held_blocks, sizes)
+    best, least, idle, losses, done = None, float("inf"), 0, [], 0
     while done < max_iter and idle < patience:
-        end = min(done + step, max_iter)
-        before = done
-        for weights in steps:
-            done += 1
-            if done == end:
-                break
-        if held is None:
-            best = weights
-        elif done > before or not losses:
-            losses.append(held(weights, slope=False)[0])
-            if losses[-1] < least - tolerance or len(losses) == 1:
-                best, least, idle = weights, losses[-1], 0
-            else:
-                idle += 1
-        if done < end:                     # the optimiser has ended
-            break
-    return fitted(mlp, best, one, max(done, 1)), losses
+        now = min(step, max_iter - done)
+        weights, known = minimise(loss, weights, now, mlp.getTol(), known)
+        done += now
+        losses.append(held(weights, slope=False)[0])
+        if best is None or losses[-1] < least - tolerance:
+            best, least, idle = weights, losses[-1], 0
+        else:
+            idle += 1
+    return fitted(mlp, best, one, step), losses
 
 
 def _tiny(mlp, blocks):

@@ -72,8 +72,8 @@ def test_best_split_equals_all_splits_tried():
         most = 0.0
         for j in range(2):
             bins, named = h[0, j, node], arity[drawn[node, j]]
-            # any set of categories may go left, of numbers the lower ones
-            sets = [[b for b in range(named) if m >> b & 1] for m in range(1, 2 ** named - 1)] if named else [list(range(c)) for c in range(1, 6)]
+            order = np.argsort(bins[:named, 1], kind="stable") if named else np.arange(6)   # categories by their weight of class 1
+            sets = [order[:c].tolist() for c in range(1, len(order))]
             for go in sets:
                 a, b = bins[go].sum(0), bins.sum(0) - bins[go].sum(0)
                 if a.sum() and b.sum() > 1e-9:
@@ -84,6 +84,17 @@ def test_best_split_equals_all_splits_tried():
         assert left[node] == pytest.approx(h[0, k[node], node][goes].sum(0)) and right[node] == pytest.approx(h[0, k[node], node][~goes].sum(0))
 
 
+def test_categories_are_ordered_as_by_spark(spark):
+    """Order by weight and by share of class 1 differ here; both fits must send the same categories left."""
+    rows = [(c, int(i < ones)) for c, n, ones in ((1, 1000, 400), (2, 30, 30), (3, 1000, 200)) for i in range(n)] * 3
+    df = model.with_raw_label(spark.createDataFrame(rows, "atm int, target int").withColumn("weight", F.expr("if(target = 1, 2.5D, 1D)")))
+    ours = model.tree_pipeline("rf", cols=["atm"], encode=True, numTrees=1, maxDepth=1)
+    other = Pipeline(stages=[*ours.getStages()[:-1], RandomForestClassifier(
+        featuresCol="features", labelCol="target", weightCol="weight", seed=42, numTrees=1, maxDepth=1)])
+    texts = [p.fit(df).stages[-1].toDebugString.split("\n", 1)[1] for p in (ours, other)]
+    assert texts[0] == texts[1] and "in {1.0,2.0}" in texts[0]
+
+
 def test_bags_and_bins():
     copies = forest._bag(1.0)
     share = np.bincount(copies) / copies.size
