@@ -289,7 +289,7 @@ def fit_mlp(train: DataFrame, cols=FEATURE_COLUMNS, categorical=("atm", "road_ty
 
     With ``validation`` rows (which must not be in ``train``; they carry
     ``weight``) training goes on in steps of ``step`` iterations, each from the
-    weights of the one before.  It ends after ``patience`` steps that did not
+    weights and corrections of the one before.  It ends after ``patience`` steps that did not
     lower the validation loss by ``tolerance``, or at ``max_iter``; the weights
     of the best step are kept.  The losses are left in ``losses`` of the result.
     """

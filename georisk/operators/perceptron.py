@@ -235,12 +235,12 @@ def _line_search(at, f0: float, d0: float, t: float):
     raise _Failed("steps")
 
 
-def minimise(loss, x, iterations: int, tol: float = 1e-6, known=None):
-    """L-BFGS as in Breeze: (weights, (loss, gradient) there) after at most ``iterations``.
+def minimise(loss, x, iterations: int, tol: float = 1e-6, state=None):
+    """L-BFGS as in Breeze: (weights, state) after at most ``iterations``; with the state a later call goes on where this one ended.
 
-    ``known`` is the loss and gradient at the start if they are known."""
-    f, g = known or loss(x)
-    first, past, pairs, failed, done = f, [math.inf], [], False, 0
+    The state is the loss and gradient at the weights and the corrections."""
+    f, g, pairs = state or (*loss(x), [])
+    first, past, failed, done = f, [math.inf], False, 0
     while done < iterations and np.linalg.norm(g) > max(tol * abs(f), 1e-8):
         d, kept = -g, []
         for s, y, r in reversed(pairs):
@@ -256,7 +256,7 @@ def minimise(loss, x, iterations: int, tol: float = 1e-6, known=None):
             value, grad = loss(x + t * d)
             return t, value, float(grad @ d), grad
         try:
-            t, value, _, new = _line_search(at, f, float(g @ d), 1.0 if done else 1.0 / np.linalg.norm(d))
+            t, value, _, new = _line_search(at, f, float(g @ d), 1.0 if done or pairs else 1.0 / np.linalg.norm(d))
             if t * np.linalg.norm(g) < 1e-10:
                 raise _Failed("small")
         except _Failed:
@@ -269,13 +269,13 @@ def minimise(loss, x, iterations: int, tol: float = 1e-6, known=None):
         x, f, g, past = x + s, value, new, [*past, value][-20:]
         if abs(f - max(past)) <= tol * first:
             break
-    return x, (f, g)
+    return x, (f, g, pairs)
 
 
 def train(mlp, train_blocks: DataFrame, held_blocks: DataFrame | None, max_iter: int, step: int, patience: int, tolerance: float):
     """spark.ml's model of the best step, and the validation loss of every step; of the last iteration without ``held_blocks``."""
     sizes, one = mlp.getLayers(), _tiny(mlp, train_blocks)
-    loss, known = Loss(train_blocks, sizes), None
+    loss, state = Loss(train_blocks, sizes), None
     weights = mlp.copy({mlp.maxIter: 0}).fit(one).weights.toArray()           # spark.ml's start for the seed
     if held_blocks is None:
         return fitted(mlp, minimise(loss, weights, max_iter, mlp.getTol())[0], one, max_iter), []
@@ -283,7 +283,7 @@ def train(mlp, train_blocks: DataFrame, held_blocks: DataFrame | None, max_iter:
     best, least, idle, losses, done = None, float("inf"), 0, [], 0
     while done < max_iter and idle < patience:
         now = min(step, max_iter - done)
-        weights, known = minimise(loss, weights, now, mlp.getTol(), known)
+        weights, state = minimise(loss, weights, now, mlp.getTol(), state)   # with its corrections: a new start takes more passes
         done += now
         losses.append(held(weights, slope=False)[0])
         if best is None or losses[-1] < least - tolerance:

@@ -64,12 +64,15 @@ def test_optimiser_finds_the_minimum():
         return 100 * (b - a * a) ** 2 + (1 - a) ** 2, np.array([-400 * a * (b - a * a) - 2 * (1 - a), 200 * (b - a * a)])
 
     calls, values = [], []
-    x, known = np.array([-1.2, 1.0]), None
+    x, state = np.array([-1.2, 1.0]), None
     for _ in range(8):                                      # steps, each from the weights of the one before
-        x, known = perceptron.minimise(lambda at: calls.append(1) or rosenbrock(at), x, 20, 1e-12, known)
-        assert known[0] == rosenbrock(x)[0]
-        values.append(known[0])
+        x, state = perceptron.minimise(lambda at: calls.append(1) or rosenbrock(at), x, 20, 1e-12, state)
+        assert state[0] == rosenbrock(x)[0]
+        values.append(state[0])
     assert x == pytest.approx([1, 1], abs=1e-4) and len(calls) < 400
+    whole = perceptron.minimise(rosenbrock, np.array([-1.2, 1.0]), 16, 1e-12)[0]
+    half, state = perceptron.minimise(rosenbrock, np.array([-1.2, 1.0]), 8, 1e-12)
+    assert perceptron.minimise(rosenbrock, half, 8, 1e-12, state)[0].tolist() == whole.tolist()    # steps are no new starts
     assert all(b <= a for a, b in zip(values, values[1:]))
     assert perceptron.minimise(rosenbrock, np.array([1.0, 1.0]), 5)[0].tolist() == [1, 1]
 
